@@ -185,6 +185,12 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS event_date, {_PARTS.replace('eve
 FROM orders
 """
 
+RAW_DAY_SCAN = f"""
+WITH {_traffic_rec()}
+SELECT {_TRAFFIC_COLS} FROM traffic_rec
+WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'
+"""
+
 ORACLES: dict[str, str] = {
     "traffic_curated": TRAFFIC_CURATED,
     "weather_curated": WEATHER_CURATED,
@@ -195,4 +201,7 @@ ORACLES: dict[str, str] = {
     "explode_positional": EXPLODE_POSITIONAL,
     "dedupe_null_keys": DEDUPE_NULL_KEYS,
     "event_partitions": EVENT_PARTITIONS,
+    "raw_roundtrip": TRAFFIC_CURATED,
+    "raw_day_scan": RAW_DAY_SCAN,
+    "curated_rerun": TRAFFIC_CURATED,
 }

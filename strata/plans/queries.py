@@ -19,7 +19,10 @@ from strata.operators import curators
 from strata.operators.dedupe import dedupe_by
 from strata.operators.partitions import add_event_partitions
 from strata.plans import payloads
-from strata.sources.raw import parse_documents
+from strata.session import scratch_path
+from strata.sinks.curated import write_curated
+from strata.sinks.raw import write_raw
+from strata.sources.raw import parse_documents, read_curated, read_raw, read_raw_days
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +106,45 @@ def event_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_event_partitions(o)
 
 
+# -- raw and curated zones on storage (SRC-1/2, SNK-1/3/6) --------------------
+
+SCAN_WEEK = ("2024-01-08", "2024-01-14")
+
+
+def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6 then SRC-1: land every traffic document one-per-file under the
+    checkpoint folder, read the raw zone back with the declared schema
+    (multi-line documents) and curate it."""
+    root = scratch_path(spark, "raw-document")
+    target = write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "document")
+    raw = read_raw(spark, target, schemas.TRAFFIC_RAW, "document")
+    return as_ntz(curators.curate_traffic(raw))
+
+
+def raw_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2 over a date range: land the traffic documents as JSON Lines, then
+    read one ingest week from the source folder; the day predicate is a
+    partition filter, so other days' folders are never opened."""
+    root = scratch_path(spark, "raw-lines")
+    write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "lines")
+    raw = read_raw_days(spark, root, "traffic", schemas.TRAFFIC_RAW, *SCAN_WEEK, raw_format="lines")
+    return as_ntz(curators.project_traffic(raw))
+
+
+def curated_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1/SNK-3 idempotence (D4): write the curated table, rerun three days
+    of it with the default partition-overwrite mode, read the table back.
+    Other days survive and the rerun days are not duplicated."""
+    path = scratch_path(spark, "curated-traffic")
+    first = curators.curate_traffic(traffic_raw(spark, sf_dir))
+    write_curated(first, path=path)
+    rerun = curators.curate_traffic(traffic_raw(spark, sf_dir)).where(
+        F.col("event_date").between("2024-01-10", "2024-01-12"))
+    write_curated(rerun, path=path)
+    back = read_curated(spark, path)
+    return as_ntz(back.select(*first.columns))
+
+
 QUERIES: dict[str, Query] = {
     "traffic_curated": traffic_curated,
     "weather_curated": weather_curated,
@@ -113,4 +155,7 @@ QUERIES: dict[str, Query] = {
     "explode_positional": explode_positional,
     "dedupe_null_keys": dedupe_null_keys,
     "event_partitions": event_partitions,
+    "raw_roundtrip": raw_roundtrip,
+    "raw_day_scan": raw_day_scan,
+    "curated_rerun": curated_rerun,
 }
