@@ -191,6 +191,71 @@ SELECT {_TRAFFIC_COLS} FROM traffic_rec
 WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'
 """
 
+# -- payload validation -------------------------------------------------------
+
+_DQ = f"""
+WITH tdoc AS (
+  SELECT 'traffic' AS source,
+         printf('traffic/year=%04d/month=%02d/day=%02d/C%d-%d.json', year(d), month(d), day(d), user_id, part) AS document,
+         user_id % 10 AS shape, n
+  FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+        FROM events GROUP BY ALL)),
+wdoc AS (
+  SELECT 'weather' AS source,
+         printf('weather/year=%04d/month=%02d/day=%02d/L%d-%d.json', year(d), month(d), day(d), user_id, part) AS document,
+         user_id % 10 AS shape, n
+  FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+        FROM events GROUP BY ALL)),
+fdoc AS (
+  SELECT 'flights' AS source,
+         printf('flights/year=%04d/month=%02d/day=%02d/Madrid-%d.json', year(d), month(d), day(d), part) AS document,
+         -1 AS shape, n
+  FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_orderkey // {DOC_BLOCK} AS part, count(*) AS n
+        FROM lineitem GROUP BY ALL)),
+docs AS (SELECT * FROM tdoc UNION ALL SELECT * FROM wdoc UNION ALL SELECT * FROM fdoc),
+rules(rule_id, source, field_path, mode, expected) AS (VALUES
+  (1, 'traffic', 'records', 'count', 2), (2, 'traffic', 'total_records', 'value', 2),
+  (3, 'traffic', 'records', 'gte', 1), (4, 'traffic', '', 'value', 1),
+  (5, 'traffic', 'records.x', 'count', 1), (6, 'traffic', 'total_records', 'sum', 1),
+  (7, 'traffic', 'meta.source', 'value', 1),
+  (8, 'weather', 'hourly.time', 'count', 2), (9, 'weather', 'hourly.time', 'gte', 1),
+  (10, 'weather', 'total_records', 'value', 2),
+  (11, 'flights', 'states', 'gte', 1), (12, 'flights', 'total_records', 'value', 10)),
+pre AS (
+  SELECT d.source, d.document, r.field_path, r.mode, CAST(r.expected AS BIGINT) AS expected, r.rule_id,
+    CASE
+      WHEN d.source = 'traffic' AND d.shape = 8 THEN 'MALFORMED_JSON'
+      WHEN r.rule_id = 4 THEN 'EMPTY_PATH'
+      WHEN r.rule_id IN (1, 3, 5) AND d.shape = 6 THEN 'MISSING_FIELD'
+      WHEN r.rule_id = 5 THEN 'NOT_OBJECT'
+      WHEN r.rule_id = 7 THEN 'MISSING_FIELD'
+      WHEN r.rule_id = 6 THEN 'BAD_MODE'
+      WHEN r.rule_id = 1 AND d.shape = 7 THEN 'TYPE_MISMATCH'
+      WHEN r.rule_id = 2 AND d.shape = 9 THEN 'TYPE_MISMATCH'
+      WHEN r.rule_id IN (8, 9) AND d.shape = 5 THEN 'MISSING_FIELD'
+      WHEN r.rule_id IN (8, 9) AND d.shape = 6 THEN 'NOT_OBJECT'
+      WHEN r.rule_id IN (8, 9) AND d.shape = 7 THEN 'TYPE_MISMATCH'
+    END AS pre_error
+  FROM docs d JOIN rules r ON d.source = r.source),
+judged AS (
+  SELECT p.*, CASE WHEN pre_error IS NULL THEN CAST(d.n AS BIGINT) END AS actual
+  FROM pre p JOIN docs d ON p.source = d.source AND p.document = d.document)
+SELECT source, document, field_path, mode, expected, actual,
+       CASE WHEN error_class IS NULL THEN 'PASS' ELSE 'FAIL' END AS status, error_class
+FROM (SELECT *, COALESCE(pre_error,
+        CASE WHEN mode = 'gte' AND actual < expected THEN 'BELOW_MINIMUM'
+             WHEN mode <> 'gte' AND actual <> expected THEN 'COUNT_MISMATCH' END) AS error_class
+      FROM judged)
+"""
+
+DQ_VERDICTS = _DQ
+
+DQ_SUMMARY = f"""
+SELECT source, field_path, mode, status, error_class, count(*) AS documents
+FROM ({_DQ}) v
+GROUP BY source, field_path, mode, status, error_class
+"""
+
 ORACLES: dict[str, str] = {
     "traffic_curated": TRAFFIC_CURATED,
     "weather_curated": WEATHER_CURATED,
@@ -204,4 +269,6 @@ ORACLES: dict[str, str] = {
     "raw_roundtrip": TRAFFIC_CURATED,
     "raw_day_scan": RAW_DAY_SCAN,
     "curated_rerun": TRAFFIC_CURATED,
+    "dq_verdicts": DQ_VERDICTS,
+    "dq_summary": DQ_SUMMARY,
 }

@@ -28,6 +28,7 @@ from strata.functions.calendar import day_label, iso_date_text, iso_hour_text
 from strata.operators.envelopes import (
     flights_envelope,
     holidays_envelope,
+    raw_object_key,
     traffic_envelope,
     weather_envelope,
 )
@@ -275,3 +276,72 @@ def flights_raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flights_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ENV-4 over the upstream payloads with snapshot time ``AS_OF`` (ENV-5)."""
     return flights_envelope(flights_upstream(spark, sf_dir), AS_OF, part_col="part")
+
+
+# ------------------------------------------------------ validation inputs --
+
+def _shape(user_col: str = "user_id") -> Column:
+    return F.pmod(F.col(user_col), F.lit(10))
+
+
+def dq_traffic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traffic documents for validation, with broken shapes by user_id mod 10:
+    6 ``records`` renamed, 7 ``records`` a number, 8 truncated JSON,
+    9 ``total_records`` a boolean. Columns: source, object_key, document."""
+    recs = traffic_records(spark, sf_dir).withColumn(
+        "user_id", F.substring("entity", 2, 20).cast("long"))
+    g = recs.groupBy("user_id", "entity", "ingest_date", "part").agg(
+        F.collect_list("record").alias("records"), F.count(F.lit(1)).alias("total_records"))
+    good = F.to_json(F.struct("records", "total_records"))
+    text = (F.when(_shape() == 6, F.to_json(F.struct(F.col("records").alias("rows"), "total_records")))
+            .when(_shape() == 7, F.to_json(F.struct(F.col("total_records").alias("records"),
+                                                    "total_records")))
+            .when(_shape() == 8, F.expr("substring(to_json(struct(records, total_records)), 1, "
+                                        "length(to_json(struct(records, total_records))) - 1)"))
+            .when(_shape() == 9, F.to_json(F.struct("records", F.lit(True).alias("total_records"))))
+            .otherwise(good))
+    return g.select(F.lit("traffic").alias("source"),
+                    raw_object_key("traffic", "ingest_date", "entity", F.col("part")).alias("object_key"),
+                    text.alias("document"))
+
+
+def dq_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather documents for validation, shapes by user_id mod 10: 5 empty
+    ``hourly`` object, 6 ``hourly`` a list, 7 ``hourly.time`` null."""
+    ev = table(spark, sf_dir, "events")
+    g = ev.groupBy("user_id", F.to_date("ts").alias("ingest_date"),
+                   _block("event_id").alias("part")).agg(
+        F.collect_list(iso_hour_text("ts", with_seconds=False)).alias("time"),
+        F.count(F.lit(1)).alias("total_records"))
+    loc = [F.lit(40.0).alias("latitude"), F.lit(-3.0).alias("longitude")]
+    hourly = (F.when(_shape() == 5, F.to_json(F.struct(F.struct().alias("hourly"))))
+              .when(_shape() == 6, F.to_json(F.struct(F.array().cast("array<string>").alias("hourly"))))
+              .when(_shape() == 7, F.lit('{"hourly":{"time":null}}'))
+              .otherwise(F.to_json(F.struct(F.struct("time").alias("hourly")))))
+    rest = F.to_json(F.struct(*loc, "total_records"))
+    # splice {"hourly":...} and the other fields into one object
+    text = F.concat(F.expr("substring(x_hourly, 1, length(x_hourly) - 1)"), F.lit(","),
+                    F.expr("substring(x_rest, 2)"))
+    entity = F.concat(F.lit("L"), F.col("user_id").cast("string"))
+    return g.select(
+        F.lit("weather").alias("source"),
+        raw_object_key("weather", "ingest_date", entity, F.col("part")).alias("object_key"),
+        hourly.alias("x_hourly"), rest.alias("x_rest"),
+    ).select("source", "object_key", text.alias("document"))
+
+
+def dq_flights_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flights documents for validation, as curated (no broken shapes)."""
+    docs = flights_raw_documents(spark, sf_dir)
+    return docs.select("source", raw_object_key("flights", "ingest_date", "entity", F.col("part"))
+                       .alias("object_key"), "document")
+
+
+def dq_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All validation documents: source, object_key, document."""
+    parts = [dq_traffic_documents(spark, sf_dir), dq_weather_documents(spark, sf_dir),
+             dq_flights_documents(spark, sf_dir)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -16,6 +16,7 @@ from pyspark.sql.types import TimestampType
 
 from strata import schemas
 from strata.operators import curators
+from strata.operators import quality
 from strata.operators.dedupe import dedupe_by
 from strata.operators.partitions import add_event_partitions
 from strata.plans import payloads
@@ -145,6 +146,37 @@ def curated_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(back.select(*first.columns))
 
 
+# -- payload validation (DQ-1..9) --------------------------------------------
+
+# Rules of the validation queries: the standard rule of each source plus one
+# rule per error class.
+DQ_RULES = (
+    quality.Rule(2, "records", "count", "traffic"),
+    quality.Rule(2, "total_records", "value", "traffic"),
+    quality.Rule(1, "records", "gte", "traffic"),
+    quality.Rule(1, "", "value", "traffic"),
+    quality.Rule(1, "records.x", "count", "traffic"),
+    quality.Rule(1, "total_records", "sum", "traffic"),
+    quality.Rule(1, "meta.source", "value", "traffic"),
+    quality.Rule(2, "hourly.time", "count", "weather"),
+    quality.Rule(1, "hourly.time", "gte", "weather"),
+    quality.Rule(2, "total_records", "value", "weather"),
+    quality.Rule(1, "states", "gte", "flights"),
+    quality.Rule(10, "total_records", "value", "flights"),
+)
+
+
+def dq_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-1..7: a verdict per (document, rule) over every traffic, weather and
+    flights document, including malformed and wrongly shaped ones."""
+    return quality.verdicts(payloads.dq_documents(spark, sf_dir), DQ_RULES)
+
+
+def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-9 report: documents per (source, rule, status, error class)."""
+    return quality.summarize(dq_verdicts(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "traffic_curated": traffic_curated,
     "weather_curated": weather_curated,
@@ -158,4 +190,6 @@ QUERIES: dict[str, Query] = {
     "raw_roundtrip": raw_roundtrip,
     "raw_day_scan": raw_day_scan,
     "curated_rerun": curated_rerun,
+    "dq_verdicts": dq_verdicts,
+    "dq_summary": dq_summary,
 }
