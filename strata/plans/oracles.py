@@ -256,6 +256,59 @@ FROM ({_DQ}) v
 GROUP BY source, field_path, mode, status, error_class
 """
 
+# -- envelopes ----------------------------------------------------------------
+
+_KEY = "printf('%s/year=%04d/month=%02d/day=%02d/%s-%d.json', {src}, year(d), month(d), day(d), {ent}, part)"
+
+ENVELOPE_TRAFFIC = f"""
+SELECT 'traffic' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'C' || user_id AS entity, part,
+       CAST(n AS INTEGER) AS total_records,
+       {_KEY.format(src="'traffic'", ent="'C' || user_id")} AS object_key
+FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+      FROM events GROUP BY ALL)
+"""
+
+ENVELOPE_WEATHER = f"""
+SELECT 'weather' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'open-meteo' AS entity, part,
+       CAST(n AS INTEGER) AS total_records,
+       {_KEY.format(src="'weather'", ent="'open-meteo'")} AS object_key,
+       'Europe/Madrid' AS timezone,
+       40.0::DOUBLE + CAST(user_id AS DOUBLE) / 1000.0::DOUBLE AS latitude
+FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+      FROM events GROUP BY ALL)
+"""
+
+ENVELOPE_HOLIDAYS = f"""
+WITH req AS (
+  SELECT DISTINCT o_orderstatus AS country_code, d AS ingest_day
+  FROM (SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS d FROM orders
+        UNION ALL
+        SELECT o_orderstatus, CAST(o_orderdate AS DATE) + 1 FROM orders)),
+rec AS (
+  SELECT o_orderstatus AS country_code, CAST(o_orderdate AS DATE) AS day, o_orderkey // {DOC_BLOCK} AS part
+  FROM orders WHERE o_orderpriority <> '5-LOW'),
+matched AS (
+  SELECT req.country_code, req.ingest_day AS d, COALESCE(rec.part, 0) AS part,
+         count(rec.day) AS n
+  FROM req LEFT JOIN rec ON req.country_code = rec.country_code AND req.ingest_day = rec.day
+  GROUP BY ALL)
+SELECT 'holidays' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, country_code AS entity,
+       CAST(part AS BIGINT) AS part, CAST(n AS INTEGER) AS total_records,
+       {_KEY.format(src="'holidays'", ent="country_code")} AS object_key,
+       country_code, CAST(n AS BIGINT) AS matching_records
+FROM matched
+"""
+
+ENVELOPE_FLIGHTS = f"""
+SELECT 'flights' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'Madrid' AS entity, part,
+       CAST(n AS INTEGER) AS total_records,
+       {_KEY.format(src="'flights'", ent="'Madrid'")} AS object_key,
+       CAST(epoch(TIMESTAMP '2026-04-22 10:00:00') AS BIGINT) AS snapshot_time,
+       CAST(n AS INTEGER) AS states
+FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_orderkey // {DOC_BLOCK} AS part, count(*) AS n
+      FROM lineitem GROUP BY ALL)
+"""
+
 ORACLES: dict[str, str] = {
     "traffic_curated": TRAFFIC_CURATED,
     "weather_curated": WEATHER_CURATED,
@@ -271,4 +324,8 @@ ORACLES: dict[str, str] = {
     "curated_rerun": TRAFFIC_CURATED,
     "dq_verdicts": DQ_VERDICTS,
     "dq_summary": DQ_SUMMARY,
+    "envelope_traffic": ENVELOPE_TRAFFIC,
+    "envelope_weather": ENVELOPE_WEATHER,
+    "envelope_holidays": ENVELOPE_HOLIDAYS,
+    "envelope_flights": ENVELOPE_FLIGHTS,
 }

@@ -177,6 +177,49 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.summarize(dq_verdicts(spark, sf_dir))
 
 
+# -- raw payload shaping (ENV-1..5, FLT-1, AGG-1, SNK-7) ----------------------
+
+_ENVELOPE_COLS = ("source", "ingest_date", "entity", "part", "total_records", "object_key")
+
+
+def envelope_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENV-1 + AGG-1 + SNK-7: traffic documents per (centre, day, part)."""
+    return payloads.traffic_documents(spark, sf_dir).select(*_ENVELOPE_COLS)
+
+
+def _with_payload(docs: DataFrame, schema) -> DataFrame:
+    """Envelope columns plus the parsed document as a ``payload`` struct."""
+    return docs.select(*_ENVELOPE_COLS, F.from_json("document", schema).alias("payload"))
+
+
+def envelope_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENV-2: weather payloads tagged with source, day, record count; the
+    carried time zone is trimmed (D9)."""
+    docs = _with_payload(payloads.weather_documents(spark, sf_dir), schemas.WEATHER_RAW)
+    return docs.select(*_ENVELOPE_COLS, F.col("payload.timezone").alias("timezone"),
+                       F.col("payload.latitude").cast("double").alias("latitude"))
+
+
+def envelope_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENV-3 + FLT-1: one document per ingest request with only that day's
+    holidays; requests without a holiday get an empty document."""
+    docs = _with_payload(payloads.holidays_envelopes(spark, sf_dir), schemas.HOLIDAYS_RAW)
+    matching = F.aggregate(
+        "payload.holidays", F.lit(0).cast("long"),
+        lambda acc, h: acc + F.when(h["date"] == F.col("ingest_date"), 1).otherwise(0))
+    return docs.select(*_ENVELOPE_COLS, F.col("payload.country_code").alias("country_code"),
+                       matching.alias("matching_records"))
+
+
+def envelope_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENV-4 + ENV-5: flights payloads tagged with source, day, the snapshot
+    second of the run and the number of states."""
+    docs = _with_payload(payloads.flights_envelopes(spark, sf_dir), schemas.FLIGHTS_RAW)
+    return docs.select(*_ENVELOPE_COLS,
+                       F.col("payload.snapshot_time").cast("long").alias("snapshot_time"),
+                       F.size("payload.states").alias("states"))
+
+
 QUERIES: dict[str, Query] = {
     "traffic_curated": traffic_curated,
     "weather_curated": weather_curated,
@@ -192,4 +235,8 @@ QUERIES: dict[str, Query] = {
     "curated_rerun": curated_rerun,
     "dq_verdicts": dq_verdicts,
     "dq_summary": dq_summary,
+    "envelope_traffic": envelope_traffic,
+    "envelope_weather": envelope_weather,
+    "envelope_holidays": envelope_holidays,
+    "envelope_flights": envelope_flights,
 }
