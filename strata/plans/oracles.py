@@ -10,6 +10,8 @@ sides; integer truncation uses ``trunc``.
 
 from __future__ import annotations
 
+from strata.functions import factors as fx
+
 DOC_BLOCK = 4096
 
 # -- traffic ------------------------------------------------------------------
@@ -309,6 +311,82 @@ FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_orderkey // {DOC_BLOCK} AS part, c
       FROM lineitem GROUP BY ALL)
 """
 
+# -- expectation model ----------------------------------------------------------
+
+def _dlist(values) -> str:
+    return "[" + ", ".join(repr(float(v)) for v in values) + "]::DOUBLE[]"
+
+
+_SPINE = """
+ranges AS (
+  SELECT 'C' || user_id AS center_id, min(CAST(ts AS DATE)) AS f, max(CAST(ts AS DATE)) AS t
+  FROM events GROUP BY user_id),
+spine AS (
+  SELECT center_id, h AS event_timestamp, CAST(h AS DATE) AS event_date, CAST(hour(h) AS INTEGER) AS hour,
+         lower(dayname(h)) AS day_of_week
+  FROM (SELECT center_id,
+               unnest(generate_series(CAST(f AS TIMESTAMP), CAST(t AS TIMESTAMP) + INTERVAL 23 HOUR,
+                                      INTERVAL 1 HOUR)) AS h
+        FROM ranges))"""
+
+
+def _model(ts: str, cond: str, temp: str, hol: str) -> str:
+    """The untruncated expectation as a DuckDB expression."""
+    b0 = f"CAST(list_extract({list(fx.HOURLY_BASE)}, hour({ts}) + 1) AS DOUBLE)"
+    b1 = f"({b0} * list_extract({_dlist(fx.WEEKDAY_FACTOR)}, isodow({ts})))"
+    b2 = f"({b1} * list_extract({_dlist(fx.MONTH_FACTOR)}, month({ts})))"
+    b3 = (f"(CASE WHEN {cond} = '{fx.HEAVY_RAIN}' THEN {b2} - {b2} * {fx.HEAVY_RAIN_CUT}::DOUBLE "
+          f"WHEN {temp} > {fx.HEAT_LIMIT_C} THEN {b2} - {b2} * {fx.HEAT_CUT}::DOUBLE ELSE {b2} END)")
+    closed = " OR ".join(f"(month({ts}) = {m} AND day({ts}) = {d})" for m, d in fx.CLOSED_DAYS)
+    return (f"(CASE WHEN {closed} THEN {b3} * {fx.CLOSED_DAY_FACTOR}::DOUBLE "
+            f"WHEN {hol} THEN {b3} * {fx.HOLIDAY_FACTOR}::DOUBLE ELSE {b3} END)")
+
+
+HOURLY_SPINE = f"""
+WITH {_SPINE}
+SELECT * FROM spine
+"""
+
+MISSING_HOURS = f"""
+WITH {_SPINE},
+seen AS (SELECT DISTINCT 'C' || user_id AS center_id, date_trunc('hour', ts) AS event_timestamp FROM events)
+SELECT s.* FROM spine s
+WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.center_id = s.center_id
+                                       AND seen.event_timestamp = s.event_timestamp)
+"""
+
+EXPECTED_VISITORS = f"""
+WITH cur AS ({TRAFFIC_CURATED}),
+m AS (SELECT *, {_model('event_timestamp', 'weather_condition', 'temperature_c', 'is_holiday')} AS b
+      FROM cur)
+SELECT center_id, event_timestamp, visitors_count,
+       CAST(trunc(b) AS INTEGER) AS expected_visitors,
+       CAST(trunc(b - b * {fx.NOISE}::DOUBLE) AS INTEGER) AS lower_bound,
+       CAST(trunc(b + b * {fx.NOISE}::DOUBLE) AS INTEGER) AS upper_bound,
+       visitors_count BETWEEN CAST(trunc(b - b * {fx.NOISE}::DOUBLE) AS INTEGER)
+                          AND CAST(trunc(b + b * {fx.NOISE}::DOUBLE) AS INTEGER) AS in_band
+FROM m
+"""
+
+SPINE_EXPECTED = f"""
+WITH {_SPINE},
+cur AS ({TRAFFIC_CURATED}),
+j AS (
+  SELECT s.center_id, s.event_timestamp, s.day_of_week,
+         COALESCE(c.weather_condition, '{fx.DEFAULT_WEATHER}') AS weather_condition,
+         COALESCE(c.temperature_c, {fx.DEFAULT_TEMPERATURE_C}::DOUBLE) AS temperature_c,
+         COALESCE(c.is_holiday, {str(fx.DEFAULT_IS_HOLIDAY).lower()}) AS is_holiday
+  FROM spine s LEFT JOIN cur c ON s.center_id = c.center_id AND s.event_timestamp = c.event_timestamp)
+SELECT *, CAST(trunc({_model('event_timestamp', 'weather_condition', 'temperature_c', 'is_holiday')})
+               AS INTEGER) AS expected_visitors
+FROM j
+"""
+
+DAY_LABELS = """
+SELECT o_orderkey, date_trunc('hour', o_orderdate) AS hour_bucket, lower(dayname(o_orderdate)) AS day_of_week
+FROM orders
+"""
+
 ORACLES: dict[str, str] = {
     "traffic_curated": TRAFFIC_CURATED,
     "weather_curated": WEATHER_CURATED,
@@ -328,4 +406,9 @@ ORACLES: dict[str, str] = {
     "envelope_weather": ENVELOPE_WEATHER,
     "envelope_holidays": ENVELOPE_HOLIDAYS,
     "envelope_flights": ENVELOPE_FLIGHTS,
+    "hourly_spine": HOURLY_SPINE,
+    "missing_hours": MISSING_HOURS,
+    "expected_visitors": EXPECTED_VISITORS,
+    "spine_expected": SPINE_EXPECTED,
+    "day_labels": DAY_LABELS,
 }

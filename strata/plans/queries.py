@@ -16,7 +16,8 @@ from pyspark.sql.types import TimestampType
 
 from strata import schemas
 from strata.operators import curators
-from strata.operators import quality
+from strata.functions.calendar import day_label, hour_bucket
+from strata.operators import expectation, quality
 from strata.operators.dedupe import dedupe_by
 from strata.operators.partitions import add_event_partitions
 from strata.plans import payloads
@@ -220,6 +221,59 @@ def envelope_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.size("payload.states").alias("states"))
 
 
+# -- traffic expectation model (GEN-1..13) -----------------------------------
+
+def centre_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per centre, the first and last day it has events: the range a
+    simulator request for that centre would cover."""
+    ev = payloads.table(spark, sf_dir, "events")
+    return ev.groupBy(F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("center_id")).agg(
+        F.min(F.to_date("ts")).alias("from_date"), F.max(F.to_date("ts")).alias("to_date"))
+
+
+def hourly_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEN-1/2/4: 24 NTZ hours per day of every centre's range."""
+    return expectation.hourly_spine(centre_ranges(spark, sf_dir))
+
+
+def missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEN-13: spine hours for which no curated traffic record exists."""
+    spine = expectation.hourly_spine(centre_ranges(spark, sf_dir))
+    observed = curators.curate_traffic(traffic_raw(spark, sf_dir))
+    return expectation.missing_hours(spine, observed)
+
+
+def expected_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEN-6..12 on curated traffic: expected count, noise band and whether
+    the observed count lies inside it."""
+    traffic = as_ntz(curators.curate_traffic(traffic_raw(spark, sf_dir)))
+    out = expectation.with_expectation(traffic)
+    return out.select("center_id", "event_timestamp", "visitors_count", "expected_visitors",
+                      "lower_bound", "upper_bound", "in_band")
+
+
+def spine_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEN-1 + GEN-5 + GEN-11: the model's expectation for every spine hour,
+    using the observed weather/holiday of that hour when a record exists and
+    the defaults otherwise. Both join sides are unique per (centre, hour)."""
+    spine = expectation.hourly_spine(centre_ranges(spark, sf_dir))
+    traffic = as_ntz(curators.curate_traffic(traffic_raw(spark, sf_dir))).select(
+        "center_id", "event_timestamp", "weather_condition", "temperature_c", "is_holiday")
+    joined = expectation.with_defaults(spine.join(traffic, ["center_id", "event_timestamp"], "left"))
+    return joined.select(
+        "center_id", "event_timestamp", "day_of_week", "weather_condition", "temperature_c",
+        "is_holiday",
+        expectation.expected_visitors("event_timestamp", "weather_condition", "temperature_c",
+                                      "is_holiday").alias("expected_visitors"))
+
+
+def day_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEN-3 + GEN-4 over every order timestamp."""
+    o = payloads.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", hour_bucket("o_orderdate").alias("hour_bucket"),
+                    day_label("o_orderdate").alias("day_of_week"))
+
+
 QUERIES: dict[str, Query] = {
     "traffic_curated": traffic_curated,
     "weather_curated": weather_curated,
@@ -239,4 +293,9 @@ QUERIES: dict[str, Query] = {
     "envelope_weather": envelope_weather,
     "envelope_holidays": envelope_holidays,
     "envelope_flights": envelope_flights,
+    "hourly_spine": hourly_spine,
+    "missing_hours": missing_hours,
+    "expected_visitors": expected_visitors,
+    "spine_expected": spine_expected,
+    "day_labels": day_labels,
 }
