@@ -122,9 +122,14 @@ def read_job_input(spark: SparkSession, params: JobParams) -> DataFrame:
     return raw.where(day_range_predicate(params.ingest_date, params.end_date))
 
 
-def corrupt_documents(raw: DataFrame) -> DataFrame:
-    """Documents that did not parse (D7): their file and text."""
-    return raw.where(F.col(CORRUPT_COL).isNotNull()).select("source_file", CORRUPT_COL)
+def corrupt_documents(raw: DataFrame, schema_fields: list[str] | None = None) -> DataFrame:
+    """Documents that did not parse, fully or partly (D7): file, raw text and
+    whatever fields did parse. The parsed fields are part of the output because
+    Spark rejects raw-JSON queries that reference only the corrupt column."""
+    fields = schema_fields or [c for c in raw.columns
+                               if c not in (CORRUPT_COL, "source_file", "year", "month", "day")]
+    return raw.where(F.col(CORRUPT_COL).isNotNull()).select(
+        "source_file", CORRUPT_COL, F.to_json(F.struct(*fields)).alias("parsed_fields"))
 
 
 def run_curation(spark: SparkSession, params: JobParams, register_table: bool = True,
@@ -140,7 +145,7 @@ def run_curation(spark: SparkSession, params: JobParams, register_table: bool =
     write_curated(curated, path=out, table=params.table if register_table else None,
                   mode=params.write_mode, partition_cols=spec.partition_cols)
     if quarantine:
-        bad = corrupt_documents(raw)
+        bad = corrupt_documents(raw, spec.raw_schema.fieldNames()[:-1])
         bad.write.mode("append").json(f"{out.rstrip('/')}/_quarantine")
     return {"job_name": params.job_name, "source": spec.name, "input": params.input_location(),
             "output": out, "table": params.table if register_table else "",

@@ -104,8 +104,7 @@ def read_documents_text(spark: SparkSession, path: str | Sequence[str],
     its ``path``; no schema is imposed (the validator parses to VARIANT)."""
     fmt = _check_format(raw_format)
     paths = [path] if isinstance(path, str) else list(path)
-    reader = spark.read.option("wholetext", "true") if fmt == "document" else spark.read
-    df = reader.text(paths)
+    df = spark.read.text(paths, wholetext=(fmt == "document"))
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
 
 
