@@ -43,11 +43,12 @@ def raw_object_key(source: Column | str, day: Column | str, entity: Column | str
     d = F.col(day) if isinstance(day, str) else day
     d = d.cast("date")
     ent = F.col(entity) if isinstance(entity, str) else entity
-    base = "%s/year=%04d/month=%02d/day=%02d/%s"
-    if part is None:
-        return F.format_string(base + ".json", src, F.year(d), F.month(d), F.dayofmonth(d), ent)
-    return F.format_string(base + "-%d.json", src, F.year(d), F.month(d), F.dayofmonth(d),
-                           ent, part)
+    parts = [src, F.lit("/year="), F.lpad(F.year(d).cast("string"), 4, "0"),
+             F.lit("/month="), F.lpad(F.month(d).cast("string"), 2, "0"),
+             F.lit("/day="), F.lpad(F.dayofmonth(d).cast("string"), 2, "0"), F.lit("/"), ent]
+    if part is not None:
+        parts += [F.lit("-"), part.cast("string")]
+    return F.concat(*parts, F.lit(".json"))
 
 
 def _finish(docs: DataFrame, source: str, payload_json: Column, with_part: bool) -> DataFrame:

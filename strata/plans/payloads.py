@@ -51,12 +51,27 @@ def _props_k() -> Column:
 
 # ---------------------------------------------------------------- traffic --
 
+def _exchange_on(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by the document keys before records are built.
+
+    The grouping that forms documents needs exactly this exchange, so it adds
+    no shuffle: it only moves the per-record work (struct building, JSON text)
+    from the scan side to the post-shuffle side, and the shuffle carries
+    compact typed columns instead of JSON text."""
+    return df.repartition(*keys)
+
+
 def traffic_records(spark: SparkSession, sf_dir: str, null_center_type: str | None = None
                     ) -> DataFrame:
-    """One traffic record per event: (entity, ingest_date, part, record)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
-                                               "value", "props")
-    center = F.concat(F.lit("C"), F.col("user_id").cast("string"))
+    """One traffic record per event: (entity, ingest_date, part, record),
+    hash-partitioned by (entity, ingest_date, part)."""
+    ev = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("entity"),
+        F.to_date("ts").alias("ingest_date"),
+        _block("event_id").alias("part"),
+        "ts", "event_type", "value", "props")
+    ev = _exchange_on(ev, "entity", "ingest_date", "part")
+    center = F.col("entity")
     if null_center_type is not None:
         center = F.when(F.col("event_type") == null_center_type, F.lit(None)).otherwise(center)
     record = F.struct(
@@ -69,12 +84,7 @@ def traffic_records(spark: SparkSession, sf_dir: str, null_center_type: str | No
          .otherwise(F.col("event_type")).alias("weather_condition"),
         F.col("value").alias("temperature_c"),
     )
-    return ev.select(
-        F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("entity"),
-        F.to_date("ts").alias("ingest_date"),
-        _block("event_id").alias("part"),
-        record.alias("record"),
-    )
+    return ev.select("entity", "ingest_date", "part", record.alias("record"))
 
 
 def traffic_documents(spark: SparkSession, sf_dir: str, null_center_type: str | None = None
@@ -89,7 +99,10 @@ def traffic_documents(spark: SparkSession, sf_dir: str, null_center_type: str |
 
 def weather_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upstream hourly payloads (no tags yet): one per (user, day, part)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "value", "props",
+        F.to_date("ts").alias("ingest_date"), _block("event_id").alias("part"))
+    ev = _exchange_on(ev, "user_id", "ingest_date", "part")
     obs = F.struct(
         F.col("event_id"),
         iso_hour_text("ts", with_seconds=False).alias("time"),
@@ -98,8 +111,7 @@ def weather_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
         (-F.col("value")).alias("windspeed_10m"),
         _props_k().alias("weathercode"),
     )
-    grouped = ev.groupBy("user_id", F.to_date("ts").alias("ingest_date"),
-                         _block("event_id").alias("part")).agg(
+    grouped = ev.groupBy("user_id", "ingest_date", "part").agg(
         F.sort_array(F.collect_list(obs)).alias("obs"))
     codes = F.transform("obs", lambda o: o["weathercode"])
     short = F.slice(codes, F.lit(1), F.size(codes) - 1)
@@ -147,12 +159,13 @@ def holiday_record(o: DataFrame | None = None) -> Column:
 def holidays_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly holiday documents per (country = status, month, part); record
     dates spread over the month, so ``coalesce`` and newest-wins matter."""
-    o = table(spark, sf_dir, "orders")
-    grouped = o.groupBy(
-        F.col("o_orderstatus").alias("country_code"),
+    o = table(spark, sf_dir, "orders").select(
+        "*", F.col("o_orderstatus").alias("country_code"),
         F.trunc(F.to_date("o_orderdate"), "month").alias("ingest_day"),
-        _block("o_orderkey").alias("part"),
-    ).agg(F.collect_list(holiday_record()).alias("holidays"))
+        _block("o_orderkey").alias("part"))
+    o = _exchange_on(o, "country_code", "ingest_day", "part")
+    grouped = o.groupBy("country_code", "ingest_day", "part").agg(
+        F.collect_list(holiday_record()).alias("holidays"))
     grouped = grouped.withColumn("total_records", F.size("holidays"))
     payload = F.to_json(F.struct(
         F.lit("holidays").alias("source"), "country_code",
@@ -166,12 +179,12 @@ def holidays_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def holidays_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bare yearly holiday lists per (country, year, part) as an upstream API
     would return them (ENV-3 input)."""
-    o = table(spark, sf_dir, "orders")
-    return o.groupBy(
-        F.col("o_orderstatus").alias("country_code"),
-        F.year("o_orderdate").alias("year"),
-        _block("o_orderkey").alias("part"),
-    ).agg(F.collect_list(holiday_record()).alias("holidays"))
+    o = table(spark, sf_dir, "orders").select(
+        "*", F.col("o_orderstatus").alias("country_code"), F.year("o_orderdate").alias("year"),
+        _block("o_orderkey").alias("part"))
+    o = _exchange_on(o, "country_code", "year", "part")
+    return o.groupBy("country_code", "year", "part").agg(
+        F.collect_list(holiday_record()).alias("holidays"))
 
 
 def holidays_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +227,7 @@ def flight_state_text() -> Column:
                .when(F.col("l_returnflag") == "N", F.lit("France")).otherwise(F.lit("Portugal")))
     snapshot = _ship_epoch() + F.lit(43200)
     slots = [
-        _js(F.format_string("%06x", F.col("l_suppkey"))),           # 0 icao24
+        _js(_hex6(F.col("l_suppkey"))),                              # 0 icao24
         _js(callsign),                                               # 1 callsign
         _js(country),                                                # 2 origin_country
         _jn(F.col("l_orderkey")),                                    # 3 time_position
@@ -240,6 +253,12 @@ def flight_state_text() -> Column:
     return F.concat(F.lit("["), body, F.lit("]"))
 
 
+def _hex6(c: Column) -> Column:
+    """Lower-case hex, zero-padded to at least six digits (printf '%06x')."""
+    h = F.lower(F.hex(c))
+    return F.when(F.length(h) >= 6, h).otherwise(F.lpad(h, 6, "0"))
+
+
 def _ship_epoch() -> Column:
     """Epoch seconds of the ship day's midnight, independent of session zone."""
     return F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date")).cast("long") \
@@ -248,9 +267,10 @@ def _ship_epoch() -> Column:
 
 def flights_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Upstream state payloads per (ship day, part): ``time`` + states text."""
-    li = table(spark, sf_dir, "lineitem")
-    grouped = li.groupBy(F.to_date("l_shipdate").alias("ingest_date"),
-                         _block("l_orderkey").alias("part")).agg(
+    li = table(spark, sf_dir, "lineitem").select(
+        "*", F.to_date("l_shipdate").alias("ingest_date"), _block("l_orderkey").alias("part"))
+    li = _exchange_on(li, "ingest_date", "part")
+    grouped = li.groupBy("ingest_date", "part").agg(
         F.concat(F.lit("["), F.concat_ws(",", F.collect_list(flight_state_text())), F.lit("]"))
          .alias("states_json"),
         F.first(_ship_epoch() + F.lit(43200 - 5)).alias("time"),
@@ -308,9 +328,10 @@ def dq_traffic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather documents for validation, shapes by user_id mod 10: 5 empty
     ``hourly`` object, 6 ``hourly`` a list, 7 ``hourly.time`` null."""
-    ev = table(spark, sf_dir, "events")
-    g = ev.groupBy("user_id", F.to_date("ts").alias("ingest_date"),
-                   _block("event_id").alias("part")).agg(
+    ev = table(spark, sf_dir, "events").select(
+        "user_id", "ts", F.to_date("ts").alias("ingest_date"), _block("event_id").alias("part"))
+    ev = _exchange_on(ev, "user_id", "ingest_date", "part")
+    g = ev.groupBy("user_id", "ingest_date", "part").agg(
         F.collect_list(iso_hour_text("ts", with_seconds=False)).alias("time"),
         F.count(F.lit(1)).alias("total_records"))
     loc = [F.lit(40.0).alias("latitude"), F.lit(-3.0).alias("longitude")]
