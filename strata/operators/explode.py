@@ -26,7 +26,10 @@ def _carried(include_cols: Sequence[str]) -> list:
 _POS = "__pos"
 
 
-def _explode(df: DataFrame, array: Column, alias: str, include_cols: Sequence[str]) -> DataFrame:
+def explode_column(df: DataFrame, array: Column, alias: str,
+                   include_cols: Sequence[str] = ()) -> DataFrame:
+    """``explode`` of an array expression, planned so the expression is
+    evaluated once per input row (see the module note)."""
     rows = df.select(F.posexplode_outer(array).alias(_POS, alias), *_carried(include_cols))
     return rows.where(F.col(_POS).isNotNull()).drop(_POS)
 
@@ -35,7 +38,7 @@ def explode_array(df: DataFrame, array_col: str, alias: str,
                   include_cols: Sequence[str] = ()) -> DataFrame:
     """EXP-1: one row per element of ``array_col``, element named ``alias``,
     followed by the carried columns."""
-    return _explode(df, F.col(array_col), alias, include_cols)
+    return explode_column(df, F.col(array_col), alias, include_cols)
 
 
 def explode_struct_array(df: DataFrame, array_col: str, alias: str = "record",
@@ -56,6 +59,6 @@ def explode_zipped_arrays(df: DataFrame, array_cols: Sequence[str], alias: str =
     the arrays is NULL the document yields no rows.
     """
     named = [F.col(path).alias(path.rsplit(".", 1)[-1]) for path in array_cols]
-    rows = _explode(df, F.arrays_zip(*named), alias, include_cols)
+    rows = explode_column(df, F.arrays_zip(*named), alias, include_cols)
     carried = [name.rsplit(".", 1)[-1] for name in include_cols]
     return rows.select(f"{alias}.*", *carried)

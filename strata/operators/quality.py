@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.explode import explode_column
+
 MALFORMED_JSON = "MALFORMED_JSON"
 EMPTY_PATH = "EMPTY_PATH"
 NOT_OBJECT = "NOT_OBJECT"
@@ -74,8 +76,51 @@ def _path(segments: Sequence[str]) -> str:
     return "$" + quoted
 
 
-def _at(v: Column, segments: Sequence[str]) -> Column:
-    return v if not segments else F.try_variant_get(v, _path(segments), "variant")
+def _segments(rule: Rule) -> tuple[str, ...]:
+    return tuple(rule.field_path.split(".")) if rule.field_path else ()
+
+
+class _Facts:
+    """Column names of the per-document facts the rules read.
+
+    Every distinct path prefix is extracted once (``prefix``), and for every
+    distinct leaf path the list length and integer value are derived once
+    (``length``, ``integer``). The rules then only compare columns."""
+
+    def __init__(self, rules: Sequence[Rule]):
+        prefixes: set[tuple[str, ...]] = set()
+        leaves: set[tuple[str, ...]] = set()
+        for r in rules:
+            segs = _segments(r)
+            for i in range(1, len(segs) + 1):
+                prefixes.add(segs[:i])
+            if segs:
+                leaves.add(segs)
+        self.prefix = {p: f"__p{i}" for i, p in enumerate(sorted(prefixes))}
+        self.prefix[()] = "__v"
+        self.leaves = sorted(leaves)
+        self.length = {p: f"__n{i}" for i, p in enumerate(self.leaves)}
+        self.integer = {p: f"__i{i}" for i, p in enumerate(self.leaves)}
+
+    def extract(self, parsed: DataFrame) -> DataFrame:
+        v = F.col("__v")
+        values = [F.try_variant_get(v, _path(p), "variant").alias(name)
+                  for p, name in self.prefix.items() if p]
+        with_values = parsed.select("*", *values)
+        facts = []
+        for p in self.leaves:
+            leaf = F.col(self.prefix[p])
+            items = F.try_variant_get(leaf, "$", "array<variant>")
+            facts.append(F.size(items).cast("long").alias(self.length[p]))
+        with_lengths = with_values.select("*", *facts)
+        ints = []
+        for p in self.leaves:
+            leaf = F.col(self.prefix[p])
+            # only non-list leaves are typed; schema_of_variant of a scalar is cheap
+            is_int = F.schema_of_variant(leaf).isin(*INTEGER_TYPES)
+            ints.append(F.when(F.col(self.length[p]).isNull() & is_int,
+                               F.try_variant_get(leaf, "$", "bigint")).alias(self.integer[p]))
+        return with_lengths.select("*", *ints)
 
 
 def _is_object(v: Column) -> Column:
@@ -84,34 +129,29 @@ def _is_object(v: Column) -> Column:
     return F.try_variant_get(v, "$", "struct<>").isNotNull()
 
 
-def _check(rule: Rule, v: Column) -> Column:
-    """The verdict of one rule as a struct column over parsed document ``v``."""
+def _check(rule: Rule, facts: _Facts) -> Column:
+    """The verdict of one rule as a struct column over the extracted facts."""
     mode = rule.mode.strip().lower()
-    segments = rule.field_path.split(".") if rule.field_path else []
-    err = F.when(v.isNull(), F.lit(MALFORMED_JSON))
+    segments = _segments(rule)
+    err = F.when(F.col("__v").isNull(), F.lit(MALFORMED_JSON))
     actual = F.lit(None).cast("long")
-    if not rule.field_path:
+    if not segments:
         err = err.when(F.lit(True), F.lit(EMPTY_PATH))
     else:
         for i in range(len(segments)):
-            parent = _at(v, segments[:i])
+            parent = F.col(facts.prefix[segments[:i]])
             err = err.when(~_is_object(parent), F.lit(NOT_OBJECT))
-            err = err.when(_at(v, segments[: i + 1]).isNull(), F.lit(MISSING_FIELD))
-        leaf = _at(v, segments)
-        items = F.try_variant_get(leaf, "$", "array<variant>")
-        is_list = items.isNotNull()
-        is_int = F.schema_of_variant(leaf).isin(*INTEGER_TYPES)
-        as_int = F.try_variant_get(leaf, "$", "bigint")
-        length = F.size(items).cast("long")
+            err = err.when(F.col(facts.prefix[segments[: i + 1]]).isNull(), F.lit(MISSING_FIELD))
+        length, integer = F.col(facts.length[segments]), F.col(facts.integer[segments])
         if mode not in MODES:
             err = err.when(F.lit(True), F.lit(BAD_MODE))
         else:
             if mode == "value":
-                actual = F.when(~is_list & is_int, as_int)
+                actual = integer
             elif mode == "count":
-                actual = F.when(is_list, length)
+                actual = length
             else:
-                actual = F.when(is_list, length).when(is_int, as_int)
+                actual = F.coalesce(length, integer)
             expected = F.lit(rule.expected).cast("long")
             err = err.when(actual.isNull(), F.lit(TYPE_MISMATCH))
             if mode == "gte":
@@ -136,19 +176,21 @@ def verdicts(docs: DataFrame, rules: Iterable[Rule], text_col: str = "document",
     ``source, document, field_path, mode, expected, actual, status, error_class``.
 
     ``docs`` holds the document text (e.g. from ``read_documents_text`` or an
-    envelope), its source and an identifier (path or object key)."""
+    envelope), its source and an identifier (path or object key). Narrow:
+    parse, extract and judge run in the scan's tasks, no shuffle."""
     rules = list(rules)
     if not rules:
         raise ValueError("at least one rule is required")
     parsed = docs.select(F.col(source_col).alias("source"), F.col(id_col).alias("document"),
                          F.try_parse_json(F.col(text_col)).alias("__v"))
-    v = F.col("__v")
+    facts = _Facts(rules)
+    extracted = facts.extract(parsed)
     checks = []
     for rule in rules:
         applies = F.lit(True) if rule.source is None else (F.col("source") == F.lit(rule.source))
-        checks.append(F.when(applies, _check(rule, v)))
-    out = parsed.select("source", "document",
-                        F.explode(F.filter(F.array(*checks), lambda c: c.isNotNull())).alias("__c"))
+        checks.append(F.when(applies, _check(rule, facts)))
+    applicable = F.filter(F.array(*checks), lambda c: c.isNotNull())
+    out = explode_column(extracted, applicable, "__c", ("source", "document"))
     return out.select("source", "document", "__c.*")
 
 
