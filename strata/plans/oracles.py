@@ -387,6 +387,13 @@ SELECT o_orderkey, date_trunc('hour', o_orderdate) AS hour_bucket, lower(dayname
 FROM orders
 """
 
+TRAFFIC_STREAM_KEYS = f"""
+SELECT DISTINCT 'C' || CAST(user_id AS VARCHAR) AS center_id, date_trunc('hour', ts) AS event_timestamp,
+       CAST(ts AS DATE) AS event_date,
+       {_PARTS.replace('event_date', 'CAST(ts AS DATE)')}
+FROM events
+"""
+
 ORACLES: dict[str, str] = {
     "traffic_curated": TRAFFIC_CURATED,
     "weather_curated": WEATHER_CURATED,
@@ -411,4 +418,5 @@ ORACLES: dict[str, str] = {
     "expected_visitors": EXPECTED_VISITORS,
     "spine_expected": SPINE_EXPECTED,
     "day_labels": DAY_LABELS,
+    "traffic_stream_keys": TRAFFIC_STREAM_KEYS,
 }

@@ -274,6 +274,24 @@ def day_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     day_label("o_orderdate").alias("day_of_week"))
 
 
+# -- incremental curation (Structured Streaming) ---------------------------------
+
+def traffic_stream_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the traffic documents as JSON Lines, curate them with the
+    streaming path (watermark + first-arrival dedupe, checkpointed Parquet
+    sink, available-now trigger) and return the curated key set."""
+    from strata.specs import get_spec
+    from strata.streaming.incremental import start_curation_stream
+
+    root = scratch_path(spark, "stream")
+    write_raw(payloads.traffic_documents(spark, sf_dir), f"{root}/raw", "traffic", "lines")
+    q = start_curation_stream(spark, get_spec("traffic"), f"{root}/raw/traffic", f"{root}/out",
+                              f"{root}/checkpoint", raw_format="lines", delay="31 days")
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/out")
+    return as_ntz(out.select("center_id", "event_timestamp", "event_date", "year", "month", "day"))
+
+
 QUERIES: dict[str, Query] = {
     "traffic_curated": traffic_curated,
     "weather_curated": weather_curated,
@@ -298,4 +316,5 @@ QUERIES: dict[str, Query] = {
     "expected_visitors": expected_visitors,
     "spine_expected": spine_expected,
     "day_labels": day_labels,
+    "traffic_stream_keys": traffic_stream_keys,
 }
