@@ -21,6 +21,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from strata.functions.calendar import iso_date_text
 
@@ -112,27 +113,34 @@ def holidays_envelope(upstream: DataFrame, requests: DataFrame,
     ``{source, country_code, ingest_date, total_records, holidays}`` with the
     upstream holidays of that exact day (FLT-1).
 
-    ``upstream`` holds bare lists (country_code, holidays[, part]). The lists
-    are exploded and matched to the requests by an equi-join on
-    (country, date text), so a request only meets its own day's records and
-    no list is replicated per day. A request without holidays gets an empty
-    document with ``total_records`` 0.
+    ``upstream`` holds bare lists (country_code, holidays[, part]); they are
+    exploded and matched to the requests by an equi-join on (country, date
+    text), so no list is replicated per requested day. Skew-safe shape:
+
+    * an INNER join (AQE may split a hot key on either side),
+    * an exchange on (country, day, part) before grouping, so one hot day
+      spreads over its parts and the join above stays splittable,
+    * requests without any holiday come from a LEFT ANTI join against the
+      *distinct* record keys (a hot key collapses to one row map-side) and
+      get an empty document with ``total_records`` 0.
     """
-    carried = [F.col(part_col).alias("part")] if part_col else []
+    carried = [F.col(part_col).alias("part")] if part_col else [F.lit(0).cast("long").alias("part")]
     recs = upstream.select(F.col("country_code").alias("rec_country"),
                            F.explode("holidays").alias("holiday"), *carried)
     recs = recs.withColumn("rec_day", F.col("holiday.date"))
-    req = requests.select(F.col("country_code"),
-                          F.col("ingest_date").cast("date").alias("ingest_date"))
+    req = requests.select("country_code", F.col("ingest_date").cast("date").alias("ingest_date"))
     req = req.withColumn("req_day", iso_date_text("ingest_date"))
-    matched = req.join(recs, (req.country_code == recs.rec_country) & (req.req_day == recs.rec_day),
-                       "left")
-    keys = ["country_code", "ingest_date"] + (["part"] if part_col else [])
-    docs = matched.groupBy(*keys).agg(F.collect_list("holiday").alias("holidays"))
+    on = (F.col("country_code") == F.col("rec_country")) & (F.col("req_day") == F.col("rec_day"))
+    matched = req.join(recs, on, "inner").repartition("country_code", "req_day", "part")
+    keys = ["country_code", "req_day", "ingest_date", "part"]
+    full = matched.groupBy(*keys).agg(F.collect_list("holiday").alias("holidays"))
+    seen = recs.select("rec_country", "rec_day").distinct()
+    empty = req.join(seen, on, "left_anti").select(
+        *keys[:3], F.lit(0).cast("long").alias("part"),
+        F.array().cast(ArrayType(recs.schema["holiday"].dataType)).alias("holidays"))
+    docs = full.unionByName(empty)
     docs = docs.withColumns({"total_records": record_count("holidays"),
                              "entity": F.col("country_code")})
-    if part_col:
-        docs = docs.withColumn("part", F.coalesce(F.col("part"), F.lit(0)))
     payload = F.to_json(F.struct(
         F.lit("holidays").alias("source"), "country_code",
         iso_date_text("ingest_date").alias("ingest_date"), "total_records", "holidays"))

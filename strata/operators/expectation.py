@@ -148,16 +148,41 @@ def with_defaults(records: DataFrame, condition: str = "weather_condition",
     })
 
 
+def _spine_key(spine: DataFrame, observed: DataFrame, ts: str) -> tuple[DataFrame, str]:
+    """Join key for spine x observed. The spine is NTZ; a curated table keeps
+    zoned timestamps and is hash-partitioned on (centre, timestamp) by its
+    dedupe. Casting the *spine* side (which is shuffled anyway) keeps that
+    partitioning usable, so the big side is not shuffled a second time."""
+    if observed.schema[ts].dataType.simpleString() == "timestamp":
+        return spine.withColumn("__ts", F.col(ts).cast("timestamp")), "__ts"
+    return spine.withColumn("__ts", F.col(ts)), "__ts"
+
+
 def missing_hours(spine: DataFrame, observed: DataFrame,
                   keys: tuple[str, str] = ("center_id", "event_timestamp")) -> DataFrame:
     """GEN-13: spine hours with no observed record. Both sides are unique per
     (centre, hour) after the curated dedupe, so the anti join cannot skew."""
-    obs = observed.select(F.col(keys[0]), F.col(keys[1]).cast("timestamp_ntz").alias(keys[1]))
-    return spine.join(obs, list(keys), "left_anti")
+    center, ts = keys
+    keyed, k = _spine_key(spine, observed, ts)
+    obs = observed.select(F.col(center).alias("__c"), F.col(ts).alias("__o"))
+    cond = (F.col(center) == F.col("__c")) & (F.col(k) == F.col("__o"))
+    return keyed.join(obs, cond, "left_anti").drop(k)
+
+
+def attach_observed(spine: DataFrame, observed: DataFrame, columns: tuple[str, ...],
+                    keys: tuple[str, str] = ("center_id", "event_timestamp")) -> DataFrame:
+    """GEN-5 input: each spine hour with the observed ``columns`` of that
+    hour when a record exists (NULL otherwise); unique keys on both sides."""
+    center, ts = keys
+    keyed, k = _spine_key(spine, observed, ts)
+    obs = observed.select(F.col(center).alias("__c"), F.col(ts).alias("__o"),
+                          *[F.col(c) for c in columns])
+    cond = (F.col(center) == F.col("__c")) & (F.col(k) == F.col("__o"))
+    return keyed.join(obs, cond, "left").drop(k, "__c", "__o")
 
 
 __all__ = [
-    "check_range", "day_label", "expected_raw", "expected_visitors", "holiday_adjusted",
+    "attach_observed", "check_range", "day_label", "expected_raw", "expected_visitors", "holiday_adjusted",
     "hour_bucket", "hourly_base", "hourly_spine", "missing_hours", "month_factor", "noise_band",
     "weather_adjusted", "weekday_factor", "with_defaults", "with_expectation",
 ]

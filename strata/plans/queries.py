@@ -257,12 +257,11 @@ def spine_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     using the observed weather/holiday of that hour when a record exists and
     the defaults otherwise. Both join sides are unique per (centre, hour)."""
     spine = expectation.hourly_spine(centre_ranges(spark, sf_dir))
-    traffic = as_ntz(curators.curate_traffic(traffic_raw(spark, sf_dir))).select(
-        "center_id", "event_timestamp", "weather_condition", "temperature_c", "is_holiday")
-    joined = expectation.with_defaults(spine.join(traffic, ["center_id", "event_timestamp"], "left"))
+    traffic = curators.curate_traffic(traffic_raw(spark, sf_dir))
+    observed = ("weather_condition", "temperature_c", "is_holiday")
+    joined = expectation.with_defaults(expectation.attach_observed(spine, traffic, observed))
     return joined.select(
-        "center_id", "event_timestamp", "day_of_week", "weather_condition", "temperature_c",
-        "is_holiday",
+        "center_id", "event_timestamp", "day_of_week", *observed,
         expectation.expected_visitors("event_timestamp", "weather_condition", "temperature_c",
                                       "is_holiday").alias("expected_visitors"))
 
