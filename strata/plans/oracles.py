@@ -252,6 +252,15 @@ FROM (SELECT *, COALESCE(pre_error,
 
 DQ_VERDICTS = _DQ
 
+DQ_LANDED = f"""
+SELECT 'traffic' AS source, 'records' AS field_path, 'count' AS mode, CAST(24 AS BIGINT) AS expected,
+       CAST(n AS BIGINT) AS actual,
+       CASE WHEN n = 24 THEN 'PASS' ELSE 'FAIL' END AS status,
+       CASE WHEN n = 24 THEN NULL ELSE 'COUNT_MISMATCH' END AS error_class
+FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+      FROM events GROUP BY ALL)
+"""
+
 DQ_SUMMARY = f"""
 SELECT source, field_path, mode, status, error_class, count(*) AS documents
 FROM ({_DQ}) v
@@ -407,8 +416,10 @@ ORACLES: dict[str, str] = {
     "raw_roundtrip": TRAFFIC_CURATED,
     "raw_day_scan": RAW_DAY_SCAN,
     "curated_rerun": TRAFFIC_CURATED,
+    "curation_job": TRAFFIC_CURATED,
     "dq_verdicts": DQ_VERDICTS,
     "dq_summary": DQ_SUMMARY,
+    "dq_landed": DQ_LANDED,
     "envelope_traffic": ENVELOPE_TRAFFIC,
     "envelope_weather": ENVELOPE_WEATHER,
     "envelope_holidays": ENVELOPE_HOLIDAYS,

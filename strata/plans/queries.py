@@ -147,6 +147,25 @@ def curated_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(back.select(*first.columns))
 
 
+def curation_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-3/API-4 end to end: land the traffic documents (JSON Lines), run
+    the curation job over the whole ingest range given as CLI parameters
+    (partition-pruned day range), read the curated table back."""
+    from strata.jobs import JobParams, run_curation
+
+    root = scratch_path(spark, "job")
+    docs = payloads.traffic_documents(spark, sf_dir)
+    write_raw(docs, f"{root}/raw", "traffic", "lines")
+    first, last = docs.select(F.min("ingest_date"), F.max("ingest_date")).first()
+    params = JobParams.from_args(
+        ["curate", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", f"{root}/raw",
+         "--CURATED_BUCKET", f"{root}/curated", "--INGEST_DATE", first, "--END_DATE", last,
+         "--RAW_FORMAT", "lines"], env={})
+    report = run_curation(spark, params, register_table=False, quarantine=False)
+    back = read_curated(spark, report["output"])
+    return as_ntz(back.select(*curators.curate_traffic(traffic_raw(spark, sf_dir)).columns))
+
+
 # -- payload validation (DQ-1..9) --------------------------------------------
 
 # Rules of the validation queries: the standard rule of each source plus one
@@ -173,6 +192,20 @@ def dq_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(payloads.dq_documents(spark, sf_dir), DQ_RULES)
 
 
+def dq_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6 + DQ-8: land the traffic documents, scan them back as whole
+    documents (text, no schema) and apply the standard traffic rule (24
+    hourly records per document); one verdict per landed document."""
+    from strata.sources.raw import read_documents_text
+
+    root = scratch_path(spark, "dq-landed")
+    target = write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "lines")
+    texts = read_documents_text(spark, target, "lines").withColumn("source", F.lit("traffic"))
+    rules = [r for r in quality.standard_rules() if r.source == "traffic"]
+    v = quality.verdicts(texts, rules, id_col="path")
+    return v.drop("document")
+
+
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-9 report: documents per (source, rule, status, error class)."""
     return quality.summarize(dq_verdicts(spark, sf_dir))
@@ -304,8 +337,10 @@ QUERIES: dict[str, Query] = {
     "raw_roundtrip": raw_roundtrip,
     "raw_day_scan": raw_day_scan,
     "curated_rerun": curated_rerun,
+    "curation_job": curation_job,
     "dq_verdicts": dq_verdicts,
     "dq_summary": dq_summary,
+    "dq_landed": dq_landed,
     "envelope_traffic": envelope_traffic,
     "envelope_weather": envelope_weather,
     "envelope_holidays": envelope_holidays,
