@@ -16,7 +16,6 @@ entity-day is.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame
@@ -182,11 +181,3 @@ def flights_envelope(upstream: DataFrame, as_of: datetime | str, date_col: str =
         F.lit(f'","snapshot_time":{snap},"total_records":'), F.col("total_records").cast("string"),
         F.lit("}"))
     return _finish(docs, "flights", payload, bool(part_col))
-
-
-def stack_documents(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union envelopes of several sources into one document frame."""
-    out = frames[0].select(*DOC_COLUMNS)
-    for f in frames[1:]:
-        out = out.unionByName(f.select(*DOC_COLUMNS))
-    return out
