@@ -212,3 +212,16 @@ def assert_passed(verdict_rows: DataFrame, sample: int = 5) -> None:
         lines = [f"{r['document']} {r['field_path']}/{r['mode']}: {r['error_class']} "
                  f"(actual={r['actual']}, expected={r['expected']})" for r in failing]
         raise ValidationFailed("payload validation failed:\n" + "\n".join(lines))
+
+
+def snapshot_day_check(flights: DataFrame, date_col: str = "event_date",
+                       snapshot_col: str = "snapshot_time") -> DataFrame:
+    """D11: backfilled flight payloads carry the requested day as
+    ``event_date`` while the snapshot is taken "now". Per event date: states,
+    states whose snapshot falls on another UTC day, and a status."""
+    snap_day = F.date_from_unix_date(F.floor(F.col(snapshot_col) / F.lit(86400)).cast("int"))
+    off = (snap_day != F.col(date_col)).cast("int")
+    out = flights.groupBy(date_col).agg(F.count(F.lit(1)).alias("states"),
+                                        F.sum(off).cast("long").alias("off_day_states"))
+    return out.withColumn("status", F.when(F.col("off_day_states") == 0, F.lit("PASS"))
+                          .otherwise(F.lit("FAIL")))

@@ -175,6 +175,16 @@ ranked AS (
 SELECT {_FLIGHT_COLS}, {_PARTS} FROM ranked WHERE rn = 1
 """
 
+FLIGHTS_SNAPSHOT_CHECK = f"""
+WITH cur AS ({FLIGHTS_CURATED})
+SELECT event_date, count(*) AS states,
+       CAST(sum(CASE WHEN snapshot_time // 86400 <> date_diff('day', DATE '1970-01-01', event_date) THEN 1 ELSE 0 END)
+            AS BIGINT) AS off_day_states,
+       CASE WHEN sum(CASE WHEN snapshot_time // 86400 <> date_diff('day', DATE '1970-01-01', event_date) THEN 1 ELSE 0 END) = 0
+            THEN 'PASS' ELSE 'FAIL' END AS status
+FROM cur GROUP BY event_date
+"""
+
 EXPLODE_POSITIONAL = f"""
 WITH {_FLIGHT_REC}
 SELECT {_FLIGHT_COLS} FROM flight_rec
@@ -420,6 +430,7 @@ ORACLES: dict[str, str] = {
     "dq_verdicts": DQ_VERDICTS,
     "dq_summary": DQ_SUMMARY,
     "dq_landed": DQ_LANDED,
+    "flights_snapshot_check": FLIGHTS_SNAPSHOT_CHECK,
     "envelope_traffic": ENVELOPE_TRAFFIC,
     "envelope_weather": ENVELOPE_WEATHER,
     "envelope_holidays": ENVELOPE_HOLIDAYS,

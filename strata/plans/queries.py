@@ -206,6 +206,12 @@ def dq_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.drop("document")
 
 
+def flights_snapshot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D11 report over curated flights: per event date, states whose
+    snapshot lies on another day."""
+    return quality.snapshot_day_check(curators.curate_flights(flights_raw(spark, sf_dir)))
+
+
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-9 report: documents per (source, rule, status, error class)."""
     return quality.summarize(dq_verdicts(spark, sf_dir))
@@ -341,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "dq_verdicts": dq_verdicts,
     "dq_summary": dq_summary,
     "dq_landed": dq_landed,
+    "flights_snapshot_check": flights_snapshot_check,
     "envelope_traffic": envelope_traffic,
     "envelope_weather": envelope_weather,
     "envelope_holidays": envelope_holidays,

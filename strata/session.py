@@ -10,11 +10,20 @@ from pyspark.sql import SparkSession
 
 # Session settings every job relies on. The session zone is pinned so that
 # timestamp text without an offset always means the same instant (D8).
+#
+# Broadcasts: the static planner's threshold is switched off because it acts
+# on *estimated* sizes, which after explode, JSON parsing and aggregation can
+# be far too low; a wrong static broadcast of a large side fails the job.
+# Adaptive execution still turns a join into a broadcast join when the
+# materialized shuffle of one side is measured below its own threshold, so a
+# side is only broadcast with a proven size bound.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
 

@@ -39,11 +39,19 @@ def test_metamorphic_duplicated_shuffled_input_same_output(spark):
     assert once.where("center_id = 'A'").first().visitors_count == 3
 
 
-def test_curator_plan_has_one_exchange_and_no_python(spark, tmp_dir):
+def test_curator_plans_have_one_exchange_and_no_python(spark, tmp_dir):
+    from strata.specs import SOURCES
     path = f"{tmp_dir}/doc.json"
     with open(path, "w") as f:
         f.write('{"records":[{"center_id":"A","timestamp":"2026-04-22T10:00:00"}]}')
-    for spec_curate in (curators.curate_traffic,):
-        df = spec_curate(read_raw(spark, path, TRAFFIC_RAW))
-        assert exchanges(df) == 1
-        assert python_nodes(df) == []
+    for spec in SOURCES.values():
+        df = spec.curate(read_raw(spark, path, spec.raw_schema))
+        assert exchanges(df) == 1, spec.name
+        assert python_nodes(df) == [], spec.name
+
+
+def test_write_rebalances_on_partition_columns(spark):
+    from strata.operators.partitions import PARTITION_COLS
+    df = spark.range(10).selectExpr("id", "2026 AS year", "4 AS month", "id % 3 AS day")
+    planned = df.hint("rebalance", *PARTITION_COLS)
+    assert "REBALANCE_PARTITIONS_BY_COL" in planned._jdf.queryExecution().executedPlan().toString()

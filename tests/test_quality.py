@@ -81,3 +81,12 @@ def test_rules_apply_per_source_and_gate(spark):
     with pytest.raises(ValidationFailed, match="BELOW_MINIMUM"):
         assert_passed(v)
     assert_passed(v.where("status = 'PASS'"))
+
+
+def test_snapshot_day_check(spark):
+    import datetime as dt
+    from strata.operators.quality import snapshot_day_check
+    df = spark.createDataFrame([(dt.date(2026, 4, 22), 1776859200), (dt.date(2026, 4, 22), 1776945600)],
+                               "event_date date, snapshot_time long")
+    r = snapshot_day_check(df).first()
+    assert (r.states, r.off_day_states, r.status) == (2, 1, "FAIL")
