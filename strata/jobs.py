@@ -150,3 +150,21 @@ def run_curation(spark: SparkSession, params: JobParams, register_table: bool =
     return {"job_name": params.job_name, "source": spec.name, "input": params.input_location(),
             "output": out, "table": params.table if register_table else "",
             "mode": params.write_mode}
+
+
+def main(argv: Sequence[str] | None = None) -> int:
+    """``python -m strata.jobs --SOURCE_NAME traffic --RAW_BUCKET ... --CURATED_BUCKET ...``"""
+    import json
+    import sys
+
+    from strata.session import get_session
+
+    params = JobParams.from_args(list(argv) if argv is not None else sys.argv)
+    spark = get_session(app_name=params.job_name)
+    report = run_curation(spark, params)
+    print(json.dumps(report))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -1,0 +1,46 @@
+"""Command-line entry points of the curation job and the payload validator."""
+
+import json
+
+import pytest
+
+from strata import jobs, validate
+from strata.sinks.raw import write_raw
+
+
+def _land(spark, root, docs):
+    df = spark.createDataFrame([("2026-04-22", json.dumps(d)) for d in docs],
+                               "ingest_date string, document string")
+    return write_raw(df, root, "traffic", "document")
+
+
+def test_validate_cli_pass_and_fail(spark, tmp_dir, capsys):
+    day = _land(spark, tmp_dir, [{"records": [{"h": i} for i in range(24)], "total_records": 24}])
+    args = ["validate", "--INPUT_PATH", day, "--EXPECTED_RECORDS", "24",
+            "--VALIDATION_FIELD_PATH", "records", "--VALIDATION_MODE", "count"]
+    assert validate.main(args, env={}) == 0
+    assert validate.main(args[:4] + ["25"] + args[5:], env={}) == 1
+    out = capsys.readouterr().out
+    assert '"status": "PASS"' in out and "COUNT_MISMATCH" in out
+
+
+def test_validate_settings_defaults_and_errors():
+    s = validate.settings(["v"], env={"BUCKET": "raw", "OBJECT_KEY": "traffic/x.json",
+                                      "EXPECTED_RECORDS": "24"})
+    assert (s["path"], s["field_path"], s["mode"]) == ("s3://raw/traffic/x.json", "total_records",
+                                                      "value")
+    with pytest.raises(ValueError, match="EXPECTED_RECORDS"):
+        validate.settings(["v", "--INPUT_PATH", "/x"], env={})
+    with pytest.raises(ValueError):
+        validate.main(["v", "--INPUT_PATH", "/x", "--EXPECTED_RECORDS", "many"], env={})
+
+
+def test_job_cli(spark, tmp_dir, capsys):
+    _land(spark, f"{tmp_dir}/raw", [{"records": [{"center_id": "A", "timestamp": "2026-04-22T01:00:00"}]}])
+    code = jobs.main(["curate", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", f"{tmp_dir}/raw",
+                      "--CURATED_BUCKET", f"{tmp_dir}/cur", "--INGEST_DATE", "2026-04-22",
+                      "--CURATED_DATABASE", "strata_cli_test"])
+    assert code == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert spark.read.parquet(report["output"]).count() == 1
+    assert spark.table(report["table"]).count() == 1
