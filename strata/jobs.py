@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import CORRUPT_COL
@@ -133,23 +133,32 @@ def corrupt_documents(raw: DataFrame, schema_fields: list[str] | None = None) ->
 
 
 def run_curation(spark: SparkSession, params: JobParams, register_table: bool = True,
-                 quarantine: bool = True) -> dict[str, str]:
-    """API-4: read raw, curate, write the curated table; malformed documents
-    are written next to the table under ``_quarantine`` instead of vanishing."""
+                 quarantine: bool = True) -> dict[str, object]:
+    """API-4: read raw, curate, write the curated table.
+
+    Document and malformed-document counts are observed during the write
+    itself (no extra pass). Only when malformed documents were seen are they
+    written next to the table under ``_quarantine`` (D7), which re-reads the
+    input once; a clean run reads its input exactly once."""
     spec = get_spec(params.source_name)
     raw = read_job_input(spark, params)
+    seen = Observation("raw_documents")
+    observed = raw.observe(seen, F.count(F.lit(1)).alias("documents"),
+                           F.count(F.col(CORRUPT_COL)).alias("malformed_documents"))
     out = params.output_location()
-    curated = spec.curate(raw)
     if register_table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{params.database.replace('`', '``')}`")
-    write_curated(curated, path=out, table=params.table if register_table else None,
+    write_curated(spec.curate(observed), path=out, table=params.table if register_table else None,
                   mode=params.write_mode, partition_cols=spec.partition_cols)
-    if quarantine:
+    counts = seen.get
+    malformed = int(counts.get("malformed_documents", 0) or 0)
+    if quarantine and malformed:
         bad = corrupt_documents(raw, spec.raw_schema.fieldNames()[:-1])
         bad.write.mode("append").json(f"{out.rstrip('/')}/_quarantine")
     return {"job_name": params.job_name, "source": spec.name, "input": params.input_location(),
             "output": out, "table": params.table if register_table else "",
-            "mode": params.write_mode}
+            "mode": params.write_mode, "documents": int(counts.get("documents", 0) or 0),
+            "malformed_documents": malformed}
 
 
 def main(argv: Sequence[str] | None = None) -> int:

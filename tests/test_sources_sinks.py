@@ -121,6 +121,7 @@ def test_run_curation_end_to_end_with_quarantine(spark, tmp_dir):
         ["job", "--SOURCE_NAME", " Traffic ", "--RAW_BUCKET", raw_root, "--CURATED_BUCKET", cur_root,
          "--INGEST_DATE", "2026-04-02"], env={})
     report = run_curation(spark, params, register_table=False)
+    assert (report["documents"], report["malformed_documents"]) == (3, 1)
     out = spark.read.parquet(report["output"])
     assert out.count() == 2 and report["output"] == f"{cur_root}/curated/traffic"
     quarantined = spark.read.json(f"{report['output']}/_quarantine")
