@@ -44,7 +44,7 @@ def explode_array(df: DataFrame, array_col: str, alias: str,
 def explode_struct_array(df: DataFrame, array_col: str, alias: str = "record",
                          include_cols: Sequence[str] = ()) -> DataFrame:
     """EXP-2: EXP-1 over an array of structs, then the struct's fields as
-    columns; struct fields first, carried columns after."""
+    columns (star expansion, SCL-9); struct fields first, carried columns after."""
     rows = explode_array(df, array_col, alias, include_cols)
     carried = [name.rsplit(".", 1)[-1] for name in include_cols]
     return rows.select(f"{alias}.*", *carried)
@@ -52,7 +52,7 @@ def explode_struct_array(df: DataFrame, array_col: str, alias: str = "record",
 
 def explode_zipped_arrays(df: DataFrame, array_cols: Sequence[str], alias: str = "record",
                           include_cols: Sequence[str] = ()) -> DataFrame:
-    """EXP-3: zip parallel arrays by position and emit one row per position.
+    """EXP-3 (SCL-8): zip parallel arrays by position and emit one row per position.
 
     Each zipped field is named after the last path segment (``hourly.time`` ->
     ``time``). Shorter arrays are padded with NULL to the longest; if any of

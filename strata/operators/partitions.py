@@ -11,7 +11,7 @@ EVENT_DATE_COL = "event_date"
 
 
 def add_event_partitions(df: DataFrame, event_date_col: str | None = None) -> DataFrame:
-    """PRT-1: append int ``year, month, day`` taken from the event date column.
+    """PRT-1 (SCL-7): append int ``year, month, day`` taken from the event date column.
 
     A NULL date gives NULL parts, which a partitioned write files under the
     default (NULL) partition.

@@ -41,8 +41,8 @@ def _json_options(schema: StructType) -> dict[str, str]:
 
 def parse_documents(docs: DataFrame, schema: StructType, text_col: str = "document",
                     keep: Sequence[str] = ()) -> DataFrame:
-    """Parse JSON document text with a declared raw schema - the in-memory
-    twin of SRC-1 for documents that are already in a DataFrame."""
+    """Parse JSON document text with a declared raw schema (SCL-11) - the
+    in-memory twin of SRC-1 for documents that are already in a DataFrame."""
     parsed = docs.select(F.from_json(F.col(text_col), schema, _json_options(schema)).alias("__doc"),
                          *[F.col(k) for k in keep])
     return parsed.select("__doc.*", *keep)

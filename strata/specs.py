@@ -55,7 +55,8 @@ SOURCES: dict[str, SourceSpec] = {
 
 
 def get_spec(source_name: str) -> SourceSpec:
-    """API-2: case- and blank-insensitive lookup; the error lists what exists."""
+    """API-2: case- and blank-insensitive lookup (strip + lower, SCL-10); the
+    error lists the supported sources, sorted."""
     normalized = source_name.strip().lower()
     try:
         return SOURCES[normalized]

@@ -132,3 +132,36 @@ def test_run_curation_end_to_end_with_quarantine(spark, tmp_dir):
          "--INGEST_DATE", "2026-04-01", "--END_DATE", "2026-04-03"], env={})
     run_curation(spark, ranged, register_table=False, quarantine=False)
     assert spark.read.parquet(report["output"]).count() == 6
+
+
+def test_partial_rerun_replaces_whole_partition_d6(spark, tmp_dir):
+    """D6 caveat: a run that holds only part of a day replaces that day."""
+    path = f"{tmp_dir}/curated"
+    write_curated(_curated(spark, ["2026-04-01", "2026-04-02"]), path=path)
+    partial = _curated(spark, ["2026-04-02"]).where("center_id = 'C0'")
+    write_curated(partial, path=path)
+    got = spark.read.parquet(path)
+    assert got.where("day = 2").count() == 1 and got.where("day = 1").count() == 2
+
+
+def test_session_pins_utc_d8():
+    from strata.session import BASE_CONF
+    assert BASE_CONF["spark.sql.session.timeZone"] == "UTC"
+    assert BASE_CONF["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+
+
+def test_two_locations_one_day_both_land_d12(spark, tmp_dir):
+    """D12: the weather key has no location; the raw sink keeps both
+    documents of a day (part files), the location stays inside them."""
+    from strata.operators.envelopes import weather_envelope
+    from strata.schemas import WEATHER_RAW
+    up = spark.createDataFrame(
+        [(40.4, -3.7, "Europe/Madrid", (["2026-04-22T00:00"],), "2026-04-22"),
+         (41.4, 2.2, "Europe/Madrid", (["2026-04-22T00:00"],), "2026-04-22")],
+        "latitude double, longitude double, timezone string, hourly struct<time:array<string>>, "
+        "ingest_date string")
+    docs = weather_envelope(up)
+    assert docs.select("object_key").distinct().count() == 1
+    target = write_raw(docs, tmp_dir, "weather", "document")
+    back = read_raw(spark, target, WEATHER_RAW, "document")
+    assert sorted(r.latitude for r in back.collect()) == ["40.4", "41.4"]
