@@ -81,7 +81,9 @@ def expected_raw(ts: Column | str, condition: Column | str, temperature: Column
 
 def expected_visitors(ts: Column | str, condition: Column | str, temperature: Column | str,
                       is_holiday: Column | str) -> Column:
-    """GEN-11: the expected count, truncated toward zero (int)."""
+    """GEN-11: the expected count, truncated toward zero (int), as one column
+    expression. Over many rows prefer ``add_expected``, which evaluates the
+    same arithmetic stepwise."""
     return expected_raw(ts, condition, temperature, is_holiday).cast("int")
 
 
@@ -94,16 +96,36 @@ def noise_band(ts: Column | str, condition: Column | str, temperature: Column |
     return (base - spread).cast("int"), (base + spread).cast("int")
 
 
+def add_expected(df: DataFrame, ts: str = "event_timestamp", condition: str = "weather_condition",
+                 temperature: str = "temperature_c", is_holiday: str = "is_holiday",
+                 band: bool = False) -> DataFrame:
+    """GEN-11 (and GEN-12 when ``band``) as columns ``expected_visitors``
+    [, ``lower_bound``, ``upper_bound``].
+
+    The model is evaluated one step per projection. In a single nested
+    expression the running value appears in several CASE branches and the
+    whole chain below it is re-evaluated for each occurrence (about 3x the
+    work); a column referenced several times is kept as its own projection."""
+    steps = ("__b0", "__b1", "__b2")
+    out = df.withColumn(steps[0], hourly_base(ts).cast("double") * weekday_factor(ts)
+                        * month_factor(ts))
+    out = out.withColumn(steps[1], weather_adjusted(F.col(steps[0]), condition, temperature))
+    out = out.withColumn(steps[2], holiday_adjusted(F.col(steps[1]), is_holiday, ts))
+    b = F.col(steps[2])
+    cols = {"expected_visitors": b.cast("int")}
+    if band:
+        spread = b * F.lit(fx.NOISE)
+        cols.update({"lower_bound": (b - spread).cast("int"), "upper_bound": (b + spread).cast("int")})
+    return out.withColumns(cols).drop(*steps)
+
+
 def with_expectation(traffic: DataFrame, ts: str = "event_timestamp",
                      condition: str = "weather_condition", temperature: str = "temperature_c",
                      is_holiday: str = "is_holiday", observed: str = "visitors_count") -> DataFrame:
     """GEN-11/12 on curated traffic: expected count, band, in-band flag."""
-    lower, upper = noise_band(ts, condition, temperature, is_holiday)
-    return traffic.withColumns({
-        "expected_visitors": expected_visitors(ts, condition, temperature, is_holiday),
-        "lower_bound": lower,
-        "upper_bound": upper,
-    }).withColumn("in_band", F.col(observed).between(F.col("lower_bound"), F.col("upper_bound")))
+    out = add_expected(traffic, ts, condition, temperature, is_holiday, band=True)
+    return out.withColumn("in_band", F.col(observed).between(F.col("lower_bound"),
+                                                             F.col("upper_bound")))
 
 
 def check_range(start: date | str, end: date | str) -> None:
@@ -114,28 +136,107 @@ def check_range(start: date | str, end: date | str) -> None:
         raise ValueError("'from' date must be before or equal to 'to' date")
 
 
+_REVERSED = "'from' date must be before or equal to 'to' date"
+
+
+def day_spine(ranges: DataFrame, center_col: str = "center_id", from_col: str = "from_date",
+              to_col: str = "to_date") -> DataFrame:
+    """One row per (centre, day) of each (centre, from, to) range, both ends
+    inclusive. A reversed range fails the job (FLT-3)."""
+    start, end = F.col(from_col).cast("date"), F.col(to_col).cast("date")
+    days = F.when(start > end, F.raise_error(F.lit(_REVERSED))).otherwise(F.sequence(start, end))
+    return ranges.select(F.col(center_col).alias("center_id"), F.explode(days).alias("event_date"))
+
+
+def _hours(days: DataFrame, hour_list: Column | None = None) -> DataFrame:
+    """Expand (centre, day) rows to hourly rows on TIMESTAMP_NTZ (D10), with
+    the calendar columns of GEN-1/GEN-4. The weekday label depends on the day
+    only, so it is computed before the 24x expansion."""
+    hours = hour_list if hour_list is not None else F.sequence(F.lit(0), F.lit(fx.HOURS_PER_DAY - 1))
+    labelled = days.withColumn("day_of_week", day_label("event_date"))
+    rows = labelled.select("*", F.explode(hours).alias("hour"))
+    ts = F.timestamp_add("HOUR", F.col("hour"), F.col("event_date").cast("timestamp_ntz"))
+    rest = [c for c in labelled.columns if c not in ("center_id", "event_date", "day_of_week")]
+    return rows.select("center_id", ts.alias("event_timestamp"), "event_date", "hour",
+                       "day_of_week", *rest)
+
+
 def hourly_spine(ranges: DataFrame, center_col: str = "center_id", from_col: str = "from_date",
                  to_col: str = "to_date") -> DataFrame:
-    """GEN-1 / GEN-2: 24 hourly rows per day for each (centre, from, to) range,
-    both ends inclusive, on TIMESTAMP_NTZ so a DST change never drops or
-    doubles an hour (D10). A reversed range fails the job (FLT-3).
+    """GEN-1 / GEN-2: 24 hourly rows per day for each (centre, from, to)
+    range, both ends inclusive, on TIMESTAMP_NTZ so a DST change never drops
+    or doubles an hour (D10). A reversed range fails the job (FLT-3).
 
     Output: center_id, event_timestamp (NTZ), event_date, hour, day_of_week.
-    The spine is generated where the range row lives: no shuffle."""
-    start = F.col(from_col).cast("date").cast("timestamp_ntz")
-    last = F.timestamp_add("HOUR", F.lit(fx.HOURS_PER_DAY - 1),
-                           F.col(to_col).cast("date").cast("timestamp_ntz"))
-    hours = F.when(F.col(from_col).cast("date") > F.col(to_col).cast("date"),
-                   F.raise_error(F.lit("'from' date must be before or equal to 'to' date"))
-                   ).otherwise(F.sequence(start, last, F.expr("INTERVAL 1 HOUR")))
-    spine = ranges.select(F.col(center_col).alias("center_id"),
-                          F.explode(hours).alias("event_timestamp"))
-    return spine.select(
-        "center_id", "event_timestamp",
-        F.to_date("event_timestamp").alias("event_date"),
-        F.hour("event_timestamp").alias("hour"),
-        day_label("event_timestamp").alias("day_of_week"),
-    )
+    Generated where the range row lives: no shuffle."""
+    spine = _hours(day_spine(ranges, center_col, from_col, to_col))
+    return spine.select("center_id", "event_timestamp", "event_date", "hour", "day_of_week")
+
+
+def _spread_days(days: DataFrame) -> DataFrame:
+    """Hash-partition the day spine into ``spark.sql.shuffle.partitions``
+    parts before a day-grain join. The day rows are few and small, so adaptive
+    execution would coalesce them into very few tasks - and each day row is
+    then expanded 24x with the model evaluated per hour. An explicit count is
+    not coalesced, and the join reuses this partitioning."""
+    n = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return days.repartition(n, "center_id", "event_date")
+
+
+def _observed_by_day(observed: DataFrame, value: Column, keys: tuple[str, str]) -> DataFrame:
+    """Observed records folded to one row per (centre, day) holding at most 24
+    hour entries. Only timestamps exactly on the hour can match a spine hour,
+    so others are left out - the same outcome as an exact timestamp join.
+    Partial aggregation collapses a hot centre-day before the shuffle."""
+    center, ts = keys
+    local = F.col(ts).cast("timestamp_ntz")
+    on_hour = observed.where(local == hour_bucket(local))
+    return on_hour.groupBy(F.col(center).alias("center_id"),
+                           F.to_date(local).alias("event_date")).agg(value.alias("seen"))
+
+
+def missing_hours(ranges: DataFrame, observed: DataFrame,
+                  keys: tuple[str, str] = ("center_id", "event_timestamp"),
+                  center_col: str = "center_id", from_col: str = "from_date",
+                  to_col: str = "to_date") -> DataFrame:
+    """GEN-13: the hours of each centre's spine (GEN-1 over ``ranges``) with
+    no observed record at exactly that timestamp.
+
+    Joined at day grain, expanded afterwards: the observed hours of a
+    centre-day are folded into a set, joined to the day spine (unique keys on
+    both sides, 24x fewer rows than the hourly spine), and only the missing
+    hours are generated - the hourly spine is never shuffled."""
+    days = _spread_days(day_spine(ranges, center_col, from_col, to_col))
+    seen = _observed_by_day(observed, F.collect_set(F.hour(F.col(keys[1]).cast("timestamp_ntz"))),
+                            keys)
+    joined = days.join(seen, ["center_id", "event_date"], "left")
+    all_hours = F.sequence(F.lit(0), F.lit(fx.HOURS_PER_DAY - 1))
+    gaps = F.array_except(all_hours, F.coalesce(F.col("seen"), F.array().cast("array<int>")))
+    out = _hours(joined.withColumn("__gaps", gaps).drop("seen"), F.col("__gaps"))
+    return out.select("center_id", "event_timestamp", "event_date", "hour", "day_of_week")
+
+
+def attach_observed(ranges: DataFrame, observed: DataFrame, columns: tuple[str, ...],
+                    keys: tuple[str, str] = ("center_id", "event_timestamp"),
+                    center_col: str = "center_id", from_col: str = "from_date",
+                    to_col: str = "to_date") -> DataFrame:
+    """GEN-1 spine over ``ranges`` with the observed ``columns`` of each hour
+    when a record exists at exactly that timestamp (NULL otherwise).
+
+    Same shape as ``missing_hours``: per centre-day a map hour -> observed
+    values (at most 24 entries; ``observed`` must be unique per timestamp,
+    as a curated table is), a day-grain join, then the hourly expansion."""
+    days = _spread_days(day_spine(ranges, center_col, from_col, to_col))
+    entry = F.struct(*[F.col(c) for c in columns])
+    seen = _observed_by_day(
+        observed,
+        F.map_from_entries(F.collect_list(F.struct(
+            F.hour(F.col(keys[1]).cast("timestamp_ntz")), entry))), keys)
+    joined = days.join(seen, ["center_id", "event_date"], "left")
+    spine = _hours(joined)
+    found = F.element_at(F.col("seen"), F.col("hour"))
+    return spine.select("center_id", "event_timestamp", "event_date", "hour", "day_of_week",
+                        *[found[c].alias(c) for c in columns])
 
 
 def with_defaults(records: DataFrame, condition: str = "weather_condition",
@@ -148,41 +249,9 @@ def with_defaults(records: DataFrame, condition: str = "weather_condition",
     })
 
 
-def _spine_key(spine: DataFrame, observed: DataFrame, ts: str) -> tuple[DataFrame, str]:
-    """Join key for spine x observed. The spine is NTZ; a curated table keeps
-    zoned timestamps and is hash-partitioned on (centre, timestamp) by its
-    dedupe. Casting the *spine* side (which is shuffled anyway) keeps that
-    partitioning usable, so the big side is not shuffled a second time."""
-    if observed.schema[ts].dataType.simpleString() == "timestamp":
-        return spine.withColumn("__ts", F.col(ts).cast("timestamp")), "__ts"
-    return spine.withColumn("__ts", F.col(ts)), "__ts"
-
-
-def missing_hours(spine: DataFrame, observed: DataFrame,
-                  keys: tuple[str, str] = ("center_id", "event_timestamp")) -> DataFrame:
-    """GEN-13: spine hours with no observed record. Both sides are unique per
-    (centre, hour) after the curated dedupe, so the anti join cannot skew."""
-    center, ts = keys
-    keyed, k = _spine_key(spine, observed, ts)
-    obs = observed.select(F.col(center).alias("__c"), F.col(ts).alias("__o"))
-    cond = (F.col(center) == F.col("__c")) & (F.col(k) == F.col("__o"))
-    return keyed.join(obs, cond, "left_anti").drop(k)
-
-
-def attach_observed(spine: DataFrame, observed: DataFrame, columns: tuple[str, ...],
-                    keys: tuple[str, str] = ("center_id", "event_timestamp")) -> DataFrame:
-    """GEN-5 input: each spine hour with the observed ``columns`` of that
-    hour when a record exists (NULL otherwise); unique keys on both sides."""
-    center, ts = keys
-    keyed, k = _spine_key(spine, observed, ts)
-    obs = observed.select(F.col(center).alias("__c"), F.col(ts).alias("__o"),
-                          *[F.col(c) for c in columns])
-    cond = (F.col(center) == F.col("__c")) & (F.col(k) == F.col("__o"))
-    return keyed.join(obs, cond, "left").drop(k, "__c", "__o")
-
-
 __all__ = [
-    "attach_observed", "check_range", "day_label", "expected_raw", "expected_visitors", "holiday_adjusted",
-    "hour_bucket", "hourly_base", "hourly_spine", "missing_hours", "month_factor", "noise_band",
-    "weather_adjusted", "weekday_factor", "with_defaults", "with_expectation",
+    "add_expected", "attach_observed", "check_range", "day_label", "day_spine", "expected_raw",
+    "expected_visitors", "holiday_adjusted", "hour_bucket", "hourly_base", "hourly_spine",
+    "missing_hours", "month_factor", "noise_band", "weather_adjusted", "weekday_factor",
+    "with_defaults", "with_expectation",
 ]

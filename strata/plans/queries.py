@@ -277,9 +277,8 @@ def hourly_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEN-13: spine hours for which no curated traffic record exists."""
-    spine = expectation.hourly_spine(centre_ranges(spark, sf_dir))
     observed = curators.curate_traffic(traffic_raw(spark, sf_dir))
-    return expectation.missing_hours(spine, observed)
+    return expectation.missing_hours(centre_ranges(spark, sf_dir), observed)
 
 
 def expected_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,15 +293,13 @@ def expected_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spine_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEN-1 + GEN-5 + GEN-11: the model's expectation for every spine hour,
     using the observed weather/holiday of that hour when a record exists and
-    the defaults otherwise. Both join sides are unique per (centre, hour)."""
-    spine = expectation.hourly_spine(centre_ranges(spark, sf_dir))
+    the defaults otherwise (day-grain join, hourly expansion after it)."""
     traffic = curators.curate_traffic(traffic_raw(spark, sf_dir))
     observed = ("weather_condition", "temperature_c", "is_holiday")
-    joined = expectation.with_defaults(expectation.attach_observed(spine, traffic, observed))
-    return joined.select(
-        "center_id", "event_timestamp", "day_of_week", *observed,
-        expectation.expected_visitors("event_timestamp", "weather_condition", "temperature_c",
-                                      "is_holiday").alias("expected_visitors"))
+    joined = expectation.with_defaults(
+        expectation.attach_observed(centre_ranges(spark, sf_dir), traffic, observed))
+    return expectation.add_expected(joined).select(
+        "center_id", "event_timestamp", "day_of_week", *observed, "expected_visitors")
 
 
 def day_labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,7 +96,12 @@ def test_spine_is_zone_proof_on_dst_day(spark):
 def test_missing_hours(spark):
     ranges = spark.createDataFrame([("A", "2026-04-22", "2026-04-22")],
                                    "center_id string, from_date string, to_date string")
-    seen = spark.createDataFrame([("A", dt.datetime(2026, 4, 22, 5)), ("A", dt.datetime(2026, 4, 22, 7))],
+    seen = spark.createDataFrame([("A", dt.datetime(2026, 4, 22, 5)), ("A", dt.datetime(2026, 4, 22, 7)),
+                                  ("A", dt.datetime(2026, 4, 22, 9, 30))],
                                  "center_id string, event_timestamp timestamp")
-    gaps = ex.missing_hours(ex.hourly_spine(ranges), seen)
-    assert gaps.count() == 22
+    gaps = ex.missing_hours(ranges, seen)
+    hours = sorted(r.hour for r in gaps.collect())
+    assert len(hours) == 22 and 5 not in hours and 9 in hours   # 09:30 is not the 09:00 hour
+    attached = ex.attach_observed(ranges, seen.withColumn("v", F.hour("event_timestamp")), ("v",))
+    got = {r.hour: r.v for r in attached.collect()}
+    assert len(got) == 24 and got[5] == 5 and got[7] == 7 and got[9] is None
