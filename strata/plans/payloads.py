@@ -55,10 +55,17 @@ def _exchange_on(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by the document keys before records are built.
 
     The grouping that forms documents needs exactly this exchange, so it adds
-    no shuffle: it only moves the per-record work (struct building, JSON text)
-    from the scan side to the post-shuffle side, and the shuffle carries
-    compact typed columns instead of JSON text."""
-    return df.repartition(*keys)
+    no shuffle: it only moves the per-record work (struct building, JSON text
+    and its parsing downstream) from the scan side to the post-shuffle side,
+    and the shuffle carries compact typed columns instead of JSON text.
+
+    The partition count is explicit (``spark.sql.shuffle.partitions``): after
+    this exchange each row grows several-fold into JSON and is parsed again,
+    so sizing partitions by shuffled bytes - what adaptive coalescing does -
+    would leave that CPU work in too few tasks. Groups are bounded by
+    ``part``, so an explicit count cannot concentrate a hot entity-day."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
 
 
 def traffic_records(spark: SparkSession, sf_dir: str, null_center_type: str | None = None
