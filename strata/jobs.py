@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from strata.schemas import CORRUPT_COL
 from strata.sinks.curated import write_curated
 from strata.sources.paths import curated_output_path, join_path, raw_input_path, table_name
-from strata.sources.raw import day_range_predicate, read_raw
+from strata.sources.raw import read_raw, read_raw_days
 from strata.specs import get_spec
 
 DEFAULT_DATABASE = "data_platform_dev_curated"
@@ -112,14 +112,13 @@ class JobParams:
 
 
 def read_job_input(spark: SparkSession, params: JobParams) -> DataFrame:
-    """Raw documents of the job: one day folder, an explicit path, or a date
-    range over the source folder pruned by partition filters."""
+    """Raw documents of the job: an explicit path, one day folder, or a date
+    range of day folders (only those folders are listed and read)."""
     spec = get_spec(params.source_name)
-    location = params.input_location()
     if params.input_path or params.end_date == params.ingest_date:
-        return read_raw(spark, location, spec.raw_schema, params.raw_format)
-    raw = read_raw(spark, location, spec.raw_schema, params.raw_format)
-    return raw.where(day_range_predicate(params.ingest_date, params.end_date))
+        return read_raw(spark, params.input_location(), spec.raw_schema, params.raw_format)
+    return read_raw_days(spark, params.raw_root, spec.name, spec.raw_schema, params.ingest_date,
+                         params.end_date, params.raw_format)
 
 
 def corrupt_documents(raw: DataFrame, schema_fields: list[str] | None = None) -> DataFrame:

@@ -87,14 +87,57 @@ def day_range_predicate(start: date | str, end: date | str | None = None,
                        hi.year * 10000 + hi.month * 100 + hi.day)
 
 
+def _months(lo: date, hi: date):
+    y, m = lo.year, lo.month
+    while (y, m) <= (hi.year, hi.month):
+        yield y, m
+        y, m = (y + 1, 1) if m == 12 else (y, m + 1)
+
+
+def day_dirs(spark: SparkSession, base: str, start: date | str, end: date | str | None = None,
+             padded: bool = True) -> list[str]:
+    """Existing ``year=/month=/day=`` folders below ``base`` for [start, end].
+
+    One Hadoop glob per month (metadata calls on the driver, no data): the
+    reader is then given only these folders, so the file index never lists
+    the rest of a large zone. ``padded`` selects ``month=04`` (raw zone) or
+    ``month=4`` (curated tables written from int partition columns)."""
+    lo = _as_date(start)
+    hi = _as_date(end) if end is not None else lo
+    if lo > hi:
+        raise ValueError(f"start {lo} is after end {hi}")
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    found: list[str] = []
+    for y, m in _months(lo, hi):
+        first = lo.day if (y, m) == (lo.year, lo.month) else 1
+        last = hi.day if (y, m) == (hi.year, hi.month) else 31
+        fmt = "{:02d}" if padded else "{}"
+        days = ",".join(fmt.format(d) for d in range(first, last + 1))
+        pattern = f"{base.rstrip('/')}/year={y}/month={fmt.format(m)}/day={{{days}}}"
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        statuses = path.getFileSystem(conf).globStatus(path)
+        for st in statuses or []:
+            if st.isDirectory():
+                found.append(st.getPath().toString())
+    return sorted(found)
+
+
 def read_raw_days(spark: SparkSession, raw_root: str, source: str, schema: StructType,
                   start: date | str, end: date | str | None = None,
                   raw_format: str = "document") -> DataFrame:
-    """SRC-2 widened to a date range: read ``<root>/<source>`` as a partitioned
-    dataset and keep the days in [start, end] by partition pruning. The
-    zero-padded folder names are discovered as int ``year/month/day``."""
+    """SRC-2 widened to a date range: only the day folders of [start, end]
+    under ``<root>/<source>`` are read (resolved by ``day_dirs``), with the
+    source folder as ``basePath`` so the zero-padded folder names still
+    become int ``year/month/day`` columns; the range predicate is kept as a
+    partition filter. No existing folder gives an empty frame."""
     base = f"{raw_root.rstrip('/')}/{source}"
-    df = read_raw(spark, base, schema, raw_format)
+    dirs = day_dirs(spark, base, start, end, padded=True)
+    if not dirs:
+        return spark.createDataFrame([], schema).withColumns({
+            "year": F.lit(None).cast("int"), "month": F.lit(None).cast("int"),
+            "day": F.lit(None).cast("int"), "source_file": F.lit(None).cast("string")})
+    df = read_raw(spark, dirs, schema, raw_format, base_path=base)
     return df.where(day_range_predicate(start, end))
 
 
@@ -112,11 +155,18 @@ def read_curated(spark: SparkSession, path: str, start: date | str | None = None
                  end: date | str | None = None) -> DataFrame:
     """Read a curated table, optionally limited to event dates [start, end].
 
-    A filter on ``event_date`` alone would scan every partition; the range is
-    therefore also expressed on ``year/month/day`` so it prunes folders."""
-    df = spark.read.parquet(path)
+    With a range, only the matching day folders are listed (``day_dirs``) and
+    the range is also expressed on ``year/month/day`` so Spark prunes by
+    partition; a filter on ``event_date`` alone would scan every partition.
+    An open-ended range falls back to partition filters over the whole table."""
     if start is None and end is None:
-        return df
+        return spark.read.parquet(path)
     lo = _as_date(start) if start is not None else date(1, 1, 1)
     hi = _as_date(end) if end is not None else date(9999, 12, 31)
+    if start is not None and end is not None:
+        dirs = day_dirs(spark, path, lo, hi, padded=False)
+        df = spark.read.option("basePath", path).parquet(*dirs) if dirs else \
+            spark.read.parquet(path).where(F.lit(False))
+    else:
+        df = spark.read.parquet(path)
     return df.where(day_range_predicate(lo, hi)).where(F.col("event_date").between(lo, hi))

@@ -61,6 +61,16 @@ def test_day_range_scan_prunes_partitions(spark, tmp_dir):
     assert "PartitionFilters" in text and "year" in text.split("PartitionFilters")[1][:300]
 
 
+def test_day_dirs_lists_only_requested_days(spark, tmp_dir):
+    from strata.sources.raw import day_dirs
+    write_raw(_docs(spark), tmp_dir, "traffic", "document")
+    dirs = day_dirs(spark, f"{tmp_dir}/traffic", "2026-03-30", "2026-04-02")
+    assert [d.rsplit("/", 1)[-1] for d in dirs] == ["day=01", "day=02"]
+    assert day_dirs(spark, f"{tmp_dir}/traffic", "2026-05-01", "2026-05-03") == []
+    empty = read_raw_days(spark, tmp_dir, "traffic", TRAFFIC_RAW, "2026-05-01", "2026-05-03")
+    assert empty.count() == 0 and "records" in empty.columns
+
+
 def test_whole_document_text_scan(spark, tmp_dir):
     target = write_raw(_docs(spark), tmp_dir, "traffic", "document")
     texts = read_documents_text(spark, target)
