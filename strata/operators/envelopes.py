@@ -27,6 +27,19 @@ from strata.functions.calendar import iso_date_text
 DOC_COLUMNS = ("source", "ingest_date", "entity", "part", "total_records", "object_key", "document")
 
 
+def document_part(record_id: Column | str, records_per_document: int) -> Column:
+    """Part number of a record's document: ``record_id div records_per_document``.
+
+    With a unique integer ``record_id``, at most ``records_per_document``
+    records share a part, so grouping by (entity, day, part) bounds every
+    document - and every group and task building one - however hot an
+    entity-day is."""
+    if records_per_document < 1:
+        raise ValueError("records_per_document must be positive")
+    rid = F.col(record_id) if isinstance(record_id, str) else record_id
+    return F.floor(rid.cast("long") / F.lit(records_per_document)).cast("long")
+
+
 def record_count(array_col: Column | str) -> Column:
     """AGG-1: length of a record array; a NULL or missing array counts 0."""
     c = F.col(array_col) if isinstance(array_col, str) else array_col

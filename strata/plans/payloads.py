@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.calendar import day_label, iso_date_text, iso_hour_text
 from strata.operators.envelopes import (
+    document_part,
     flights_envelope,
     holidays_envelope,
     raw_object_key,
@@ -42,7 +43,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _block(id_col: str) -> Column:
-    return F.expr(f"{id_col} div {DOC_BLOCK}")
+    return document_part(id_col, DOC_BLOCK)
 
 
 def _props_k() -> Column:

@@ -77,3 +77,10 @@ def test_object_key_with_part(spark):
     df = spark.createDataFrame([("2026-01-05", "C1", 3)], "d string, e string, p long")
     key = df.select(raw_object_key("traffic", "d", "e", F.col("p")).alias("k")).first().k
     assert key == "traffic/year=2026/month=01/day=05/C1-3.json"
+
+
+def test_document_part_bounds_documents(spark):
+    from strata.operators.envelopes import document_part
+    df = spark.range(0, 10000).selectExpr("id", "'hot' AS entity", "'2026-04-22' AS ingest_date")
+    parts = df.select(document_part("id", 1000).alias("p")).groupBy("p").count().collect()
+    assert len(parts) == 10 and max(r["count"] for r in parts) == 1000
