@@ -9,9 +9,9 @@ same as the batch curator's whenever nothing arrives later than the delay.
 
 The sink is the Parquet file sink with a checkpoint: each micro-batch commits
 atomically through the sink's metadata log, so a restarted query (or a lost
-executor) neither loses nor duplicates output. For large key spaces set
-``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider so
-dedupe state lives off-heap.
+executor) neither loses nor duplicates output. Sessions made by
+``strata.session.get_session`` keep the dedupe state in the RocksDB state
+store (off-heap), which large key spaces need.
 """
 
 from __future__ import annotations
