@@ -26,6 +26,10 @@ from strata.functions.calendar import iso_date_text
 
 DOC_COLUMNS = ("source", "ingest_date", "entity", "part", "total_records", "object_key", "document")
 
+# --- fixed values: default raw file names (the <file> part of SNK-7 keys) ---
+WEATHER_DOCUMENT_NAME = "open-meteo"
+FLIGHTS_AREA_NAME = "Madrid"
+
 
 def document_part(record_id: Column | str, records_per_document: int) -> Column:
     """Part number of a record's document: ``record_id div records_per_document``.
@@ -92,7 +96,8 @@ def traffic_envelope(records: DataFrame, record_col: str = "record", entity_col:
 
 
 def weather_envelope(upstream: DataFrame, date_col: str = "ingest_date",
-                     entity: str = "open-meteo", part_col: str | None = None) -> DataFrame:
+                     entity: str = WEATHER_DOCUMENT_NAME, part_col: str | None = None
+                     ) -> DataFrame:
     """ENV-2: tag an hourly weather payload with ``source``, ``ingest_date`` and
     ``total_records`` = number of hourly times (0 when missing). A carried
     ``timezone`` is trimmed (D9)."""
@@ -170,7 +175,7 @@ def snapshot_seconds(as_of: datetime | str) -> int:
 
 
 def flights_envelope(upstream: DataFrame, as_of: datetime | str, date_col: str = "ingest_date",
-                     entity: str = "Madrid", part_col: str | None = None,
+                     entity: str = FLIGHTS_AREA_NAME, part_col: str | None = None,
                      states_col: str = "states_json", time_col: str = "time") -> DataFrame:
     """ENV-4: tag a state-vector payload with ``source``, ``ingest_date``,
     ``snapshot_time`` (ENV-5) and ``total_records`` = number of states

@@ -58,17 +58,19 @@ class Rule:
         object.__setattr__(self, "expected", int(str(self.expected).strip()))
 
 
+# Expected values of the standard rules when none are given: 24 hourly
+# records per traffic or weather document, at least one flight state.
+STANDARD_EXPECTED = {"traffic": 24, "weather": 24, "flights": 1, "holidays": 0}
+
+
 def standard_rules(expected: dict[str, int] | None = None) -> list[Rule]:
-    """DQ-8: traffic counts ``records``, weather counts ``hourly.time``,
-    flights needs at least ``expected`` ``states``; holidays checks the
-    ``total_records`` value. Traffic expects 24 hourly records per day."""
-    e = {"traffic": 24, "weather": 24, "flights": 1, "holidays": 0, **(expected or {})}
-    return [
-        Rule(e["traffic"], "records", "count", "traffic"),
-        Rule(e["weather"], "hourly.time", "count", "weather"),
-        Rule(e["flights"], "states", "gte", "flights"),
-        Rule(e["holidays"], "total_records", "value", "holidays"),
-    ]
+    """DQ-8: the standard rule of every registered source - traffic counts
+    ``records``, weather counts ``hourly.time``, flights needs at least
+    ``expected`` ``states``, holidays checks the ``total_records`` value."""
+    from strata.specs import SOURCES
+
+    e = {**STANDARD_EXPECTED, **(expected or {})}
+    return [Rule(e[name], spec.rule_path, spec.rule_mode, name) for name, spec in SOURCES.items()]
 
 
 def _path(segments: Sequence[str]) -> str:

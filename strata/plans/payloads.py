@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.calendar import day_label, iso_date_text, iso_hour_text
 from strata.operators.envelopes import (
+    FLIGHTS_AREA_NAME,
     document_part,
     flights_envelope,
     holidays_envelope,
@@ -222,7 +223,7 @@ def _jn(c: Column) -> Column:
 
 
 def flight_state_text() -> Column:
-    """One OpenSky-style state vector, as JSON text, from a lineitem row.
+    """One aircraft state vector (17 positional slots), as JSON text, from a lineitem row.
 
     Slots mix JSON types; slot 12 is a nested array; line 1 has only 16
     slots (no position source), line 2 carries two extra slots, line 7 a
@@ -298,7 +299,7 @@ def flights_raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"total_records":'), F.json_array_length("states_json").cast("string"),
         F.lit("}"))
     return up.select(F.lit("flights").alias("source"), iso_date_text("ingest_date").alias("ingest_date"),
-                     F.lit("Madrid").alias("entity"), "part", doc.alias("document"))
+                     F.lit(FLIGHTS_AREA_NAME).alias("entity"), "part", doc.alias("document"))
 
 
 def flights_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ plain data; curators compose with ``DataFrame.transform``.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -31,7 +31,6 @@ class SourceSpec:
     # Field path and mode of the standard payload rule (DQ-8).
     rule_path: str = "total_records"
     rule_mode: str = "value"
-    entity_default: str = field(default="")
 
 
 SOURCES: dict[str, SourceSpec] = {
@@ -42,14 +41,13 @@ SOURCES: dict[str, SourceSpec] = {
                    rule_path="records", rule_mode="count"),
         SourceSpec("weather", schemas.WEATHER_RAW, curators.curate_weather,
                    curators.project_weather, curators.WEATHER_KEYS,
-                   rule_path="hourly.time", rule_mode="count", entity_default="open-meteo"),
+                   rule_path="hourly.time", rule_mode="count"),
         SourceSpec("holidays", schemas.HOLIDAYS_RAW, curators.curate_holidays,
                    curators.project_holidays, curators.HOLIDAYS_KEYS,
                    newest=curators.HOLIDAYS_NEWEST),
         SourceSpec("flights", schemas.FLIGHTS_RAW, curators.curate_flights,
                    curators.project_flights, curators.FLIGHTS_KEYS,
-                   newest=curators.FLIGHTS_NEWEST, rule_path="states", rule_mode="gte",
-                   entity_default="Madrid"),
+                   newest=curators.FLIGHTS_NEWEST, rule_path="states", rule_mode="gte"),
     )
 }
 
