@@ -6,6 +6,8 @@ import math
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from strata.functions.casts import lenient_cast
 from strata.operators.dedupe import dedupe_by
 
@@ -84,3 +86,64 @@ def test_lenient_integer_cast_matches_model(spark, values):
     got = df.select(lenient_cast("s", "int").alias("i"), lenient_cast("s", "long").alias("l")).collect()
     for v, r in zip(values, got):
         assert (r.i, r.l) == (_model_int(v, 32), _model_int(v, 64)), v
+
+
+# -- payload validation against a plain-Python model ---------------------------
+
+import json  # noqa: E402
+
+from strata.operators.quality import Rule, verdicts  # noqa: E402
+
+_keys = st.sampled_from(["a", "b", "t"])
+_scalars = st.one_of(st.none(), st.booleans(), st.integers(min_value=-50, max_value=50),
+                     st.floats(min_value=-10, max_value=10, allow_nan=False, allow_infinity=False),
+                     st.text(alphabet="xy", max_size=2))
+_json = st.recursive(_scalars, lambda inner: st.one_of(
+    st.lists(inner, max_size=4), st.dictionaries(_keys, inner, max_size=3)), max_leaves=12)
+_paths = st.one_of(st.just(""), st.lists(_keys, min_size=1, max_size=3).map(".".join))
+_modes = st.sampled_from(["value", "count", "gte", " Count ", "sum"])
+
+
+def _model_verdict(doc, path, mode, expected):
+    """(error_class, actual) by the documented rules, in their order."""
+    if not path:
+        return "EMPTY_PATH", None
+    cur = doc
+    for seg in path.split("."):
+        if not isinstance(cur, dict):
+            return "NOT_OBJECT", None
+        if seg not in cur:
+            return "MISSING_FIELD", None
+        cur = cur[seg]
+    m = mode.strip().lower()
+    if m not in ("value", "count", "gte"):
+        return "BAD_MODE", None
+    is_int = isinstance(cur, int) and not isinstance(cur, bool)
+    if m == "value":
+        actual = cur if is_int else None
+    elif m == "count":
+        actual = len(cur) if isinstance(cur, list) else None
+    else:
+        actual = len(cur) if isinstance(cur, list) else (cur if is_int else None)
+    if actual is None:
+        return "TYPE_MISMATCH", None
+    if m == "gte":
+        return ("BELOW_MINIMUM" if actual < expected else None), actual
+    return ("COUNT_MISMATCH" if actual != expected else None), actual
+
+
+@settings(**{**SETTINGS, "max_examples": 15})
+@given(st.lists(st.tuples(_json, _paths, _modes, st.integers(min_value=0, max_value=3)),
+                min_size=1, max_size=20))
+def test_verdicts_match_model(spark, cases):
+    # one document per case, each rule restricted to its own document's source
+    rows = [(f"d{i}", f"d{i}", json.dumps(doc)) for i, (doc, _, _, _) in enumerate(cases)]
+    docs = spark.createDataFrame(rows, "source string, object_key string, document string")
+    rules = [Rule(expected, path, mode, f"d{i}") for i, (_, path, mode, expected) in enumerate(cases)]
+    got = {r.document: r for r in verdicts(docs, rules).collect()}
+    assert len(got) == len(cases)
+    for i, (doc, path, mode, expected) in enumerate(cases):
+        want_err, want_actual = _model_verdict(doc, path, mode, expected)
+        r = got[f"d{i}"]
+        assert (r.error_class, r.actual) == (want_err, want_actual), (doc, path, mode, expected)
+        assert r.status == ("PASS" if want_err is None else "FAIL")
