@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from strata import schemas
-from strata.operators import curators
 from strata.functions.calendar import day_label, hour_bucket
-from strata.operators import expectation, quality
+from strata.operators import curators, expectation, quality
 from strata.operators.dedupe import dedupe_by
 from strata.operators.partitions import add_event_partitions
 from strata.plans import payloads

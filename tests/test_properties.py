@@ -6,8 +6,6 @@ import math
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from pyspark.sql import functions as F
-
 from strata.functions.casts import lenient_cast
 from strata.operators.dedupe import dedupe_by
 
