@@ -115,7 +115,7 @@ WITH holiday_rec AS (
          o_orderpriority AS name,
          o_totalprice > 200000 AS is_fixed,
          o_custkey % 2 = 0 AS is_global,
-         CAST(year(o_orderdate) AS INTEGER) AS launch_year,
+         CASE WHEN month(o_orderdate) = 2 THEN NULL ELSE CAST(year(o_orderdate) AS INTEGER) END AS launch_year,
          CASE WHEN o_totalprice > 200000 THEN ['Public', 'Bank'] ELSE ['Public'] END AS holiday_types,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS ingest_date
   FROM orders),

@@ -10,12 +10,14 @@ Mappings (fixed, mirrored by the DuckDB oracles in ``plans.oracles``):
 
 traffic  <- events   centre 'C'||user_id, hour of ts, visitors = props.k,
                      weekday label, holiday = signup, condition = event type
-                     with error -> 'heavy rain', temperature = value
+                     with error -> 'heavy rain', temperature = value; users
+                     divisible by 4 spell the numbers differently
 weather  <- events   location per user (lat 40 + user/1000, lon -3 - user/1000),
                      hourly arrays ordered by event_id; for users divisible
                      by 3 the weathercode array lacks its last element
 holidays <- orders   country = status, one document per (status, month),
-                     name = priority, date omitted for '5-LOW'
+                     name = priority, date omitted for '5-LOW', launchYear
+                     spelled as text in February documents
 flights  <- lineitem one state vector per line, one document per ship day
 """
 
@@ -98,10 +100,20 @@ def traffic_records(spark: SparkSession, sf_dir: str, null_center_type: str | No
 
 def traffic_documents(spark: SparkSession, sf_dir: str, null_center_type: str | None = None
                       ) -> DataFrame:
-    """ENV-1 documents ``{records, total_records}`` per (centre, day, part)."""
+    """ENV-1 documents ``{records, total_records}`` per (centre, day, part).
+
+    Documents of users divisible by 4 spell numbers the way other producers
+    do - ``visitors_count`` as ``69.0`` and ``temperature_c`` as a JSON string
+    - which the lenient casts must read as the same values (D1, D3)."""
     recs = traffic_records(spark, sf_dir, null_center_type)
-    return traffic_envelope(recs, record_col="record", entity_col="entity",
+    docs = traffic_envelope(recs, record_col="record", entity_col="entity",
                             date_col="ingest_date", part_col="part")
+    user = F.substring("entity", 2, 20).cast("long")
+    respelled = F.regexp_replace(
+        F.regexp_replace("document", r'"visitors_count":(-?[0-9]+)', '"visitors_count":$1.0'),
+        r'"temperature_c":(-?[0-9.Ee+-]+)', '"temperature_c":"$1"')
+    return docs.withColumn("document", F.when(F.pmod(user, F.lit(4)) == 0, respelled)
+                           .otherwise(F.col("document")))
 
 
 # ---------------------------------------------------------------- weather --
@@ -179,6 +191,10 @@ def holidays_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.to_json(F.struct(
         F.lit("holidays").alias("source"), "country_code",
         iso_date_text("ingest_day").alias("ingest_date"), "total_records", "holidays"))
+    # February documents spell launchYear as text: the strict holidays schema
+    # must turn it into NULL (D3).
+    payload = F.when(F.month("ingest_day") == 2, F.regexp_replace(
+        payload, r'"launchYear":([0-9]+)', '"launchYear":"$1"')).otherwise(payload)
     return grouped.select(F.lit("holidays").alias("source"),
                           iso_date_text("ingest_day").alias("ingest_date"),
                           F.col("country_code").alias("entity"), "part", "total_records",
