@@ -59,3 +59,10 @@ def trimmed_text(c: Column | str) -> Column:
 def slot(array_col: Column | str, index: int) -> Column:
     """SCL-5: element ``index`` (0-based) of an array, NULL when out of range."""
     return F.get(_col(array_col), index)
+
+
+def array_length(array_col: Column | str) -> Column:
+    """Length of an array, NULL for a NULL array - whatever the session's
+    ANSI setting (without ANSI, ``size(NULL)`` is -1)."""
+    a = _col(array_col)
+    return F.when(a.isNotNull(), F.size(a))

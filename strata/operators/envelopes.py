@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from strata.functions.calendar import iso_date_text
+from strata.functions.casts import array_length
 
 DOC_COLUMNS = ("source", "ingest_date", "entity", "part", "total_records", "object_key", "document")
 
@@ -41,13 +42,13 @@ def document_part(record_id: Column | str, records_per_document: int) -> Column:
     if records_per_document < 1:
         raise ValueError("records_per_document must be positive")
     rid = F.col(record_id) if isinstance(record_id, str) else record_id
-    return F.floor(rid.cast("long") / F.lit(records_per_document)).cast("long")
+    # integral division: exact for any long (a double quotient is not above 2^53)
+    return F.call_function("div", rid.cast("long"), F.lit(records_per_document).cast("long"))
 
 
 def record_count(array_col: Column | str) -> Column:
     """AGG-1: length of a record array; a NULL or missing array counts 0."""
-    c = F.col(array_col) if isinstance(array_col, str) else array_col
-    return F.coalesce(F.size(c), F.lit(0))
+    return F.coalesce(array_length(array_col), F.lit(0))
 
 
 def raw_object_key(source: Column | str, day: Column | str, entity: Column | str,

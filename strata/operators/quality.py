@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.functions.casts import array_length
 from strata.operators.explode import explode_column
 
 MALFORMED_JSON = "MALFORMED_JSON"
@@ -113,7 +114,7 @@ class _Facts:
         for p in self.leaves:
             leaf = F.col(self.prefix[p])
             items = F.try_variant_get(leaf, "$", "array<variant>")
-            facts.append(F.size(items).cast("long").alias(self.length[p]))
+            facts.append(array_length(items).cast("long").alias(self.length[p]))
         with_lengths = with_values.select("*", *facts)
         ints = []
         for p in self.leaves:

@@ -16,6 +16,7 @@ from pyspark.sql.types import TimestampType
 
 from strata import schemas
 from strata.functions.calendar import day_label, hour_bucket
+from strata.functions.casts import array_length
 from strata.operators import curators, expectation, quality
 from strata.operators.dedupe import dedupe_by
 from strata.operators.partitions import add_event_partitions
@@ -256,7 +257,7 @@ def envelope_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _with_payload(payloads.flights_envelopes(spark, sf_dir), schemas.FLIGHTS_RAW)
     return docs.select(*_ENVELOPE_COLS,
                        F.col("payload.snapshot_time").cast("long").alias("snapshot_time"),
-                       F.size("payload.states").alias("states"))
+                       array_length("payload.states").alias("states"))
 
 
 # -- traffic expectation model (GEN-1..13) -----------------------------------

@@ -43,3 +43,22 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["center_id", "event_timestamp"]
+
+
+@pytest.mark.parametrize("name", ["dq_verdicts", "envelope_flights", "missing_hours",
+                                  "traffic_curated"])
+def test_query_independent_of_session_zone_and_ansi(spark, duck, name):
+    """The driver's session may use another zone or ANSI off: results must
+    not change (size(NULL) is -1 without ANSI, zones shift wall clocks)."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.session.timeZone")}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    res = duck.execute(ORACLES[name])
+    cols = [c[0] for c in res.description]
+    assert multiset(df.columns, rows) == multiset(cols, res.fetchall())
