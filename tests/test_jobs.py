@@ -47,6 +47,8 @@ def test_missing_locations_and_source_raise():
 
 def test_cli_pairs_skip_stray_tokens():
     assert parse_cli_pairs(["p", "x", "--A", "1", "--B"]) == {"A": "1"}
+    assert parse_cli_pairs(["p", "--A", "--B", "1"]) == {"A": "--B"}
+    assert parse_cli_pairs(["p"]) == {}
 
 
 def test_paths_and_table_names():
