@@ -175,3 +175,16 @@ def test_two_locations_one_day_both_land_d12(spark, tmp_dir):
     target = write_raw(docs, tmp_dir, "weather", "document")
     back = read_raw(spark, target, WEATHER_RAW, "document")
     assert sorted(r.latitude for r in back.collect()) == ["40.4", "41.4"]
+
+
+def test_null_event_date_lands_in_default_partition(spark, tmp_dir):
+    from strata.sources.raw import parse_documents
+    docs = spark.createDataFrame(
+        [('{"records":[{"center_id":"A","timestamp":"garbage"},'
+          '{"center_id":"B","timestamp":"2026-04-22T01:00:00"}]}',)], "document string")
+    path = f"{tmp_dir}/curated"
+    write_curated(curators.curate_traffic(parse_documents(docs, TRAFFIC_RAW)), path=path)
+    assert any("__HIVE_DEFAULT_PARTITION__" in d for d in os.listdir(path))
+    back = {r.center_id: r for r in spark.read.parquet(path).collect()}
+    assert back["A"].year is None and back["A"].event_timestamp is None
+    assert (back["B"].year, back["B"].month, back["B"].day) == (2026, 4, 22)
