@@ -289,6 +289,13 @@ FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, co
       FROM events GROUP BY ALL)
 """
 
+RAW_OBJECT_KEYS = """
+SELECT DISTINCT 'C' || CAST(user_id AS VARCHAR) AS entity, CAST(ts AS DATE) AS ingest_date,
+       printf('traffic/year=%04d/month=%02d/day=%02d/C%d.json', year(ts), month(ts), day(ts), user_id)
+         AS object_key
+FROM events
+"""
+
 ENVELOPE_WEATHER = f"""
 SELECT 'weather' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'open-meteo' AS entity, part,
        CAST(n AS INTEGER) AS total_records,
@@ -432,6 +439,7 @@ ORACLES: dict[str, str] = {
     "dq_landed": DQ_LANDED,
     "flights_snapshot_check": FLIGHTS_SNAPSHOT_CHECK,
     "envelope_traffic": ENVELOPE_TRAFFIC,
+    "raw_object_keys": RAW_OBJECT_KEYS,
     "envelope_weather": ENVELOPE_WEATHER,
     "envelope_holidays": ENVELOPE_HOLIDAYS,
     "envelope_flights": ENVELOPE_FLIGHTS,

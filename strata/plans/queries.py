@@ -227,6 +227,17 @@ def envelope_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.traffic_documents(spark, sf_dir).select(*_ENVELOPE_COLS)
 
 
+def raw_object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-7: the raw object key of every (centre, day) with traffic."""
+    from strata.operators.envelopes import raw_object_key
+
+    ev = payloads.table(spark, sf_dir, "events")
+    pairs = ev.select(F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("entity"),
+                      F.to_date("ts").alias("ingest_date")).distinct()
+    return pairs.select("entity", "ingest_date",
+                        raw_object_key("traffic", "ingest_date", "entity").alias("object_key"))
+
+
 def _with_payload(docs: DataFrame, schema) -> DataFrame:
     """Envelope columns plus the parsed document as a ``payload`` struct."""
     return docs.select(*_ENVELOPE_COLS, F.from_json("document", schema).alias("payload"))
@@ -346,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "dq_landed": dq_landed,
     "flights_snapshot_check": flights_snapshot_check,
     "envelope_traffic": envelope_traffic,
+    "raw_object_keys": raw_object_keys,
     "envelope_weather": envelope_weather,
     "envelope_holidays": envelope_holidays,
     "envelope_flights": envelope_flights,
