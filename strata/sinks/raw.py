@@ -4,7 +4,8 @@ Documents land below ``<root>/<source>/year=YYYY/month=MM/day=DD/`` with
 zero-padded folder names. Rewriting a day replaces that day's documents
 (dynamic partition overwrite), the counterpart of "last write wins" on an
 object key. The ``document`` layout writes one JSON document per file (read
-back with ``multiLine``); ``lines`` writes JSON Lines (splittable).
+back with ``multiLine``); ``lines`` writes JSON Lines (splittable), about one
+file per day.
 """
 
 from __future__ import annotations
@@ -28,6 +29,11 @@ def write_raw(docs: DataFrame, raw_root: str, source: str, raw_format: str = "do
         F.col(text_col).alias("value"),
     )
     target = f"{raw_root.rstrip('/')}/{source}"
+    if fmt == "lines":
+        # Without this every task writes a file into every day it holds
+        # (tasks x days small files); rebalancing on the day gives about one
+        # file per day, and AQE still splits a day holding many documents.
+        out = out.hint("rebalance", "year", "month", "day")
     writer = out.write.partitionBy("year", "month", "day")
     if mode == "overwrite_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
