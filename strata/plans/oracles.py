@@ -408,6 +408,20 @@ SELECT *, CAST(trunc({_model('event_timestamp', 'weather_condition', 'temperatur
 FROM j
 """
 
+SIMULATED_TRAFFIC = f"""
+WITH {_SPINE},
+sim AS (
+  SELECT center_id, event_timestamp, event_date, day_of_week,
+         '{fx.DEFAULT_WEATHER}' AS weather_condition, {fx.DEFAULT_TEMPERATURE_C}::DOUBLE AS temperature_c,
+         {str(fx.DEFAULT_IS_HOLIDAY).lower()} AS is_holiday
+  FROM spine)
+SELECT center_id, event_timestamp, event_date,
+       CAST(trunc({_model('event_timestamp', 'weather_condition', 'temperature_c', 'is_holiday')})
+            AS INTEGER) AS visitors_count,
+       day_of_week, is_holiday, weather_condition, temperature_c, {_PARTS}
+FROM sim
+"""
+
 DAY_LABELS = """
 SELECT o_orderkey, date_trunc('hour', o_orderdate) AS hour_bucket, lower(dayname(o_orderdate)) AS day_of_week
 FROM orders
@@ -448,5 +462,6 @@ ORACLES: dict[str, str] = {
     "expected_visitors": EXPECTED_VISITORS,
     "spine_expected": SPINE_EXPECTED,
     "day_labels": DAY_LABELS,
+    "simulated_traffic": SIMULATED_TRAFFIC,
     "traffic_stream_keys": TRAFFIC_STREAM_KEYS,
 }

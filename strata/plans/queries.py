@@ -313,6 +313,35 @@ def spine_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
         "center_id", "event_timestamp", "day_of_week", *observed, "expected_visitors")
 
 
+def simulated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simulated traffic documents: for every centre's range, 24 hourly
+    records per day with default weather/holiday (GEN-5) and the model's
+    expected count as visitors (GEN-11, no random draw), wrapped as one
+    ``{records, total_records}`` document per centre-day (ENV-1)."""
+    from strata.functions.calendar import iso_hour_text
+    from strata.operators.envelopes import traffic_envelope
+
+    spine = expectation.hourly_spine(centre_ranges(spark, sf_dir)).withColumns({
+        "weather_condition": F.lit(None).cast("string"),
+        "temperature_c": F.lit(None).cast("double"),
+        "is_holiday": F.lit(None).cast("boolean")})
+    hours = expectation.add_expected(expectation.with_defaults(spine))
+    record = F.struct(
+        F.col("center_id"), iso_hour_text("event_timestamp").alias("timestamp"),
+        F.col("expected_visitors").alias("visitors_count"), "day_of_week", "is_holiday",
+        "weather_condition", "temperature_c")
+    recs = hours.select(F.col("center_id").alias("entity"), F.col("event_date").alias("ingest_date"),
+                        record.alias("record"))
+    return traffic_envelope(recs)
+
+
+def simulated_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole flow on simulated data: simulate (GEN-1/5/11), land as day
+    documents (ENV-1, 24 records each), curate (CUR-1, DED-1, PRT-1)."""
+    raw = parse_documents(simulated_documents(spark, sf_dir), schemas.TRAFFIC_RAW)
+    return as_ntz(curators.curate_traffic(raw))
+
+
 def day_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEN-3 + GEN-4 over every order timestamp."""
     o = payloads.table(spark, sf_dir, "orders")
@@ -366,5 +395,6 @@ QUERIES: dict[str, Query] = {
     "expected_visitors": expected_visitors,
     "spine_expected": spine_expected,
     "day_labels": day_labels,
+    "simulated_traffic": simulated_traffic,
     "traffic_stream_keys": traffic_stream_keys,
 }
