@@ -408,7 +408,7 @@ SELECT *, CAST(trunc({_model('event_timestamp', 'weather_condition', 'temperatur
 FROM j
 """
 
-SIMULATED_TRAFFIC = f"""
+EXPECTED_TRAFFIC_CURATED = f"""
 WITH {_SPINE},
 sim AS (
   SELECT center_id, event_timestamp, event_date, day_of_week,
@@ -462,6 +462,6 @@ ORACLES: dict[str, str] = {
     "expected_visitors": EXPECTED_VISITORS,
     "spine_expected": SPINE_EXPECTED,
     "day_labels": DAY_LABELS,
-    "simulated_traffic": SIMULATED_TRAFFIC,
+    "expected_traffic_curated": EXPECTED_TRAFFIC_CURATED,
     "traffic_stream_keys": TRAFFIC_STREAM_KEYS,
 }

@@ -275,7 +275,7 @@ def envelope_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def centre_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per centre, the first and last day it has events: the range a
-    simulator request for that centre would cover."""
+    traffic request for that centre would cover."""
     ev = payloads.table(spark, sf_dir, "events")
     return ev.groupBy(F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("center_id")).agg(
         F.min(F.to_date("ts")).alias("from_date"), F.max(F.to_date("ts")).alias("to_date"))
@@ -313,11 +313,11 @@ def spine_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
         "center_id", "event_timestamp", "day_of_week", *observed, "expected_visitors")
 
 
-def simulated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Simulated traffic documents: for every centre's range, 24 hourly
+def expected_traffic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected-traffic documents: for every centre's range, 24 hourly
     records per day with default weather/holiday (GEN-5) and the model's
-    expected count as visitors (GEN-11, no random draw), wrapped as one
-    ``{records, total_records}`` document per centre-day (ENV-1)."""
+    expected count as visitors (GEN-11; the random draw is not built), wrapped
+    as one ``{records, total_records}`` document per centre-day (ENV-1)."""
     from strata.functions.calendar import iso_hour_text
     from strata.operators.envelopes import traffic_envelope
 
@@ -335,10 +335,11 @@ def simulated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic_envelope(recs)
 
 
-def simulated_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole flow on simulated data: simulate (GEN-1/5/11), land as day
-    documents (ENV-1, 24 records each), curate (CUR-1, DED-1, PRT-1)."""
-    raw = parse_documents(simulated_documents(spark, sf_dir), schemas.TRAFFIC_RAW)
+def expected_traffic_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's landing flow on the model's expected traffic: spine and
+    expectation (GEN-1/5/11), day documents (ENV-1, 24 records each, which the
+    standard rule checks), curation (CUR-1, DED-1, PRT-1)."""
+    raw = parse_documents(expected_traffic_documents(spark, sf_dir), schemas.TRAFFIC_RAW)
     return as_ntz(curators.curate_traffic(raw))
 
 
@@ -395,6 +396,6 @@ QUERIES: dict[str, Query] = {
     "expected_visitors": expected_visitors,
     "spine_expected": spine_expected,
     "day_labels": day_labels,
-    "simulated_traffic": simulated_traffic,
+    "expected_traffic_curated": expected_traffic_curated,
     "traffic_stream_keys": traffic_stream_keys,
 }

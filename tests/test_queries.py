@@ -64,10 +64,10 @@ def test_query_independent_of_session_zone_and_ansi(spark, duck, name):
     assert multiset(df.columns, rows) == multiset(cols, res.fetchall())
 
 
-def test_simulated_documents_pass_the_standard_traffic_rule(spark):
+def test_expected_traffic_documents_pass_the_standard_traffic_rule(spark):
     from strata.operators import quality
-    from strata.plans.queries import simulated_documents
-    docs = simulated_documents(spark, SF_SMALL)
+    from strata.plans.queries import expected_traffic_documents
+    docs = expected_traffic_documents(spark, SF_SMALL)
     rules = [r for r in quality.standard_rules() if r.source == "traffic"]
     v = quality.verdicts(docs, rules)
     assert v.count() == docs.count() > 0
