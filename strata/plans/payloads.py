@@ -160,7 +160,7 @@ def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- holidays --
 
-def holiday_record(o: DataFrame | None = None) -> Column:
+def holiday_record() -> Column:
     """A holiday record (strict JSON types) built from an order row."""
     return F.struct(
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None))
