@@ -84,3 +84,21 @@ def test_document_part_bounds_documents(spark):
     df = spark.range(0, 10000).selectExpr("id", "'hot' AS entity", "'2026-04-22' AS ingest_date")
     parts = df.select(document_part("id", 1000).alias("p")).groupBy("p").count().collect()
     assert len(parts) == 10 and max(r["count"] for r in parts) == 1000
+
+
+def test_holiday_envelope_hot_day_splits_by_part(spark):
+    """One (country, day) holds every record: one document per part, no
+    record lost, and a request without holidays still gets its empty one."""
+    from strata.operators.envelopes import document_part
+    recs = spark.range(0, 3000).select(
+        F.lit("ES").alias("country_code"), document_part("id", 1000).alias("part"),
+        F.struct(F.lit("2026-04-22").alias("date"), F.col("id").cast("string").alias("name"))
+        .alias("h"))
+    up = recs.groupBy("country_code", "part").agg(F.collect_list("h").alias("holidays"))
+    req = spark.createDataFrame([("ES", "2026-04-22"), ("ES", "2026-04-23")],
+                                "country_code string, ingest_date string")
+    docs = holidays_envelope(up, req, part_col="part").collect()
+    hot = [d for d in docs if d.ingest_date == "2026-04-22"]
+    assert sorted(d.part for d in hot) == [0, 1, 2]
+    assert sum(d.total_records for d in hot) == 3000 and max(d.total_records for d in hot) == 1000
+    assert [d.total_records for d in docs if d.ingest_date == "2026-04-23"] == [0]

@@ -188,3 +188,14 @@ def test_null_event_date_lands_in_default_partition(spark, tmp_dir):
     back = {r.center_id: r for r in spark.read.parquet(path).collect()}
     assert back["A"].year is None and back["A"].event_timestamp is None
     assert (back["B"].year, back["B"].month, back["B"].day) == (2026, 4, 22)
+
+
+def test_day_dirs_across_a_year_boundary(spark, tmp_dir):
+    from strata.sources.raw import day_dirs
+    df = spark.createDataFrame([(d, "{}") for d in ("2025-12-30", "2025-12-31", "2026-01-01",
+                                                    "2026-01-03")],
+                               "ingest_date string, document string")
+    write_raw(df, tmp_dir, "traffic", "lines")
+    dirs = day_dirs(spark, f"{tmp_dir}/traffic", "2025-12-31", "2026-01-02")
+    assert [d.split("/traffic/")[1] for d in dirs] == ["year=2025/month=12/day=31",
+                                                       "year=2026/month=01/day=01"]
