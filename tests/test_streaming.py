@@ -33,3 +33,18 @@ def test_incremental_runs_dedupe_and_restart(spark, tmp_dir):
     # nothing new landed: the checkpoint makes the rerun a no-op
     assert _run(spark, tmp_dir).count() == 3
     assert second.where("center_id = 'A' AND hour(event_timestamp) = 1").first().visitors_count in (10, 11)
+
+
+def test_flights_stream_uses_the_event_date(spark, tmp_dir):
+    """Date-typed event time (flights) works as the watermark column."""
+    state = '["a1","X","ES",1,{c},1.0,2.0,3.0,false,4.0,5.0,6.0,null,7.0,"1",false,0]'
+    doc = ('{{"time":1,"snapshot_time":100,"ingest_date":"2026-04-22","states":[{a},{b}]}}'
+           .format(a=state.format(c=10), b=state.format(c=20)))
+    df = spark.createDataFrame([("2026-04-22", doc)], "ingest_date string, document string")
+    write_raw(df, f"{tmp_dir}/raw", "flights", "lines")
+    q = start_curation_stream(spark, get_spec("flights"), f"{tmp_dir}/raw/flights", f"{tmp_dir}/out",
+                              f"{tmp_dir}/ckpt", raw_format="lines")
+    q.awaitTermination()
+    rows = spark.read.parquet(f"{tmp_dir}/out").collect()
+    assert [(r.icao24, r.snapshot_time, r.year, r.month, r.day) for r in rows] == [
+        ("a1", 100, 2026, 4, 22)]
