@@ -146,7 +146,9 @@ def holidays_envelope(upstream: DataFrame, requests: DataFrame,
     recs = upstream.select(F.col("country_code").alias("rec_country"),
                            F.explode("holidays").alias("holiday"), *carried)
     recs = recs.withColumn("rec_day", F.col("holiday.date"))
-    req = requests.select("country_code", F.col("ingest_date").cast("date").alias("ingest_date"))
+    # a repeated request is one document (same key), not duplicated records
+    req = requests.select("country_code", F.col("ingest_date").cast("date").alias("ingest_date")
+                          ).dropDuplicates(["country_code", "ingest_date"])
     req = req.withColumn("req_day", iso_date_text("ingest_date"))
     on = (F.col("country_code") == F.col("rec_country")) & (F.col("req_day") == F.col("rec_day"))
     matched = req.join(recs, on, "inner").repartition("country_code", "req_day", "part")

@@ -45,9 +45,11 @@ def test_holiday_day_filter_and_key(spark):
         [("ES", [("2026-04-22", "Matching holiday"), ("2026-04-23", "Other holiday"),
                  (None, "No date")])],
         "country_code string, holidays array<struct<date:string,name:string>>")
-    req = spark.createDataFrame([("ES", "2026-04-22"), ("ES", "2026-04-24")],
+    req = spark.createDataFrame([("ES", "2026-04-22"), ("ES", "2026-04-24"), ("ES", "2026-04-22")],
                                 "country_code string, ingest_date string")
-    docs = {r.ingest_date: r for r in holidays_envelope(up, req).collect()}
+    out = holidays_envelope(up, req).collect()
+    assert len(out) == 2  # the repeated request is one document
+    docs = {r.ingest_date: r for r in out}
     p = json.loads(docs["2026-04-22"].document)
     assert p == {"source": "holidays", "country_code": "ES", "ingest_date": "2026-04-22",
                  "total_records": 1, "holidays": [{"date": "2026-04-22", "name": "Matching holiday"}]}
