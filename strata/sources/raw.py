@@ -123,6 +123,14 @@ def day_dirs(spark: SparkSession, base: str, start: date | str, end: date | str
     return sorted(found)
 
 
+def _day_dirs_or_none(spark: SparkSession, base: str, start, end, padded: bool
+                      ) -> list[str] | None:
+    """``day_dirs`` where the JVM gateway is available, else None."""
+    if getattr(spark, "_jvm", None) is None:
+        return None
+    return day_dirs(spark, base, start, end, padded)
+
+
 def read_raw_days(spark: SparkSession, raw_root: str, source: str, schema: StructType,
                   start: date | str, end: date | str | None = None,
                   raw_format: str = "document") -> DataFrame:
@@ -132,7 +140,9 @@ def read_raw_days(spark: SparkSession, raw_root: str, source: str, schema: Struc
     become int ``year/month/day`` columns; the range predicate is kept as a
     partition filter. No existing folder gives an empty frame."""
     base = f"{raw_root.rstrip('/')}/{source}"
-    dirs = day_dirs(spark, base, start, end, padded=True)
+    dirs = _day_dirs_or_none(spark, base, start, end, padded=True)
+    if dirs is None:  # no JVM gateway (e.g. a Spark Connect session): filter only
+        return read_raw(spark, base, schema, raw_format).where(day_range_predicate(start, end))
     if not dirs:
         return spark.createDataFrame([], schema).withColumns({
             "year": F.lit(None).cast("int"), "month": F.lit(None).cast("int"),
@@ -163,10 +173,12 @@ def read_curated(spark: SparkSession, path: str, start: date | str | None = None
         return spark.read.parquet(path)
     lo = _as_date(start) if start is not None else date(1, 1, 1)
     hi = _as_date(end) if end is not None else date(9999, 12, 31)
-    if start is not None and end is not None:
-        dirs = day_dirs(spark, path, lo, hi, padded=False)
-        df = spark.read.option("basePath", path).parquet(*dirs) if dirs else \
-            spark.read.parquet(path).where(F.lit(False))
+    dirs = _day_dirs_or_none(spark, path, lo, hi, padded=False) \
+        if start is not None and end is not None else None
+    if dirs:
+        df = spark.read.option("basePath", path).parquet(*dirs)
+    elif dirs == []:
+        df = spark.read.parquet(path).where(F.lit(False))
     else:
         df = spark.read.parquet(path)
     return df.where(day_range_predicate(lo, hi)).where(F.col("event_date").between(lo, hi))

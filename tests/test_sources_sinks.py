@@ -199,3 +199,10 @@ def test_day_dirs_across_a_year_boundary(spark, tmp_dir):
     dirs = day_dirs(spark, f"{tmp_dir}/traffic", "2025-12-31", "2026-01-02")
     assert [d.split("/traffic/")[1] for d in dirs] == ["year=2025/month=12/day=31",
                                                        "year=2026/month=01/day=01"]
+
+
+def test_day_listing_falls_back_without_jvm_gateway():
+    import types
+    from strata.sources.raw import _day_dirs_or_none
+    assert _day_dirs_or_none(types.SimpleNamespace(_jvm=None), "/x", "2026-04-01", "2026-04-02",
+                             True) is None
