@@ -336,7 +336,7 @@ def expected_traffic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expected_traffic_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reference's landing flow on the model's expected traffic: spine and
+    """The landing flow end to end on the model's expected traffic: spine and
     expectation (GEN-1/5/11), day documents (ENV-1, 24 records each, which the
     standard rule checks), curation (CUR-1, DED-1, PRT-1)."""
     raw = parse_documents(expected_traffic_documents(spark, sf_dir), schemas.TRAFFIC_RAW)

@@ -1,5 +1,5 @@
-"""DQ-1..9: one verdict row per (document, rule); the reference's validation
-cases plus edge documents."""
+"""DQ-1..9: one verdict row per (document, rule); the documented validation
+cases (FIXTURES.md section 2) plus edge documents."""
 
 import pytest
 
