@@ -262,6 +262,10 @@ FROM (SELECT *, COALESCE(pre_error,
 
 DQ_VERDICTS = _DQ
 
+
+def _dq_mode(mode: str) -> str:
+    return f"SELECT * FROM ({_DQ}) v WHERE mode = '{mode}'"
+
 DQ_LANDED = f"""
 SELECT 'traffic' AS source, 'records' AS field_path, 'count' AS mode, CAST(24 AS BIGINT) AS expected,
        CAST(n AS BIGINT) AS actual,
@@ -450,6 +454,9 @@ ORACLES: dict[str, str] = {
     "curation_job": TRAFFIC_CURATED,
     "dq_verdicts": DQ_VERDICTS,
     "dq_summary": DQ_SUMMARY,
+    "dq_value": _dq_mode("value"),
+    "dq_count": _dq_mode("count"),
+    "dq_gte": _dq_mode("gte"),
     "dq_landed": DQ_LANDED,
     "flights_snapshot_check": FLIGHTS_SNAPSHOT_CHECK,
     "envelope_traffic": ENVELOPE_TRAFFIC,

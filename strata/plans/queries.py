@@ -212,6 +212,20 @@ def flights_snapshot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.snapshot_day_check(curators.curate_flights(flights_raw(spark, sf_dir)))
 
 
+def _dq_mode(mode: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rules = [r for r in DQ_RULES if r.mode == mode]
+        return quality.verdicts(payloads.dq_documents(spark, sf_dir), rules)
+    run.__doc__ = f"Verdicts of the ``{mode}`` rules over every validation document."
+    run.__name__ = f"dq_{mode}"
+    return run
+
+
+dq_value = _dq_mode("value")   # DQ-2
+dq_count = _dq_mode("count")   # DQ-3
+dq_gte = _dq_mode("gte")       # DQ-4
+
+
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-9 report: documents per (source, rule, status, error class)."""
     return quality.summarize(dq_verdicts(spark, sf_dir))
@@ -384,6 +398,9 @@ QUERIES: dict[str, Query] = {
     "curation_job": curation_job,
     "dq_verdicts": dq_verdicts,
     "dq_summary": dq_summary,
+    "dq_value": dq_value,
+    "dq_count": dq_count,
+    "dq_gte": dq_gte,
     "dq_landed": dq_landed,
     "flights_snapshot_check": flights_snapshot_check,
     "envelope_traffic": envelope_traffic,
