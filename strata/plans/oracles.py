@@ -398,6 +398,11 @@ SELECT center_id, event_timestamp, visitors_count,
 FROM m
 """
 
+NOISE_BAND = f"""
+SELECT center_id, event_timestamp, visitors_count, lower_bound, upper_bound, in_band
+FROM ({EXPECTED_VISITORS}) e
+"""
+
 SPINE_EXPECTED = f"""
 WITH {_SPINE},
 cur AS ({TRAFFIC_CURATED}),
@@ -467,6 +472,7 @@ ORACLES: dict[str, str] = {
     "hourly_spine": HOURLY_SPINE,
     "missing_hours": MISSING_HOURS,
     "expected_visitors": EXPECTED_VISITORS,
+    "noise_band": NOISE_BAND,
     "spine_expected": SPINE_EXPECTED,
     "day_labels": DAY_LABELS,
     "expected_traffic_curated": EXPECTED_TRAFFIC_CURATED,

@@ -315,6 +315,15 @@ def expected_visitors(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "lower_bound", "upper_bound", "in_band")
 
 
+def noise_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEN-12: for every curated traffic record, the integer band a noisy
+    count around the expectation falls in, and whether the observed count
+    does."""
+    out = expectation.with_expectation(as_ntz(curators.curate_traffic(traffic_raw(spark, sf_dir))))
+    return out.select("center_id", "event_timestamp", "visitors_count", "lower_bound",
+                      "upper_bound", "in_band")
+
+
 def spine_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEN-1 + GEN-5 + GEN-11: the model's expectation for every spine hour,
     using the observed weather/holiday of that hour when a record exists and
@@ -411,6 +420,7 @@ QUERIES: dict[str, Query] = {
     "hourly_spine": hourly_spine,
     "missing_hours": missing_hours,
     "expected_visitors": expected_visitors,
+    "noise_band": noise_band,
     "spine_expected": spine_expected,
     "day_labels": day_labels,
     "expected_traffic_curated": expected_traffic_curated,
