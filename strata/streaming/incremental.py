@@ -59,6 +59,10 @@ def start_curation_stream(spark: SparkSession, spec: SourceSpec, raw_path: str,
     ``available_now`` processes everything that has landed and stops (a
     scheduled incremental run); otherwise the query keeps running."""
     curated = curate_stream(read_raw_stream(spark, raw_path, spec, raw_format), spec, delay)
+    # After the stateful dedupe every state-store task would write a file into
+    # every day it touches; grouping by day first writes about one file per
+    # day and micro-batch (a batch is bounded, see max_files_per_trigger).
+    curated = curated.repartition(*spec.partition_cols)
     writer = (curated.writeStream.format("parquet").outputMode("append")
               .partitionBy(*spec.partition_cols)
               .option("checkpointLocation", checkpoint))
