@@ -73,18 +73,28 @@ def _as_date(day: date | str) -> date:
     return date.fromisoformat(day) if isinstance(day, str) else day
 
 
-def day_range_predicate(start: date | str, end: date | str | None = None,
-                        year: str = "year", month: str = "month", day: str = "day") -> Column:
-    """A predicate over int partition columns selecting [start, end]. It only
-    references partition columns, so Spark turns it into a PartitionFilter and
-    skips the other day folders without listing their files' contents."""
-    lo = _as_date(start)
-    hi = _as_date(end) if end is not None else lo
-    if lo > hi:
+def _day_key(d: date) -> int:
+    return d.year * 10000 + d.month * 100 + d.day
+
+
+def day_range_predicate(start: date | str | None, end: date | str | None = None,
+                        year: str = "year", month: str = "month", day: str = "day",
+                        open_end: bool = False) -> Column:
+    """A predicate over int partition columns selecting [start, end] (a single
+    day when ``end`` is None, unless ``open_end``; either end may be None with
+    ``open_end``). It only references partition columns, so Spark turns it into
+    a PartitionFilter and skips the other day folders."""
+    lo = _as_date(start) if start is not None else None
+    hi = _as_date(end) if end is not None else (None if open_end else lo)
+    if lo is not None and hi is not None and lo > hi:
         raise ValueError(f"start {lo} is after end {hi}")
     key = _day_number(F.col(year), F.col(month), F.col(day))
-    return key.between(lo.year * 10000 + lo.month * 100 + lo.day,
-                       hi.year * 10000 + hi.month * 100 + hi.day)
+    pred = F.lit(True)
+    if lo is not None:
+        pred = pred & (key >= _day_key(lo))
+    if hi is not None:
+        pred = pred & (key <= _day_key(hi))
+    return pred
 
 
 def _months(lo: date, hi: date):
@@ -161,24 +171,33 @@ def read_documents_text(spark: SparkSession, path: str | Sequence[str],
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
 
 
-def read_curated(spark: SparkSession, path: str, start: date | str | None = None,
-                 end: date | str | None = None) -> DataFrame:
-    """Read a curated table, optionally limited to event dates [start, end].
+def read_curated(spark: SparkSession, path: str | None = None, start: date | str | None = None,
+                 end: date | str | None = None, table: str | None = None) -> DataFrame:
+    """Read a curated table by ``path`` or catalog ``table``, optionally
+    limited to event dates [start, end].
 
-    With a range, only the matching day folders are listed (``day_dirs``) and
-    the range is also expressed on ``year/month/day`` so Spark prunes by
-    partition; a filter on ``event_date`` alone would scan every partition.
-    An open-ended range falls back to partition filters over the whole table."""
+    With a range, the range is also expressed on ``year/month/day`` so Spark
+    prunes partitions (a catalog table prunes through its metastore); a filter
+    on ``event_date`` alone would scan every partition. For a path with both
+    ends given, only the matching day folders are listed (``day_dirs``)."""
+    if (path is None) == (table is None):
+        raise ValueError("give exactly one of path or table")
     if start is None and end is None:
-        return spark.read.parquet(path)
-    lo = _as_date(start) if start is not None else date(1, 1, 1)
-    hi = _as_date(end) if end is not None else date(9999, 12, 31)
-    dirs = _day_dirs_or_none(spark, path, lo, hi, padded=False) \
-        if start is not None and end is not None else None
-    if dirs:
-        df = spark.read.option("basePath", path).parquet(*dirs)
-    elif dirs == []:
-        df = spark.read.parquet(path).where(F.lit(False))
+        return spark.table(table) if table else spark.read.parquet(path)
+    if table:
+        df = spark.table(table)
     else:
-        df = spark.read.parquet(path)
-    return df.where(day_range_predicate(lo, hi)).where(F.col("event_date").between(lo, hi))
+        dirs = _day_dirs_or_none(spark, path, start, end, padded=False) \
+            if start is not None and end is not None else None
+        if dirs:
+            df = spark.read.option("basePath", path).parquet(*dirs)
+        elif dirs == []:
+            df = spark.read.parquet(path).where(F.lit(False))
+        else:
+            df = spark.read.parquet(path)
+    in_range = F.lit(True)
+    if start is not None:
+        in_range = in_range & (F.col("event_date") >= F.lit(_as_date(start)))
+    if end is not None:
+        in_range = in_range & (F.col("event_date") <= F.lit(_as_date(end)))
+    return df.where(day_range_predicate(start, end, open_end=True)).where(in_range)

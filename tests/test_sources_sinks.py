@@ -206,3 +206,16 @@ def test_day_listing_falls_back_without_jvm_gateway():
     from strata.sources.raw import _day_dirs_or_none
     assert _day_dirs_or_none(types.SimpleNamespace(_jvm=None), "/x", "2026-04-01", "2026-04-02",
                              True) is None
+
+
+def test_read_curated_by_table_and_open_ranges(spark, tmp_dir):
+    spark.sql("CREATE DATABASE IF NOT EXISTS strata_read_test")
+    table = "strata_read_test.traffic"
+    write_curated(_curated(spark, ["2026-04-01", "2026-04-02", "2026-04-03"]),
+                  path=f"{tmp_dir}/t", table=table)
+    assert read_curated(spark, table=table, start="2026-04-02", end="2026-04-02").count() == 2
+    assert "PartitionFilters" in plan_text(read_curated(spark, table=table, start="2026-04-02"))
+    assert read_curated(spark, f"{tmp_dir}/t", start="2026-04-02").count() == 4
+    assert read_curated(spark, f"{tmp_dir}/t", end="2026-04-01").count() == 2
+    assert read_curated(spark, f"{tmp_dir}/t", "2026-05-01", "2026-05-02").count() == 0
+    spark.sql(f"DROP TABLE {table}")
