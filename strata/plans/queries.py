@@ -1,9 +1,14 @@
 """Registered queries over the driver's tables.
 
 Each query takes ``(spark, sf_dir)`` and returns a DataFrame whose columns
-match the DuckDB oracle of the same name in ``plans.oracles``. Zoned
-timestamps are shown as TIMESTAMP_NTZ (wall clock in the pinned UTC zone) so
-both engines present the same type.
+match the DuckDB oracle of the same name in ``plans.oracles``. The tables are
+not payload-shaped, so most queries first build the raw documents a source
+would land (``plans.payloads``) and then run the operators on them; every
+query reads whole tables. Queries that exercise storage (raw round trips,
+curated reruns, the job, validation of landed files, streaming) write below
+the session's ``spark.checkpoint.dir`` first. Zoned timestamps are shown as
+TIMESTAMP_NTZ (wall clock) so both engines present the same type; results do
+not depend on the session zone or ANSI setting.
 """
 
 from __future__ import annotations
