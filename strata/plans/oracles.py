@@ -455,6 +455,10 @@ ORACLES: dict[str, str] = {
     "event_partitions": EVENT_PARTITIONS,
     "raw_roundtrip": TRAFFIC_CURATED,
     "raw_day_scan": RAW_DAY_SCAN,
+    "traffic_from_landed": TRAFFIC_CURATED,
+    "weather_from_landed": WEATHER_CURATED,
+    "holidays_from_landed": HOLIDAYS_CURATED,
+    "flights_from_landed": FLIGHTS_CURATED,
     "curated_rerun": TRAFFIC_CURATED,
     "curation_job": TRAFFIC_CURATED,
     "dq_verdicts": DQ_VERDICTS,

@@ -128,6 +128,35 @@ def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(curators.curate_traffic(raw))
 
 
+_DOCUMENTS = {
+    "traffic": payloads.traffic_documents,
+    "weather": payloads.weather_documents,
+    "holidays": payloads.holidays_documents,
+    "flights": payloads.flights_raw_documents,
+}
+
+
+def _from_landed(source: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from strata.specs import get_spec
+
+        spec = get_spec(source)
+        root = scratch_path(spark, f"landed-{source}")
+        target = write_raw(_DOCUMENTS[source](spark, sf_dir), root, source, "lines")
+        return as_ntz(spec.curate(read_raw(spark, target, spec.raw_schema, "lines")))
+    run.__doc__ = (f"SNK-6 then SRC-1 for {source}: land the documents as JSON Lines, read "
+                   "them back with the declared schema (the file reader, not from_json) "
+                   "and curate.")
+    run.__name__ = f"{source}_from_landed"
+    return run
+
+
+traffic_from_landed = _from_landed("traffic")
+weather_from_landed = _from_landed("weather")
+holidays_from_landed = _from_landed("holidays")
+flights_from_landed = _from_landed("flights")
+
+
 def raw_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-2 over a date range: land the traffic documents as JSON Lines, then
     read one ingest week from the source folder; the day predicate is a
@@ -408,6 +437,10 @@ QUERIES: dict[str, Query] = {
     "event_partitions": event_partitions,
     "raw_roundtrip": raw_roundtrip,
     "raw_day_scan": raw_day_scan,
+    "traffic_from_landed": traffic_from_landed,
+    "weather_from_landed": weather_from_landed,
+    "holidays_from_landed": holidays_from_landed,
+    "flights_from_landed": flights_from_landed,
     "curated_rerun": curated_rerun,
     "curation_job": curation_job,
     "dq_verdicts": dq_verdicts,
