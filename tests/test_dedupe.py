@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import curators
 from strata.operators.dedupe import dedupe_by
-from strata.plans.inspect import exchanges, python_nodes
+from strata.plans.inspect import count_nodes, exchanges, python_nodes
 from strata.schemas import TRAFFIC_RAW
 from strata.sources.raw import parse_documents, read_raw
 from tests.conftest import docs_frame
@@ -48,6 +48,8 @@ def test_curator_plans_have_one_exchange_and_no_python(spark, tmp_dir):
         df = spec.curate(read_raw(spark, path, spec.raw_schema))
         assert exchanges(df) == 1, spec.name
         assert python_nodes(df) == [], spec.name
+        # map-side partial plus final aggregate around the one exchange
+        assert count_nodes(df, "SortAggregate") == 2, spec.name
 
 
 def test_write_rebalances_on_partition_columns(spark):
