@@ -119,9 +119,11 @@ class _Facts:
         ints = []
         for p in self.leaves:
             leaf = F.col(self.prefix[p])
-            # only non-list leaves are typed; schema_of_variant of a scalar is cheap
+            # Only scalars are typed: lists and objects are ruled out first (And
+            # short-circuits), so schema_of_variant never walks a large value.
             is_int = F.schema_of_variant(leaf).isin(*INTEGER_TYPES)
-            ints.append(F.when(F.col(self.length[p]).isNull() & is_int,
+            scalar = F.col(self.length[p]).isNull() & ~_is_object(leaf)
+            ints.append(F.when(scalar & is_int,
                                F.try_variant_get(leaf, "$", "bigint")).alias(self.integer[p]))
         return with_lengths.select("*", *ints)
 
