@@ -190,11 +190,19 @@ def verdicts(docs: DataFrame, rules: Iterable[Rule], text_col: str = "document",
                          F.try_parse_json(F.col(text_col)).alias("__v"))
     facts = _Facts(rules)
     extracted = facts.extract(parsed)
-    checks = []
-    for rule in rules:
-        applies = F.lit(True) if rule.source is None else (F.col("source") == F.lit(rule.source))
-        checks.append(F.when(applies, _check(rule, facts)))
-    applicable = F.filter(F.array(*checks), lambda c: c.isNotNull())
+    # One array of checks per source, chosen by a plain CASE on the source
+    # (no higher-order function, so it stays in generated code). Rules without
+    # a source belong to every branch; a document no rule applies to gets NULL
+    # and therefore no rows.
+    everywhere = [r for r in rules if r.source is None]
+    applicable = None
+    for src in sorted({r.source for r in rules if r.source is not None}):
+        checks = F.array(*[_check(r, facts) for r in rules if r.source in (None, src)])
+        hit = F.col("source") == F.lit(src)
+        applicable = F.when(hit, checks) if applicable is None else applicable.when(hit, checks)
+    if everywhere:
+        fallback = F.array(*[_check(r, facts) for r in everywhere])
+        applicable = fallback if applicable is None else applicable.otherwise(fallback)
     out = explode_column(extracted, applicable, "__c", ("source", "document"))
     return out.select("source", "document", "__c.*")
 
