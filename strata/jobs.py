@@ -111,14 +111,16 @@ class JobParams:
         return curated_output_path(self.curated_root, self.source_name, self.output_path)
 
 
-def read_job_input(spark: SparkSession, params: JobParams) -> DataFrame:
+def read_job_input(spark: SparkSession, params: JobParams, source_file: bool = False
+                   ) -> DataFrame:
     """Raw documents of the job: an explicit path, one day folder, or a date
     range of day folders (only those folders are listed and read)."""
     spec = get_spec(params.source_name)
     if params.input_path or params.end_date == params.ingest_date:
-        return read_raw(spark, params.input_location(), spec.raw_schema, params.raw_format)
+        return read_raw(spark, params.input_location(), spec.raw_schema, params.raw_format,
+                        source_file=source_file)
     return read_raw_days(spark, params.raw_root, spec.name, spec.raw_schema, params.ingest_date,
-                         params.end_date, params.raw_format)
+                         params.end_date, params.raw_format, source_file=source_file)
 
 
 def corrupt_documents(raw: DataFrame, schema_fields: list[str] | None = None) -> DataFrame:
@@ -152,7 +154,8 @@ def run_curation(spark: SparkSession, params: JobParams, register_table: bool =
     counts = seen.get
     malformed = int(counts.get("malformed_documents", 0) or 0)
     if quarantine and malformed:
-        bad = corrupt_documents(raw, spec.raw_schema.fieldNames()[:-1])
+        with_files = read_job_input(spark, params, source_file=True)
+        bad = corrupt_documents(with_files, spec.raw_schema.fieldNames()[:-1])
         bad.write.mode("append").json(f"{out.rstrip('/')}/_quarantine")
     return {"job_name": params.job_name, "source": spec.name, "input": params.input_location(),
             "output": out, "table": params.table if register_table else "",

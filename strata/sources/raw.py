@@ -49,11 +49,13 @@ def parse_documents(docs: DataFrame, schema: StructType, text_col: str = "docume
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], schema: StructType,
-             raw_format: str = "document", base_path: str | None = None) -> DataFrame:
+             raw_format: str = "document", base_path: str | None = None,
+             source_file: bool = False) -> DataFrame:
     """SRC-1: read raw JSON documents with a declared schema (never inferred).
 
-    Adds ``source_file`` from the file metadata so every row can be traced to
-    the document it came from."""
+    With ``source_file`` a column of that name carries each row's file path
+    (provenance, e.g. for quarantine). It is opt-in: once the file metadata is
+    referenced, the scan carries the metadata columns for every file."""
     fmt = _check_format(raw_format)
     reader = spark.read.schema(schema).options(**_json_options(schema))
     if fmt == "document":
@@ -62,7 +64,7 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], schema: StructType,
         reader = reader.option("basePath", base_path)
     paths = [path] if isinstance(path, str) else list(path)
     df = reader.json(paths)
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    return df.withColumn("source_file", F.col("_metadata.file_path")) if source_file else df
 
 
 def _day_number(y: Column, m: Column, d: Column) -> Column:
@@ -143,7 +145,7 @@ def _day_dirs_or_none(spark: SparkSession, base: str, start, end, padded: bool
 
 def read_raw_days(spark: SparkSession, raw_root: str, source: str, schema: StructType,
                   start: date | str, end: date | str | None = None,
-                  raw_format: str = "document") -> DataFrame:
+                  raw_format: str = "document", source_file: bool = False) -> DataFrame:
     """SRC-2 widened to a date range: only the day folders of [start, end]
     under ``<root>/<source>`` are read (resolved by ``day_dirs``), with the
     source folder as ``basePath`` so the zero-padded folder names still
@@ -152,12 +154,14 @@ def read_raw_days(spark: SparkSession, raw_root: str, source: str, schema: Struc
     base = f"{raw_root.rstrip('/')}/{source}"
     dirs = _day_dirs_or_none(spark, base, start, end, padded=True)
     if dirs is None:  # no JVM gateway (e.g. a Spark Connect session): filter only
-        return read_raw(spark, base, schema, raw_format).where(day_range_predicate(start, end))
+        return read_raw(spark, base, schema, raw_format, source_file=source_file).where(
+            day_range_predicate(start, end))
     if not dirs:
-        return spark.createDataFrame([], schema).withColumns({
+        empty = spark.createDataFrame([], schema).withColumns({
             "year": F.lit(None).cast("int"), "month": F.lit(None).cast("int"),
-            "day": F.lit(None).cast("int"), "source_file": F.lit(None).cast("string")})
-    df = read_raw(spark, dirs, schema, raw_format, base_path=base)
+            "day": F.lit(None).cast("int")})
+        return empty.withColumn("source_file", F.lit(None).cast("string")) if source_file else empty
+    df = read_raw(spark, dirs, schema, raw_format, base_path=base, source_file=source_file)
     return df.where(day_range_predicate(start, end))
 
 

@@ -28,7 +28,7 @@ def _docs(spark, n_days=3, per_day=2):
 def test_document_roundtrip_keeps_every_document(spark, tmp_dir):
     target = write_raw(_docs(spark), tmp_dir, "traffic", "document")
     assert os.path.isdir(f"{target}/year=2026/month=04/day=01")  # zero padded
-    back = read_raw(spark, target, TRAFFIC_RAW, "document")
+    back = read_raw(spark, target, TRAFFIC_RAW, "document", source_file=True)
     assert back.count() == 6
     assert back.where(F.col(CORRUPT_COL).isNull() & (F.size("records") == 1)).count() == 6
     assert back.select("source_file").distinct().count() == 6
