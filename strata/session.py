@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -48,25 +47,27 @@ def get_session(master: str | None = None, app_name: str = "strata",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (a test or a laptop) is a local folder
-    created and registered, so that lineage can still be cut with
-    ``checkpoint()`` and scratch tables have a home.
+    Read from the session. A temporary folder is registered only when nothing
+    is configured *and* the session is a plain ``local`` master, where driver
+    and tasks are one process on one disk; on a cluster an unset folder is an
+    error, because each executor would write to a disk of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
-    elif not spark.sparkContext.getCheckpointDir():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the checkpoint root for one job's outputs."""
-    path = f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique path below the checkpoint root for one job's outputs.
+
+    Only the name is made; Spark's writers create the folder on whatever file
+    system the root is on.
+    """
+    return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
