@@ -24,6 +24,9 @@ WORD = f"[^{SPACE}]+"
 # of its own.
 BLOCK_BYTES = 4 << 20
 
+# Spark's own setting: a finished execution gives its shuffle files back.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,9 +35,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back, so that
     what follows neither recomputes it nor depends on a live executor."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(col: str = "text") -> Column:
