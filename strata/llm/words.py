@@ -79,3 +79,20 @@ def factorised(lists: list[list]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at += len(x)
     codes, distinct = pd.factorize(flat)
     return codes, distinct, bounds
+
+
+def per_text(docs: DataFrame, f, extra: str, text: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with the columns ``extra`` (a schema string) that ``f`` makes of
+    a block of whole texts: ``f(list of bytes) -> list of columns``."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    made = [x.strip().split(" ")[0] for x in extra.split(",")]
+
+    def run(batches):
+        for part, texts in blocks(batches, "_t", limit):
+            columns = [part.column(i) for i in range(len(names))] + [pa.array(x) for x in f(texts)]
+            yield pa.RecordBatch.from_arrays(columns, [*names, *[f"x_{m}" for m in made]])
+
+    kinds = ", ".join(f"{n} {kind}" for n, (_, kind) in zip(names, docs.dtypes))
+    rows = docs.toDF(*names).withColumn("_t", text_bytes(names[docs.columns.index(text)]))
+    found = rows.mapInArrow(run, kinds + ", " + ", ".join(f"x_{x.strip()}" for x in extra.split(",")))
+    return found.toDF(*docs.columns, *made)
