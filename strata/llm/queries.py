@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import simhash, substrings, toxicity
+from strata.llm import simhash, substrings, tokenstore, toxicity
 from strata.llm.words import table
 
 QUERIES: dict = {}
@@ -36,3 +36,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = tokenstore.write(docs, tokenstore.shared_folder(spark, "tokens"),
+                                public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokenstore.checksums(tokenstore.read(manifest, docs.select("doc_id")))
