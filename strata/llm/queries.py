@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import simhash, substrings, tokenstore, toxicity
+from strata.llm import mixing, simhash, substrings, tokenstore, toxicity
 from strata.llm.words import table
 
 QUERIES: dict = {}
@@ -46,3 +46,12 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = tokenstore.write(docs, tokenstore.shared_folder(spark, "tokens"),
                                 public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return tokenstore.checksums(tokenstore.read(manifest, docs.select("doc_id")))
+
+
+@query
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"), share=1.5, most=2.0, weights=(3, 1, 2))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op6_source_mixing"] = mixing.ORACLE
