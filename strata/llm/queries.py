@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, simhash, substrings, tokenstore, toxicity
+from strata.llm import mixing, quality, simhash, substrings, tokenstore, toxicity
 from strata.llm.words import table
 
 QUERIES: dict = {}
@@ -55,3 +55,12 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_source_mixing"] = mixing.ORACLE
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op8_quality_rules"] = quality.ORACLE
