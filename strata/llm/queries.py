@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, quality, simhash, substrings, tokenstore, toxicity
+from strata.llm import licenses, mixing, quality, simhash, substrings, tokenstore, toxicity
 from strata.llm.words import table
 
 QUERIES: dict = {}
@@ -64,3 +64,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op8_quality_rules"] = quality.ORACLE
+
+
+@query
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
+                        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+                        F.array_join("licences", ",").alias("licences"))
