@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, mixing, quality, simhash, substrings, tokenstore, toxicity
+from strata.llm import licenses, mixing, quality, segmentation, simhash, substrings, tokenstore, toxicity
 from strata.llm.words import table
 
 QUERIES: dict = {}
@@ -72,3 +72,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
                         F.array_join("sentence_ids", ",").alias("sentence_ids"),
                         F.array_join("licences", ",").alias("licences"))
+
+
+@query
+def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return segmentation.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
+                               k=2, alpha=1.0, with_ids=False)
