@@ -47,7 +47,8 @@ from strata.session import scratch_path
 MAGIC = b"STRATAIX"
 SHARD_ROWS = 1 << 15
 SHARD_IDS = 1 << 24
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
+CLOSING = re.compile(rb"(?<=[a-z])([.,])(?![^ \t-\r])")
 GAMMA = 2.0  # bits of a level for each key that reaches it
 _encoders: dict = {}
 
@@ -56,7 +57,11 @@ class Encoder:
     """The tokenizer over whole texts, word by word.
 
     Its normaliser and its patterns never look across white space, so a text's
-    ids are those of its words in turn; ids of words already met are kept.
+    ids are those of its words in turn. Ids of words already met are kept, in
+    two generations of at most ``CACHE_WORDS`` words. Fewer words differ once
+    A-Z are lower-cased, as the normaliser does, and a closing full stop or
+    comma after an ASCII letter stands apart, as the patterns have it; a text
+    that could hold a special token is left as it is.
     """
 
     def __init__(self, path: str):
@@ -66,21 +71,34 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(set().union(*split))
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part],
-                                                     add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found))
-        known = self.known
+        split = [t.split() if b"<|" in t else CLOSING.sub(rb" \1", t.lower()).split() for t in texts]
+        every = set().union(*split)
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for w in every.difference(known):
+            ids = older.get(w)
+            if ids is None:
+                new.append(w)
+            else:
+                known[w] = ids
+        for i in range(0, len(new), 4000):
+            self._learn(new[i:i + 4000])
         return [b"".join([known[w] for w in words]) for words in split]
 
+    def _learn(self, words: list[bytes]) -> None:
+        """Encode new words as one text, and tell them apart by offset."""
+        plain = [w.decode("utf-8", "replace") for w in words]
+        found = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        starts = np.cumsum([0, *[len(w) + 1 for w in plain]])
+        ids = np.array(found.ids, self.dtype)
+        cuts = np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), starts)
+        self.known.update((w, ids[a:b].tobytes()) for w, a, b in zip(words, cuts.tolist(), cuts[1:].tolist()))
+
 
 def encoder(path: str) -> Encoder:
     """One encoder for each Python worker."""

@@ -32,12 +32,12 @@ def test_query_equals_whole_text_encoding(spark):
 
 ODD = ["", " ", "á b́", "́x ́", "it's WE'LL  'S 'll", "<|endoftext|> a<|startoftext|>b <|endof text|>",
        "İstanbul ΑΣ ΣΑΣ ß ﬁ", "x\x0by\x0cz\r\n\t w\x1cq\x85r s t", "日本語 テスト 123 ４５ ²", "👩‍👩‍👧 a.b,c!?  ..", "ȩ́ q̧́",
-       "가 각", "\x00 \x7f", "longword" * 300]
+       "가 각", "\x00 \x7f", "longword" * 300, "End. Two, a.. b,. C.́ é. 9. X.<|endoftext|> y.", "A.\x1c b,\u2003c.\u0085d."]
 
 
 def test_word_by_word_equals_whole_text():
     rng = random.Random(5)
-    chars = "aé́ \n\t'sSLl.!1٣²<|>ßİΣ日‍ \x0b"
+    chars = ".,aé́ \n\t'sSLl.!1٣²<|>ßİΣ日‍ \x0b"
     texts = ODD + ["".join(rng.choice(chars) for _ in range(60)) for _ in range(400)]
     t = Tokenizer.from_file(PATH)
     got = tokenstore.Encoder(PATH)([x.encode() for x in texts])
@@ -50,7 +50,7 @@ def test_cache_is_bounded(monkeypatch):
     e = tokenstore.Encoder(PATH)
     texts = [" ".join(f"w{i}" for i in range(j, j + 6)).encode() for j in range(30)]
     assert [e([t])[0] for t in texts] == tokenstore.Encoder(PATH)(texts)
-    assert len(e.known) <= 12
+    assert len(e.known) <= 17 and len(e.older) <= 17
 
 
 def test_odd_rows_round_trip(spark):
