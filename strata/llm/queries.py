@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, mixing, quality, segmentation, simhash, substrings, tokenstore, toxicity
+from strata.llm import licenses, mixing, quality, segmentation, simhash, substrings, tokenstore, toxicity, vectors
 from strata.llm.words import table
 
 QUERIES: dict = {}
@@ -80,3 +80,24 @@ def op3_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return segmentation.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"),
                                k=2, alpha=1.0, with_ids=False)
+
+
+@query
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return vectors.search(rows, rows.filter("vec_id % 20 = 0"), k=20)
+
+
+ORACLES["op1_exact_top_k"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT vec_id, unnest(e) AS x, unnest(range(len(e))) AS d FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM c AS q JOIN c ON q.d = c.d AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0 GROUP BY ALL)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
