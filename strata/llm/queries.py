@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, mixing, quality, segmentation, simhash, substrings, tokenstore, toxicity, vectors
+from strata.llm import licenses, mixing, pages, quality, segmentation, simhash, substrings, tokenstore, toxicity, vectors
 from strata.llm.words import table
 
 QUERIES: dict = {}
@@ -101,3 +101,10 @@ s AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
+
+
+@query
+def op2_html_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.rendered(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return found.select("page_id", F.col("rendered").alias("text"), F.length("rendered").cast("long").alias("n_chars"),
+                        F.size(F.split("rendered", "\n")).cast("long").alias("n_lines"))
