@@ -75,12 +75,12 @@ RULES = (
 # A text without one of these has no known sentence; most texts stop here.
 HINT = "(?i)licens|permission|redistribut|warranty|copyright|rights reserved"
 # A sentence ends at a line's end, or after . ! ? ; : before white space.
-ENDS = r"\n|(?<=[.!?;:])\s+"
+ENDS = r"([.!?;:])[ \t\n\x0B\f\r]+"
 
 
 def sentences(text: Column) -> Column:
     """Normalised sentences of a text, in order."""
-    parts = F.split(text, ENDS)
+    parts = F.split(F.regexp_replace(text, ENDS, "$1\n"), "\n")
     plain = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
     return F.filter(plain, lambda s: s != "")
 
@@ -121,3 +121,34 @@ def scan(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", F.col("ids").alias("sentence_ids"),
                        F.when(some, names).otherwise(none.cast("array<string>")).alias("licences"),
                        F.when(some, rules).otherwise(none.cast("array<int>")).alias("rules"))
+
+
+def oracle() -> str:
+    """DuckDB SQL of the scan: the same sentences and rules, with a join for the
+    look-up and a step for each rule."""
+    known = ", ".join(f"('{t}', '{name}')" for name, texts in SENTENCES.items() for t in texts)
+    steps, left = [], "l"
+    for i, (_, ids) in enumerate(RULES):
+        p = _pattern(ids)
+        steps.append(f"t{i + 1} AS (SELECT *, regexp_matches({left}, '{p}') AS h{i}, "
+                     f"regexp_replace({left}, '{p}', '', 'g') AS l{i + 1} FROM t{i})")
+        left = f"l{i + 1}"
+    hits = ", ".join(f"CASE WHEN h{i} THEN '{name}' END" for i, (name, _) in enumerate(RULES))
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         string_split(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\n\x0B\f\r]+', '\1' || chr(10), 'g'), chr(10)) AS parts
+  FROM documents),
+s AS (
+  SELECT r, i, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS s
+  FROM (SELECT r, unnest(parts) AS s, unnest(range(len(parts))) AS i FROM d)),
+k AS (SELECT r, list(id ORDER BY i) AS ids FROM s JOIN (VALUES {known}) AS v(t, id) ON s.s = v.t GROUP BY r),
+t0 AS (
+  SELECT doc_id, coalesce(ids, []) AS ids, ' ' || coalesce(array_to_string(ids, '  '), '') || ' ' AS l
+  FROM d LEFT JOIN k USING (r)),
+{", ".join(steps)},
+n AS (SELECT *, list_filter([{hits}], lambda x: x IS NOT NULL) AS names FROM t{len(RULES)})
+SELECT doc_id, len(ids) AS n_sentences, array_to_string(ids, ',') AS sentence_ids,
+       array_to_string(list_filter(names, lambda x, i: list_position(names, x) = i), ',') AS licences
+FROM n
+"""

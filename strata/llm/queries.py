@@ -108,3 +108,6 @@ def op2_html_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pages.rendered(table(spark, sf_dir, "pages").select("page_id", "html"))
     return found.select("page_id", F.col("rendered").alias("text"), F.length("rendered").cast("long").alias("n_chars"),
                         F.size(F.split("rendered", "\n")).cast("long").alias("n_lines"))
+
+ORACLES["op7_substring_dedup"] = substrings.ORACLE
+ORACLES["op9_license_scan"] = licenses.oracle()

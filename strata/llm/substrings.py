@@ -215,3 +215,23 @@ def without_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     chars = F.when(F.col("n_removed") > 0, F.length("kept_words")).otherwise(F.col("n_chars"))
     return found.select(*[{"text": text.alias("text"), "n_chars": chars.cast(t).alias("n_chars")}.get(c, F.col(c))
                           for c, t in docs.dtypes])
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS k,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+w AS (
+  SELECT r, k, i, words[i:i + 19] AS win
+  FROM (SELECT r, k, words, unnest(range(1, len(words) - 18)) AS i FROM d WHERE len(words) >= 20)),
+e AS (SELECT r, i, (k, i) > min((k, i)) OVER (PARTITION BY win) AS again FROM w),
+gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + 20)) AS p FROM e WHERE again)),
+kept AS (
+  SELECT a.r, string_agg(a.word, ' ' ORDER BY a.p) AS words, count(*) AS n
+  FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM d) a
+  LEFT JOIN gone g ON a.r = g.r AND a.p = g.p WHERE g.p IS NULL GROUP BY a.r)
+SELECT doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(len(d.words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""

@@ -9,7 +9,7 @@ KNOWN = {t: name for name, texts in licenses.SENTENCES.items() for t in texts}
 def brute(text):
     """Identifiers and licences, sentence by sentence and rule by rule."""
     ids = []
-    for s in re.split(licenses.ENDS, text or ""):
+    for s in re.split(r"\n|(?<=[.!?;:])[ \t\n\x0b\f\r]+", text or ""):
         s = re.sub("[^a-z0-9]+", " ", s.lower()).strip()
         if s in KNOWN:
             ids.append(KNOWN[s])
