@@ -18,13 +18,29 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import CORRUPT_COL
-from strata.sinks.curated import write_curated
-from strata.sources.paths import curated_output_path, join_path, raw_input_path, table_name
-from strata.sources.raw import read_raw, read_raw_days
+from strata.sinks.curated import merge_partitions, write_curated
+from strata.sources.paths import Location, identifier
+from strata.sources.raw import mixed_layout, read_raw, read_raw_days
 from strata.specs import get_spec
 
-DEFAULT_DATABASE = "data_platform_dev_curated"
-DEFAULT_WRITE_MODE = "overwrite_partitions"
+# Job keys of each field, in order of preference (the names are the contract),
+# and what an absent value becomes.
+KEYS: dict[str, tuple[tuple[str, ...], str]] = {
+    "source_name": (("SOURCE_NAME", "SOURCE", "INGEST_SOURCE"), ""),
+    "raw_root": (("RAW_BUCKET",), ""),
+    "curated_root": (("CURATED_BUCKET",), ""),
+    "ingest_date": (("INGEST_DATE",), ""),
+    "end_date": (("END_DATE",), ""),
+    "input_path": (("INPUT_PATH",), ""),
+    "output_path": (("OUTPUT_PATH",), ""),
+    "write_mode": (("WRITE_MODE",), "overwrite_partitions"),
+    "database": (("CURATED_DATABASE",), "curated"),
+    "job_name": (("JOB_NAME",), ""),
+    "raw_format": (("RAW_FORMAT",), "document"),
+    "missing_days": (("MISSING_DAYS",), "error"),
+}
+# Each job needs a value for one field of every group.
+NEEDED = (("source_name",), ("input_path", "raw_root"), ("output_path", "curated_root"))
 
 
 def parse_cli_pairs(argv: Sequence[str]) -> dict[str, str]:
@@ -54,61 +70,38 @@ class JobParams:
     database: str
     job_name: str
     raw_format: str = "document"
+    missing_days: str = "error"  # or "skip": read the days of a range that are there
 
     @classmethod
     def from_args(cls, argv: Sequence[str], env: Mapping[str, str] | None = None,
                   today: date | None = None) -> "JobParams":
-        env = os.environ if env is None else env
-        cli = parse_cli_pairs(argv)
-
-        def pick(*names: str, default: str = "") -> str:
-            for n in names:
-                if cli.get(n):
-                    return cli[n]
-            for n in names:
-                if env.get(n):
-                    return env[n]
-            return default
-
-        source = pick("SOURCE_NAME", "SOURCE", "INGEST_SOURCE")
-        if not source:
-            raise ValueError("SOURCE_NAME is required")
-        source = source.strip().lower()
-        raw_root, curated_root = pick("RAW_BUCKET"), pick("CURATED_BUCKET")
-        input_path, output_path = pick("INPUT_PATH"), pick("OUTPUT_PATH")
-        if not raw_root and not input_path:
-            raise ValueError("RAW_BUCKET is required unless INPUT_PATH is provided")
-        if not curated_root and not output_path:
-            raise ValueError("CURATED_BUCKET is required unless OUTPUT_PATH is provided")
-        yesterday = ((today or date.today()) - timedelta(days=1)).isoformat()
-        ingest_date = pick("INGEST_DATE", default=yesterday)
-        return cls(
-            source_name=source,
-            raw_root=raw_root,
-            curated_root=curated_root,
-            ingest_date=ingest_date,
-            end_date=pick("END_DATE", default=ingest_date),
-            input_path=input_path,
-            output_path=output_path,
-            write_mode=pick("WRITE_MODE", default=DEFAULT_WRITE_MODE),
-            database=pick("CURATED_DATABASE", default=DEFAULT_DATABASE),
-            job_name=pick("JOB_NAME", default=f"transform-{source}"),
-            raw_format=pick("RAW_FORMAT", default="document"),
-        )
+        layers = (parse_cli_pairs(argv), os.environ if env is None else env)
+        found = {field: next((layer[k] for layer in layers for k in keys if layer.get(k)), default)
+                 for field, (keys, default) in KEYS.items()}
+        lacking = [" or ".join(KEYS[f][0][0] for f in group) for group in NEEDED
+                   if not any(found[f] for f in group)]
+        if lacking:
+            raise ValueError("the job has no value for " + "; ".join(lacking))
+        found["source_name"] = found["source_name"].strip().lower()
+        found["ingest_date"] = found["ingest_date"] or str((today or date.today()) - timedelta(days=1))
+        found["end_date"] = found["end_date"] or found["ingest_date"]
+        found["job_name"] = found["job_name"] or f"curate-{found['source_name']}"
+        return cls(**found)
 
     @property
     def table(self) -> str:
-        return table_name(self.database, self.source_name)
+        return identifier(self.database, self.source_name)
 
-    def input_location(self) -> str:
+    def input_location(self) -> Location:
         if self.input_path:
-            return self.input_path
-        if self.end_date == self.ingest_date:
-            return raw_input_path(self.raw_root, self.source_name, self.ingest_date)
-        return join_path(self.raw_root, self.source_name)
+            return Location(self.input_path)
+        zone = Location(self.raw_root) / self.source_name
+        return zone.on(self.ingest_date) if self.end_date == self.ingest_date else zone
 
-    def output_location(self) -> str:
-        return curated_output_path(self.curated_root, self.source_name, self.output_path)
+    def output_location(self) -> Location:
+        if self.output_path:
+            return Location(self.output_path)
+        return Location(self.curated_root) / "curated" / self.source_name
 
 
 def read_job_input(spark: SparkSession, params: JobParams, source_file: bool = False
@@ -120,7 +113,8 @@ def read_job_input(spark: SparkSession, params: JobParams, source_file: bool = F
         return read_raw(spark, params.input_location(), spec.raw_schema, params.raw_format,
                         source_file=source_file)
     return read_raw_days(spark, params.raw_root, spec.name, spec.raw_schema, params.ingest_date,
-                         params.end_date, params.raw_format, source_file=source_file)
+                         params.end_date, params.raw_format, source_file=source_file,
+                         allow_missing=params.missing_days == "skip")
 
 
 def corrupt_documents(raw: DataFrame, schema_fields: list[str] | None = None) -> DataFrame:
@@ -128,39 +122,70 @@ def corrupt_documents(raw: DataFrame, schema_fields: list[str] | None = None) ->
     whatever fields did parse. The parsed fields are part of the output because
     Spark rejects raw-JSON queries that reference only the corrupt column."""
     fields = schema_fields or [c for c in raw.columns
-                               if c not in (CORRUPT_COL, "source_file", "year", "month", "day")]
+                               if c not in (CORRUPT_COL, "source_file", "year", "month", "day", "entity")]
     return raw.where(F.col(CORRUPT_COL).isNotNull()).select(
         "source_file", CORRUPT_COL, F.to_json(F.struct(*fields)).alias("parsed_fields"))
 
 
+def _check_layout(spark: SparkSession, params: JobParams, raw: DataFrame) -> None:
+    """Refuse JSON Lines that would be read as whole documents (one pass over
+    the text, in the ``document`` layout only)."""
+    if params.raw_format.strip().lower() == "document":
+        files = raw.inputFiles()
+        bad = mixed_layout(spark, files).limit(5).collect() if files else []
+        if bad:
+            raise ValueError("files hold several documents; set RAW_FORMAT to lines: "
+                             + ", ".join(f"{r.path} ({r.documents})" for r in bad))
+
+
 def run_curation(spark: SparkSession, params: JobParams, register_table: bool = True,
                  quarantine: bool = True) -> dict[str, object]:
     """API-4: read raw, curate, write the curated table.
 
-    Document and malformed-document counts are observed during the write
-    itself (no extra pass). Only when malformed documents were seen are they
-    written next to the table under ``_quarantine`` (D7), which re-reads the
-    input once; a clean run reads its input exactly once."""
+    Rows of the run's own days [ingest_date, end_date] replace those days. Late
+    and early rows, and rows without a date, are added to the partitions they
+    belong to instead, which keep what is there. Documents, malformed documents
+    and rows of other days are observed during the write itself; only when there
+    are any does the job read its input again, to write malformed documents
+    below ``_quarantine`` (D7, by ingest day, so a rerun replaces them) or to
+    merge the rows of other days."""
     spec = get_spec(params.source_name)
     raw = read_job_input(spark, params)
-    seen = Observation("raw_documents")
+    _check_layout(spark, params, raw)
+    out, table = params.output_location(), params.table if register_table else None
+    if register_table:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {identifier(params.database)}")
+    replaces = params.write_mode.strip().lower() == "overwrite_partitions"
+    dated = replaces and not params.input_path  # an explicit path says nothing about its days
+    own = F.coalesce(F.col(spec.event_date_col).between(F.lit(params.ingest_date).cast("date"),
+                                                        F.lit(params.end_date).cast("date")), F.lit(False))
+    seen, kept = Observation("raw_documents"), Observation("curated_rows")
     observed = raw.observe(seen, F.count(F.lit(1)).alias("documents"),
                            F.count(F.col(CORRUPT_COL)).alias("malformed_documents"))
-    out = params.output_location()
-    if register_table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{params.database.replace('`', '``')}`")
-    write_curated(spec.curate(observed), path=out, table=params.table if register_table else None,
-                  mode=params.write_mode, partition_cols=spec.partition_cols)
-    counts = seen.get
-    malformed = int(counts.get("malformed_documents", 0) or 0)
+    curated = spec.curate(observed)
+    if dated:
+        curated = curated.observe(kept, F.count_if(~own).alias("other_days")).where(own)
+    written = write_curated(curated, path=out, table=table, mode=params.write_mode,
+                            partition_cols=spec.partition_cols)
+    report = {"job_name": params.job_name, "source": spec.name, "input": str(params.input_location()),
+              "output": str(out), "table": table or "", "mode": params.write_mode, "written": written}
+    if not written:
+        return report | {"documents": 0, "malformed_documents": 0, "rows_of_other_days": 0}
+    malformed = int(seen.get.get("malformed_documents") or 0)
+    others = int(kept.get.get("other_days") or 0) if dated else 0
+    if others:
+        merge_partitions(spec.curate(read_job_input(spark, params)).where(~own), out, spec.keys, spec.newest,
+                         table, spec.partition_cols)
     if quarantine and malformed:
         with_files = read_job_input(spark, params, source_file=True)
         bad = corrupt_documents(with_files, spec.raw_schema.fieldNames()[:-1])
-        bad.write.mode("append").json(f"{out.rstrip('/')}/_quarantine")
-    return {"job_name": params.job_name, "source": spec.name, "input": params.input_location(),
-            "output": out, "table": params.table if register_table else "",
-            "mode": params.write_mode, "documents": int(counts.get("documents", 0) or 0),
-            "malformed_documents": malformed}
+        folder = F.regexp_extract("source_file", "/year=([0-9]+)/month=([0-9]+)/day=([0-9]+)/", 0)
+        day = F.regexp_replace(folder, "/year=([0-9]+)/month=([0-9]+)/day=([0-9]+)/", "$1-$2-$3")
+        bad = bad.withColumn("ingest_date", F.coalesce(F.nullif(day, F.lit("")), F.lit(params.ingest_date)))
+        (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ingest_date").json(out / "_quarantine"))
+    return report | {"documents": int(seen.get.get("documents") or 0), "malformed_documents": malformed,
+                     "rows_of_other_days": others}
 
 
 def main(argv: Sequence[str] | None = None) -> int:

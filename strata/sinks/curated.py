@@ -5,18 +5,23 @@ partitions present in the frame and leaves every other day alone, so a
 rerun is idempotent. ``append``, ``overwrite`` (whole table), ``ignore`` and
 ``error`` are the plain Spark modes.
 
-Caveat (D6): a run that holds only part of a partition's rows replaces the
-whole partition with that part, so a run must read every raw day that feeds
-the event dates it writes.
+``overwrite_partitions`` replaces whole partitions, so its frame must hold all
+rows of each (D6). Rows that arrive for other days than a run's own go through
+``merge_partitions``, which keeps what is there.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.operators.dedupe import dedupe_by
 from strata.operators.partitions import PARTITION_COLS
+from strata.session import scratch_path
+from strata.sources.paths import identifier
 
 WRITE_MODES = ("overwrite_partitions", "append", "overwrite", "ignore", "error", "errorifexists")
 
@@ -28,17 +33,60 @@ def _check_mode(mode: str) -> str:
     return m
 
 
-def _table_exists(df: DataFrame, table: str) -> bool:
-    return df.sparkSession.catalog.tableExists(table)
+def _there(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and holds anything."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(place) and len(store.listStatus(place)) > 0
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder in which a registered table lies."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[-1].data_type if rows else ""
+
+
+def _register(df: DataFrame, table: str, path: str, cols: list[str]) -> None:
+    """An external table over ``path`` with whatever partitions lie there, so
+    that a write through the catalog sees them and leaves them alone."""
+    spark = df.sparkSession
+    fields = ", ".join(f"{identifier(f.name)} {f.dataType.simpleString()}" for f in df.schema)
+    place = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet"
+              + (f" PARTITIONED BY ({', '.join(map(identifier, cols))})" if cols else "") + f" LOCATION '{place}'")
+    if cols and _there(spark, path):
+        spark.catalog.recoverPartitions(table)
+
+
+def _insert_over(rows: DataFrame, table: str, overwrite: str) -> None:
+    """Overwrite through the catalog; ``insertInto`` takes the overwrite mode
+    from the session, not from a writer's option."""
+    conf, key = rows.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, overwrite)
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        conf.set(key, before)
 
 
 def write_curated(df: DataFrame, path: str | None = None, table: str | None = None,
                   mode: str = "overwrite_partitions",
                   partition_cols: Sequence[str] = PARTITION_COLS,
-                  rebalance: bool = True) -> None:
+                  rebalance: bool = True) -> bool:
     """SNK-1: write Parquet partitioned by ``partition_cols`` to ``path`` and/or
     register it as ``table`` (an external table when ``path`` is given).
 
+    Returns whether anything was written (``ignore`` skips an existing target).
+    A table that is registered at another place than ``path`` is an error. A
+    table that is new over an existing folder takes the folder's partitions in
+    before it is written, so only ``overwrite`` deletes any.
+
     ``rebalance`` adds a REBALANCE on the partition columns before the write:
     each task then holds few days, so the write creates about one file per
     day and split, not one per (task, day); AQE splits a day that holds a
@@ -48,29 +96,56 @@ def write_curated(df: DataFrame, path: str | None = None, table: str | None = No
         raise ValueError("write_curated needs a path or a table")
     m = _check_mode(mode)
     cols = list(partition_cols)
+    spark = df.sparkSession
     out = df.hint("rebalance", *cols) if rebalance and cols else df
-    if table is not None and _table_exists(df, table):
-        target_cols = df.sparkSession.table(table).columns
-        writer = out.select(*target_cols).write
-        if m == "overwrite_partitions":
-            writer.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
-        elif m == "append":
-            writer.insertInto(table, overwrite=False)
-        elif m == "overwrite":
-            writer.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
-        elif m == "ignore":
-            return
+    registered = table is not None and spark.catalog.tableExists(table)
+    if registered and path is not None:
+        place = table_location(spark, table)
+        if _qualified(spark, place) != _qualified(spark, path):
+            raise ValueError(f"table {table} lies at {place}, not at {path}")
+    if registered or path is not None and _there(spark, path):
+        if m == "ignore":
+            return False
+        if m in ("error", "errorifexists"):
+            raise ValueError(f"{table if registered else path} already exists")
+    if table is not None and path is not None and not registered:
+        _register(df, table, path, cols)
+        registered = True
+    if registered:
+        rows = out.select(*spark.table(table).columns)
+        if m in ("overwrite_partitions", "overwrite"):
+            _insert_over(rows, table, "dynamic" if m == "overwrite_partitions" else "static")
         else:
-            raise ValueError(f"table {table} already exists")
-        return
+            rows.write.insertInto(table, overwrite=False)
+        return True
     writer = out.write.partitionBy(*cols)
     if m == "overwrite_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode(m).option("partitionOverwriteMode", "static")
-    if table is not None:
-        if path is not None:
-            writer = writer.option("path", path)
-        writer.format("parquet").saveAsTable(table)
+    if table is not None:  # a managed table that is new: there is nothing to overwrite
+        out.write.partitionBy(*cols).format("parquet").saveAsTable(table)
     else:
         writer.parquet(path)
+    return True
+
+
+def merge_partitions(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[str] = (),
+                     table: str | None = None, partition_cols: Sequence[str] = PARTITION_COLS) -> None:
+    """Add rows to the partitions that they belong to: each of those becomes
+    its old rows and the new ones, one for each key (DED-1). Other partitions
+    are neither read nor written. The merged rows are stored beside the table
+    first, because a folder can't be read while it is overwritten.
+    """
+    spark, cols = df.sparkSession, list(partition_cols)
+    scratch = scratch_path(spark, "merge")
+    df.write.parquet(f"{scratch}/new")
+    new = spark.read.schema(df.schema).parquet(f"{scratch}/new")
+    if _there(spark, path):
+        touched = new.select(*[F.col(c).alias(f"_{c}") for c in cols]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]
+        kept = spark.read.schema(df.schema).option("basePath", path).parquet(path).select(*df.columns)
+        new = new.unionByName(kept.join(touched, functools.reduce(lambda a, b: a & b, same), "left_semi"))
+    dedupe_by(new, list(keys), newest).write.parquet(f"{scratch}/merged")
+    merged = spark.read.schema(df.schema).parquet(f"{scratch}/merged")
+    write_curated(merged, path, table, "overwrite_partitions", cols)

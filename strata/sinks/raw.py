@@ -1,11 +1,11 @@
 """Raw-zone sink (SNK-6, decision D15).
 
-Documents land below ``<root>/<source>/year=YYYY/month=MM/day=DD/`` with
-zero-padded folder names. Rewriting a day replaces that day's documents
-(dynamic partition overwrite), the counterpart of "last write wins" on an
-object key. The ``document`` layout writes one JSON document per file (read
-back with ``multiLine``); ``lines`` writes JSON Lines (splittable), about one
-file per day.
+Documents land below ``<root>/<source>/year=YYYY/month=MM/day=DD/entity=<E>/`` with
+zero-padded folder names. The entity folder makes the last write win for each
+object, a day of one entity, as an object key does: landing one centre or
+country leaves the others of that day alone. The ``document`` layout writes one
+JSON document per file (read back with ``multiLine``); ``lines`` writes JSON
+Lines (splittable).
 """
 
 from __future__ import annotations
@@ -13,28 +13,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.sources.paths import Location
 from strata.sources.raw import _check_format
 
+ENTITY_COL = "entity"
+
 
 def write_raw(docs: DataFrame, raw_root: str, source: str, raw_format: str = "document",
               text_col: str = "document", date_col: str = "ingest_date",
-              mode: str = "overwrite_partitions") -> str:
-    """Write the documents of one source; returns the source folder."""
+              mode: str = "overwrite_partitions", by_entity: bool = True) -> str:
+    """Write the documents of one source; returns the source folder.
+
+    Frames without an ``entity`` column, and backfills with ``by_entity=False``,
+    have day folders only: such a write replaces whole days, so it must hold all
+    documents of the days that it writes (fewer, larger files for bulk loads).
+    """
     fmt = _check_format(raw_format)
+    split = by_entity and ENTITY_COL in docs.columns
     d = F.col(date_col).cast("date")
     out = docs.select(
         F.date_format(d, "yyyy").alias("year"),
         F.date_format(d, "MM").alias("month"),
         F.date_format(d, "dd").alias("day"),
+        *([F.col(ENTITY_COL).cast("string").alias(ENTITY_COL)] if split else []),
         F.col(text_col).alias("value"),
     )
-    target = f"{raw_root.rstrip('/')}/{source}"
+    target = Location(raw_root) / source
+    folders = ["year", "month", "day", *([ENTITY_COL] if split else [])]
     if fmt == "lines":
         # Without this every task writes a file into every day it holds
         # (tasks x days small files); rebalancing on the day gives about one
         # file per day, and AQE still splits a day holding many documents.
-        out = out.hint("rebalance", "year", "month", "day")
-    writer = out.write.partitionBy("year", "month", "day")
+        out = out.hint("rebalance", *folders)
+    writer = out.write.partitionBy(*folders)
     if mode == "overwrite_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:

@@ -1,51 +1,41 @@
-"""Path and table-name helpers (SRC-2, SRC-3, SNK-2, SNK-4, SNK-5)."""
+"""One location type for every path, and table identifiers (SRC-2, SRC-3, SNK-2, SNK-4, SNK-5).
+
+Readers, sinks and jobs all build their paths here, so a bucket that is given
+by its bare name means the same place everywhere.
+"""
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
-
-def join_path(base: str, *parts: str, default_scheme: str = "s3://") -> str:
-    """SNK-5: join a bucket or URI with path parts.
-
-    Slashes around parts are trimmed and empty parts skipped. A bare bucket
-    name gets ``default_scheme``; a URI with any scheme or an absolute local
-    path is kept as it is.
-    """
-    root = base.rstrip("/")
-    if "://" not in root and not root.startswith("/"):
-        root = f"{default_scheme}{root}"
-    tail = "/".join(p.strip("/") for p in parts if p and p.strip("/"))
-    return f"{root}/{tail}" if tail else root
+BUCKET_SCHEME = "s3"
 
 
-def day_partition(day: date | str) -> str:
-    """Zero-padded ``year=YYYY/month=MM/day=DD`` of the raw zone; a malformed
-    ISO date raises ValueError."""
-    d = date.fromisoformat(day) if isinstance(day, str) else day
-    return f"year={d.year:04d}/month={d.month:02d}/day={d.day:02d}"
-
-
-def raw_input_path(raw_root: str, source: str, day: date | str, input_path: str = "") -> str:
-    """SRC-2 / SRC-3: the raw day folder of a source, unless an explicit input
-    path overrides it."""
-    if input_path:
-        return input_path
-    return join_path(raw_root, source, day_partition(day))
+class Location(str):
+    """A folder or object: text that Spark takes as a path.
 
+    A URI and an absolute path stand for themselves; any other text names a
+    bucket. ``place / "a/b"`` is what lies below; blank segments don't count.
+    """
 
-def curated_output_path(curated_root: str, source: str, output_path: str = "") -> str:
-    """SNK-2: ``<curated root>/curated/<source>`` unless overridden."""
-    if output_path:
-        return output_path
-    return join_path(curated_root, "curated", source)
+    def __new__(cls, text: str) -> Location:
+        text = text.strip()
+        if not text:
+            raise ValueError("a location can't be empty")
+        if not re.match(r"[A-Za-z][\w+.-]*:/|/", text):
+            text = f"{BUCKET_SCHEME}://{text}"
+        return super().__new__(cls, text.rstrip("/") or "/")
 
+    def __truediv__(self, below: str) -> Location:
+        return Location("/".join([self.rstrip("/"), *filter(None, below.split("/"))]))
 
-def quote_identifier(identifier: str) -> str:
-    """SNK-4: back-tick one identifier part, doubling inner back-ticks."""
-    return "`" + identifier.replace("`", "``") + "`"
+    def on(self, day: date | str) -> Location:
+        """The raw zone's folder of one day, zero-padded (a bad date raises)."""
+        d = date.fromisoformat(day) if isinstance(day, str) else day
+        return self / f"year={d.year:04}/month={d.month:02}/day={d.day:02}"
 
 
-def table_name(database: str, table: str) -> str:
-    """SNK-4: ``database.table`` with each part quoted (hyphens allowed)."""
-    return ".".join(quote_identifier(p) for p in (database, table))
+def identifier(*parts: str) -> str:
+    """A dotted table name whose parts may hold any character."""
+    return ".".join("`{}`".format(p.replace("`", "``")) for p in parts)

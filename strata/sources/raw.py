@@ -7,20 +7,22 @@ Raw documents come in one of two layouts (D15):
 * ``lines``    - JSON Lines, one document per line. Splittable, so large
   files spread over many tasks.
 
-Reading a file in the wrong layout loses documents silently, so the layout is
-always explicit.
+The layout is always explicit, because Spark keeps only the first document of a
+file of several when it reads whole files. ``mixed_layout`` finds such files; the
+curation job refuses them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.schemas import CORRUPT_COL
+from strata.sources.paths import Location
 
 RAW_FORMATS = ("document", "lines")
 
@@ -49,24 +51,29 @@ def parse_documents(docs: DataFrame, schema: StructType, text_col: str = "docume
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], schema: StructType,
-             raw_format: str = "document", base_path: str | None = None,
-             source_file: bool = False) -> DataFrame:
+             raw_format: str = "document", source_file: bool = False) -> DataFrame:
     """SRC-1: read raw JSON documents with a declared schema (never inferred).
 
     With ``source_file`` a column of that name carries each row's file path
     (provenance, e.g. for quarantine). It is opt-in: once the file metadata is
     referenced, the scan carries the metadata columns for every file."""
     fmt = _check_format(raw_format)
-    reader = spark.read.schema(schema).options(**_json_options(schema))
+    # Every file below the path, whether producers land it in the day's folder or
+    # in an entity's below it; partition discovery would skip one of the two.
+    reader = spark.read.schema(schema).options(**_json_options(schema)).option("recursiveFileLookup", "true")
     if fmt == "document":
         reader = reader.option("multiLine", "true")
-    if base_path:
-        reader = reader.option("basePath", base_path)
     paths = [path] if isinstance(path, str) else list(path)
     df = reader.json(paths)
     return df.withColumn("source_file", F.col("_metadata.file_path")) if source_file else df
 
 
+def with_day_columns(raw: DataFrame) -> DataFrame:
+    """int ``year``, ``month`` and ``day`` of each document's folder."""
+    return raw.withColumns({c: F.regexp_extract(F.col("_metadata.file_path"), f"/{c}=([0-9]+)/", 1).try_cast("int")
+                            for c in ("year", "month", "day")})
+
+
 def _day_number(y: Column, m: Column, d: Column) -> Column:
     return y * 10000 + m * 100 + d
 
@@ -143,26 +150,47 @@ def _day_dirs_or_none(spark: SparkSession, base: str, start, end, padded: bool
     return day_dirs(spark, base, start, end, padded)
 
 
+def missing_days(base: str, dirs: Sequence[str], start: date | str, end: date | str | None) -> list[date]:
+    """Days of [start, end] that have no folder among ``dirs``."""
+    lo = _as_date(start)
+    hi = _as_date(end) if end is not None else lo
+    found = {"/".join(d.rstrip("/").split("/")[-3:]) for d in dirs}
+    days = [lo + timedelta(days=i) for i in range((hi - lo).days + 1)]
+    return [d for d in days if str(Location(base).on(d))[len(base) + 1:] not in found]
+
+
+def mixed_layout(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(path, documents): files that hold several one-line documents, of which
+    the ``document`` layout would keep only the first."""
+    paths = [path] if isinstance(path, str) else list(path)
+    line = spark.read.option("recursiveFileLookup", "true").text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    whole = line.where(F.col("value").rlike(r"^\{.*\}\s*$"))
+    return whole.groupBy("path").agg(F.count("*").alias("documents")).where("documents > 1")
+
+
 def read_raw_days(spark: SparkSession, raw_root: str, source: str, schema: StructType,
                   start: date | str, end: date | str | None = None,
-                  raw_format: str = "document", source_file: bool = False) -> DataFrame:
+                  raw_format: str = "document", source_file: bool = False,
+                  allow_missing: bool = False) -> DataFrame:
     """SRC-2 widened to a date range: only the day folders of [start, end]
-    under ``<root>/<source>`` are read (resolved by ``day_dirs``), with the
-    source folder as ``basePath`` so the zero-padded folder names still
-    become int ``year/month/day`` columns; the range predicate is kept as a
-    partition filter. No existing folder gives an empty frame."""
-    base = f"{raw_root.rstrip('/')}/{source}"
+    under ``<root>/<source>`` are listed and read (resolved by ``day_dirs``);
+    the zero-padded folder names become int ``year/month/day`` columns. Days without a folder raise FileNotFoundError, unless
+    ``allow_missing``, which reads the days that are there (none: empty)."""
+    base = Location(raw_root) / source
     dirs = _day_dirs_or_none(spark, base, start, end, padded=True)
     if dirs is None:  # no JVM gateway (e.g. a Spark Connect session): filter only
-        return read_raw(spark, base, schema, raw_format, source_file=source_file).where(
-            day_range_predicate(start, end))
+        raw = read_raw(spark, base, schema, raw_format, source_file=source_file)
+        return with_day_columns(raw).where(day_range_predicate(start, end))
+    missing = [] if allow_missing else missing_days(base, dirs, start, end)
+    if missing:
+        raise FileNotFoundError(f"no raw folder for {len(missing)} day(s) of {base}: "
+                                + ", ".join(str(Location(base).on(d))[len(base) + 1:] for d in missing[:5]))
     if not dirs:
         empty = spark.createDataFrame([], schema).withColumns({
             "year": F.lit(None).cast("int"), "month": F.lit(None).cast("int"),
             "day": F.lit(None).cast("int")})
         return empty.withColumn("source_file", F.lit(None).cast("string")) if source_file else empty
-    df = read_raw(spark, dirs, schema, raw_format, base_path=base, source_file=source_file)
-    return df.where(day_range_predicate(start, end))
+    return with_day_columns(read_raw(spark, dirs, schema, raw_format, source_file=source_file))
 
 
 def read_documents_text(spark: SparkSession, path: str | Sequence[str],
@@ -171,7 +199,7 @@ def read_documents_text(spark: SparkSession, path: str | Sequence[str],
     its ``path``; no schema is imposed (the validator parses to VARIANT)."""
     fmt = _check_format(raw_format)
     paths = [path] if isinstance(path, str) else list(path)
-    df = spark.read.text(paths, wholetext=(fmt == "document"))
+    df = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=(fmt == "document"))
     return df.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("document"))
 
 

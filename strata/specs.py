@@ -53,12 +53,9 @@ SOURCES: dict[str, SourceSpec] = {
 
 
 def get_spec(source_name: str) -> SourceSpec:
-    """API-2: case- and blank-insensitive lookup (strip + lower, SCL-10); the
-    error lists the supported sources, sorted."""
-    normalized = source_name.strip().lower()
-    try:
-        return SOURCES[normalized]
-    except KeyError:
-        supported = ", ".join(sorted(SOURCES))
-        raise ValueError(
-            f"Unsupported source '{source_name}'. Supported values: {supported}") from None
+    """API-2: the spec of a source, whatever the case and the blanks around its
+    name (SCL-10)."""
+    spec = SOURCES.get(source_name.strip().lower())
+    if spec is None:
+        raise ValueError(f"no source is called {source_name!r}; there are {sorted(SOURCES)}")
+    return spec

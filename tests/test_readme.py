@@ -19,7 +19,7 @@ def test_readme_examples(spark, tmp_dir):
               f"{tmp_dir}/raw", "traffic", "document")
     spec = get_spec("traffic")
     raw = read_raw_days(spark, f"{tmp_dir}/raw", "traffic", spec.raw_schema,
-                        "2026-04-01", "2026-04-30")
+                        "2026-04-01", "2026-04-30", allow_missing=True)
     write_curated(spec.curate(raw), path=f"{tmp_dir}/curated/traffic")
     assert spark.read.parquet(f"{tmp_dir}/curated/traffic").count() == 72
     texts = read_documents_text(spark, f"{tmp_dir}/raw/traffic").withColumn(

@@ -3,15 +3,16 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from strata.jobs import JobParams, run_curation
+from strata.jobs import JobParams, read_job_input, run_curation
 from strata.operators import curators
 from strata.plans.inspect import plan_text
 from strata.schemas import CORRUPT_COL, TRAFFIC_RAW
 from strata.sinks.curated import write_curated
 from strata.sinks.raw import write_raw
-from strata.sources.raw import read_curated, read_documents_text, read_raw, read_raw_days
+from strata.sources.raw import mixed_layout, read_curated, read_documents_text, read_raw, read_raw_days
 
 
 def _docs(spark, n_days=3, per_day=2):
@@ -34,31 +35,48 @@ def test_document_roundtrip_keeps_every_document(spark, tmp_dir):
     assert back.select("source_file").distinct().count() == 6
 
 
-def test_lines_roundtrip_and_wrong_layout_is_lossy(spark, tmp_dir):
+def test_lines_roundtrip_and_wrong_layout_is_found(spark, tmp_dir):
     docs = _docs(spark).withColumn("document", F.to_json(F.from_json("document", TRAFFIC_RAW)))
     docs = docs.coalesce(1)  # one file per day holding both documents
-    target = write_raw(docs, tmp_dir, "traffic", "lines")
+    target = write_raw(docs, tmp_dir, "traffic", "lines", by_entity=False)
     assert read_raw(spark, target, TRAFFIC_RAW, "lines").count() == 6
-    # Reading JSON Lines as multi-line documents silently keeps one per file.
-    lossy = read_raw(spark, target, TRAFFIC_RAW, "document")
-    assert lossy.where(F.size("records") > 0).count() == 3
+    # Read as whole documents, one of each file would be kept: the job refuses.
+    found = mixed_layout(spark, target).collect()
+    assert [r.documents for r in found] == [2, 2, 2]
+    params = JobParams.from_args(
+        ["job", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", tmp_dir, "--OUTPUT_PATH", f"{tmp_dir}/o",
+         "--INGEST_DATE", "2026-04-01", "--END_DATE", "2026-04-03"], env={})
+    with pytest.raises(ValueError, match="RAW_FORMAT"):
+        run_curation(spark, params, register_table=False)
+    whole = write_raw(_docs(spark), f"{tmp_dir}/w", "traffic", "document")
+    assert mixed_layout(spark, whole).count() == 0
 
 
-def test_rewriting_a_day_replaces_only_that_day(spark, tmp_dir):
+def test_rewriting_a_day_replaces_only_that_entity_and_day(spark, tmp_dir):
     write_raw(_docs(spark), tmp_dir, "traffic", "document")
     one = _docs(spark).where("ingest_date = '2026-04-02' AND entity = 'C0'")
+    one = one.withColumn("document", F.regexp_replace("document", "20", "77"))
     write_raw(one, tmp_dir, "traffic", "document")
-    back = read_raw(spark, f"{tmp_dir}/traffic", TRAFFIC_RAW, "document")
-    assert back.groupBy("day").count().orderBy("day").collect()[1]["count"] == 1
-    assert back.count() == 5
+    back = read_raw_days(spark, tmp_dir, "traffic", TRAFFIC_RAW, "2026-04-01", "2026-04-03")
+    assert back.groupBy("day").count().orderBy("day").collect()[1]["count"] == 2 and back.count() == 6
+
+
+def test_separate_landings_of_one_day_equal_one_landing(spark, tmp_dir):
+    docs = _docs(spark)
+    for layout in ("document", "lines"):
+        flat = docs.withColumn("document", F.to_json(F.from_json("document", TRAFFIC_RAW)))
+        for c in ("C0", "C1", "C0"):
+            write_raw(flat.where(F.col("entity") == c), f"{tmp_dir}/{layout}", "traffic", layout)
+        back = read_raw(spark, f"{tmp_dir}/{layout}/traffic", TRAFFIC_RAW, layout)
+        assert back.count() == 6
 
 
 def test_day_range_scan_prunes_partitions(spark, tmp_dir):
     write_raw(_docs(spark), tmp_dir, "traffic", "document")
     df = read_raw_days(spark, tmp_dir, "traffic", TRAFFIC_RAW, "2026-04-02", "2026-04-03")
     assert df.count() == 4
-    text = plan_text(df)
-    assert "PartitionFilters" in text and "year" in text.split("PartitionFilters")[1][:300]
+    assert len(df.inputFiles()) == 4 and not any("day=01" in f for f in df.inputFiles())
+    assert {(r.year, r.month, r.day) for r in df.collect()} == {(2026, 4, 2), (2026, 4, 3)}
 
 
 def test_day_dirs_lists_only_requested_days(spark, tmp_dir):
@@ -67,7 +85,11 @@ def test_day_dirs_lists_only_requested_days(spark, tmp_dir):
     dirs = day_dirs(spark, f"{tmp_dir}/traffic", "2026-03-30", "2026-04-02")
     assert [d.rsplit("/", 1)[-1] for d in dirs] == ["day=01", "day=02"]
     assert day_dirs(spark, f"{tmp_dir}/traffic", "2026-05-01", "2026-05-03") == []
-    empty = read_raw_days(spark, tmp_dir, "traffic", TRAFFIC_RAW, "2026-05-01", "2026-05-03")
+    with pytest.raises(FileNotFoundError, match="3 day"):
+        read_raw_days(spark, tmp_dir, "traffic", TRAFFIC_RAW, "2026-05-01", "2026-05-03")
+    with pytest.raises(FileNotFoundError, match="month=04/day=04"):
+        read_raw_days(spark, tmp_dir, "traffic", TRAFFIC_RAW, "2026-04-03", "2026-04-04")
+    empty = read_raw_days(spark, tmp_dir, "traffic", TRAFFIC_RAW, "2026-05-01", "2026-05-03", allow_missing=True)
     assert empty.count() == 0 and "records" in empty.columns
 
 
@@ -134,8 +156,10 @@ def test_run_curation_end_to_end_with_quarantine(spark, tmp_dir):
     assert (report["documents"], report["malformed_documents"]) == (3, 1)
     out = spark.read.parquet(report["output"])
     assert out.count() == 2 and report["output"] == f"{cur_root}/curated/traffic"
+    run_curation(spark, params, register_table=False)
     quarantined = spark.read.json(f"{report['output']}/_quarantine")
-    assert quarantined.count() == 1
+    assert quarantined.count() == 1  # a rerun replaces the day's
+    assert str(quarantined.first().ingest_date) == "2026-04-02"
     # the range form reads several days through partition pruning
     ranged = JobParams.from_args(
         ["job", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", raw_root, "--CURATED_BUCKET", cur_root,
@@ -144,14 +168,63 @@ def test_run_curation_end_to_end_with_quarantine(spark, tmp_dir):
     assert spark.read.parquet(report["output"]).count() == 6
 
 
-def test_partial_rerun_replaces_whole_partition_d6(spark, tmp_dir):
-    """D6 caveat: a run that holds only part of a day replaces that day."""
-    path = f"{tmp_dir}/curated"
-    write_curated(_curated(spark, ["2026-04-01", "2026-04-02"]), path=path)
-    partial = _curated(spark, ["2026-04-02"]).where("center_id = 'C0'")
-    write_curated(partial, path=path)
-    got = spark.read.parquet(path)
-    assert got.where("day = 2").count() == 1 and got.where("day = 1").count() == 2
+def _land(spark, root, day, stamps, entity="C0"):
+    doc = json.dumps({"records": [{"center_id": entity, "timestamp": t, "visitors_count": 1} for t in stamps]})
+    write_raw(spark.createDataFrame([(day, entity, doc)], "ingest_date string, entity string, document string"),
+              root, "traffic", "lines")
+
+
+def _run(spark, root, day, *more, table=False):
+    params = JobParams.from_args(
+        ["job", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", f"{root}/raw", "--CURATED_BUCKET", f"{root}/cur",
+         "--INGEST_DATE", day, "--RAW_FORMAT", "lines", *more], env={})
+    return run_curation(spark, params, register_table=table)
+
+
+def test_late_and_undated_rows_join_what_is_there(spark, tmp_dir):
+    _land(spark, f"{tmp_dir}/raw", "2026-04-21", [f"2026-04-21T{h:02d}:00:00" for h in range(24)] + ["junk"])
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", ["2026-04-22T01:00:00", "2026-04-21T23:00:00", "2026-04-21T22:30:00",
+                                                  "2026-04-23T00:00:00", "trash"])
+    assert _run(spark, tmp_dir, "2026-04-21")["rows_of_other_days"] == 1
+    report = _run(spark, tmp_dir, "2026-04-22")
+    report = _run(spark, tmp_dir, "2026-04-22")  # again: nothing doubles
+    rows = spark.read.parquet(report["output"])
+    assert {(r.day, r["count"]) for r in rows.groupBy("day").count().collect()} == {(21, 25), (22, 1), (23, 1), (None, 1)}
+
+
+def test_append_registers_over_a_folder_without_deleting(spark, tmp_dir):
+    _land(spark, f"{tmp_dir}/raw", "2026-04-20", ["2026-04-20T01:00:00"])
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", ["2026-04-22T01:00:00"])
+    _run(spark, tmp_dir, "2026-04-20")
+    report = _run(spark, tmp_dir, "2026-04-22", "--WRITE_MODE", "append", "--CURATED_DATABASE", "strata_w13", table=True)
+    assert sorted(r.day for r in spark.table(report["table"]).collect()) == [20, 22]
+    with pytest.raises(ValueError, match="lies at"):
+        _run(spark, tmp_dir, "2026-04-22", "--OUTPUT_PATH", f"{tmp_dir}/elsewhere", "--CURATED_DATABASE", "strata_w13",
+             table=True)
+    skipped = _run(spark, tmp_dir, "2026-04-22", "--WRITE_MODE", "ignore", "--CURATED_DATABASE", "strata_w13", table=True)
+    assert not skipped["written"] and spark.table(report["table"]).count() == 2
+    with pytest.raises(ValueError, match="already exists"):
+        _run(spark, tmp_dir, "2026-04-22", "--WRITE_MODE", "error", "--CURATED_DATABASE", "strata_w13", table=True)
+    spark.sql(f"DROP TABLE {report['table']}")
+
+
+def test_a_bare_bucket_means_the_same_place_everywhere(spark):
+    params = JobParams.from_args(
+        ["job", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", "landing", "--CURATED_BUCKET", "lake",
+         "--INGEST_DATE", "2026-04-20", "--END_DATE", "2026-04-21"], env={})
+    with pytest.raises(Exception, match='(?i)scheme "s3"|s3'):
+        read_job_input(spark, params)
+
+
+def test_absent_input_is_an_error(spark, tmp_dir):
+    with pytest.raises(Exception, match="(?i)path"):
+        _run(spark, tmp_dir, "2026-04-20")
+
+
+def test_explicit_input_path(spark, tmp_dir):
+    _land(spark, f"{tmp_dir}/raw", "2026-04-20", ["2026-04-20T01:00:00", "2026-03-01T01:00:00"])
+    report = _run(spark, tmp_dir, "2026-04-20", "--INPUT_PATH", f"{tmp_dir}/raw/traffic/year=2026/month=04/day=20")
+    assert spark.read.parquet(report["output"]).count() == 2
 
 
 def test_session_pins_utc_d8():
