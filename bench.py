@@ -53,7 +53,7 @@ def land_raw_zone(spark, sf_dir: str) -> dict:
                 "holidays": payloads.holidays_documents, "flights": payloads.flights_raw_documents}
     queries = {}
     for source, build in builders.items():
-        target = write_raw(build(spark, sf_dir), root, source, "lines")
+        target = write_raw(build(spark, sf_dir), root, source, "lines", by_entity=False)
         spec = get_spec(source)
         queries[f"{source}_from_landed"] = (
             lambda t=target, sp=spec: sp.curate(read_raw(spark, t, sp.raw_schema, "lines")))

@@ -42,7 +42,7 @@ def main() -> None:
     recs = recs.withColumn("record", F.when(
         hot, F.col("record").withField("center_id", F.lit("HOT"))
         .withField("timestamp", F.lit("2024-01-01T10:00:00"))).otherwise(F.col("record")))
-    docs = traffic_envelope(recs, part_col="part")
+    docs = traffic_envelope(recs)
     out = curators.curate_traffic(parse_documents(docs, TRAFFIC_RAW))
     out.write.format("noop").mode("overwrite").save()
     n, n_hot = recs.count(), recs.where(F.col("record.center_id") == "HOT").count()

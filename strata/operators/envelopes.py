@@ -3,15 +3,12 @@
 Upstream payloads become tagged raw documents, for any number of entities and
 days at once. Output of every envelope: one row per document with
 
-    source, ingest_date (text), entity, part, total_records, object_key, document
+    source, ingest_date (text), entity, total_records, object_key, document
 
 where ``document`` is the JSON text that lands in the raw zone.
 
-Documents are groups, and a group must not grow with the data. Every builder
-therefore takes an optional ``part`` column: documents are formed per
-(entity, day, part). The caller derives ``part`` from a unique record number
-(``id div block``), which caps a document at ``block`` records however hot an
-entity-day is.
+A document is one entity's day: a group holds what one raw object holds, and
+grows with the number of records of an entity-day alone.
 """
 
 from __future__ import annotations
@@ -25,38 +22,20 @@ from pyspark.sql.types import ArrayType
 from strata.functions.calendar import iso_date_text
 from strata.functions.casts import array_length
 
-DOC_COLUMNS = ("source", "ingest_date", "entity", "part", "total_records", "object_key", "document")
+DOC_COLUMNS = ("source", "ingest_date", "entity", "total_records", "object_key", "document")
 
 # --- fixed values: default raw file names (the <file> part of SNK-7 keys) ---
 WEATHER_DOCUMENT_NAME = "open-meteo"
 FLIGHTS_AREA_NAME = "Madrid"
 
 
-def document_part(record_id: Column | str, records_per_document: int) -> Column:
-    """Part number of a record's document: ``record_id div records_per_document``.
-
-    With a unique integer ``record_id``, at most ``records_per_document``
-    records share a part, so grouping by (entity, day, part) bounds every
-    document - and every group and task building one - however hot an
-    entity-day is."""
-    if records_per_document < 1:
-        raise ValueError("records_per_document must be positive")
-    rid = F.col(record_id) if isinstance(record_id, str) else record_id
-    # integral division: exact for any long (a double quotient is not above 2^53)
-    return F.call_function("div", rid.cast("long"), F.lit(records_per_document).cast("long"))
-
-
 def record_count(array_col: Column | str) -> Column:
     """AGG-1: length of a record array; a NULL or missing array counts 0."""
     return F.coalesce(array_length(array_col), F.lit(0))
 
 
-def raw_object_key(source: Column | str, day: Column | str, entity: Column | str,
-                   part: Column | None = None) -> Column:
-    """SNK-7 (``source`` text is a literal name, ``day``/``entity`` text are column names): ``<source>/year=YYYY/month=MM/day=DD/<entity>.json`` (zero-padded).
-
-    With a ``part`` the file name becomes ``<entity>-<part>.json`` so split
-    documents of one entity-day keep distinct keys."""
+def raw_object_key(source: Column | str, day: Column | str, entity: Column | str) -> Column:
+    """SNK-7 (``source`` text is a literal name, ``day``/``entity`` text are column names): ``<source>/year=YYYY/month=MM/day=DD/<entity>.json`` (zero-padded)."""
     src = F.lit(source) if isinstance(source, str) else source
     d = F.col(day) if isinstance(day, str) else day
     d = d.cast("date")
@@ -64,41 +43,33 @@ def raw_object_key(source: Column | str, day: Column | str, entity: Column | str
     parts = [src, F.lit("/year="), F.lpad(F.year(d).cast("string"), 4, "0"),
              F.lit("/month="), F.lpad(F.month(d).cast("string"), 2, "0"),
              F.lit("/day="), F.lpad(F.dayofmonth(d).cast("string"), 2, "0"), F.lit("/"), ent]
-    if part is not None:
-        parts += [F.lit("-"), part.cast("string")]
     return F.concat(*parts, F.lit(".json"))
 
 
-def _finish(docs: DataFrame, source: str, payload_json: Column, with_part: bool) -> DataFrame:
-    part = F.col("part") if with_part else F.lit(None).cast("long")
+def _finish(docs: DataFrame, source: str, payload_json: Column) -> DataFrame:
     return docs.select(
         F.lit(source).alias("source"),
         iso_date_text("ingest_date").alias("ingest_date"),
         F.col("entity").cast("string").alias("entity"),
-        part.alias("part"),
         F.col("total_records").cast("int").alias("total_records"),
-        raw_object_key(F.lit(source), "ingest_date", "entity",
-                       F.col("part") if with_part else None).alias("object_key"),
+        raw_object_key(F.lit(source), "ingest_date", "entity").alias("object_key"),
         payload_json.alias("document"),
     )
 
 
 def traffic_envelope(records: DataFrame, record_col: str = "record", entity_col: str = "entity",
-                     date_col: str = "ingest_date", part_col: str | None = None) -> DataFrame:
+                     date_col: str = "ingest_date") -> DataFrame:
     """ENV-1: group traffic records into ``{records, total_records}`` documents,
-    one per (entity, day[, part]); no source tags are added."""
+    one per (entity, day); no source tags are added."""
     keys = [F.col(entity_col).alias("entity"), F.col(date_col).cast("date").alias("ingest_date")]
-    if part_col:
-        keys.append(F.col(part_col).cast("long").alias("part"))
     docs = records.groupBy(*keys).agg(F.collect_list(record_col).alias("records"))
     docs = docs.withColumn("total_records", record_count("records"))
     payload = F.to_json(F.struct("records", "total_records"))
-    return _finish(docs, "traffic", payload, bool(part_col))
+    return _finish(docs, "traffic", payload)
 
 
 def weather_envelope(upstream: DataFrame, date_col: str = "ingest_date",
-                     entity: str = WEATHER_DOCUMENT_NAME, part_col: str | None = None
-                     ) -> DataFrame:
+                     entity: str = WEATHER_DOCUMENT_NAME) -> DataFrame:
     """ENV-2: tag an hourly weather payload with ``source``, ``ingest_date`` and
     ``total_records`` = number of hourly times (0 when missing). A carried
     ``timezone`` is trimmed (D9)."""
@@ -108,13 +79,11 @@ def weather_envelope(upstream: DataFrame, date_col: str = "ingest_date",
         "total_records": record_count("hourly.time"),
         "entity": F.lit(entity),
     })
-    if part_col:
-        docs = docs.withColumn("part", F.col(part_col).cast("long"))
     payload = F.to_json(F.struct(
         "latitude", "longitude", "timezone", "hourly",
         F.lit("weather").alias("source"), iso_date_text("ingest_date").alias("ingest_date"),
         "total_records"))
-    return _finish(docs, "weather", payload, bool(part_col))
+    return _finish(docs, "weather", payload)
 
 
 def holidays_on_day(holidays: Column | str, day_text: Column | str) -> Column:
@@ -125,46 +94,38 @@ def holidays_on_day(holidays: Column | str, day_text: Column | str) -> Column:
     return F.filter(h, lambda rec: F.coalesce(rec["date"] == d, F.lit(False)))
 
 
-def holidays_envelope(upstream: DataFrame, requests: DataFrame,
-                      part_col: str | None = None) -> DataFrame:
+def holidays_envelope(upstream: DataFrame, requests: DataFrame) -> DataFrame:
     """ENV-3: for every ingest request (country_code, ingest_date) build
     ``{source, country_code, ingest_date, total_records, holidays}`` with the
     upstream holidays of that exact day (FLT-1).
 
-    ``upstream`` holds bare lists (country_code, holidays[, part]); they are
-    exploded and matched to the requests by an equi-join on (country, date
-    text), so no list is replicated per requested day. Skew-safe shape:
-
-    * an INNER join (AQE may split a hot key on either side),
-    * an exchange on (country, day, part) before grouping, so one hot day
-      spreads over its parts and the join above stays splittable,
-    * requests without any holiday come from a LEFT ANTI join against the
-      *distinct* record keys (a hot key collapses to one row map-side) and
-      get an empty document with ``total_records`` 0.
+    ``upstream`` holds bare lists (country_code, holidays); they are exploded
+    and matched to the requests by an equi-join on (country, date text), so no
+    list is replicated per requested day. An INNER join, which adaptive
+    execution may split on a hot key, gives the days with holidays; requests
+    without any come from a LEFT ANTI join against those days' keys, one row
+    each, and get an empty document with ``total_records`` 0.
     """
-    carried = [F.col(part_col).alias("part")] if part_col else [F.lit(0).cast("long").alias("part")]
     recs = upstream.select(F.col("country_code").alias("rec_country"),
-                           F.explode("holidays").alias("holiday"), *carried)
+                           F.explode("holidays").alias("holiday"))
     recs = recs.withColumn("rec_day", F.col("holiday.date"))
     # a repeated request is one document (same key), not duplicated records
     req = requests.select("country_code", F.col("ingest_date").cast("date").alias("ingest_date")
                           ).dropDuplicates(["country_code", "ingest_date"])
     req = req.withColumn("req_day", iso_date_text("ingest_date"))
     on = (F.col("country_code") == F.col("rec_country")) & (F.col("req_day") == F.col("rec_day"))
-    matched = req.join(recs, on, "inner").repartition("country_code", "req_day", "part")
-    keys = ["country_code", "req_day", "ingest_date", "part"]
-    full = matched.groupBy(*keys).agg(F.collect_list("holiday").alias("holidays"))
-    seen = recs.select("rec_country", "rec_day").distinct()
+    keys = ["country_code", "req_day", "ingest_date"]
+    full = req.join(recs, on, "inner").groupBy(*keys).agg(F.collect_list("holiday").alias("holidays"))
+    seen = full.select(F.col("country_code").alias("rec_country"), F.col("req_day").alias("rec_day"))
     empty = req.join(seen, on, "left_anti").select(
-        *keys[:3], F.lit(0).cast("long").alias("part"),
-        F.array().cast(ArrayType(recs.schema["holiday"].dataType)).alias("holidays"))
+        *keys, F.array().cast(ArrayType(recs.schema["holiday"].dataType)).alias("holidays"))
     docs = full.unionByName(empty)
     docs = docs.withColumns({"total_records": record_count("holidays"),
                              "entity": F.col("country_code")})
     payload = F.to_json(F.struct(
         F.lit("holidays").alias("source"), "country_code",
         iso_date_text("ingest_date").alias("ingest_date"), "total_records", "holidays"))
-    return _finish(docs, "holidays", payload, bool(part_col))
+    return _finish(docs, "holidays", payload)
 
 
 def snapshot_seconds(as_of: datetime | str) -> int:
@@ -178,7 +139,7 @@ def snapshot_seconds(as_of: datetime | str) -> int:
 
 
 def flights_envelope(upstream: DataFrame, as_of: datetime | str, date_col: str = "ingest_date",
-                     entity: str = FLIGHTS_AREA_NAME, part_col: str | None = None,
+                     entity: str = FLIGHTS_AREA_NAME,
                      states_col: str = "states_json", time_col: str = "time") -> DataFrame:
     """ENV-4: tag a state-vector payload with ``source``, ``ingest_date``,
     ``snapshot_time`` (ENV-5) and ``total_records`` = number of states
@@ -192,8 +153,6 @@ def flights_envelope(upstream: DataFrame, as_of: datetime | str, date_col: str =
         "total_records": F.coalesce(F.json_array_length(F.col(states_col)), F.lit(0)),
         "entity": F.lit(entity),
     })
-    if part_col:
-        docs = docs.withColumn("part", F.col(part_col).cast("long"))
     snap = snapshot_seconds(as_of)
     payload = F.concat(
         F.lit('{"time":'), F.coalesce(F.col(time_col).cast("string"), F.lit("null")),
@@ -201,4 +160,4 @@ def flights_envelope(upstream: DataFrame, as_of: datetime | str, date_col: str =
         F.lit(',"source":"flights","ingest_date":"'), iso_date_text("ingest_date"),
         F.lit(f'","snapshot_time":{snap},"total_records":'), F.col("total_records").cast("string"),
         F.lit("}"))
-    return _finish(docs, "flights", payload, bool(part_col))
+    return _finish(docs, "flights", payload)

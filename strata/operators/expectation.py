@@ -133,10 +133,10 @@ def check_range(start: date | str, end: date | str) -> None:
     s = date.fromisoformat(start) if isinstance(start, str) else start
     e = date.fromisoformat(end) if isinstance(end, str) else end
     if s > e:
-        raise ValueError("'from' date must be before or equal to 'to' date")
+        raise ValueError(_REVERSED)
 
 
-_REVERSED = "'from' date must be before or equal to 'to' date"
+_REVERSED = "the range ends before it starts"
 
 
 def day_spine(ranges: DataFrame, center_col: str = "center_id", from_col: str = "from_date",
@@ -173,16 +173,6 @@ def hourly_spine(ranges: DataFrame, center_col: str = "center_id", from_col: str
     return spine.select("center_id", "event_timestamp", "event_date", "hour", "day_of_week")
 
 
-def _spread_days(days: DataFrame) -> DataFrame:
-    """Hash-partition the day spine into ``spark.sql.shuffle.partitions``
-    parts before a day-grain join. The day rows are few and small, so adaptive
-    execution would coalesce them into very few tasks - and each day row is
-    then expanded 24x with the model evaluated per hour. An explicit count is
-    not coalesced, and the join reuses this partitioning."""
-    n = int(days.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return days.repartition(n, "center_id", "event_date")
-
-
 def _observed_by_day(observed: DataFrame, value: Column, keys: tuple[str, str]) -> DataFrame:
     """Observed records folded to one row per (centre, day) holding at most 24
     hour entries. Only timestamps exactly on the hour can match a spine hour,
@@ -206,10 +196,11 @@ def missing_hours(ranges: DataFrame, observed: DataFrame,
     centre-day are folded into a set, joined to the day spine (unique keys on
     both sides, 24x fewer rows than the hourly spine), and only the missing
     hours are generated - the hourly spine is never shuffled."""
-    days = _spread_days(day_spine(ranges, center_col, from_col, to_col))
+    days = day_spine(ranges, center_col, from_col, to_col)
     seen = _observed_by_day(observed, F.collect_set(F.hour(F.col(keys[1]).cast("timestamp_ntz"))),
                             keys)
-    joined = days.join(seen, ["center_id", "event_date"], "left")
+    # rebalanced after the join, before each day row becomes up to 24 hours
+    joined = days.join(seen, ["center_id", "event_date"], "left").hint("rebalance")
     all_hours = F.sequence(F.lit(0), F.lit(fx.HOURS_PER_DAY - 1))
     gaps = F.array_except(all_hours, F.coalesce(F.col("seen"), F.array().cast("array<int>")))
     out = _hours(joined.withColumn("__gaps", gaps).drop("seen"), F.col("__gaps"))
@@ -226,13 +217,14 @@ def attach_observed(ranges: DataFrame, observed: DataFrame, columns: tuple[str,
     Same shape as ``missing_hours``: per centre-day a map hour -> observed
     values (at most 24 entries; ``observed`` must be unique per timestamp,
     as a curated table is), a day-grain join, then the hourly expansion."""
-    days = _spread_days(day_spine(ranges, center_col, from_col, to_col))
+    days = day_spine(ranges, center_col, from_col, to_col)
     entry = F.struct(*[F.col(c) for c in columns])
     seen = _observed_by_day(
         observed,
         F.map_from_entries(F.collect_list(F.struct(
             F.hour(F.col(keys[1]).cast("timestamp_ntz")), entry))), keys)
-    joined = days.join(seen, ["center_id", "event_date"], "left")
+    # rebalanced after the join, before each day row becomes up to 24 hours
+    joined = days.join(seen, ["center_id", "event_date"], "left").hint("rebalance")
     spine = _hours(joined)
     found = F.element_at(F.col("seen"), F.col("hour"))
     return spine.select("center_id", "event_timestamp", "event_date", "hour", "day_of_week",

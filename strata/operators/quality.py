@@ -60,18 +60,20 @@ class Rule:
 
 
 # Expected values of the standard rules when none are given: 24 hourly
-# records per traffic or weather document, at least one flight state.
-STANDARD_EXPECTED = {"traffic": 24, "weather": 24, "flights": 1, "holidays": 0}
+# records per traffic or weather document, at least one flight state. How many
+# holidays a day has depends on the country and the day, so there is no default.
+STANDARD_EXPECTED = {"traffic": 24, "weather": 24, "flights": 1}
 
 
 def standard_rules(expected: dict[str, int] | None = None) -> list[Rule]:
     """DQ-8: the standard rule of every registered source - traffic counts
     ``records``, weather counts ``hourly.time``, flights needs at least
-    ``expected`` ``states``, holidays checks the ``total_records`` value."""
+    ``expected`` ``states``, holidays checks the ``total_records`` value and has
+    a rule only where ``expected`` names it."""
     from strata.specs import SOURCES
 
     e = {**STANDARD_EXPECTED, **(expected or {})}
-    return [Rule(e[name], spec.rule_path, spec.rule_mode, name) for name, spec in SOURCES.items()]
+    return [Rule(e[name], spec.rule_path, spec.rule_mode, name) for name, spec in SOURCES.items() if name in e]
 
 
 def _path(segments: Sequence[str]) -> str:
@@ -86,46 +88,48 @@ def _segments(rule: Rule) -> tuple[str, ...]:
 class _Facts:
     """Column names of the per-document facts the rules read.
 
-    Every distinct path prefix is extracted once (``prefix``), and for every
-    distinct leaf path the list length and integer value are derived once
-    (``length``, ``integer``). The rules then only compare columns."""
+    Every distinct path prefix is extracted once (``prefix``) and tested once
+    for being an object (``object``); the list length and integer value of a
+    leaf are derived once, for the leaves whose rules ask for them (``length``,
+    ``integer``). The rules then only compare columns."""
 
     def __init__(self, rules: Sequence[Rule]):
         prefixes: set[tuple[str, ...]] = set()
-        leaves: set[tuple[str, ...]] = set()
+        parents: set[tuple[str, ...]] = set()
+        counted: set[tuple[str, ...]] = set()
+        valued: set[tuple[str, ...]] = set()
         for r in rules:
-            segs = _segments(r)
+            segs, mode = _segments(r), r.mode.strip().lower()
+            parents.update(segs[:i] for i in range(len(segs)))
             for i in range(1, len(segs) + 1):
                 prefixes.add(segs[:i])
-            if segs:
-                leaves.add(segs)
+            if segs and mode in ("count", "gte"):
+                counted.add(segs)
+            if segs and mode in ("value", "gte"):
+                valued.add(segs)
         self.prefix = {p: f"__p{i}" for i, p in enumerate(sorted(prefixes))}
         self.prefix[()] = "__v"
-        self.leaves = sorted(leaves)
-        self.length = {p: f"__n{i}" for i, p in enumerate(self.leaves)}
-        self.integer = {p: f"__i{i}" for i, p in enumerate(self.leaves)}
+        self.object = {p: f"__o{i}" for i, p in enumerate(sorted(parents))}
+        self.length = {p: f"__n{i}" for i, p in enumerate(sorted(counted))}
+        self.integer = {p: f"__i{i}" for i, p in enumerate(sorted(valued))}
 
     def extract(self, parsed: DataFrame) -> DataFrame:
         v = F.col("__v")
         values = [F.try_variant_get(v, _path(p), "variant").alias(name)
                   for p, name in self.prefix.items() if p]
         with_values = parsed.select("*", *values)
-        facts = []
-        for p in self.leaves:
-            leaf = F.col(self.prefix[p])
-            items = F.try_variant_get(leaf, "$", "array<variant>")
-            facts.append(array_length(items).cast("long").alias(self.length[p]))
-        with_lengths = with_values.select("*", *facts)
+        objects = [_is_object(F.col(self.prefix[p])).alias(name) for p, name in self.object.items()]
+        lengths = [array_length(F.try_variant_get(F.col(self.prefix[p]), "$", "array<variant>")).cast("long").alias(name)
+                   for p, name in self.length.items()]
         ints = []
-        for p in self.leaves:
+        for p, name in self.integer.items():
             leaf = F.col(self.prefix[p])
-            # Only scalars are typed: lists and objects are ruled out first (And
-            # short-circuits), so schema_of_variant never walks a large value.
+            # Only scalars are typed: objects and lists with elements are ruled out
+            # first (And short-circuits), so schema_of_variant never walks a large value.
+            scalar = ~_is_object(leaf) & F.try_variant_get(leaf, "$[0]", "variant").isNull()
             is_int = F.schema_of_variant(leaf).isin(*INTEGER_TYPES)
-            scalar = F.col(self.length[p]).isNull() & ~_is_object(leaf)
-            ints.append(F.when(scalar & is_int,
-                               F.try_variant_get(leaf, "$", "bigint")).alias(self.integer[p]))
-        return with_lengths.select("*", *ints)
+            ints.append(F.when(scalar & is_int, F.try_variant_get(leaf, "$", "bigint")).alias(name))
+        return with_values.select("*", *objects, *lengths, *ints)
 
 
 def _is_object(v: Column) -> Column:
@@ -144,19 +148,17 @@ def _check(rule: Rule, facts: _Facts) -> Column:
         err = err.when(F.lit(True), F.lit(EMPTY_PATH))
     else:
         for i in range(len(segments)):
-            parent = F.col(facts.prefix[segments[:i]])
-            err = err.when(~_is_object(parent), F.lit(NOT_OBJECT))
+            err = err.when(~F.col(facts.object[segments[:i]]), F.lit(NOT_OBJECT))
             err = err.when(F.col(facts.prefix[segments[: i + 1]]).isNull(), F.lit(MISSING_FIELD))
-        length, integer = F.col(facts.length[segments]), F.col(facts.integer[segments])
         if mode not in MODES:
             err = err.when(F.lit(True), F.lit(BAD_MODE))
         else:
             if mode == "value":
-                actual = integer
+                actual = F.col(facts.integer[segments])
             elif mode == "count":
-                actual = length
+                actual = F.col(facts.length[segments])
             else:
-                actual = F.coalesce(length, integer)
+                actual = F.coalesce(F.col(facts.length[segments]), F.col(facts.integer[segments]))
             expected = F.lit(rule.expected).cast("long")
             err = err.when(actual.isNull(), F.lit(TYPE_MISMATCH))
             if mode == "gte":

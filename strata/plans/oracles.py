@@ -10,9 +10,6 @@ sides; integer truncation uses ``trunc``.
 
 from __future__ import annotations
 
-from strata.functions import factors as fx
-
-DOC_BLOCK = 4096
 
 # -- traffic ------------------------------------------------------------------
 
@@ -68,11 +65,11 @@ SELECT {_TRAFFIC_COLS} FROM ranked WHERE rn = 1
 
 _WEATHER_REC = f"""
 ev AS (
-  SELECT *, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part,
+  SELECT *, CAST(ts AS DATE) AS d,
          CAST(json_extract(props, '$.k') AS INTEGER) AS k
   FROM events),
 doc AS (
-  SELECT user_id, d, part, max(event_id) AS last_id FROM ev GROUP BY user_id, d, part),
+  SELECT user_id, d, max(event_id) AS last_id FROM ev GROUP BY user_id, d),
 weather_rec AS (
   SELECT date_trunc('hour', ev.ts) AS event_timestamp,
          CAST(ev.ts AS DATE) AS event_date,
@@ -83,7 +80,7 @@ weather_rec AS (
          40.0::DOUBLE + CAST(ev.user_id AS DOUBLE) / 1000.0::DOUBLE AS latitude,
          -3.0::DOUBLE - CAST(ev.user_id AS DOUBLE) / 1000.0::DOUBLE AS longitude,
          'Europe/Madrid' AS timezone
-  FROM ev JOIN doc ON ev.user_id = doc.user_id AND ev.d = doc.d AND ev.part = doc.part)"""
+  FROM ev JOIN doc ON ev.user_id = doc.user_id AND ev.d = doc.d)"""
 
 _WEATHER_COLS = ("event_timestamp, event_date, temperature_c, precipitation_mm, wind_speed_kmh, "
                  "weather_code, latitude, longitude, timezone")
@@ -208,21 +205,21 @@ WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'
 _DQ = f"""
 WITH tdoc AS (
   SELECT 'traffic' AS source,
-         printf('traffic/year=%04d/month=%02d/day=%02d/C%d-%d.json', year(d), month(d), day(d), user_id, part) AS document,
+         printf('traffic/year=%04d/month=%02d/day=%02d/C%d.json', year(d), month(d), day(d), user_id) AS document,
          user_id % 10 AS shape, n
-  FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+  FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n
         FROM events GROUP BY ALL)),
 wdoc AS (
   SELECT 'weather' AS source,
-         printf('weather/year=%04d/month=%02d/day=%02d/L%d-%d.json', year(d), month(d), day(d), user_id, part) AS document,
+         printf('weather/year=%04d/month=%02d/day=%02d/L%d.json', year(d), month(d), day(d), user_id) AS document,
          user_id % 10 AS shape, n
-  FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+  FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n
         FROM events GROUP BY ALL)),
 fdoc AS (
   SELECT 'flights' AS source,
-         printf('flights/year=%04d/month=%02d/day=%02d/Madrid-%d.json', year(d), month(d), day(d), part) AS document,
+         printf('flights/year=%04d/month=%02d/day=%02d/Madrid.json', year(d), month(d), day(d)) AS document,
          -1 AS shape, n
-  FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_orderkey // {DOC_BLOCK} AS part, count(*) AS n
+  FROM (SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS n
         FROM lineitem GROUP BY ALL)),
 docs AS (SELECT * FROM tdoc UNION ALL SELECT * FROM wdoc UNION ALL SELECT * FROM fdoc),
 rules(rule_id, source, field_path, mode, expected) AS (VALUES
@@ -234,7 +231,7 @@ rules(rule_id, source, field_path, mode, expected) AS (VALUES
   (10, 'weather', 'total_records', 'value', 2),
   (11, 'flights', 'states', 'gte', 1), (12, 'flights', 'total_records', 'value', 10)),
 pre AS (
-  SELECT d.source, d.document, r.field_path, r.mode, CAST(r.expected AS BIGINT) AS expected, r.rule_id,
+  SELECT d.source, d.document, d.n, r.field_path, r.mode, CAST(r.expected AS BIGINT) AS expected, r.rule_id,
     CASE
       WHEN d.source = 'traffic' AND d.shape = 8 THEN 'MALFORMED_JSON'
       WHEN r.rule_id = 4 THEN 'EMPTY_PATH'
@@ -250,8 +247,7 @@ pre AS (
     END AS pre_error
   FROM docs d JOIN rules r ON d.source = r.source),
 judged AS (
-  SELECT p.*, CASE WHEN pre_error IS NULL THEN CAST(d.n AS BIGINT) END AS actual
-  FROM pre p JOIN docs d ON p.source = d.source AND p.document = d.document)
+  SELECT *, CASE WHEN pre_error IS NULL THEN CAST(n AS BIGINT) END AS actual FROM pre)
 SELECT source, document, field_path, mode, expected, actual,
        CASE WHEN error_class IS NULL THEN 'PASS' ELSE 'FAIL' END AS status, error_class
 FROM (SELECT *, COALESCE(pre_error,
@@ -271,7 +267,7 @@ SELECT 'traffic' AS source, 'records' AS field_path, 'count' AS mode, CAST(24 AS
        CAST(n AS BIGINT) AS actual,
        CASE WHEN n = 24 THEN 'PASS' ELSE 'FAIL' END AS status,
        CASE WHEN n = 24 THEN NULL ELSE 'COUNT_MISMATCH' END AS error_class
-FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n
       FROM events GROUP BY ALL)
 """
 
@@ -283,13 +279,13 @@ GROUP BY source, field_path, mode, status, error_class
 
 # -- envelopes ----------------------------------------------------------------
 
-_KEY = "printf('%s/year=%04d/month=%02d/day=%02d/%s-%d.json', {src}, year(d), month(d), day(d), {ent}, part)"
+_KEY = "printf('%s/year=%04d/month=%02d/day=%02d/%s.json', {src}, year(d), month(d), day(d), {ent})"
 
 ENVELOPE_TRAFFIC = f"""
-SELECT 'traffic' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'C' || user_id AS entity, part,
+SELECT 'traffic' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'C' || user_id AS entity,
        CAST(n AS INTEGER) AS total_records,
        {_KEY.format(src="'traffic'", ent="'C' || user_id")} AS object_key
-FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n
       FROM events GROUP BY ALL)
 """
 
@@ -301,12 +297,12 @@ FROM events
 """
 
 ENVELOPE_WEATHER = f"""
-SELECT 'weather' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'open-meteo' AS entity, part,
+SELECT 'weather' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'open-meteo' AS entity,
        CAST(n AS INTEGER) AS total_records,
        {_KEY.format(src="'weather'", ent="'open-meteo'")} AS object_key,
        'Europe/Madrid' AS timezone,
        40.0::DOUBLE + CAST(user_id AS DOUBLE) / 1000.0::DOUBLE AS latitude
-FROM (SELECT user_id, CAST(ts AS DATE) AS d, event_id // {DOC_BLOCK} AS part, count(*) AS n
+FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n
       FROM events GROUP BY ALL)
 """
 
@@ -317,34 +313,38 @@ WITH req AS (
         UNION ALL
         SELECT o_orderstatus, CAST(o_orderdate AS DATE) + 1 FROM orders)),
 rec AS (
-  SELECT o_orderstatus AS country_code, CAST(o_orderdate AS DATE) AS day, o_orderkey // {DOC_BLOCK} AS part
+  SELECT o_orderstatus AS country_code, CAST(o_orderdate AS DATE) AS day
   FROM orders WHERE o_orderpriority <> '5-LOW'),
 matched AS (
-  SELECT req.country_code, req.ingest_day AS d, COALESCE(rec.part, 0) AS part,
+  SELECT req.country_code, req.ingest_day AS d,
          count(rec.day) AS n
   FROM req LEFT JOIN rec ON req.country_code = rec.country_code AND req.ingest_day = rec.day
   GROUP BY ALL)
 SELECT 'holidays' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, country_code AS entity,
-       CAST(part AS BIGINT) AS part, CAST(n AS INTEGER) AS total_records,
+       CAST(n AS INTEGER) AS total_records,
        {_KEY.format(src="'holidays'", ent="country_code")} AS object_key,
        country_code, CAST(n AS BIGINT) AS matching_records
 FROM matched
 """
 
 ENVELOPE_FLIGHTS = f"""
-SELECT 'flights' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'Madrid' AS entity, part,
+SELECT 'flights' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'Madrid' AS entity,
        CAST(n AS INTEGER) AS total_records,
        {_KEY.format(src="'flights'", ent="'Madrid'")} AS object_key,
        CAST(epoch(TIMESTAMP '2026-04-22 10:00:00') AS BIGINT) AS snapshot_time,
        CAST(n AS INTEGER) AS states
-FROM (SELECT CAST(l_shipdate AS DATE) AS d, l_orderkey // {DOC_BLOCK} AS part, count(*) AS n
+FROM (SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS n
       FROM lineitem GROUP BY ALL)
 """
 
 # -- expectation model ----------------------------------------------------------
 
-def _dlist(values) -> str:
-    return "[" + ", ".join(repr(float(v)) for v in values) + "]::DOUBLE[]"
+# Fixed values of the model, stated again here so that a wrong constant in the
+# library can't agree with itself.
+_BASE = ("[50, 30, 20, 15, 15, 20, 50, 150, 400, 700, 900, 1100, "
+         "1200, 1100, 950, 850, 900, 1100, 1200, 1000, 700, 400, 150, 80]")
+_WEEKDAY = "[0.7, 0.75, 0.8, 0.85, 1.1, 1.5, 1.3]::DOUBLE[]"
+_MONTH = "[0.6, 0.65, 0.8, 0.85, 0.9, 0.85, 0.7, 0.65, 0.85, 0.9, 1.1, 1.4]::DOUBLE[]"
 
 
 _SPINE = """
@@ -362,14 +362,14 @@ spine AS (
 
 def _model(ts: str, cond: str, temp: str, hol: str) -> str:
     """The untruncated expectation as a DuckDB expression."""
-    b0 = f"CAST(list_extract({list(fx.HOURLY_BASE)}, hour({ts}) + 1) AS DOUBLE)"
-    b1 = f"({b0} * list_extract({_dlist(fx.WEEKDAY_FACTOR)}, isodow({ts})))"
-    b2 = f"({b1} * list_extract({_dlist(fx.MONTH_FACTOR)}, month({ts})))"
-    b3 = (f"(CASE WHEN {cond} = '{fx.HEAVY_RAIN}' THEN {b2} - {b2} * {fx.HEAVY_RAIN_CUT}::DOUBLE "
-          f"WHEN {temp} > {fx.HEAT_LIMIT_C} THEN {b2} - {b2} * {fx.HEAT_CUT}::DOUBLE ELSE {b2} END)")
-    closed = " OR ".join(f"(month({ts}) = {m} AND day({ts}) = {d})" for m, d in fx.CLOSED_DAYS)
-    return (f"(CASE WHEN {closed} THEN {b3} * {fx.CLOSED_DAY_FACTOR}::DOUBLE "
-            f"WHEN {hol} THEN {b3} * {fx.HOLIDAY_FACTOR}::DOUBLE ELSE {b3} END)")
+    b0 = f"CAST(list_extract({_BASE}, hour({ts}) + 1) AS DOUBLE)"
+    b1 = f"({b0} * list_extract({_WEEKDAY}, isodow({ts})))"
+    b2 = f"({b1} * list_extract({_MONTH}, month({ts})))"
+    b3 = (f"(CASE WHEN {cond} = 'heavy rain' THEN {b2} - {b2} * 0.3::DOUBLE "
+          f"WHEN {temp} > 35 THEN {b2} - {b2} * 0.2::DOUBLE ELSE {b2} END)")
+    closed = f"(month({ts}) = 12 AND day({ts}) = 25) OR (month({ts}) = 1 AND day({ts}) = 1)"
+    return (f"(CASE WHEN {closed} THEN {b3} * 0.2::DOUBLE "
+            f"WHEN {hol} THEN {b3} * 1.4::DOUBLE ELSE {b3} END)")
 
 
 HOURLY_SPINE = f"""
@@ -391,10 +391,10 @@ m AS (SELECT *, {_model('event_timestamp', 'weather_condition', 'temperature_c',
       FROM cur)
 SELECT center_id, event_timestamp, visitors_count,
        CAST(trunc(b) AS INTEGER) AS expected_visitors,
-       CAST(trunc(b - b * {fx.NOISE}::DOUBLE) AS INTEGER) AS lower_bound,
-       CAST(trunc(b + b * {fx.NOISE}::DOUBLE) AS INTEGER) AS upper_bound,
-       visitors_count BETWEEN CAST(trunc(b - b * {fx.NOISE}::DOUBLE) AS INTEGER)
-                          AND CAST(trunc(b + b * {fx.NOISE}::DOUBLE) AS INTEGER) AS in_band
+       CAST(trunc(b - b * 0.15::DOUBLE) AS INTEGER) AS lower_bound,
+       CAST(trunc(b + b * 0.15::DOUBLE) AS INTEGER) AS upper_bound,
+       visitors_count BETWEEN CAST(trunc(b - b * 0.15::DOUBLE) AS INTEGER)
+                          AND CAST(trunc(b + b * 0.15::DOUBLE) AS INTEGER) AS in_band
 FROM m
 """
 
@@ -408,28 +408,15 @@ WITH {_SPINE},
 cur AS ({TRAFFIC_CURATED}),
 j AS (
   SELECT s.center_id, s.event_timestamp, s.day_of_week,
-         COALESCE(c.weather_condition, '{fx.DEFAULT_WEATHER}') AS weather_condition,
-         COALESCE(c.temperature_c, {fx.DEFAULT_TEMPERATURE_C}::DOUBLE) AS temperature_c,
-         COALESCE(c.is_holiday, {str(fx.DEFAULT_IS_HOLIDAY).lower()}) AS is_holiday
+         COALESCE(c.weather_condition, 'sunny') AS weather_condition,
+         COALESCE(c.temperature_c, 22.0::DOUBLE) AS temperature_c,
+         COALESCE(c.is_holiday, false) AS is_holiday
   FROM spine s LEFT JOIN cur c ON s.center_id = c.center_id AND s.event_timestamp = c.event_timestamp)
 SELECT *, CAST(trunc({_model('event_timestamp', 'weather_condition', 'temperature_c', 'is_holiday')})
                AS INTEGER) AS expected_visitors
 FROM j
 """
 
-EXPECTED_TRAFFIC_CURATED = f"""
-WITH {_SPINE},
-sim AS (
-  SELECT center_id, event_timestamp, event_date, day_of_week,
-         '{fx.DEFAULT_WEATHER}' AS weather_condition, {fx.DEFAULT_TEMPERATURE_C}::DOUBLE AS temperature_c,
-         {str(fx.DEFAULT_IS_HOLIDAY).lower()} AS is_holiday
-  FROM spine)
-SELECT center_id, event_timestamp, event_date,
-       CAST(trunc({_model('event_timestamp', 'weather_condition', 'temperature_c', 'is_holiday')})
-            AS INTEGER) AS visitors_count,
-       day_of_week, is_holiday, weather_condition, temperature_c, {_PARTS}
-FROM sim
-"""
 
 DAY_LABELS = """
 SELECT o_orderkey, date_trunc('hour', o_orderdate) AS hour_bucket, lower(dayname(o_orderdate)) AS day_of_week
@@ -443,6 +430,28 @@ SELECT DISTINCT 'C' || CAST(user_id AS VARCHAR) AS center_id, date_trunc('hour',
 FROM events
 """
 
+CALENDAR_EXPECTED = f"""
+WITH o AS (
+  SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS ts,
+         CASE WHEN o_orderstatus = 'F' THEN 'heavy rain' ELSE 'sunny' END AS cond,
+         CAST(o_custkey % 50 AS DOUBLE) AS temp, o_custkey % 3 = 0 AS hol
+  FROM orders)
+SELECT o_orderkey, ts AS event_timestamp, CAST(trunc(b) AS INTEGER) AS expected_visitors,
+       CAST(trunc(b - b * 0.15::DOUBLE) AS INTEGER) AS lower_bound,
+       CAST(trunc(b + b * 0.15::DOUBLE) AS INTEGER) AS upper_bound
+FROM (SELECT *, {_model('ts', 'cond', 'temp', 'hol')} AS b FROM o)
+"""
+
+SINGLE_DAY_SPINE = """
+SELECT center_id, h AS event_timestamp, CAST(h AS DATE) AS event_date, CAST(hour(h) AS INTEGER) AS hour,
+       lower(dayname(h)) AS day_of_week
+FROM (SELECT o_orderstatus AS center_id,
+             unnest(generate_series(d::TIMESTAMP, d::TIMESTAMP + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS h
+      FROM (SELECT DISTINCT o_orderstatus, CAST(o_orderdate AS DATE) AS d FROM orders))
+"""
+
+_ALL_TRAFFIC = f"SELECT * FROM ({TRAFFIC_CURATED}) t"
+
 ORACLES: dict[str, str] = {
     "traffic_curated": TRAFFIC_CURATED,
     "weather_curated": WEATHER_CURATED,
@@ -479,6 +488,10 @@ ORACLES: dict[str, str] = {
     "noise_band": NOISE_BAND,
     "spine_expected": SPINE_EXPECTED,
     "day_labels": DAY_LABELS,
-    "expected_traffic_curated": EXPECTED_TRAFFIC_CURATED,
     "traffic_stream_keys": TRAFFIC_STREAM_KEYS,
+    "calendar_expected": CALENDAR_EXPECTED,
+    "single_day_spine": SINGLE_DAY_SPINE,
+    "late_record_kept": _ALL_TRAFFIC,
+    "raw_two_entities": _ALL_TRAFFIC,
+    "catalog_append": _ALL_TRAFFIC,
 }

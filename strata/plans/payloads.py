@@ -2,9 +2,8 @@
 
 The driver's tables are not platform payloads, so Spark shapes them into the
 raw documents each source would land, then the real operators run on them.
-Every builder reads whole tables; documents are grouped per (entity, day,
-part) with ``part = record id div DOC_BLOCK``, which caps any document at
-DOC_BLOCK records regardless of how skewed an entity-day is.
+Every builder reads whole tables; a document is one (entity, day), as a source
+lands it.
 
 Mappings (fixed, mirrored by the DuckDB oracles in ``plans.oracles``):
 
@@ -29,7 +28,6 @@ from pyspark.sql import functions as F
 from strata.functions.calendar import day_label, iso_date_text, iso_hour_text
 from strata.operators.envelopes import (
     FLIGHTS_AREA_NAME,
-    document_part,
     flights_envelope,
     holidays_envelope,
     raw_object_key,
@@ -37,7 +35,6 @@ from strata.operators.envelopes import (
     weather_envelope,
 )
 
-DOC_BLOCK = 4096
 AS_OF = "2026-04-22T10:00:00"
 
 
@@ -45,10 +42,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _block(id_col: str) -> Column:
-    return document_part(id_col, DOC_BLOCK)
-
-
 def _props_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -61,27 +54,20 @@ def _exchange_on(df: DataFrame, *keys: str) -> DataFrame:
     The grouping that forms documents needs exactly this exchange, so it adds
     no shuffle: it only moves the per-record work (struct building, JSON text
     and its parsing downstream) from the scan side to the post-shuffle side,
-    and the shuffle carries compact typed columns instead of JSON text.
-
-    The partition count is explicit (``spark.sql.shuffle.partitions``): after
-    this exchange each row grows several-fold into JSON and is parsed again,
-    so sizing partitions by shuffled bytes - what adaptive coalescing does -
-    would leave that CPU work in too few tasks. Groups are bounded by
-    ``part``, so an explicit count cannot concentrate a hot entity-day."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
+    and the shuffle carries compact typed columns instead of JSON text. The
+    number of partitions is Spark's to choose."""
+    return df.repartition(*keys)
 
 
 def traffic_records(spark: SparkSession, sf_dir: str, null_center_type: str | None = None
                     ) -> DataFrame:
-    """One traffic record per event: (entity, ingest_date, part, record),
-    hash-partitioned by (entity, ingest_date, part)."""
+    """One traffic record per event: (entity, ingest_date, record),
+    hash-partitioned by (entity, ingest_date)."""
     ev = table(spark, sf_dir, "events").select(
         F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("entity"),
         F.to_date("ts").alias("ingest_date"),
-        _block("event_id").alias("part"),
         "ts", "event_type", "value", "props")
-    ev = _exchange_on(ev, "entity", "ingest_date", "part")
+    ev = _exchange_on(ev, "entity", "ingest_date")
     center = F.col("entity")
     if null_center_type is not None:
         center = F.when(F.col("event_type") == null_center_type, F.lit(None)).otherwise(center)
@@ -95,19 +81,18 @@ def traffic_records(spark: SparkSession, sf_dir: str, null_center_type: str | No
          .otherwise(F.col("event_type")).alias("weather_condition"),
         F.col("value").alias("temperature_c"),
     )
-    return ev.select("entity", "ingest_date", "part", record.alias("record"))
+    return ev.select("entity", "ingest_date", record.alias("record"))
 
 
 def traffic_documents(spark: SparkSession, sf_dir: str, null_center_type: str | None = None
                       ) -> DataFrame:
-    """ENV-1 documents ``{records, total_records}`` per (centre, day, part).
+    """ENV-1 documents ``{records, total_records}`` per (centre, day).
 
     Documents of users divisible by 4 spell numbers the way other producers
     do - ``visitors_count`` as ``69.0`` and ``temperature_c`` as a JSON string
     - which the lenient casts must read as the same values (D1, D3)."""
     recs = traffic_records(spark, sf_dir, null_center_type)
-    docs = traffic_envelope(recs, record_col="record", entity_col="entity",
-                            date_col="ingest_date", part_col="part")
+    docs = traffic_envelope(recs, record_col="record", entity_col="entity", date_col="ingest_date")
     user = F.substring("entity", 2, 20).cast("long")
     respelled = F.regexp_replace(
         F.regexp_replace("document", r'"visitors_count":(-?[0-9]+)', '"visitors_count":$1.0'),
@@ -119,11 +104,11 @@ def traffic_documents(spark: SparkSession, sf_dir: str, null_center_type: str |
 # ---------------------------------------------------------------- weather --
 
 def weather_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upstream hourly payloads (no tags yet): one per (user, day, part)."""
+    """Upstream hourly payloads (no tags yet): one per (user, day)."""
     ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "value", "props",
-        F.to_date("ts").alias("ingest_date"), _block("event_id").alias("part"))
-    ev = _exchange_on(ev, "user_id", "ingest_date", "part")
+        F.to_date("ts").alias("ingest_date"))
+    ev = _exchange_on(ev, "user_id", "ingest_date")
     obs = F.struct(
         F.col("event_id"),
         iso_hour_text("ts", with_seconds=False).alias("time"),
@@ -132,7 +117,7 @@ def weather_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
         (-F.col("value")).alias("windspeed_10m"),
         _props_k().alias("weathercode"),
     )
-    grouped = ev.groupBy("user_id", "ingest_date", "part").agg(
+    grouped = ev.groupBy("user_id", "ingest_date").agg(
         F.sort_array(F.collect_list(obs)).alias("obs"))
     codes = F.transform("obs", lambda o: o["weathercode"])
     short = F.slice(codes, F.lit(1), F.size(codes) - 1)
@@ -145,7 +130,7 @@ def weather_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     user = F.col("user_id").cast("double")
     return grouped.select(
-        "ingest_date", "part",
+        "ingest_date",
         (F.lit(40.0) + user / F.lit(1000.0)).alias("latitude"),
         (F.lit(-3.0) - user / F.lit(1000.0)).alias("longitude"),
         F.lit("Europe/Madrid ").alias("timezone"),
@@ -154,8 +139,8 @@ def weather_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ENV-2 documents for every (user, day, part)."""
-    return weather_envelope(weather_upstream(spark, sf_dir), part_col="part")
+    """ENV-2 documents for every (user, day)."""
+    return weather_envelope(weather_upstream(spark, sf_dir))
 
 
 # --------------------------------------------------------------- holidays --
@@ -178,14 +163,13 @@ def holiday_record() -> Column:
 
 
 def holidays_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly holiday documents per (country = status, month, part); record
+    """Monthly holiday documents per (country = status, month); record
     dates spread over the month, so ``coalesce`` and newest-wins matter."""
     o = table(spark, sf_dir, "orders").select(
         "*", F.col("o_orderstatus").alias("country_code"),
-        F.trunc(F.to_date("o_orderdate"), "month").alias("ingest_day"),
-        _block("o_orderkey").alias("part"))
-    o = _exchange_on(o, "country_code", "ingest_day", "part")
-    grouped = o.groupBy("country_code", "ingest_day", "part").agg(
+        F.trunc(F.to_date("o_orderdate"), "month").alias("ingest_day"))
+    o = _exchange_on(o, "country_code", "ingest_day")
+    grouped = o.groupBy("country_code", "ingest_day").agg(
         F.collect_list(holiday_record()).alias("holidays"))
     grouped = grouped.withColumn("total_records", F.size("holidays"))
     payload = F.to_json(F.struct(
@@ -197,18 +181,17 @@ def holidays_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         payload, r'"launchYear":([0-9]+)', '"launchYear":"$1"')).otherwise(payload)
     return grouped.select(F.lit("holidays").alias("source"),
                           iso_date_text("ingest_day").alias("ingest_date"),
-                          F.col("country_code").alias("entity"), "part", "total_records",
+                          F.col("country_code").alias("entity"), "total_records",
                           payload.alias("document"))
 
 
 def holidays_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bare yearly holiday lists per (country, year, part) as an upstream API
+    """Bare yearly holiday lists per (country, year) as an upstream API
     would return them (ENV-3 input)."""
     o = table(spark, sf_dir, "orders").select(
-        "*", F.col("o_orderstatus").alias("country_code"), F.year("o_orderdate").alias("year"),
-        _block("o_orderkey").alias("part"))
-    o = _exchange_on(o, "country_code", "year", "part")
-    return o.groupBy("country_code", "year", "part").agg(
+        "*", F.col("o_orderstatus").alias("country_code"), F.year("o_orderdate").alias("year"))
+    o = _exchange_on(o, "country_code", "year")
+    return o.groupBy("country_code", "year").agg(
         F.collect_list(holiday_record()).alias("holidays"))
 
 
@@ -222,8 +205,7 @@ def holidays_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def holidays_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return holidays_envelope(holidays_upstream(spark, sf_dir), holidays_requests(spark, sf_dir),
-                             part_col="part")
+    return holidays_envelope(holidays_upstream(spark, sf_dir), holidays_requests(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- flights --
@@ -291,11 +273,11 @@ def _ship_epoch() -> Column:
 
 
 def flights_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upstream state payloads per (ship day, part): ``time`` + states text."""
+    """Upstream state payloads per (ship day): ``time`` + states text."""
     li = table(spark, sf_dir, "lineitem").select(
-        "*", F.to_date("l_shipdate").alias("ingest_date"), _block("l_orderkey").alias("part"))
-    li = _exchange_on(li, "ingest_date", "part")
-    grouped = li.groupBy("ingest_date", "part").agg(
+        "*", F.to_date("l_shipdate").alias("ingest_date"))
+    li = _exchange_on(li, "ingest_date")
+    grouped = li.groupBy("ingest_date").agg(
         F.concat(F.lit("["), F.concat_ws(",", F.collect_list(flight_state_text())), F.lit("]"))
          .alias("states_json"),
         F.first(_ship_epoch() + F.lit(43200 - 5)).alias("time"),
@@ -315,12 +297,12 @@ def flights_raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"total_records":'), F.json_array_length("states_json").cast("string"),
         F.lit("}"))
     return up.select(F.lit("flights").alias("source"), iso_date_text("ingest_date").alias("ingest_date"),
-                     F.lit(FLIGHTS_AREA_NAME).alias("entity"), "part", doc.alias("document"))
+                     F.lit(FLIGHTS_AREA_NAME).alias("entity"), doc.alias("document"))
 
 
 def flights_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ENV-4 over the upstream payloads with snapshot time ``AS_OF`` (ENV-5)."""
-    return flights_envelope(flights_upstream(spark, sf_dir), AS_OF, part_col="part")
+    return flights_envelope(flights_upstream(spark, sf_dir), AS_OF)
 
 
 # ------------------------------------------------------ validation inputs --
@@ -335,7 +317,7 @@ def dq_traffic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     9 ``total_records`` a boolean. Columns: source, object_key, document."""
     recs = traffic_records(spark, sf_dir).withColumn(
         "user_id", F.substring("entity", 2, 20).cast("long"))
-    g = recs.groupBy("user_id", "entity", "ingest_date", "part").agg(
+    g = recs.groupBy("user_id", "entity", "ingest_date").agg(
         F.collect_list("record").alias("records"), F.count(F.lit(1)).alias("total_records"))
     good = F.to_json(F.struct("records", "total_records"))
     text = (F.when(_shape() == 6, F.to_json(F.struct(F.col("records").alias("rows"), "total_records")))
@@ -346,7 +328,7 @@ def dq_traffic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(_shape() == 9, F.to_json(F.struct("records", F.lit(True).alias("total_records"))))
             .otherwise(good))
     return g.select(F.lit("traffic").alias("source"),
-                    raw_object_key("traffic", "ingest_date", "entity", F.col("part")).alias("object_key"),
+                    raw_object_key("traffic", "ingest_date", "entity").alias("object_key"),
                     text.alias("document"))
 
 
@@ -354,9 +336,9 @@ def dq_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather documents for validation, shapes by user_id mod 10: 5 empty
     ``hourly`` object, 6 ``hourly`` a list, 7 ``hourly.time`` null."""
     ev = table(spark, sf_dir, "events").select(
-        "user_id", "ts", F.to_date("ts").alias("ingest_date"), _block("event_id").alias("part"))
-    ev = _exchange_on(ev, "user_id", "ingest_date", "part")
-    g = ev.groupBy("user_id", "ingest_date", "part").agg(
+        "user_id", "ts", F.to_date("ts").alias("ingest_date"))
+    ev = _exchange_on(ev, "user_id", "ingest_date")
+    g = ev.groupBy("user_id", "ingest_date").agg(
         F.collect_list(iso_hour_text("ts", with_seconds=False)).alias("time"),
         F.count(F.lit(1)).alias("total_records"))
     loc = [F.lit(40.0).alias("latitude"), F.lit(-3.0).alias("longitude")]
@@ -371,7 +353,7 @@ def dq_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     entity = F.concat(F.lit("L"), F.col("user_id").cast("string"))
     return g.select(
         F.lit("weather").alias("source"),
-        raw_object_key("weather", "ingest_date", entity, F.col("part")).alias("object_key"),
+        raw_object_key("weather", "ingest_date", entity).alias("object_key"),
         hourly.alias("x_hourly"), rest.alias("x_rest"),
     ).select("source", "object_key", text.alias("document"))
 
@@ -379,7 +361,7 @@ def dq_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_flights_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flights documents for validation, as curated (no broken shapes)."""
     docs = flights_raw_documents(spark, sf_dir)
-    return docs.select("source", raw_object_key("flights", "ingest_date", "entity", F.col("part"))
+    return docs.select("source", raw_object_key("flights", "ingest_date", "entity")
                        .alias("object_key"), "document")
 
 

@@ -14,6 +14,7 @@ not depend on the session zone or ANSI setting.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,7 +143,7 @@ def _from_landed(source: str) -> Query:
 
         spec = get_spec(source)
         root = scratch_path(spark, f"landed-{source}")
-        target = write_raw(_DOCUMENTS[source](spark, sf_dir), root, source, "lines")
+        target = write_raw(_DOCUMENTS[source](spark, sf_dir), root, source, "lines", by_entity=False)
         return as_ntz(spec.curate(read_raw(spark, target, spec.raw_schema, "lines")))
     run.__doc__ = (f"SNK-6 then SRC-1 for {source}: land the documents as JSON Lines, read "
                    "them back with the declared schema (the file reader, not from_json) "
@@ -162,7 +163,7 @@ def raw_day_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     read one ingest week from the source folder; the day predicate is a
     partition filter, so other days' folders are never opened."""
     root = scratch_path(spark, "raw-lines")
-    write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "lines")
+    write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "lines", by_entity=False)
     raw = read_raw_days(spark, root, "traffic", schemas.TRAFFIC_RAW, *SCAN_WEEK, raw_format="lines")
     return as_ntz(curators.project_traffic(raw))
 
@@ -189,8 +190,9 @@ def curation_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = scratch_path(spark, "job")
     docs = payloads.traffic_documents(spark, sf_dir)
-    write_raw(docs, f"{root}/raw", "traffic", "lines")
-    first, last = docs.select(F.min("ingest_date"), F.max("ingest_date")).first()
+    write_raw(docs, f"{root}/raw", "traffic", "lines", by_entity=False)
+    first, last = payloads.table(spark, sf_dir, "events").select(
+        F.min(F.to_date("ts")).cast("string"), F.max(F.to_date("ts")).cast("string")).first()
     params = JobParams.from_args(
         ["curate", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", f"{root}/raw",
          "--CURATED_BUCKET", f"{root}/curated", "--INGEST_DATE", first, "--END_DATE", last,
@@ -233,7 +235,7 @@ def dq_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.sources.raw import read_documents_text
 
     root = scratch_path(spark, "dq-landed")
-    target = write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "lines")
+    target = write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "lines", by_entity=False)
     texts = read_documents_text(spark, target, "lines").withColumn("source", F.lit("traffic"))
     rules = [r for r in quality.standard_rules() if r.source == "traffic"]
     v = quality.verdicts(texts, rules, id_col="path")
@@ -267,11 +269,11 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- raw payload shaping (ENV-1..5, FLT-1, AGG-1, SNK-7) ----------------------
 
-_ENVELOPE_COLS = ("source", "ingest_date", "entity", "part", "total_records", "object_key")
+_ENVELOPE_COLS = ("source", "ingest_date", "entity", "total_records", "object_key")
 
 
 def envelope_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ENV-1 + AGG-1 + SNK-7: traffic documents per (centre, day, part)."""
+    """ENV-1 + AGG-1 + SNK-7: traffic documents per (centre, day)."""
     return payloads.traffic_documents(spark, sf_dir).select(*_ENVELOPE_COLS)
 
 
@@ -370,34 +372,90 @@ def spine_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
         "center_id", "event_timestamp", "day_of_week", *observed, "expected_visitors")
 
 
-def expected_traffic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected-traffic documents: for every centre's range, 24 hourly
-    records per day with default weather/holiday (GEN-5) and the model's
-    expected count as visitors (GEN-11; the random draw is not built), wrapped
-    as one ``{records, total_records}`` document per centre-day (ENV-1)."""
-    from strata.functions.calendar import iso_hour_text
-    from strata.operators.envelopes import traffic_envelope
-
-    spine = expectation.hourly_spine(centre_ranges(spark, sf_dir)).withColumns({
-        "weather_condition": F.lit(None).cast("string"),
-        "temperature_c": F.lit(None).cast("double"),
-        "is_holiday": F.lit(None).cast("boolean")})
-    hours = expectation.add_expected(expectation.with_defaults(spine))
-    record = F.struct(
-        F.col("center_id"), iso_hour_text("event_timestamp").alias("timestamp"),
-        F.col("expected_visitors").alias("visitors_count"), "day_of_week", "is_holiday",
-        "weather_condition", "temperature_c")
-    recs = hours.select(F.col("center_id").alias("entity"), F.col("event_date").alias("ingest_date"),
-                        record.alias("record"))
-    return traffic_envelope(recs)
-
-
-def expected_traffic_curated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing flow end to end on the model's expected traffic: spine and
-    expectation (GEN-1/5/11), day documents (ENV-1, 24 records each, which the
-    standard rule checks), curation (CUR-1, DED-1, PRT-1)."""
-    raw = parse_documents(expected_traffic_documents(spark, sf_dir), schemas.TRAFFIC_RAW)
-    return as_ntz(curators.curate_traffic(raw))
+def calendar_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEN-6..12 over the orders' calendar: every month, weekday and hour, the
+    closed days, heavy rain and heat."""
+    o = payloads.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.timestamp_add("HOUR", F.pmod("o_orderkey", F.lit(24)).cast("int"),
+                                      F.to_date("o_orderdate").cast("timestamp_ntz")).alias("event_timestamp"),
+        F.when(F.col("o_orderstatus") == "F", "heavy rain").otherwise("sunny").alias("weather_condition"),
+        F.pmod("o_custkey", F.lit(50)).cast("double").alias("temperature_c"),
+        (F.pmod("o_custkey", F.lit(3)) == 0).alias("is_holiday"))
+    return expectation.add_expected(o, band=True).select(
+        "o_orderkey", "event_timestamp", "expected_visitors", "lower_bound", "upper_bound")
+
+
+def single_day_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GEN-2: ranges of one day, from = to, for every (status, order day)."""
+    o = payloads.table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("center_id"), F.to_date("o_orderdate").alias("from_date")).distinct()
+    return expectation.hourly_spine(o.withColumn("to_date", F.col("from_date")))
+
+
+def _job(source_root: str, curated: str, first: str, last: str, *more: str):
+    from strata.jobs import JobParams
+
+    return JobParams.from_args(["curate", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", source_root, "--CURATED_BUCKET",
+                                curated, "--INGEST_DATE", first, "--END_DATE", last, "--RAW_FORMAT", "lines", *more],
+                               env={})
+
+
+def _event_days(spark: SparkSession, sf_dir: str):
+    return payloads.table(spark, sf_dir, "events").select(
+        F.min(F.to_date("ts")), F.max(F.to_date("ts")), F.date_add(F.min(F.to_date("ts")), 14)).first()
+
+
+def late_record_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-4 with late records: every record of an odd user lands a day late,
+    in the next day's documents. Two runs, the first half of the days and then
+    the rest, must give what one run over all would: rows of days that a run
+    doesn't own join what is there."""
+    from strata.jobs import run_curation
+
+    root = scratch_path(spark, "late")
+    docs = payloads.traffic_documents(spark, sf_dir)
+    odd = F.pmod(F.substring("entity", 2, 20).cast("long"), F.lit(2)) == 1
+    landed = docs.withColumn("ingest_date", F.when(odd, F.date_add(F.col("ingest_date").cast("date"), 1))
+                             .otherwise(F.col("ingest_date").cast("date")))
+    write_raw(landed, f"{root}/raw", "traffic", "lines", by_entity=False)
+    first, last, middle = _event_days(spark, sf_dir)
+    day = timedelta(days=1)
+    for lo, hi in ((first, middle), (middle + day, last + day)):
+        report = run_curation(spark, _job(f"{root}/raw", f"{root}/curated", str(lo), str(hi), "--MISSING_DAYS", "skip"),
+                              register_table=False)
+    back = read_curated(spark, report["output"])
+    return as_ntz(back.select(*curators.curate_traffic(traffic_raw(spark, sf_dir)).columns))
+
+
+def raw_two_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6 by object: the centres' documents land in two writes over the same
+    days; the second leaves the first's alone."""
+    root = scratch_path(spark, "entities")
+    docs = payloads.traffic_documents(spark, sf_dir)
+    half = F.pmod(F.substring("entity", 2, 20).cast("long"), F.lit(2))
+    # a few entity folders a day, as many small ones would be in a bulk load
+    docs = docs.withColumn("entity", F.concat(F.lit("half-"), half.cast("string")))
+    for n in (0, 1):
+        target = write_raw(docs.where(F.col("entity") == f"half-{n}"), root, "traffic", "lines")
+    return as_ntz(curators.curate_traffic(read_raw(spark, target, schemas.TRAFFIC_RAW, "lines")))
+
+
+def catalog_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1/SNK-3/SNK-4: half of the days are written to a folder, a table is
+    then registered over it by a job in mode append, which adds the rest; the
+    catalog gives all days back."""
+    from strata.jobs import run_curation
+
+    root = scratch_path(spark, "append")
+    write_raw(payloads.traffic_documents(spark, sf_dir), f"{root}/raw", "traffic", "lines", by_entity=False)
+    first, last, middle = _event_days(spark, sf_dir)
+    run_curation(spark, _job(f"{root}/raw", f"{root}/curated", str(first), str(middle), "--MISSING_DAYS", "skip"),
+                 register_table=False)
+    database = "strata_" + root.rsplit("-", 1)[-1]
+    report = run_curation(spark, _job(f"{root}/raw", f"{root}/curated", str(middle + timedelta(days=1)), str(last),
+                                      "--MISSING_DAYS", "skip", "--WRITE_MODE", "append", "--CURATED_DATABASE", database))
+    back = read_curated(spark, table=report["table"])
+    return as_ntz(back.select(*curators.curate_traffic(traffic_raw(spark, sf_dir)).columns))
 
 
 def day_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -412,14 +470,15 @@ def day_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def traffic_stream_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the traffic documents as JSON Lines, curate them with the
     streaming path (watermark + first-arrival dedupe, checkpointed Parquet
-    sink, available-now trigger) and return the curated key set."""
+    sink, available-now trigger, one micro-batch, so no row is late) and return
+    the curated key set."""
     from strata.specs import get_spec
     from strata.streaming.incremental import start_curation_stream
 
     root = scratch_path(spark, "stream")
-    write_raw(payloads.traffic_documents(spark, sf_dir), f"{root}/raw", "traffic", "lines")
+    write_raw(payloads.traffic_documents(spark, sf_dir), f"{root}/raw", "traffic", "lines", by_entity=False)
     q = start_curation_stream(spark, get_spec("traffic"), f"{root}/raw/traffic", f"{root}/out",
-                              f"{root}/checkpoint", raw_format="lines", delay="31 days")
+                              f"{root}/checkpoint", raw_format="lines")
     q.awaitTermination()
     out = spark.read.parquet(f"{root}/out")
     return as_ntz(out.select("center_id", "event_timestamp", "event_date", "year", "month", "day"))
@@ -461,6 +520,10 @@ QUERIES: dict[str, Query] = {
     "noise_band": noise_band,
     "spine_expected": spine_expected,
     "day_labels": day_labels,
-    "expected_traffic_curated": expected_traffic_curated,
     "traffic_stream_keys": traffic_stream_keys,
+    "calendar_expected": calendar_expected,
+    "single_day_spine": single_day_spine,
+    "late_record_kept": late_record_kept,
+    "raw_two_entities": raw_two_entities,
+    "catalog_append": catalog_append,
 }

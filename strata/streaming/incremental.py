@@ -53,16 +53,22 @@ def curate_stream(raw: DataFrame, spec: SourceSpec, delay: str = "2 days") -> Da
 
 def start_curation_stream(spark: SparkSession, spec: SourceSpec, raw_path: str, output_path: str,
                           checkpoint: str, raw_format: str = "lines", delay: str = "2 days",
-                          available_now: bool = True) -> StreamingQuery:
+                          available_now: bool = True, max_files_per_trigger: int | None = None,
+                          files_per_day: int = 8) -> StreamingQuery:
     """Run the incremental curation into a partitioned Parquet folder.
 
     ``available_now`` processes everything that has landed and stops (a
-    scheduled incremental run); otherwise the query keeps running."""
-    curated = curate_stream(read_raw_stream(spark, raw_path, spec, raw_format), spec, delay)
+    scheduled incremental run); otherwise the query keeps running.
+    ``max_files_per_trigger`` bounds a micro-batch: set it for the first run over
+    a large zone. A row that arrives in a later micro-batch than one ``delay``
+    newer is late and dropped; rows of one micro-batch are never late."""
+    raw = read_raw_stream(spark, raw_path, spec, raw_format, max_files_per_trigger)
+    curated = curate_stream(raw, spec, delay)
     # After the stateful dedupe every state-store task would write a file into
-    # every day it touches; grouping by day first writes about one file per
-    # day and micro-batch (a batch is bounded, see max_files_per_trigger).
-    curated = curated.repartition(*spec.partition_cols)
+    # every day it touches. Dealing by day and a few buckets of the key writes at
+    # most ``files_per_day`` files a day, and a hot day is several tasks' work.
+    bucket = F.pmod(F.xxhash64(*spec.keys), F.lit(files_per_day))
+    curated = curated.repartition(*spec.partition_cols, bucket)
     writer = (curated.writeStream.format("parquet").outputMode("append")
               .partitionBy(*spec.partition_cols)
               .option("checkpointLocation", checkpoint))

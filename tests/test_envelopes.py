@@ -2,105 +2,79 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from strata.operators.envelopes import (
-    flights_envelope,
-    holidays_envelope,
-    holidays_on_day,
-    raw_object_key,
-    snapshot_seconds,
-    traffic_envelope,
-    weather_envelope,
-)
-
-
-def test_traffic_key_and_envelope(spark):
-    recs = spark.createDataFrame(
-        [("EUR_MAD_001", "2026-04-22", h) for h in range(24)],
-        "entity string, ingest_date string, hour int").withColumn("record", F.struct("hour"))
-    doc = traffic_envelope(recs).first()
-    assert doc.object_key == "traffic/year=2026/month=04/day=22/EUR_MAD_001.json"
-    payload = json.loads(doc.document)
-    assert doc.total_records == 24 == payload["total_records"] and set(payload) == {"records",
-                                                                                   "total_records"}
-
-
-def test_weather_tags_and_key(spark):
-    up = spark.createDataFrame(
-        [(40.4168, -3.7038, "Europe/Madrid ", (["00:00", "01:00"],), "2026-04-22"),
-         (40.0, -3.0, "UTC", None, "2026-04-23")],
-        "latitude double, longitude double, timezone string, hourly struct<time:array<string>>, "
-        "ingest_date string")
-    docs = {r.ingest_date: r for r in weather_envelope(up).collect()}
-    a = json.loads(docs["2026-04-22"].document)
-    assert (a["source"], a["ingest_date"], a["total_records"], a["timezone"]) == (
-        "weather", "2026-04-22", 2, "Europe/Madrid")
-    assert docs["2026-04-22"].object_key == "weather/year=2026/month=04/day=22/open-meteo.json"
-    assert docs["2026-04-23"].total_records == 0
-
-
-def test_holiday_day_filter_and_key(spark):
+from strata.operators import envelopes as env
+
+
+def by_day(df):
+    return {r.ingest_date: (r, json.loads(r.document)) for r in df.collect()}
+
+
+def test_traffic_documents_are_one_entitys_day(spark):
+    rows = [("north", "2025-11-30", 5), ("north", "2025-12-01", 3), ("south", "2025-12-01", 1)]
+    recs = spark.createDataFrame(rows, "who string, d string, n int").select(
+        F.col("who").alias("entity"), F.col("d").alias("ingest_date"),
+        F.explode(F.transform(F.sequence(F.lit(1), "n"), lambda i: F.struct(i.alias("v")))).alias("record"))
+    got = {(r.entity, r.ingest_date): r for r in env.traffic_envelope(recs.repartition(3)).collect()}
+    assert set(got) == {(w, d) for w, d, _ in rows}
+    for w, d, n in rows:
+        payload = json.loads(got[w, d].document)
+        assert payload["total_records"] == got[w, d].total_records == len(payload["records"]) == n
+        assert set(payload) == {"records", "total_records"}
+        assert got[w, d].object_key == f"traffic/year={d[:4]}/month={d[5:7]}/day={d[8:]}/{w}.json"
+
+
+def test_weather_tags(spark):
     up = spark.createDataFrame(
-        [("ES", [("2026-04-22", "Matching holiday"), ("2026-04-23", "Other holiday"),
-                 (None, "No date")])],
-        "country_code string, holidays array<struct<date:string,name:string>>")
-    req = spark.createDataFrame([("ES", "2026-04-22"), ("ES", "2026-04-24"), ("ES", "2026-04-22")],
-                                "country_code string, ingest_date string")
-    out = holidays_envelope(up, req).collect()
-    assert len(out) == 2  # the repeated request is one document
-    docs = {r.ingest_date: r for r in out}
-    p = json.loads(docs["2026-04-22"].document)
-    assert p == {"source": "holidays", "country_code": "ES", "ingest_date": "2026-04-22",
-                 "total_records": 1, "holidays": [{"date": "2026-04-22", "name": "Matching holiday"}]}
-    assert docs["2026-04-22"].object_key == "holidays/year=2026/month=04/day=22/ES.json"
-    assert docs["2026-04-24"].total_records == 0
-    # FLT-1 as a column function on a document that carries its list
-    one = up.select(F.size(holidays_on_day("holidays", F.lit("2026-04-23"))).alias("n")).first()
-    assert one.n == 1
-
-
-def test_flight_tags_snapshot_and_key(spark):
-    up = spark.createDataFrame([("2026-04-22", 1, '[["flight-1"],["flight-2"]]'),
-                                ("2026-04-23", 2, None)],
+        [(1.5, 2.5, "  Asia/Tokyo", (["a", "b", "c"],), "2025-01-09"), (1.5, 2.5, None, ([],), "2025-01-10"),
+         (1.5, 2.5, "UTC", (None,), "2025-01-11"), (1.5, 2.5, "UTC", None, "2025-01-12")],
+        "latitude double, longitude double, timezone string, hourly struct<time:array<string>>, ingest_date string")
+    docs = by_day(env.weather_envelope(up, entity="tokyo"))
+    assert [docs[f"2025-01-{d}"][0].total_records for d in ("09", "10", "11", "12")] == [3, 0, 0, 0]
+    row, payload = docs["2025-01-09"]
+    assert payload["timezone"] == "Asia/Tokyo" and payload["source"] == "weather"
+    assert payload["ingest_date"] == "2025-01-09" and payload["total_records"] == 3
+    assert row.object_key.endswith("/day=09/tokyo.json")
+
+
+def test_holidays_match_the_exact_day_text(spark):
+    listed = [("PT", [("2025-06-10", "a"), ("2025-06-10", "b"), ("2025-6-10", "unpadded"), (None, "undated")]),
+              ("PT", [("2025-06-13", "c")]), ("IT", [("2025-06-02", "d")])]
+    up = spark.createDataFrame(listed, "country_code string, holidays array<struct<date:string,name:string>>")
+    asked = [("PT", d) for d in ("2025-06-10", "2025-06-13", "2025-06-14")] + [("IT", "2025-06-10")]
+    req = spark.createDataFrame(asked * 2, "country_code string, ingest_date string")
+    got = {(r.entity, r.ingest_date): json.loads(r.document) for r in env.holidays_envelope(up, req).collect()}
+    names = {k: sorted(h["name"] for h in d["holidays"]) for k, d in got.items()}
+    assert names == {asked[0]: ["a", "b"], asked[1]: ["c"], asked[2]: [], asked[3]: []}
+    assert all(d["total_records"] == len(d["holidays"]) and d["country_code"] == k[0] for k, d in got.items())
+    kept = up.select(F.transform(env.holidays_on_day("holidays", F.lit("2025-06-10")), lambda h: h["name"]).alias("n"))
+    assert sorted(map(str, (r.n for r in kept.collect()))) == ["['a', 'b']", "[]", "[]"]
+
+
+def test_a_hot_day_of_holidays_is_one_document(spark):
+    up = spark.range(4000).select(F.lit("ES").alias("country_code"), F.array(F.struct(
+        F.lit("2025-01-06").alias("date"), F.col("id").cast("string").alias("name"))).alias("holidays"))
+    req = spark.createDataFrame([("ES", "2025-01-06"), ("ES", "2025-01-07")], "country_code string, ingest_date string")
+    assert sorted(r.total_records for r in env.holidays_envelope(up, req).collect()) == [0, 4000]
+
+
+def test_flights_tags_and_snapshot(spark):
+    states = ["[]", "null", None, '[["x",null,[1]],["y"]]']
+    up = spark.createDataFrame([(f"2025-08-0{i + 1}", i, s) for i, s in enumerate(states)],
                                "ingest_date string, time long, states_json string")
-    as_of = "2009-02-13T23:31:30"
-    assert snapshot_seconds(as_of) == 1234567890
-    docs = {r.ingest_date: r for r in flights_envelope(up, as_of, entity="madrid").collect()}
-    p = json.loads(docs["2026-04-22"].document)
-    assert (p["source"], p["ingest_date"], p["snapshot_time"], p["total_records"]) == (
-        "flights", "2026-04-22", 1234567890, 2)
-    assert docs["2026-04-22"].object_key == "flights/year=2026/month=04/day=22/madrid.json"
-    assert docs["2026-04-23"].total_records == 0 and json.loads(docs["2026-04-23"].document)[
-        "states"] is None
-
-
-def test_object_key_with_part(spark):
-    df = spark.createDataFrame([("2026-01-05", "C1", 3)], "d string, e string, p long")
-    key = df.select(raw_object_key("traffic", "d", "e", F.col("p")).alias("k")).first().k
-    assert key == "traffic/year=2026/month=01/day=05/C1-3.json"
-
-
-def test_document_part_bounds_documents(spark):
-    from strata.operators.envelopes import document_part
-    df = spark.range(0, 10000).selectExpr("id", "'hot' AS entity", "'2026-04-22' AS ingest_date")
-    parts = df.select(document_part("id", 1000).alias("p")).groupBy("p").count().collect()
-    assert len(parts) == 10 and max(r["count"] for r in parts) == 1000
-
-
-def test_holiday_envelope_hot_day_splits_by_part(spark):
-    """One (country, day) holds every record: one document per part, no
-    record lost, and a request without holidays still gets its empty one."""
-    from strata.operators.envelopes import document_part
-    recs = spark.range(0, 3000).select(
-        F.lit("ES").alias("country_code"), document_part("id", 1000).alias("part"),
-        F.struct(F.lit("2026-04-22").alias("date"), F.col("id").cast("string").alias("name"))
-        .alias("h"))
-    up = recs.groupBy("country_code", "part").agg(F.collect_list("h").alias("holidays"))
-    req = spark.createDataFrame([("ES", "2026-04-22"), ("ES", "2026-04-23")],
-                                "country_code string, ingest_date string")
-    docs = holidays_envelope(up, req, part_col="part").collect()
-    hot = [d for d in docs if d.ingest_date == "2026-04-22"]
-    assert sorted(d.part for d in hot) == [0, 1, 2]
-    assert sum(d.total_records for d in hot) == 3000 and max(d.total_records for d in hot) == 1000
-    assert [d.total_records for d in docs if d.ingest_date == "2026-04-23"] == [0]
+    docs = by_day(env.flights_envelope(up, "1970-01-02T00:00:05", entity="box"))
+    assert [docs[f"2025-08-0{i}"][0].total_records for i in (1, 2, 3, 4)] == [0, 0, 0, 2]
+    assert all(p["snapshot_time"] == 86405 and p["source"] == "flights" for _, p in docs.values())
+    assert docs["2025-08-04"][1]["states"] == [["x", None, [1]], ["y"]] and docs["2025-08-03"][1]["states"] is None
+
+
+@pytest.mark.parametrize("as_of,seconds", [("1970-01-01T00:01:00", 60), ("1970-01-01T02:00:00+02:00", 0)])
+def test_snapshot_is_the_utc_second(as_of, seconds):
+    assert env.snapshot_seconds(as_of) == seconds
+
+
+def test_object_keys_are_padded(spark):
+    df = spark.createDataFrame([("0999-01-05", "e 1")], "d string, e string")
+    assert df.select(env.raw_object_key("src", "d", "e").alias("k")).first().k == "src/year=0999/month=01/day=05/e 1.json"

@@ -48,3 +48,24 @@ def test_flights_stream_uses_the_event_date(spark, tmp_dir):
     rows = spark.read.parquet(f"{tmp_dir}/out").collect()
     assert [(r.icao24, r.snapshot_time, r.year, r.month, r.day) for r in rows] == [
         ("a1", 100, 2026, 4, 22)]
+
+
+def test_a_row_older_than_the_delay_is_late_in_a_later_batch(spark, tmp_dir):
+    """Within one micro-batch nothing is late; across batches the watermark is
+    the newest event less the delay, and what is older when it arrives is dropped."""
+    r = lambda c, day: {"center_id": c, "timestamp": f"2026-04-{day:02d}T01:00:00", "visitors_count": 1}
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", [r("A", 1), r("A", 22)])
+    assert _run(spark, tmp_dir).count() == 2  # 21 days apart, one batch
+    _land(spark, f"{tmp_dir}/raw", "2026-04-23", [r("B", 10), r("B", 20), r("B", 23)])
+    got = _run(spark, tmp_dir)
+    assert sorted(x.day for x in got.where("center_id = 'B'").collect()) == [20, 23]
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_dir):
+    import os
+
+    recs = [{"center_id": f"C{i}", "timestamp": "2026-04-22T01:00:00", "visitors_count": 1} for i in range(2000)]
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", recs)
+    assert _run(spark, tmp_dir).count() == 2000
+    files = [f for _, _, names in os.walk(f"{tmp_dir}/out") for f in names if f.endswith(".parquet")]
+    assert 2 <= len(files) <= 8
