@@ -124,7 +124,8 @@ def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint folder, read the raw zone back with the declared schema
     (multi-line documents) and curate it."""
     root = scratch_path(spark, "raw-document")
-    target = write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "document")
+    target = write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "document",
+                       by_entity=False)
     raw = read_raw(spark, target, schemas.TRAFFIC_RAW, "document")
     return as_ntz(curators.curate_traffic(raw))
 

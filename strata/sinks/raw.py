@@ -45,6 +45,10 @@ def write_raw(docs: DataFrame, raw_root: str, source: str, raw_format: str = "do
         # (tasks x days small files); rebalancing on the day gives about one
         # file per day, and AQE still splits a day holding many documents.
         out = out.hint("rebalance", *folders)
+    else:
+        # A file for each document: the work is in the files, not the bytes that
+        # adaptive execution would merge tasks by. Dealt in turn, so no key is hot.
+        out = out.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     writer = out.write.partitionBy(*folders)
     if mode == "overwrite_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
