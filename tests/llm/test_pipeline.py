@@ -4,7 +4,9 @@ from strata.llm import mixing, simhash, words
 SF = "/root/testdata/sf0.001"
 
 
-def test_every_stage_works_on_what_the_one_before_kept(spark):
+def test_stages_and_run(spark):
+    """Every stage works on what the one before kept, its decisions take effect,
+    and run() gives the last one's rows."""
     docs = words.table(spark, SF, "documents")
     columns, seen = docs.columns, {r.doc_id: r.text for r in docs.collect()}
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
@@ -22,9 +24,5 @@ def test_every_stage_works_on_what_the_one_before_kept(spark):
             assert all(got.count(k) == n for k, n in copies.items())
     assert all(r.restored for r in docs.collect())
     assert docs.count() > 0 and len(seen) >= 200
-
-
-def test_run_equals_the_stages(spark):
-    rows = corpus_pipeline.run(spark, SF).select("doc_id", "sample", "ids_crc32").collect()
-    again = corpus_pipeline.run(spark, SF).select("doc_id", "sample", "ids_crc32").collect()
-    assert sorted(map(tuple, rows)) == sorted(map(tuple, again)) and rows
+    got = corpus_pipeline.run(spark, SF).select("doc_id", "sample", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, docs.select("doc_id", "sample", "ids_crc32").collect()))
