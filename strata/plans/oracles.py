@@ -489,6 +489,9 @@ ORACLES: dict[str, str] = {
     "spine_expected": SPINE_EXPECTED,
     "day_labels": DAY_LABELS,
     "traffic_stream_keys": TRAFFIC_STREAM_KEYS,
+    "null_arrays_traffic": f"SELECT * FROM ({TRAFFIC_CURATED}) t WHERE CAST(substr(center_id, 2) AS BIGINT) % 6 > 2",
+    "null_states_flights": f"SELECT * FROM ({FLIGHTS_CURATED}) t WHERE day(event_date) % 2 = 1",
+    "dq_defaults": f"SELECT * FROM ({_DQ}) v WHERE source = 'traffic' AND field_path = 'total_records' AND mode = 'value'",
     "calendar_expected": CALENDAR_EXPECTED,
     "single_day_spine": SINGLE_DAY_SPINE,
     "late_record_kept": _ALL_TRAFFIC,

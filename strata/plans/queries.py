@@ -373,6 +373,31 @@ def spine_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
         "center_id", "event_timestamp", "day_of_week", *observed, "expected_visitors")
 
 
+def null_arrays_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-2: documents whose ``records`` are null, missing or empty (users 0, 1
+    and 2 of every six) contribute nothing."""
+    shape = F.pmod(F.substring("entity", 2, 20).cast("long"), F.lit(6))
+    docs = payloads.traffic_documents(spark, sf_dir).withColumn("document", F.when(
+        shape == 0, '{"records":null,"total_records":0}').when(shape == 1, '{"total_records":0}')
+        .when(shape == 2, '{"records":[],"total_records":0}').otherwise(F.col("document")))
+    return as_ntz(curators.curate_traffic(parse_documents(docs, schemas.TRAFFIC_RAW)))
+
+
+def null_states_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-2 for positional arrays: ``states`` is null on even days."""
+    docs = payloads.flights_raw_documents(spark, sf_dir).withColumn("document", F.when(
+        F.pmod(F.dayofmonth(F.col("ingest_date").cast("date")), F.lit(2)) == 0,
+        F.regexp_replace("document", r'"states":\[.*\],"source"', '"states":null,"source"'))
+        .otherwise(F.col("document")))
+    return as_ntz(curators.curate_flights(parse_documents(docs, schemas.FLIGHTS_RAW)))
+
+
+def dq_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-7: a rule of an expectation alone checks the value of total_records,
+    and belongs to every source."""
+    return quality.verdicts(payloads.dq_traffic_documents(spark, sf_dir), [quality.Rule(" 2 ")])
+
+
 def calendar_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEN-6..12 over the orders' calendar: every month, weekday and hour, the
     closed days, heavy rain and heat."""
@@ -522,6 +547,9 @@ QUERIES: dict[str, Query] = {
     "spine_expected": spine_expected,
     "day_labels": day_labels,
     "traffic_stream_keys": traffic_stream_keys,
+    "null_arrays_traffic": null_arrays_traffic,
+    "null_states_flights": null_states_flights,
+    "dq_defaults": dq_defaults,
     "calendar_expected": calendar_expected,
     "single_day_spine": single_day_spine,
     "late_record_kept": late_record_kept,
