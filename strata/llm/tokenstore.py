@@ -49,6 +49,7 @@ SHARD_ROWS = 1 << 15
 SHARD_IDS = 1 << 24
 CACHE_WORDS = 300_000
 CLOSING = re.compile(rb"(?<=[a-z])([.,])(?![^ \t-\r])")
+READERS = 10_000
 GAMMA = 2.0  # bits of a level for each key that reaches it
 _encoders: dict = {}
 
@@ -311,7 +312,10 @@ def read(manifest: DataFrame, keys: DataFrame) -> DataFrame:
 
     routes = manifest.select("path", "base", F.explode("keys").alias("k"))
     wanted = keys.toDF("w").distinct().join(routes, F.col("w").eqNullSafe(F.col("k")))
-    dealt = wanted.select("path", "base", "k").repartition("path").sortWithinPartitions("path", "k")
+    # A shard is some thousand look-ups but few bytes: a task for each, up to
+    # READERS, not as many as the bytes would get.
+    tasks = max(1, min(READERS, manifest.count()))
+    dealt = wanted.select("path", "base", "k").repartition(tasks, "path").sortWithinPartitions("path", "k")
     return dealt.mapInArrow(run, f"{name} {kind}, start long, ids array<int>")
 
 
