@@ -94,7 +94,10 @@ def links(distinct: DataFrame, max_bits: int = 2, hot: int = HOT) -> DataFrame:
     variant = kept.bitwiseOR(F.expr("shiftleft(cast(n as long), 32)"))
     own = F.expr("shiftrightunsigned(case when n < 32 then fp else shiftrightunsigned(fp, 32) end, "
                  "cast(n % 32 as int)) & 1")
-    variants = (distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("n"))
+    # Few bytes become 64 rows each: dealt in turn first, so that the tasks are as
+    # many as the rows that follow need, not as the bytes before would get.
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = (distinct.repartition(tasks).select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("n"))
                 .select("fp", variant.alias("variant"), own.cast("byte").alias("bit"),
                         (at == 0).alias("first")))
     sizes = (variants.groupBy("variant").agg(F.count("*").alias("members"))
