@@ -120,12 +120,21 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> tuple[
     codes, distinct, bounds = factorised([lists[i] for i in kept])
     sizes = np.diff(bounds)
     bags = _Mean(codes, bounds, np.repeat(1 / (sizes + PAD), sizes), len(distinct))
-    buckets, cuts = subwords(distinct)
+    parts = [subwords(distinct[i:i + 20_000]) for i in range(0, len(distinct), 20_000)]
+    buckets = np.concatenate([b.astype(np.int32) for b, _ in parts])
+    grams = np.concatenate([np.diff(c) for _, c in parts])
+    cuts = np.concatenate([[0], np.cumsum(grams)])
+    del parts
     # A bucket seen in few texts would only learn those texts by heart.
     spread = np.bincount(bags.columns, minlength=len(distinct))  # texts that hold the word
-    used, at = np.unique(buckets, return_inverse=True)
-    common = np.bincount(at, np.repeat(spread, np.diff(cuts)), minlength=len(used)) >= MIN_TEXTS
-    words = _Mean(at, cuts, np.repeat(1 / np.diff(cuts), np.diff(cuts)) * common[at], len(used))
+    texts_of = np.bincount(buckets, np.repeat(spread.astype(np.float32), grams), minlength=BUCKETS)
+    used = np.flatnonzero(texts_of)
+    common = texts_of[used] >= MIN_TEXTS
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    at = place[buckets]
+    words = _Mean(at, cuts, np.repeat((1 / grams).astype(np.float32), grams) * common[at], len(used))
+    del buckets, at
     y, w = labels[kept].astype(np.float32), weights[kept].astype(np.float32)
     check = np.zeros(len(y), bool)  # every fifth text of either label says when to stop
     for c in (0, 1):
@@ -209,7 +218,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """``docs`` with ``score``, the probability of label 1 for the whole text."""
     weights, bias = model
-    return per_text(docs, lambda texts: [scores(texts, weights, bias)], "score double")
+    return per_text(docs, lambda texts: [scores(texts, weights, bias)], "score double", limit=1 << 20)
 
 
 def without_toxic(docs: DataFrame, training: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
