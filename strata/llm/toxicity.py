@@ -118,15 +118,16 @@ def train(texts: list[bytes], labels: np.ndarray, weights: np.ndarray) -> tuple[
     if not 0 < share < 1 or not kept:
         return np.zeros(BUCKETS, np.float32), _logit(share)
     codes, distinct, bounds = factorised([lists[i] for i in kept])
-    sizes = np.diff(bounds)
-    bags = _Mean(codes, bounds, np.repeat(1 / (sizes + PAD), sizes), len(distinct))
+    del lists
+    sizes, different = np.diff(bounds), len(distinct)
+    bags = _Mean(codes, bounds, np.repeat(1 / (sizes + PAD), sizes), different)
     parts = [subwords(distinct[i:i + 20_000]) for i in range(0, len(distinct), 20_000)]
     buckets = np.concatenate([b.astype(np.int32) for b, _ in parts])
     grams = np.concatenate([np.diff(c) for _, c in parts])
     cuts = np.concatenate([[0], np.cumsum(grams)])
-    del parts
+    del parts, distinct, codes
     # A bucket seen in few texts would only learn those texts by heart.
-    spread = np.bincount(bags.columns, minlength=len(distinct))  # texts that hold the word
+    spread = np.bincount(bags.columns, minlength=different)  # texts that hold the word
     texts_of = np.bincount(buckets, np.repeat(spread.astype(np.float32), grams), minlength=BUCKETS)
     used = np.flatnonzero(texts_of)
     common = texts_of[used] >= MIN_TEXTS
