@@ -56,27 +56,30 @@ WALL = {"table", "caption", "template", "object", "button"} | CELLS  # ends of i
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>|"
                  r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-STYLE = re.compile(r"""\bstyle\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-ATTRIBUTE = r"""(?:^|\s){}(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?(?=\s|/|$)"""
-HIDDEN = re.compile(ATTRIBUTE.format("hidden"), re.I)
-OPEN = re.compile(ATTRIBUTE.format("open"), re.I)
-START = re.compile(ATTRIBUTE.format("start"), re.I)
-SPAN = re.compile(ATTRIBUTE.format("colspan"), re.I)
-TYPE = re.compile(ATTRIBUTE.format("type"), re.I)
-VALUE = re.compile(ATTRIBUTE.format("value"), re.I)
+# An attribute's name, and its value where it has one; an unclosed quote runs to the tag's end.
+ATTRIBUTE = re.compile(r"""(=?[^\s/=]+|=)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s"'][^\s]*)?)?""")
 BLANK = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
     __slots__ = ("tag", "attrs", "kids")
 
-    def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.kids = tag, attrs, []
+    def __init__(self, tag: str, attrs: dict[str, str] | None = None):
+        self.tag, self.attrs, self.kids = tag, attrs or {}, []
 
+    def rules(self) -> str:
+        """The inline style, in lower case and without white space."""
+        return BLANK.sub("", self.attrs.get("style", "").lower())
 
-def value(pattern: re.Pattern, attrs: str) -> str | None:
-    found = pattern.search(attrs)
-    return None if not found else unescape((found[1] or "").strip("\"'"))
+
+def attributes(raw: str) -> dict[str, str]:
+    """Values by lower-case name of a tag's attributes; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for name, text in ATTRIBUTE.findall(raw):
+        if text[:1] in ("'", '"'):
+            text = text[1:].removesuffix(text[0])
+        found.setdefault(name.lower(), unescape(text))
+    return found
 
 
 def tree(html: str) -> Node:
@@ -122,7 +125,7 @@ def tree(html: str) -> Node:
             stack.append(stack[-1].kids[-1])
         if tag in BLOCKS and tag != "head" and stack[-1].tag == "head":
             stack.pop()
-        node = Node(tag, attrs)
+        node = Node(tag, attributes(attrs) if attrs else None)
         stack[-1].kids.append(node)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -174,8 +177,9 @@ class Flow:
 def lines(node: Node, visible: bool = True, pre: bool = False) -> list[str]:
     """The rendered lines of a block container's content."""
     flow = Flow()
-    count = int(value(START, node.attrs) or 1) if node.tag == "ol" and (value(START, node.attrs) or "1").isdecimal() else 1
-    shut = node.tag == "details" and not OPEN.search(node.attrs)
+    start = node.attrs.get("start", "") if node.tag == "ol" else ""
+    count = int(start) if start.isdecimal() else 1
+    shut = node.tag == "details" and "open" not in node.attrs
 
     def walk(kids, visible, pre):
         nonlocal count
@@ -197,11 +201,8 @@ def lines(node: Node, visible: bool = True, pre: bool = False) -> list[str]:
                 continue
             seen = visible
             if attrs:
-                if HIDDEN.search(attrs):
-                    continue
-                style = STYLE.search(attrs)
-                rules = re.sub(r"\s", "", style[1].lower()) if style else ""
-                if "display:none" in rules:
+                rules = kid.rules()
+                if "hidden" in attrs or "display:none" in rules:
                     continue
                 if "visibility:" in rules:
                     seen = "visibility:hidden" not in rules and "visibility:collapse" not in rules
@@ -210,8 +211,8 @@ def lines(node: Node, visible: bool = True, pre: bool = False) -> list[str]:
                     flow.lines.append("".join(flow.line))
                 flow.line, flow.space = [], False
             elif tag == "input":
-                if seen and (value(TYPE, attrs) or "").lower() in ("submit", "button", "reset"):
-                    flow.text(value(VALUE, attrs) or "")
+                if seen and attrs.get("type", "").lower() in ("submit", "button", "reset"):
+                    flow.text(attrs.get("value", ""))
             elif tag == "table":
                 add(table(kid, seen), True)
             elif tag in BLOCKS:
@@ -248,9 +249,8 @@ def table(node: Node, visible: bool) -> list[str]:
                 if isinstance(kid, str) and kid.strip() and visible:
                     before.append(" ".join(kid.split()))  # text between cells stands above the table
                 continue
-            style = STYLE.search(kid.attrs)
-            rules = re.sub(r"\s", "", style[1].lower()) if style else ""
-            if HIDDEN.search(kid.attrs) or "display:none" in rules:
+            rules = kid.rules()
+            if "hidden" in kid.attrs or "display:none" in rules:
                 continue
             seen = visible and "visibility:hidden" not in rules and "visibility:collapse" not in rules or "visibility:visible" in rules
             if kid.tag == "tr":
@@ -268,7 +268,7 @@ def table(node: Node, visible: bool) -> list[str]:
             holder = Node("div")
             holder.kids = [kid]
             if isinstance(kid, Node) and kid.tag in CELLS:
-                span = value(SPAN, kid.attrs) or "1"
+                span = kid.attrs.get("colspan", "")
                 made = lines(holder, visible)
                 rows[-1].append((made, min(max(int(span), 1), 1000) if span.isdecimal() else 1))
             else:

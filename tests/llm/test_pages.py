@@ -34,6 +34,22 @@ def test_layout(html, text):
     assert pages.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ('<a title="a hidden gem in Rome">Rome</a>', "Rome"), ("<div class='relative hidden md:block'>x</div>", "x"),
+    ('<button aria-label="Show hidden files">Files</button>', "Files"), ('<p data-style="display:none">x</p>', "x"),
+    ("<p title='style=display:none'>x</p>", "x"), ('<p title="a > b hidden">x</p>', "x"), ("<p data-hidden>x</p>", "x"),
+    ('<p title = "hidden" class= hidden>x</p>', "x"), ("<p title=it's>x</p>", "x"), ('<p title="unclosed hidden>x</p>', "x"),
+    ('<table><tr title="a hidden row" class="hidden"><td data-colspan=9 title="colspan=2 ">a<td>b<tr><td>c<td>d</table>', "a  b\nc  d"),
+    ('<details title="an open door"><summary>s</summary>closed</details>', "s"),
+    ('<ol title="a start=7 b"><li>x</ol>', "1. x"), ('<input title=" type=submit value=no ">x', "x"),
+    ('<input data-value=no type="submit" value="&quot;Go&quot;">', '"Go"'),
+    ('<div HIDDEN>no</div><div class="x"hidden>no</div><div hidden="">no</div><div hidden/>no</div>', ""),
+    ("<p hidden=until-found>no</p><p STYLE='Display : none'>no</p><p style=display:none style=color:red>no</p>yes", "yes"),
+])
+def test_only_attributes_themselves_count(html, text):
+    assert pages.render(html) == text
+
+
 class Visible(HTMLParser):
     """All character data outside elements that never show, in order."""
 
