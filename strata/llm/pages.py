@@ -2,7 +2,7 @@
 
 A page becomes a tree: void elements, raw-text elements, implied end tags (a
 block ends an open paragraph, an item the item before it, a cell or row those
-before them) and implied rows are built as a browser would for the page's text.
+before them, text or a tag that isn't head content the head) and implied rows are built as a browser would for the page's text.
 Rendering walks the tree and emits all visible text: white space is collapsed
 outside ``pre``, blocks start lines, paragraphs, headings, lists and tables stand
 between blank lines, list items carry markers and are indented, and the cells
@@ -32,7 +32,8 @@ from strata.llm.words import per_text
 DEEPEST = 200
 
 # Element names by their role.
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
+VOID = set("area base basefont bgsound br col embed hr img input link meta param source track wbr".split())
+HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())  # what head may hold
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = set("head script style title template noscript iframe noembed noframes object audio video canvas datalist "
              "meta link base area map param source track".split())
@@ -95,10 +96,17 @@ def tree(html: str) -> Node:
                 return False
         return False
 
+    def leave_head():
+        while stack[-1].tag == "head":
+            stack.pop()
+
     while at < end:
         m = TAG.search(html, at)
         if at < (m.start() if m else end):
-            stack[-1].kids.append(unescape(html[at:m.start() if m else end]))
+            text = unescape(html[at:m.start() if m else end])
+            if text.strip(" \t\n\r\f"):
+                leave_head()
+            stack[-1].kids.append(text)
         if not m:
             break
         at = m.end()
@@ -108,12 +116,15 @@ def tree(html: str) -> Node:
         tag = name.lower()
         if closing:
             if tag == "br":
+                leave_head()
                 stack[-1].kids.append(Node("br"))
             elif tag not in ("html", "body"):
                 close({tag}, () if tag in WALL or tag in ROWS or tag == "tr" else WALL)
             continue
-        if tag == "html":
+        if tag == "html" or tag == "head" and stack[-1].tag == "head":
             continue
+        if tag not in HEAD:
+            leave_head()
         if tag in ENDS_P:
             close({"p"}, WALL)
         if tag in CLOSES:
@@ -123,8 +134,6 @@ def tree(html: str) -> Node:
         if tag in CELLS and stack[-1].tag in ROWS | {"table"}:
             stack[-1].kids.append(Node("tr"))
             stack.append(stack[-1].kids[-1])
-        if tag in BLOCKS and tag != "head" and stack[-1].tag == "head":
-            stack.pop()
         node = Node(tag, attributes(attrs) if attrs else None)
         stack[-1].kids.append(node)
         if tag in RAW:

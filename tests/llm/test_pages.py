@@ -50,6 +50,18 @@ def test_only_attributes_themselves_count(html, text):
     assert pages.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<head><title>t</title>Hello <a>x</a>", "Hello x"), ("<head><title>t</title><font face=x><p>one<p>two", "one\n\ntwo"),
+    ("<html><head>\n<meta charset=x>\n<a href=y>link</a> on", "link on"), ("<head><img src=x><input type=submit value=Go>", "Go"),
+    ("<head><basefont size=3><title>t</title><p>x", "x"), ("<head><my-tag><div>x</div>", "x"), ("<head>&nbsp;<b>x</b>", "\xa0x"),
+    ("<head><textarea>x</textarea>", "x"), ("<head><head><title>t</title>x", "x"), ("<p>a<head><title>t</title>b", "ab"),
+    ("<head><title>no</title> \n <script>no</script><style>no</style><noscript><p>no</p></noscript><template><b>no</b></template>"
+     "<!-- no --></head><body>x", "x"),
+])
+def test_head_ends_at_what_it_cannot_hold(html, text):
+    assert pages.render(html) == text
+
+
 class Visible(HTMLParser):
     """All character data outside elements that never show, in order."""
 
