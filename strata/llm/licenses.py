@@ -1,14 +1,19 @@
 """License scans by sentence rules.
 
-A text is cut into sentences, sentences are normalised, and those that a table
-knows become licence-sentence identifiers. A licence rule is an ordered list of
-identifiers; it matches where they follow each other in the text, with at most
-``GAP`` other known sentences and any unknown ones between. Rules are tried in
-order, and the sentences of a match are spent.
+A text is normalised, and the sentences in it that a table knows become
+licence-sentence identifiers. A known sentence may be wrapped over lines, and
+may hold ``;`` and ``:``; it starts and ends at a line's end or after one of
+``. ! ? ; :``, and no blank line and no ``. ! ?`` before white space stands
+inside it. Where several known sentences start together the longest counts, and
+the text of one is spent. Comment signs before wrapped lines are punctuation.
+
+A licence rule is an ordered list of identifiers; it matches where they follow
+each other in the text, with at most ``GAP`` other known sentences and any
+unknown ones between. Rules are tried in order, and the sentences of a match are
+spent.
 
 Everything is a DataFrame operation on one row at a time: no shuffle, no text
-leaves its task. The sentence table is a fixed rule set, held as one pattern
-for each identifier.
+leaves its task. The sentence table is a fixed rule set, held as one pattern.
 
 Defined results: null and empty texts have no sentences and no licence.
 Repeated rows each get a row; an empty table gives an empty result.
@@ -55,6 +60,35 @@ SENTENCES = {
     "ALL-RIGHTS": ["all rights reserved"],
 }
 
+# The licences' own sentences where they are longer than those above, and other usual notices.
+FULL = {
+    "APACHE-NOTICE": ["the asf licenses this file to you under the apache license version 2 0 the license"],
+    "APACHE-COPY": [f"you may obtain a copy of the license at {x} www apache org licenses license 2 0" for x in ("http", "https")],
+    "GPL-HOPE": ["this program is distributed in the hope that it will be useful but without any warranty without even "
+                 "the implied warranty of merchantability or fitness for a particular purpose see the gnu general public "
+                 "license for more details"],
+    "MIT-NOTICE": [f"this {what} is {how} under the mit license{more}" for what in ("project", "software", "work", "code", "package")
+                   for how in ("licensed", "released", "distributed")
+                   for more in ("", " see the license file for details", " see the license md license md file for details",
+                                " see the license license file for details")],
+    "MIT-GRANT": ["permission is hereby granted free of charge to any person obtaining a copy of this software and "
+                  "associated documentation files the software to deal in the software without restriction including "
+                  "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
+                  "copies of the software and to permit persons to whom the software is furnished to do so subject to "
+                  "the following conditions"],
+    "AS-IS": ["the software is provided as is without warranty of any kind express or implied including but not limited "
+              "to the warranties of merchantability fitness for a particular purpose and noninfringement"],
+    "CC-BY": ["this work is licensed under a creative commons attribution 4 0 international license"],
+    "CC-BY-SA": ["this work is licensed under a creative commons attribution sharealike 4 0 international license"],
+    "CC-BY-NC": ["this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
+    "CC0": [f"to the extent possible under law {who} waived all copyright and related or neighboring rights to this {what}"
+            for who in ("the author has", "the author s have", "the authors have", "the person who associated cc0 with this work has")
+            for what in ("work", "software")] +
+           [f"to the extent possible under law {who} dedicated all copyright and related and neighboring rights to this "
+            f"{what} to the public domain worldwide" for who in ("the author has", "the author s have", "the authors have")
+            for what in ("work", "software")],
+}
+
 # Licence rules, most telling first: each is an ordered list of identifiers.
 RULES = (
     ("Apache-2.0", ("APACHE-NOTICE", "APACHE-COMPLY", "APACHE-COPY")),
@@ -73,22 +107,28 @@ RULES = (
 )
 
 # A text without one of these has no known sentence; most texts stop here.
-HINT = "(?i)licens|permission|redistribut|warranty|copyright|rights reserved"
-# A sentence ends at a line's end, or after . ! ? ; : before white space.
-ENDS = r"([.!?;:])[ \t\n\x0B\f\r]+"
+HINT = "(?i)licens|permission|redistribut|warranty|copyright|rights[^a-z0-9]+reserved"
+WHITE = r"[ \t\n\x0B\f\r]+"
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences of a text, in order."""
-    parts = F.split(F.regexp_replace(text, ENDS, "$1\n"), "\n")
-    plain = F.transform(parts, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    return F.filter(plain, lambda s: s != "")
+def marked(text: Column) -> Column:
+    """Normalised words with " . " where no known sentence goes on (a blank line,
+    after . ! ?) and " | " where one may start, end or go on (a line's end, after ; :)."""
+    lines = F.regexp_replace(F.lower(text), r"[.!?]" + WHITE, "\n\n")
+    lines = F.regexp_replace(lines, r"[;:][ \t\x0B\f\r]++(?!\n)", "\n")
+    lines = F.regexp_replace(lines, r"[^a-z0-9\n]+", " ")
+    words = F.regexp_replace(F.regexp_replace(lines, r" ?\n ?\n[ \n]*", " . "), r" ?\n ?", " | ")
+    return F.concat(F.lit(". "), F.trim(words), F.lit(" ."))
 
 
-def identifiers(lines: Column) -> Column:
-    """Identifiers of the known sentences, in order."""
-    known = F.create_map(*[F.lit(x) for name, texts in SENTENCES.items() for t in texts for x in (t, name)])
-    return F.filter(F.transform(lines, lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
+def identifiers(words: Column) -> Column:
+    """Identifiers of the known sentences of marked words, in order."""
+    names = {t: name for table in (SENTENCES, FULL) for name, texts in table.items() for t in texts}
+    longest = sorted(names, key=len, reverse=True)
+    pattern = "[|.] (" + "|".join(t.replace(" ", "[ |]+") for t in longest) + ")(?= [|.])"
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    found = F.regexp_extract_all(words, F.lit(pattern), F.lit(1))
+    return F.transform(found, lambda s: F.try_element_at(known, F.regexp_replace(s, r"[ |]+", " ")))
 
 
 def _pattern(ids: tuple[str, ...]) -> str:
@@ -113,8 +153,8 @@ def licences(found: Column) -> tuple[Column, Column]:
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, sentence_ids, licences, rules) of every whole text."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.when(text.rlike(HINT), sentences(text)).alias("lines"))
-    rows = rows.select("doc_id", F.coalesce(identifiers(F.col("lines")), F.array().cast("array<string>")).alias("ids"))
+    rows = docs.select("doc_id", F.when(text.rlike(HINT), marked(text)).alias("words"))
+    rows = rows.select("doc_id", F.coalesce(identifiers(F.col("words")), F.array().cast("array<string>")).alias("ids"))
     names, rules = licences(F.col("ids"))
     none = F.array()
     some = F.size("ids") > 0
@@ -124,8 +164,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """DuckDB SQL of the scan: the same sentences and rules, with a join for the
-    look-up and a step for each rule."""
+    """DuckDB SQL of the scan for texts whose known sentences each are one of
+    ``SENTENCES`` on one line, as in the test tables; it doesn't know wrapped
+    sentences and ``FULL``. A join for the look-up and a step for each rule."""
     known = ", ".join(f"('{t}', '{name}')" for name, texts in SENTENCES.items() for t in texts)
     steps, left = [], "l"
     for i, (_, ids) in enumerate(RULES):

@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from strata.llm import licenses, queries
 
@@ -65,3 +66,69 @@ def test_native_plan(spark):
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+GPL = ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+       "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+       "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+       "of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.",
+       "You should have received a copy of the GNU General Public License along with this program.  If not, see "
+       "<https://www.gnu.org/licenses/>."]
+MIT = ["MIT License", "Copyright (c) 2024 Some One",
+       'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation '
+       'files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, '
+       'modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the '
+       'Software is furnished to do so, subject to the following conditions:',
+       "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+       'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+       'WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR '
+       'COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.']
+BSD = ["Copyright (c) 2024, Some One",
+       "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+       "conditions are met:",
+       "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+       "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+       "disclaimer in the documentation and/or other materials provided with the distribution."]
+APACHE = ["Copyright 2024 Some One",
+          'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the '
+          'License. You may obtain a copy of the License at', "    http://www.apache.org/licenses/LICENSE-2.0",
+          "Unless required by applicable law or agreed to in writing, software is distributed on an \"AS IS\" BASIS."]
+CC0 = ["To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this "
+       "software to the public domain worldwide. This software is distributed without any warranty."]
+HEADERS = [
+    (GPL, "GPL-FREE,GPL-HOPE,GPL-COPY", ["GPL-3.0"]), (MIT, "MIT-GRANT,MIT-KEEP,AS-IS", ["MIT"]),
+    (BSD, "BSD-USE,BSD-SOURCE,BSD-BINARY", ["BSD-2-Clause"]),
+    (APACHE, "APACHE-NOTICE,APACHE-COMPLY,APACHE-COPY", ["Apache-2.0"]), (CC0, "CC0", ["CC0-1.0"]),
+    (["This project is licensed under the MIT License - see the [LICENSE](LICENSE) file for details."], "MIT-NOTICE", ["MIT"]),
+]
+
+
+def found(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [(",".join(r.sentence_ids), r.licences) for r in sorted(licenses.scan(docs).collect())]
+
+
+def test_whole_headers_as_written(spark):
+    texts, wanted = [], []
+    for paragraphs, ids, names in HEADERS:
+        for width in (24, 40, 60, 80, 10000):
+            for sign, end in (("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("    ", "  \n")):
+                lines = [sign.rstrip() if not i and n else sign + x for n, p in enumerate(paragraphs)
+                         for i, x in enumerate([""] * (n > 0) + textwrap.wrap(p, width, break_long_words=False))]
+                texts.append("def f(): pass" + end * 2 + end.join(lines) + end * 2 + "import os")
+                wanted.append((ids, names))
+    assert found(spark, texts) == wanted
+
+
+def test_where_known_sentences_start_and_end(spark):
+    assert found(spark, [
+        "all rights\n\nreserved", "All rights. Reserved", "# All rights\n#\n# reserved", "no: all rights reserved", "All rights\nreserved",
+        "ALL RIGHTS  RESERVED;", "not all rights\nreserved", "all rights\nreserved here", "all\nrights\nreserved\nall rights reserved",
+        "a\n" * 50000 + "\n" * 50000 + "released under\nthe MIT license", "; " * 50000 + "all rights reserved",
+    ]) == [("", [])] * 3 + [("ALL-RIGHTS", ["proprietary"])] * 3 + [("", [])] * 2 + [
+        ("ALL-RIGHTS,ALL-RIGHTS", ["proprietary"]), ("MIT-NOTICE", ["MIT"]), ("ALL-RIGHTS", ["proprietary"])]
+
+
+def test_every_known_sentence_is_found(spark):
+    known = [(t, name) for table in (licenses.SENTENCES, licenses.FULL) for name, texts in table.items() for t in texts]
+    assert [ids for ids, _ in found(spark, [t for t, _ in known])] == [name for _, name in known]
