@@ -23,8 +23,10 @@ returns at most ``k`` rows for a query.
 Defined results: vectors that are null, empty, or hold null or non-finite
 components take no part. Vectors of different lengths are compared as if the
 shorter ended in zeros. A row without an id takes no part. Rows that repeat an
-id are candidates each, and none for queries of that id. Components beyond
-2**28 after scaling count as that.
+id are candidates each, and none for queries of that id. Query rows that repeat
+both id and vector are one query; other query rows that share an id are queries
+each, every one with its own ranks from 1 to ``k`` under that id.
+Components beyond 2**28 after scaling count as that.
 """
 
 from __future__ import annotations
@@ -86,16 +88,18 @@ def index(vectors: DataFrame, shards: int, spread: int) -> DataFrame:
 
 
 def query_blocks(queries: DataFrame, blocks: int, shards: int, spread: int) -> DataFrame:
-    """(shard, turn, block, qids, q, qdims): every block once for each shard."""
+    """(shard, turn, block, numbers, qids, q, qdims): every block once for each shard."""
 
     def pack(keys, table):
         m = _matrix(table["v"].to_pylist()).astype("<i4")
-        return pa.table({"block": [keys[0].as_py()], "qids": [table["id"].to_numpy().tobytes()], "q": [m.tobytes()],
-                         "qdims": [m.shape[1]]},
-                        schema=pa.schema([("block", pa.int32()), ("qids", pa.binary()), ("q", pa.binary()), ("qdims", pa.int32())]))
-
-    deal = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    rows = queries.withColumn("block", deal).groupBy("block").applyInArrow(pack, "block int, qids binary, q binary, qdims int")
+        return pa.table({"block": [keys[0].as_py()], "numbers": [table["number"].to_numpy().tobytes()],
+                         "qids": [table["id"].to_numpy().tobytes()], "q": [m.tobytes()], "qdims": [m.shape[1]]},
+                        schema=pa.schema([("block", pa.int32()), ("numbers", pa.binary()), ("qids", pa.binary()),
+                                          ("q", pa.binary()), ("qdims", pa.int32())]))
+
+    deal = F.pmod(F.xxhash64("number"), F.lit(blocks)).cast("int")
+    rows = queries.withColumn("block", deal).groupBy("block").applyInArrow(
+        pack, "block int, numbers binary, qids binary, q binary, qdims int")
     rows = stored(rows, "vector-queries")
     return rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
                        F.expr(f"block % {spread}").alias("turn"))
@@ -120,7 +124,7 @@ class Shard:
             self.levels.append((segments, np.sqrt(rest.sum(axis=1))))
 
     def top(self, qids: np.ndarray, q: np.ndarray, k: int):
-        """(query, vector, score): the k best of this shard for each query."""
+        """(query's place, vector, score): the k best of this shard for each query."""
         width = self.m.shape[1]
         whole = np.zeros((len(q), width), np.int64)
         whole[:, :min(width, q.shape[1])] = q[:, :width]
@@ -150,7 +154,7 @@ class Shard:
         vector, query, exact = vector[by], query[by], exact[by]
         rank = np.arange(len(query)) - np.searchsorted(query, query)
         kept = rank < k
-        return qids[query[kept]], self.ids[vector[kept]], exact[kept]
+        return query[kept], self.ids[vector[kept]], exact[kept]
 
     @staticmethod
     def _possible(scores: np.ndarray, slack: np.ndarray, k: int) -> np.ndarray:
@@ -164,9 +168,11 @@ class Shard:
 def search(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding",
            shard: int = SHARD, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, <key>, score): the k candidates of ``rows`` with the
-    highest integer inner product for each row of ``queries``, ties to the
-    smaller id."""
-    wanted = stored(usable(queries, key, vector), "vector-wanted")
+    highest integer inner product for each distinct row of ``queries``, ties to
+    the smaller id."""
+    wanted = usable(queries.select(key, vector).distinct(), key, vector)
+    wanted = wanted.withColumn("number", F.monotonically_increasing_id())
+    wanted = stored(wanted, "vector-wanted")
     kept = usable(rows, key, vector)
     shards = max(1, math.ceil(kept.count() / shard))
     blocks = max(1, math.ceil(wanted.count() / block))
@@ -182,15 +188,16 @@ def search(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vec
                     ids = np.frombuffer(r["ids"], np.int64)
                     m = np.frombuffer(r["m"], "<i2" if r["short"] else "<i4").reshape(len(ids), r["dims"])
                     held, found = r["shard"], Shard(ids, m)
-                qids = np.frombuffer(r["qids"], np.int64)
+                numbers, qids = np.frombuffer(r["numbers"], np.int64), np.frombuffer(r["qids"], np.int64)
                 q = np.frombuffer(r["q"], "<i4").reshape(len(qids), r["qdims"]).astype(np.int64)
                 for a in range(0, len(qids), BLOCK):
-                    made = found.top(qids[a:a + BLOCK], q[a:a + BLOCK], k)
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["query_id", "id", "score"])
+                    query, *made = found.top(qids[a:a + BLOCK], q[a:a + BLOCK], k)
+                    made = [numbers[a + query], qids[a + query], *made]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["number", "query_id", "id", "score"])
 
     pairs = left.join(right, ["shard", "turn"]).sortWithinPartitions("shard")
-    best = pairs.select("shard", "ids", "m", "dims", "short", "qids", "q", "qdims").mapInArrow(
-        run, "query_id long, id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    best = pairs.select("shard", "ids", "m", "dims", "short", "numbers", "qids", "q", "qdims").mapInArrow(
+        run, "number long, query_id long, id long, score long")
+    order = W.partitionBy("number").orderBy(F.desc("score"), "id")
     return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", F.col("id").alias(key), "score"))

@@ -33,6 +33,22 @@ def test_equals_all_pairs(spark, monkeypatch, shard, block, few):
     assert got == [r for r in brute(rows, wanted, 20) if r[0] != 20]
 
 
+@pytest.mark.parametrize("shard,block", [(8192, 256), (40, 2)])
+def test_each_distinct_query_row_has_its_own_k(spark, shard, block):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(200)]
+    rows += [(20, [0.1] * 16)] * 3 + [(40, rows[40][1])] * 2 + [(60, [-0.2] * 16), (60, [0.3] * 15), (20, [None] * 16)]
+    rows += [(80, [x + 1e-9 for x in rows[80][1]])]  # another vector, though the integers are the same
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in vectors.search(df, df.filter("vec_id in (20, 40, 60, 80)"), 20, shard=shard, block=block).collect())
+    want = []
+    for q in (20, 40, 60, 80):
+        for v in {tuple(v) for i, v in rows if i == q and None not in v}:  # one query for each vector of an id
+            want += [r for r in brute([(q, list(v))] + [r for r in rows if r[0] != q], {q}, 20)]
+    assert got == sorted(want)
+    assert [sum(r[0] == q for r in got) for q in (20, 40, 60, 80)] == [40, 20, 60, 40]
+
+
 def test_stops_on_proof_and_loses_nothing():
     rng = np.random.default_rng(1)
     m = np.floor(64 * rng.normal(size=(4000, 64)) / 8).astype(np.int64)
