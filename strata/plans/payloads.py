@@ -186,12 +186,13 @@ def holidays_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def holidays_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bare yearly holiday lists per (country, year) as an upstream API
-    would return them (ENV-3 input)."""
+    """Bare holiday lists per (country, day) as an upstream API would return
+    them (ENV-3 input). A list of a year would grow with the table while the
+    number of lists would not."""
     o = table(spark, sf_dir, "orders").select(
-        "*", F.col("o_orderstatus").alias("country_code"), F.year("o_orderdate").alias("year"))
-    o = _exchange_on(o, "country_code", "year")
-    return o.groupBy("country_code", "year").agg(
+        "*", F.col("o_orderstatus").alias("country_code"), F.to_date("o_orderdate").alias("day"))
+    o = _exchange_on(o, "country_code", "day")
+    return o.groupBy("country_code", "day").agg(
         F.collect_list(holiday_record()).alias("holidays"))
 
 

@@ -1,5 +1,6 @@
 """ENV-1..5, FLT-1, AGG-1, SNK-7: payload shaping and raw object keys."""
 
+import datetime
 import json
 
 import pytest
@@ -78,3 +79,18 @@ def test_snapshot_is_the_utc_second(as_of, seconds):
 def test_object_keys_are_padded(spark):
     df = spark.createDataFrame([("0999-01-05", "e 1")], "d string, e string")
     assert df.select(env.raw_object_key("src", "d", "e").alias("k")).first().k == "src/year=0999/month=01/day=05/e 1.json"
+
+
+def test_upstream_holiday_lists_hold_one_day(spark):
+    from strata.plans import payloads
+
+    sf = "/root/testdata/sf0.01"
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    want = {(r.o_orderstatus, r.day): r["count"] for r in orders.groupBy(
+        "o_orderstatus", F.to_date("o_orderdate").alias("day")).count().collect()}
+    lists = [(r.country_code, r.holidays) for r in payloads.holidays_upstream(spark, sf).collect()]
+    assert sorted(len(x) for _, x in lists) == sorted(want.values())
+    for country, holidays in lists:
+        days = {h.date for h in holidays if h.date}
+        assert len(days) <= 1
+        assert all(want[country, datetime.date.fromisoformat(d)] == len(holidays) for d in days)
