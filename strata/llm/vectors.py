@@ -26,7 +26,8 @@ shorter ended in zeros. A row without an id takes no part. Rows that repeat an
 id are candidates each, and none for queries of that id. Query rows that repeat
 both id and vector are one query; other query rows that share an id are queries
 each, every one with its own ranks from 1 to ``k`` under that id.
-Components beyond 2**28 after scaling count as that.
+Components beyond 2**28 after scaling count as that; scores beyond a long, which
+take 128 such components in both vectors, are not defined.
 """
 
 from __future__ import annotations
@@ -113,6 +114,7 @@ class Shard:
         size = np.abs(self.m)
         self.levels = []  # segments of a level: (dimension, vectors, components)
         rest = size.astype(np.float64) ** 2
+        self.length = np.sqrt(rest.sum(axis=1))
         top = int(size.max(initial=0)).bit_length()
         for bits in range(top, 0, -1):
             inside = (size >= 1 << bits - 1) & (size < 1 << bits)
@@ -131,7 +133,9 @@ class Shard:
         length = np.sqrt((whole.astype(np.float64) ** 2).sum(axis=1))
         first = np.searchsorted(self.ids, qids, "left")
         last = np.searchsorted(self.ids, qids, "right")
-        scores = np.zeros((len(self.ids), len(q)))  # exact: integers far below 2**53
+        scores = np.zeros((len(self.ids), len(q)))  # integers, exact below 2**53
+        # beyond, each of a score's additions and products may round by 2**-53 of at most the lengths' product
+        rounded = (2 * width + 2) * 2.0**-53 * self.length[:, None] * length
         for i in range(len(q)):
             scores[first[i]:last[i], i] = -np.inf  # never a candidate of its own
         weights = whole.T.astype(np.float64)
@@ -139,7 +143,7 @@ class Shard:
         for segments, rest in self.levels:
             for d, at, values in segments:
                 scores[at] += values * weights[d]
-            slack = rest[:, None] * length * (1 + 1e-9) + 1e-6
+            slack = rest[:, None] * length * (1 + 1e-9) + rounded + 1e-6
             possible = self._possible(scores, slack, k)
             if possible.sum() <= FEW * k * len(q):
                 break

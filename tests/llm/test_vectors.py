@@ -65,6 +65,15 @@ def test_stops_on_proof_and_loses_nothing():
     assert max(done) < len(shard.levels) - 1  # the smallest impacts were never needed
 
 
+def test_rounding_of_large_scores_loses_nothing():
+    rng = np.random.default_rng(3)
+    one = rng.integers(1 << 27, 1 << 28, 32)
+    m = np.array([rng.permutation(one) for _ in range(500)])  # all scores are equal, beyond 2**53
+    q = np.full((1, 32), (1 << 28) - 1)
+    _, got, scores = vectors.Shard(np.arange(500), m).top(np.array([-1]), q, 5)
+    assert got.tolist() == [0, 1, 2, 3, 4] and set(scores.tolist()) == {int(one.sum()) * ((1 << 28) - 1)}
+
+
 class _Counted(list):
     def __init__(self, items, done, level):
         super().__init__(items)
