@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import licenses, mixing, pages, quality, segmentation, simhash, substrings, tokenstore, toxicity, vectors
+from strata.llm import (
+    licenses,
+    mixing,
+    naming,
+    pages,
+    phrases,
+    quality,
+    ranked,
+    segmentation,
+    simhash,
+    substrings,
+    tokenstore,
+    toxicity,
+    vectors,
+)
 from strata.llm.words import table
 
 QUERIES: dict = {}
@@ -111,3 +125,28 @@ def op2_html_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op7_substring_dedup"] = substrings.ORACLE
 ORACLES["op9_license_scan"] = licenses.oracle()
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents"), longest=4, least=30, most=2000, share=80)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+ORACLES["op11_phrase_collocations"] = phrases.ORACLE
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return naming.groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_exact_dedup"] = naming.ORACLE
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+ORACLES["op13_ranked_search"] = ranked.ORACLE
