@@ -14,14 +14,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.dedupe import dedupe_by
+from strata.operators.partitions import add_event_partitions
 from strata.schemas import CORRUPT_COL
-from strata.sinks.curated import merge_partitions, write_curated
+from strata.session import scratch_path
+from strata.sinks import ledger
+from strata.sinks.curated import with_what_is_there, write_curated
 from strata.sources.paths import Location, identifier
-from strata.sources.raw import mixed_layout, read_raw, read_raw_days
-from strata.specs import get_spec
+from strata.sources.raw import day_folders, mixed_layout, read_raw, read_raw_days
+from strata.specs import SourceSpec, get_spec
 
 # Job keys of each field, in order of preference (the names are the contract),
 # and what an absent value becomes.
@@ -104,17 +108,22 @@ class JobParams:
         return Location(self.curated_root) / "curated" / self.source_name
 
 
-def read_job_input(spark: SparkSession, params: JobParams, source_file: bool = False
-                   ) -> DataFrame:
-    """Raw documents of the job: an explicit path, one day folder, or a date
-    range of day folders (only those folders are listed and read)."""
+def _dated(params: JobParams) -> bool:
+    """Whether a run owns days: an explicit path says nothing about its days."""
+    return not params.input_path and params.write_mode.strip().lower() == "overwrite_partitions"
+
+
+def read_job_input(spark: SparkSession, params: JobParams, source_file: bool = False,
+                   more: Sequence[date] = ()) -> DataFrame:
+    """Raw documents of the job: an explicit path, or the day folders of its
+    range and of the days ``more`` (only those folders are listed and read)."""
     spec = get_spec(params.source_name)
-    if params.input_path or params.end_date == params.ingest_date:
+    if params.input_path:
         return read_raw(spark, params.input_location(), spec.raw_schema, params.raw_format,
                         source_file=source_file)
     return read_raw_days(spark, params.raw_root, spec.name, spec.raw_schema, params.ingest_date,
                          params.end_date, params.raw_format, source_file=source_file,
-                         allow_missing=params.missing_days == "skip")
+                         allow_missing=params.missing_days == "skip", more=more)
 
 
 def corrupt_documents(raw: DataFrame, schema_fields: list[str] | None = None) -> DataFrame:
@@ -127,65 +136,124 @@ def corrupt_documents(raw: DataFrame, schema_fields: list[str] | None = None) ->
         "source_file", CORRUPT_COL, F.to_json(F.struct(*fields)).alias("parsed_fields"))
 
 
-def _check_layout(spark: SparkSession, params: JobParams, raw: DataFrame) -> None:
+def _check_layout(spark: SparkSession, params: JobParams, more: Sequence[date] = ()) -> None:
     """Refuse JSON Lines that would be read as whole documents (one pass over
     the text, in the ``document`` layout only)."""
     if params.raw_format.strip().lower() == "document":
-        files = raw.inputFiles()
-        bad = mixed_layout(spark, files).limit(5).collect() if files else []
+        paths = [params.input_location()] if params.input_path else day_folders(
+            spark, params.raw_root, params.source_name, params.ingest_date, params.end_date,
+            params.missing_days == "skip", more) or []
+        bad = mixed_layout(spark, paths).limit(5).collect() if paths else []
         if bad:
             raise ValueError("files hold several documents; set RAW_FORMAT to lines: "
                              + ", ".join(f"{r.path} ({r.documents})" for r in bad))
 
 
+def _quarantine(spark: SparkSession, params: JobParams, more: Sequence[date] = ()) -> None:
+    """Malformed documents below ``_quarantine``, by ingest day, so that a rerun
+    replaces them (D7)."""
+    spec = get_spec(params.source_name)
+    with_files = read_job_input(spark, params, source_file=True, more=more)
+    bad = corrupt_documents(with_files, spec.raw_schema.fieldNames()[:-1])
+    folder = F.regexp_extract("source_file", "/year=([0-9]+)/month=([0-9]+)/day=([0-9]+)/", 0)
+    day = F.regexp_replace(folder, "/year=([0-9]+)/month=([0-9]+)/day=([0-9]+)/", "$1-$2-$3")
+    bad = bad.withColumn("ingest_date", F.coalesce(F.nullif(day, F.lit("")), F.lit(params.ingest_date)))
+    (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("ingest_date").json(params.output_location() / "_quarantine"))
+
+
+LANDING = "landing_day"
+
+
+def staged_days(spark: SparkSession, params: JobParams, late: Sequence[date], seen: Observation,
+                kept: Observation) -> DataFrame:
+    """Curated rows of the run's folders, and of the folders ``late`` the rows
+    of its own days, stored; ``landing_day`` lists the days of other folders that
+    a row came from."""
+    spec = get_spec(params.source_name)
+    raw = read_job_input(spark, params, more=late).observe(
+        seen, F.count(F.lit(1)).alias("documents"), F.count(F.col(CORRUPT_COL)).alias("malformed_documents"))
+    raw = raw.withColumn(LANDING, F.make_date("year", "month", "day"))
+    rows = spec.project(raw, keep=(LANDING,))
+    if late:
+        rows = rows.where(_own(params, spec) | _inside(params, LANDING))
+    elsewhere = F.col(spec.event_date_col).isNotNull() & (F.col(spec.event_date_col) != F.col(LANDING))
+    rows = rows.withColumn(LANDING, F.when(elsewhere, F.col(LANDING)))
+    curated = add_event_partitions(dedupe_by(rows, spec.keys, spec.newest, gather=(LANDING,)), spec.event_date_col)
+    curated = curated.observe(kept, F.count_if(~_own(params, spec)).alias("other_days"),
+                              F.count_if(F.size(LANDING) > 0).alias("elsewhere"))
+    scratch = scratch_path(spark, "staged")
+    curated.write.parquet(scratch)
+    return spark.read.schema(curated.schema).parquet(scratch)
+
+
+def _inside(params: JobParams, day: str) -> Column:
+    return F.col(day).between(F.lit(params.ingest_date).cast("date"), F.lit(params.end_date).cast("date"))
+
+
+def _own(params: JobParams, spec: SourceSpec) -> Column:
+    return F.coalesce(_inside(params, spec.event_date_col), F.lit(False))
+
+
+def _run_days(spark: SparkSession, params: JobParams, table: str | None, quarantine: bool) -> dict[str, object]:
+    """A run that owns the days [ingest_date, end_date]; see ``run_curation``."""
+    spec, out = get_spec(params.source_name), params.output_location()
+    first, last = date.fromisoformat(params.ingest_date), date.fromisoformat(params.end_date)
+    late = ledger.feeding_days(spark, out, first, last)
+    _check_layout(spark, params, late)
+    seen, kept = Observation("raw_documents"), Observation("curated_rows")
+    staged = staged_days(spark, params, late, seen, kept)
+    others, elsewhere = (int(kept.get.get(k) or 0) for k in ("other_days", "elsewhere"))
+    if elsewhere:
+        ledger.record(staged.select(F.col(spec.event_date_col).alias("event_date"), F.explode(LANDING).alias(LANDING)), out)
+    rows = staged.drop(LANDING)
+    if others:
+        merged = with_what_is_there(rows.where(~_own(params, spec)), out, spec.keys, spec.newest, spec.partition_cols)
+        rows = rows.where(_own(params, spec)).unionByName(merged)
+    written = write_curated(rows, path=out, table=table, mode=params.write_mode, partition_cols=spec.partition_cols)
+    malformed = int(seen.get.get("malformed_documents") or 0)
+    if quarantine and malformed:
+        _quarantine(spark, params, late)
+    return {"written": written, "documents": int(seen.get.get("documents") or 0), "malformed_documents": malformed,
+            "rows_of_other_days": others, "late_folders": [str(d) for d in late]}
+
+
 def run_curation(spark: SparkSession, params: JobParams, register_table: bool = True,
                  quarantine: bool = True) -> dict[str, object]:
     """API-4: read raw, curate, write the curated table.
 
     Rows of the run's own days [ingest_date, end_date] replace those days. Late
     and early rows, and rows without a date, are added to the partitions they
-    belong to instead, which keep what is there. Documents, malformed documents
-    and rows of other days are observed during the write itself; only when there
-    are any does the job read its input again, to write malformed documents
-    below ``_quarantine`` (D7, by ingest day, so a rerun replaces them) or to
-    merge the rows of other days."""
+    belong to instead, which keep what is there, and the ledger notes from which
+    folder they came: a later run of those days reads that folder as well, so no
+    order of runs and reruns loses a row.
+
+    The input is parsed once, into stored curated rows. Own and merged partitions
+    are then published by one write, whose commit replaces all of them: a run that
+    fails before it leaves the table as it was. Only when there are malformed
+    documents is the input read again, to write them below ``_quarantine``."""
     spec = get_spec(params.source_name)
-    raw = read_job_input(spark, params)
-    _check_layout(spark, params, raw)
     out, table = params.output_location(), params.table if register_table else None
+    report = {"job_name": params.job_name, "source": spec.name, "input": str(params.input_location()),
+              "output": str(out), "table": table or "", "mode": params.write_mode}
     if register_table:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {identifier(params.database)}")
-    replaces = params.write_mode.strip().lower() == "overwrite_partitions"
-    dated = replaces and not params.input_path  # an explicit path says nothing about its days
-    own = F.coalesce(F.col(spec.event_date_col).between(F.lit(params.ingest_date).cast("date"),
-                                                        F.lit(params.end_date).cast("date")), F.lit(False))
-    seen, kept = Observation("raw_documents"), Observation("curated_rows")
+    if _dated(params):
+        return report | _run_days(spark, params, table, quarantine)
+    raw = read_job_input(spark, params)
+    _check_layout(spark, params)
+    seen = Observation("raw_documents")
     observed = raw.observe(seen, F.count(F.lit(1)).alias("documents"),
                            F.count(F.col(CORRUPT_COL)).alias("malformed_documents"))
-    curated = spec.curate(observed)
-    if dated:
-        curated = curated.observe(kept, F.count_if(~own).alias("other_days")).where(own)
-    written = write_curated(curated, path=out, table=table, mode=params.write_mode,
+    written = write_curated(spec.curate(observed), path=out, table=table, mode=params.write_mode,
                             partition_cols=spec.partition_cols)
-    report = {"job_name": params.job_name, "source": spec.name, "input": str(params.input_location()),
-              "output": str(out), "table": table or "", "mode": params.write_mode, "written": written}
+    report |= {"written": written, "documents": 0, "malformed_documents": 0, "rows_of_other_days": 0}
     if not written:
-        return report | {"documents": 0, "malformed_documents": 0, "rows_of_other_days": 0}
+        return report
     malformed = int(seen.get.get("malformed_documents") or 0)
-    others = int(kept.get.get("other_days") or 0) if dated else 0
-    if others:
-        merge_partitions(spec.curate(read_job_input(spark, params)).where(~own), out, spec.keys, spec.newest,
-                         table, spec.partition_cols)
     if quarantine and malformed:
-        with_files = read_job_input(spark, params, source_file=True)
-        bad = corrupt_documents(with_files, spec.raw_schema.fieldNames()[:-1])
-        folder = F.regexp_extract("source_file", "/year=([0-9]+)/month=([0-9]+)/day=([0-9]+)/", 0)
-        day = F.regexp_replace(folder, "/year=([0-9]+)/month=([0-9]+)/day=([0-9]+)/", "$1-$2-$3")
-        bad = bad.withColumn("ingest_date", F.coalesce(F.nullif(day, F.lit("")), F.lit(params.ingest_date)))
-        (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("ingest_date").json(out / "_quarantine"))
-    return report | {"documents": int(seen.get.get("documents") or 0), "malformed_documents": malformed,
-                     "rows_of_other_days": others}
+        _quarantine(spark, params)
+    return report | {"documents": int(seen.get.get("documents") or 0), "malformed_documents": malformed}
 
 
 def main(argv: Sequence[str] | None = None) -> int:

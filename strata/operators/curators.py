@@ -7,6 +7,8 @@ event-date partitions (PRT-1). Column order is the curated table's order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,10 @@ FLIGHTS_KEYS = ("icao24", "snapshot_time")
 FLIGHTS_NEWEST = ("last_contact",)
 
 
-def project_traffic(raw: DataFrame) -> DataFrame:
-    """CUR-1 projection: one row per traffic record."""
-    rec = explode_struct_array(raw, "records")
+def project_traffic(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """CUR-1 projection: one row per traffic record; ``keep`` names columns of
+    the document that each row carries besides."""
+    rec = explode_struct_array(raw, "records", include_cols=keep)
     return rec.select(
         lenient_cast("center_id", "string").alias("center_id"),
         parse_timestamp("timestamp").alias("event_timestamp"),
@@ -36,6 +39,7 @@ def project_traffic(raw: DataFrame) -> DataFrame:
         lenient_cast("is_holiday", "boolean").alias("is_holiday"),
         lenient_cast("weather_condition", "string").alias("weather_condition"),
         lenient_cast("temperature_c", "double").alias("temperature_c"),
+        *keep,
     )
 
 
@@ -48,10 +52,10 @@ WEATHER_ARRAYS = ("hourly.time", "hourly.temperature_2m", "hourly.precipitation"
                   "hourly.windspeed_10m", "hourly.weathercode")
 
 
-def project_weather(raw: DataFrame) -> DataFrame:
+def project_weather(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """CUR-2 projection: one row per position of the parallel hourly arrays."""
     rows = explode_zipped_arrays(raw, WEATHER_ARRAYS,
-                                 include_cols=("latitude", "longitude", "timezone"))
+                                 include_cols=("latitude", "longitude", "timezone", *keep))
     return rows.select(
         parse_timestamp("time").alias("event_timestamp"),
         parse_date("time").alias("event_date"),
@@ -62,6 +66,7 @@ def project_weather(raw: DataFrame) -> DataFrame:
         lenient_cast("latitude", "double").alias("latitude"),
         lenient_cast("longitude", "double").alias("longitude"),
         lenient_cast("timezone", "string").alias("timezone"),
+        *keep,
     )
 
 
@@ -70,11 +75,11 @@ def curate_weather(raw: DataFrame) -> DataFrame:
     return add_event_partitions(dedupe_by(project_weather(raw), WEATHER_KEYS))
 
 
-def project_holidays(raw: DataFrame) -> DataFrame:
+def project_holidays(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """CUR-3 projection. ``country_code`` is the document's, not the record's;
     a record without a usable date falls back to the ingest date (SCL-6)."""
     rec = explode_struct_array(raw, "holidays", alias="holiday",
-                               include_cols=("country_code", "ingest_date"))
+                               include_cols=("country_code", "ingest_date", *keep))
     return rec.select(
         F.coalesce(parse_date("date"), parse_date("ingest_date")).alias("event_date"),
         F.col("country_code").cast("string").alias("country_code"),
@@ -85,6 +90,7 @@ def project_holidays(raw: DataFrame) -> DataFrame:
         F.col("launchYear").try_cast("int").alias("launch_year"),
         F.col("types").alias("holiday_types"),
         parse_date("ingest_date").alias("ingest_date"),
+        *keep,
     )
 
 
@@ -117,11 +123,11 @@ FLIGHT_SLOTS = (
 )
 
 
-def project_flights(raw: DataFrame) -> DataFrame:
+def project_flights(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """CUR-4 projection: one row per state vector, decoded by position.
     The callsign is trimmed before the cast, so a blank one becomes ''."""
     states = explode_array(raw, "states", alias="state",
-                           include_cols=("ingest_date", "snapshot_time", "time"))
+                           include_cols=("ingest_date", "snapshot_time", "time", *keep))
     decoded = []
     for index, name, data_type in FLIGHT_SLOTS:
         value = slot("state", index)
@@ -133,6 +139,7 @@ def project_flights(raw: DataFrame) -> DataFrame:
         lenient_cast("snapshot_time", "long").alias("snapshot_time"),
         lenient_cast("time", "long").alias("source_time"),
         parse_date("ingest_date").alias("event_date"),
+        *keep,
     )
 
 

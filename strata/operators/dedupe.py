@@ -20,20 +20,26 @@ from pyspark.sql import functions as F
 _PICK = "__survivor"
 
 
-def dedupe_by(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
-    """Keep one row per ``keys``; output keeps the input's column order."""
+def dedupe_by(df: DataFrame, keys: Sequence[str], newest: Sequence[str] = (),
+              gather: Sequence[str] = ()) -> DataFrame:
+    """Keep one row per ``keys``; output keeps the input's column order.
+
+    ``gather`` names columns of which the survivor keeps the distinct non-null
+    values of all rows of its key, as an array (few by their meaning, e.g. the
+    folders that a key came from). They don't take part in the choice."""
     keys = list(keys)
-    missing = [k for k in [*keys, *newest] if k not in df.columns]
+    missing = [k for k in [*keys, *newest, *gather] if k not in df.columns]
     if missing:
         raise ValueError(f"dedupe columns not in frame: {missing}")
-    payload = [c for c in df.columns if c not in keys]
-    if not payload:
+    payload = [c for c in df.columns if c not in keys and c not in gather]
+    if not payload and not gather:
         return df.select(*keys).distinct()
     if newest:
         ordered = list(newest) + [c for c in payload if c not in newest]
         pick = F.max(F.struct(*[F.col(c) for c in ordered]))
     else:
         pick = F.min(F.struct(*[F.col(c) for c in payload]))
-    grouped = df.groupBy(*keys).agg(pick.alias(_PICK))
-    return grouped.select(*[F.col(c) if c in keys else F.col(f"{_PICK}.{c}").alias(c)
+    sets = [F.collect_set(c).alias(c) for c in gather]
+    grouped = df.groupBy(*keys).agg(pick.alias(_PICK), *sets)
+    return grouped.select(*[F.col(c) if c in keys or c in gather else F.col(f"{_PICK}.{c}").alias(c)
                             for c in df.columns])

@@ -495,6 +495,7 @@ ORACLES: dict[str, str] = {
     "calendar_expected": CALENDAR_EXPECTED,
     "single_day_spine": SINGLE_DAY_SPINE,
     "late_record_kept": _ALL_TRAFFIC,
+    "rerun_after_late_record": _ALL_TRAFFIC,
     "raw_two_entities": _ALL_TRAFFIC,
     "catalog_append": _ALL_TRAFFIC,
 }

@@ -453,6 +453,28 @@ def late_record_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(back.select(*curators.curate_traffic(traffic_raw(spark, sf_dir)).columns))
 
 
+def rerun_after_late_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API-4/SNK-3, reruns: every third user's records land three days late. The
+    first half of the days is run, then the rest, then the first half again: the
+    rerun must keep the late records of its days that lie in folders of the
+    other half, and the table must equal one run over everything."""
+    from strata.jobs import run_curation
+
+    root = scratch_path(spark, "rerun")
+    docs = payloads.traffic_documents(spark, sf_dir)
+    late = F.pmod(F.substring("entity", 2, 20).cast("long"), F.lit(3)) == 0
+    day = F.col("ingest_date").cast("date")
+    write_raw(docs.withColumn("ingest_date", F.when(late, F.date_add(day, 3)).otherwise(day)), f"{root}/raw", "traffic",
+              "lines", by_entity=False)
+    first, last, middle = _event_days(spark, sf_dir)
+    halves = ((first, middle), (middle + timedelta(days=1), last + timedelta(days=3)))
+    for lo, hi in (*halves, halves[0]):
+        report = run_curation(spark, _job(f"{root}/raw", f"{root}/curated", str(lo), str(hi), "--MISSING_DAYS", "skip"),
+                              register_table=False)
+    back = read_curated(spark, report["output"])
+    return as_ntz(back.select(*curators.curate_traffic(traffic_raw(spark, sf_dir)).columns))
+
+
 def raw_two_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-6 by object: the centres' documents land in two writes over the same
     days; the second leaves the first's alone."""
@@ -553,6 +575,7 @@ QUERIES: dict[str, Query] = {
     "calendar_expected": calendar_expected,
     "single_day_spine": single_day_spine,
     "late_record_kept": late_record_kept,
+    "rerun_after_late_record": rerun_after_late_record,
     "raw_two_entities": raw_two_entities,
     "catalog_append": catalog_append,
 }

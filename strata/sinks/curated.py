@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from strata.operators.dedupe import dedupe_by
 from strata.operators.partitions import PARTITION_COLS
 from strata.session import scratch_path
-from strata.sources.paths import identifier
+from strata.sources.paths import exists, identifier
 
 WRITE_MODES = ("overwrite_partitions", "append", "overwrite", "ignore", "error", "errorifexists")
 
@@ -33,13 +33,6 @@ def _check_mode(mode: str) -> str:
     return m
 
 
-def _there(spark: SparkSession, path: str) -> bool:
-    """Whether a folder exists and holds anything."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    return store.exists(place) and len(store.listStatus(place)) > 0
-
-
 def _qualified(spark: SparkSession, path: str) -> str:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
@@ -59,7 +52,7 @@ def _register(df: DataFrame, table: str, path: str, cols: list[str]) -> None:
     place = path.replace("'", "\\'")
     spark.sql(f"CREATE TABLE {table} ({fields}) USING parquet"
               + (f" PARTITIONED BY ({', '.join(map(identifier, cols))})" if cols else "") + f" LOCATION '{place}'")
-    if cols and _there(spark, path):
+    if cols and exists(spark, path):
         spark.catalog.recoverPartitions(table)
 
 
@@ -103,7 +96,7 @@ def write_curated(df: DataFrame, path: str | None = None, table: str | None = No
         place = table_location(spark, table)
         if _qualified(spark, place) != _qualified(spark, path):
             raise ValueError(f"table {table} lies at {place}, not at {path}")
-    if registered or path is not None and _there(spark, path):
+    if registered or path is not None and exists(spark, path):
         if m == "ignore":
             return False
         if m in ("error", "errorifexists"):
@@ -130,22 +123,29 @@ def write_curated(df: DataFrame, path: str | None = None, table: str | None = No
     return True
 
 
-def merge_partitions(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[str] = (),
-                     table: str | None = None, partition_cols: Sequence[str] = PARTITION_COLS) -> None:
-    """Add rows to the partitions that they belong to: each of those becomes
-    its old rows and the new ones, one for each key (DED-1). Other partitions
-    are neither read nor written. The merged rows are stored beside the table
-    first, because a folder can't be read while it is overwritten.
+def with_what_is_there(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[str] = (),
+                       partition_cols: Sequence[str] = PARTITION_COLS) -> DataFrame:
+    """Rows and those of the table's partitions that they belong to, one for
+    each key (DED-1). Other partitions are not read. The result is stored beside
+    the table, because a folder can't be read while it is overwritten.
     """
     spark, cols = df.sparkSession, list(partition_cols)
     scratch = scratch_path(spark, "merge")
     df.write.parquet(f"{scratch}/new")
     new = spark.read.schema(df.schema).parquet(f"{scratch}/new")
-    if _there(spark, path):
+    if exists(spark, path):
         touched = new.select(*[F.col(c).alias(f"_{c}") for c in cols]).distinct()
         same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]
         kept = spark.read.schema(df.schema).option("basePath", path).parquet(path).select(*df.columns)
         new = new.unionByName(kept.join(touched, functools.reduce(lambda a, b: a & b, same), "left_semi"))
     dedupe_by(new, list(keys), newest).write.parquet(f"{scratch}/merged")
-    merged = spark.read.schema(df.schema).parquet(f"{scratch}/merged")
-    write_curated(merged, path, table, "overwrite_partitions", cols)
+    return spark.read.schema(df.schema).parquet(f"{scratch}/merged")
+
+
+def merge_partitions(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[str] = (),
+                     table: str | None = None, partition_cols: Sequence[str] = PARTITION_COLS) -> None:
+    """Add rows to the partitions that they belong to: each of those becomes
+    its old rows and the new ones, one for each key. Other partitions are neither
+    read nor written."""
+    merged = with_what_is_there(df, path, keys, newest, partition_cols)
+    write_curated(merged, path, table, "overwrite_partitions", partition_cols)

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 from datetime import date
 
+from pyspark.sql import SparkSession
+
 BUCKET_SCHEME = "s3"
 
 
@@ -39,3 +41,16 @@ class Location(str):
 def identifier(*parts: str) -> str:
     """A dotted table name whose parts may hold any character."""
     return ".".join("`{}`".format(p.replace("`", "``")) for p in parts)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and holds anything."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(place) and len(store.listStatus(place)) > 0
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making and what lies below it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

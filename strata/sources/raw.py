@@ -168,23 +168,42 @@ def mixed_layout(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return whole.groupBy("path").agg(F.count("*").alias("documents")).where("documents > 1")
 
 
+def day_folders(spark: SparkSession, raw_root: str, source: str, start: date | str, end: date | str | None = None,
+                allow_missing: bool = False, more: Sequence[date] = ()) -> list[str] | None:
+    """The folders of [start, end], and of the days ``more``, under
+    ``<root>/<source>``: at most one for each day. Days without a folder raise
+    FileNotFoundError, unless ``allow_missing``. None where folders can't be
+    listed (no JVM gateway)."""
+    base = Location(raw_root) / source
+    dirs = _day_dirs_or_none(spark, base, start, end, padded=True)
+    if dirs is None:
+        return None
+    lacking = missing_days(base, dirs, start, end)
+    for d in more:
+        found = day_dirs(spark, base, d)
+        dirs += found
+        lacking += [] if found else [d]
+    if lacking and not allow_missing:
+        raise FileNotFoundError(f"no raw folder for {len(lacking)} day(s) below the path {base}: "
+                                + ", ".join(str(Location(base).on(d))[len(base) + 1:] for d in lacking[:5]))
+    return dirs
+
+
 def read_raw_days(spark: SparkSession, raw_root: str, source: str, schema: StructType,
                   start: date | str, end: date | str | None = None,
                   raw_format: str = "document", source_file: bool = False,
-                  allow_missing: bool = False) -> DataFrame:
-    """SRC-2 widened to a date range: only the day folders of [start, end]
-    under ``<root>/<source>`` are listed and read (resolved by ``day_dirs``);
-    the zero-padded folder names become int ``year/month/day`` columns. Days without a folder raise FileNotFoundError, unless
-    ``allow_missing``, which reads the days that are there (none: empty)."""
-    base = Location(raw_root) / source
-    dirs = _day_dirs_or_none(spark, base, start, end, padded=True)
+                  allow_missing: bool = False, more: Sequence[date] = ()) -> DataFrame:
+    """SRC-2 widened to a date range: only the day folders of [start, end], and
+    of the days ``more``, under ``<root>/<source>`` are listed and read
+    (``day_folders``); the zero-padded folder names become int ``year/month/day``
+    columns. With ``allow_missing`` the days that are there are read (none: empty)."""
+    dirs = day_folders(spark, raw_root, source, start, end, allow_missing, more)
     if dirs is None:  # no JVM gateway (e.g. a Spark Connect session): filter only
-        raw = read_raw(spark, base, schema, raw_format, source_file=source_file)
-        return with_day_columns(raw).where(day_range_predicate(start, end))
-    missing = [] if allow_missing else missing_days(base, dirs, start, end)
-    if missing:
-        raise FileNotFoundError(f"no raw folder for {len(missing)} day(s) of {base}: "
-                                + ", ".join(str(Location(base).on(d))[len(base) + 1:] for d in missing[:5]))
+        raw = with_day_columns(read_raw(spark, Location(raw_root) / source, schema, raw_format, source_file=source_file))
+        wanted = day_range_predicate(start, end)
+        for d in more:
+            wanted = wanted | day_range_predicate(d)
+        return raw.where(wanted)
     if not dirs:
         empty = spark.createDataFrame([], schema).withColumns({
             "year": F.lit(None).cast("int"), "month": F.lit(None).cast("int"),

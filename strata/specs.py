@@ -23,7 +23,7 @@ class SourceSpec:
     name: str
     raw_schema: StructType
     curate: Callable[[DataFrame], DataFrame]
-    project: Callable[[DataFrame], DataFrame]
+    project: Callable[..., DataFrame]
     keys: tuple[str, ...]
     newest: tuple[str, ...] = ()
     partition_cols: tuple[str, ...] = PARTITION_COLS

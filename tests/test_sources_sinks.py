@@ -292,3 +292,53 @@ def test_read_curated_by_table_and_open_ranges(spark, tmp_dir):
     assert read_curated(spark, f"{tmp_dir}/t", end="2026-04-01").count() == 2
     assert read_curated(spark, f"{tmp_dir}/t", "2026-05-01", "2026-05-02").count() == 0
     spark.sql(f"DROP TABLE {table}")
+
+
+def _rows(spark, report):
+    return sorted((r.day, r.event_timestamp.strftime("%d %H")) for r in spark.read.parquet(report["output"]).collect())
+
+
+def test_a_rerun_keeps_the_late_rows_that_other_folders_brought(spark, tmp_dir):
+    _land(spark, f"{tmp_dir}/raw", "2026-04-21", [f"2026-04-21T{h:02d}:00:00" for h in range(3)])
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", ["2026-04-22T01:00:00", "2026-04-21T09:00:00"])
+    _land(spark, f"{tmp_dir}/raw", "2026-04-23", ["2026-04-23T01:00:00", "2026-04-21T10:00:00"])
+    for day in ("2026-04-21", "2026-04-22", "2026-04-23"):
+        report = _run(spark, tmp_dir, day)
+    whole = _rows(spark, report)
+    assert len(whole) == 7
+    again = _run(spark, tmp_dir, "2026-04-21")
+    assert again["late_folders"] == ["2026-04-22", "2026-04-23"] and again["rows_of_other_days"] == 0
+    assert _rows(spark, again) == whole
+    ranged = _run(spark, tmp_dir, "2026-04-21", "--END_DATE", "2026-04-22")
+    assert ranged["late_folders"] == ["2026-04-23"] and _rows(spark, ranged) == whole
+    from strata.sinks.ledger import pairs
+    from strata.sources.paths import Location
+    known = pairs(spark, Location(report["output"]))
+    assert known.count() == known.distinct().count() == 2
+
+
+def test_a_late_row_inside_one_range_run_is_remembered_too(spark, tmp_dir):
+    _land(spark, f"{tmp_dir}/raw", "2026-04-21", ["2026-04-21T01:00:00"])
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", ["2026-04-22T01:00:00", "2026-04-21T09:00:00"])
+    whole = _rows(spark, _run(spark, tmp_dir, "2026-04-21", "--END_DATE", "2026-04-22"))
+    assert _rows(spark, _run(spark, tmp_dir, "2026-04-21")) == whole and len(whole) == 3
+
+
+def test_a_run_that_fails_between_merge_and_publication_changes_nothing(spark, tmp_dir, monkeypatch):
+    import strata.jobs as jobs
+    _land(spark, f"{tmp_dir}/raw", "2026-04-21", ["2026-04-21T01:00:00"])
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", ["2026-04-22T01:00:00"])
+    _run(spark, tmp_dir, "2026-04-21")
+    report = _run(spark, tmp_dir, "2026-04-22")
+    before = _rows(spark, report)
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", ["2026-04-22T05:00:00", "2026-04-21T09:00:00"])
+
+    def fail(*a, **k):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "write_curated", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            _run(spark, tmp_dir, "2026-04-22")
+    assert _rows(spark, report) == before
+    assert [x for x in _rows(spark, _run(spark, tmp_dir, "2026-04-22")) if x not in before] == [(21, "21 09"), (22, "22 05")]
