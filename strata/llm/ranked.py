@@ -101,8 +101,7 @@ class Lists:
 
     def of(self, wanted: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """(documents, impacts) of those of the terms that occur."""
-        at = np.searchsorted(self.terms, wanted)
-        at = at[(at < len(self.terms)) & (self.terms[np.minimum(at, len(self.terms) - 1)] == wanted)]
+        at = np.intersect1d(self.terms, wanted, assume_unique=True, return_indices=True)[1]
         return [(self.docs[self.bounds[i]:self.bounds[i + 1]], self.impacts[self.bounds[i]:self.bounds[i + 1]])
                 for i in at.tolist()]
 
