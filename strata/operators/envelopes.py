@@ -57,11 +57,38 @@ def _finish(docs: DataFrame, source: str, payload_json: Column) -> DataFrame:
     )
 
 
+def assembled(records: DataFrame, keys: list[Column], record: Column | str, salts: int) -> DataFrame:
+    """(keys..., records_json, total_records): record arrays as JSON text, put
+    together in two levels for keys that hold a large share of all records.
+
+    Level one turns up to ``salts`` shares of a key into JSON fragments, each in
+    its own group; level two joins a key's fragments and adds up their counts, so
+    that the task of a hot key concatenates finished text, at most ``salts``
+    pieces, and serialises nothing. The total is the key's, whatever the shares."""
+    if salts < 1:
+        raise ValueError("a document is put together from one share at least")
+    value = F.to_json(F.col(record) if isinstance(record, str) else record)
+    names = [f"_k{i}" for i in range(len(keys))]
+    rows = records.select(*[k.alias(n) for k, n in zip(keys, names)], value.alias("_json"))
+    share = F.pmod(F.xxhash64("_json"), F.lit(salts))
+    parts = rows.groupBy(*names, share.alias("_share")).agg(
+        F.concat_ws(",", F.collect_list("_json")).alias("_part"), F.count("_json").alias("_n"))
+    whole = parts.groupBy(*names).agg(F.collect_list("_part").alias("_parts"), F.sum("_n").alias("total_records"))
+    text = F.concat(F.lit("["), F.concat_ws(",", "_parts"), F.lit("]"))
+    return whole.select(*names, text.alias("records_json"), "total_records")
+
+
 def traffic_envelope(records: DataFrame, record_col: str = "record", entity_col: str = "entity",
-                     date_col: str = "ingest_date") -> DataFrame:
+                     date_col: str = "ingest_date", salts: int = 1) -> DataFrame:
     """ENV-1: group traffic records into ``{records, total_records}`` documents,
-    one per (entity, day); no source tags are added."""
+    one per (entity, day); no source tags are added. ``salts`` above 1 spreads the
+    work of a hot entity-day over as many tasks (``assembled``)."""
     keys = [F.col(entity_col).alias("entity"), F.col(date_col).cast("date").alias("ingest_date")]
+    if salts > 1:
+        found = assembled(records, keys, record_col, salts).withColumnsRenamed({"_k0": "entity", "_k1": "ingest_date"})
+        payload = F.concat(F.lit('{"records":'), "records_json", F.lit(',"total_records":'),
+                           F.col("total_records").cast("string"), F.lit("}"))
+        return _finish(found, "traffic", payload)
     docs = records.groupBy(*keys).agg(F.collect_list(record_col).alias("records"))
     docs = docs.withColumn("total_records", record_count("records"))
     payload = F.to_json(F.struct("records", "total_records"))
@@ -139,19 +166,20 @@ def snapshot_seconds(as_of: datetime | str) -> int:
 
 
 def flights_envelope(upstream: DataFrame, as_of: datetime | str, date_col: str = "ingest_date",
-                     entity: str = FLIGHTS_AREA_NAME,
-                     states_col: str = "states_json", time_col: str = "time") -> DataFrame:
+                     entity: str = FLIGHTS_AREA_NAME, states_col: str = "states_json",
+                     time_col: str = "time", entity_col: str | None = None) -> DataFrame:
     """ENV-4: tag a state-vector payload with ``source``, ``ingest_date``,
     ``snapshot_time`` (ENV-5) and ``total_records`` = number of states
     (NULL ``states`` counts 0).
 
     ``states_col`` holds the upstream JSON text of ``states`` - positional
-    arrays whose slots mix JSON types - so it is spliced in as text."""
+    arrays whose slots mix JSON types - so it is spliced in as text. The area is
+    ``entity``, or the payload's ``entity_col`` where that has a value."""
     states = F.coalesce(F.col(states_col), F.lit("null"))
     docs = upstream.withColumns({
         "ingest_date": F.col(date_col).cast("date"),
         "total_records": F.coalesce(F.json_array_length(F.col(states_col)), F.lit(0)),
-        "entity": F.lit(entity),
+        "entity": F.coalesce(F.col(entity_col), F.lit(entity)) if entity_col else F.lit(entity),
     })
     snap = snapshot_seconds(as_of)
     payload = F.concat(

@@ -148,11 +148,11 @@ def day_spine(ranges: DataFrame, center_col: str = "center_id", from_col: str =
     return ranges.select(F.col(center_col).alias("center_id"), F.explode(days).alias("event_date"))
 
 
-def _hours(days: DataFrame, hour_list: Column | None = None) -> DataFrame:
+def _hours(days: DataFrame) -> DataFrame:
     """Expand (centre, day) rows to hourly rows on TIMESTAMP_NTZ (D10), with
     the calendar columns of GEN-1/GEN-4. The weekday label depends on the day
     only, so it is computed before the 24x expansion."""
-    hours = hour_list if hour_list is not None else F.sequence(F.lit(0), F.lit(fx.HOURS_PER_DAY - 1))
+    hours = F.sequence(F.lit(0), F.lit(fx.HOURS_PER_DAY - 1))
     labelled = days.withColumn("day_of_week", day_label("event_date"))
     rows = labelled.select("*", F.explode(hours).alias("hour"))
     ts = F.timestamp_add("HOUR", F.col("hour"), F.col("event_date").cast("timestamp_ntz"))
@@ -173,16 +173,13 @@ def hourly_spine(ranges: DataFrame, center_col: str = "center_id", from_col: str
     return spine.select("center_id", "event_timestamp", "event_date", "hour", "day_of_week")
 
 
-def _observed_by_day(observed: DataFrame, value: Column, keys: tuple[str, str]) -> DataFrame:
-    """Observed records folded to one row per (centre, day) holding at most 24
-    hour entries. Only timestamps exactly on the hour can match a spine hour,
-    so others are left out - the same outcome as an exact timestamp join.
-    Partial aggregation collapses a hot centre-day before the shuffle."""
+def _on_the_hour(observed: DataFrame, keys: tuple[str, str], columns: tuple[str, ...] = ()) -> DataFrame:
+    """(center_id, event_date, __hour, columns...) of the records exactly on the
+    hour; others can't match a spine hour, as in an exact timestamp join."""
     center, ts = keys
     local = F.col(ts).cast("timestamp_ntz")
-    on_hour = observed.where(local == hour_bucket(local))
-    return on_hour.groupBy(F.col(center).alias("center_id"),
-                           F.to_date(local).alias("event_date")).agg(value.alias("seen"))
+    return observed.where(local == hour_bucket(local)).select(
+        F.col(center).alias("center_id"), F.to_date(local).alias("event_date"), F.hour(local).alias("__hour"), *columns)
 
 
 def missing_hours(ranges: DataFrame, observed: DataFrame,
@@ -193,18 +190,20 @@ def missing_hours(ranges: DataFrame, observed: DataFrame,
     no observed record at exactly that timestamp.
 
     Joined at day grain, expanded afterwards: the observed hours of a
-    centre-day are folded into a set, joined to the day spine (unique keys on
-    both sides, 24x fewer rows than the hourly spine), and only the missing
-    hours are generated - the hourly spine is never shuffled."""
+    centre-day are the bits of one integer (repeated records change nothing, and
+    partial aggregation leaves one integer of a hot centre-day for each task),
+    joined to the day spine (unique keys on both sides, 24x fewer rows than the
+    hourly spine); a day's rows are the bits that are not set, and the hourly
+    spine is never shuffled."""
     days = day_spine(ranges, center_col, from_col, to_col)
-    seen = _observed_by_day(observed, F.collect_set(F.hour(F.col(keys[1]).cast("timestamp_ntz"))),
-                            keys)
-    # rebalanced after the join, before each day row becomes up to 24 hours
-    joined = days.join(seen, ["center_id", "event_date"], "left").hint("rebalance")
-    all_hours = F.sequence(F.lit(0), F.lit(fx.HOURS_PER_DAY - 1))
-    gaps = F.array_except(all_hours, F.coalesce(F.col("seen"), F.array().cast("array<int>")))
-    out = _hours(joined.withColumn("__gaps", gaps).drop("seen"), F.col("__gaps"))
-    return out.select("center_id", "event_timestamp", "event_date", "hour", "day_of_week")
+    bit = F.expr("shiftleft(1, __hour)")
+    seen = _on_the_hour(observed, keys).groupBy("center_id", "event_date").agg(F.bit_or(bit).alias("__seen"))
+    joined = days.join(seen, ["center_id", "event_date"], "left")
+    # a full day has no rows at all
+    open_days = joined.where(F.coalesce(F.col("__seen"), F.lit(0)) != (1 << fx.HOURS_PER_DAY) - 1)
+    hours = _hours(open_days)
+    return hours.where(F.expr("(shiftright(coalesce(__seen, 0), hour) & 1) = 0")).select(
+        "center_id", "event_timestamp", "event_date", "hour", "day_of_week")
 
 
 def attach_observed(ranges: DataFrame, observed: DataFrame, columns: tuple[str, ...],
@@ -214,21 +213,22 @@ def attach_observed(ranges: DataFrame, observed: DataFrame, columns: tuple[str,
     """GEN-1 spine over ``ranges`` with the observed ``columns`` of each hour
     when a record exists at exactly that timestamp (NULL otherwise).
 
-    Same shape as ``missing_hours``: per centre-day a map hour -> observed
-    values (at most 24 entries; ``observed`` must be unique per timestamp,
-    as a curated table is), a day-grain join, then the hourly expansion."""
+    Same shape as ``missing_hours``: a centre-day is one row, the bits of the
+    hours that it has and the observed values in the order of those hours (at
+    most 24 of them; ``observed`` must be unique per timestamp, as a curated table
+    is). After the day-grain join an hour's place among the values is the number
+    of lower bits that are set."""
     days = day_spine(ranges, center_col, from_col, to_col)
-    entry = F.struct(*[F.col(c) for c in columns])
-    seen = _observed_by_day(
-        observed,
-        F.map_from_entries(F.collect_list(F.struct(
-            F.hour(F.col(keys[1]).cast("timestamp_ntz")), entry))), keys)
-    # rebalanced after the join, before each day row becomes up to 24 hours
-    joined = days.join(seen, ["center_id", "event_date"], "left").hint("rebalance")
-    spine = _hours(joined)
-    found = F.element_at(F.col("seen"), F.col("hour"))
-    return spine.select("center_id", "event_timestamp", "event_date", "hour", "day_of_week",
-                        *[found[c].alias(c) for c in columns])
+    entry = F.struct("__hour", *[F.col(c) for c in columns])
+    seen = _on_the_hour(observed, keys, columns).groupBy("center_id", "event_date").agg(
+        F.bit_or(F.expr("shiftleft(1, __hour)")).alias("__seen"), F.array_sort(F.collect_list(entry)).alias("__values"))
+    spine = _hours(days.join(seen, ["center_id", "event_date"], "left"))
+    there = F.expr("(shiftright(__seen, hour) & 1) = 1")
+    place = F.expr("bit_count(__seen & (shiftleft(1, hour) - 1))")
+    value = F.when(there, F.get(F.col("__values"), place))
+    found = spine.withColumn("__value", value)
+    return found.select("center_id", "event_timestamp", "event_date", "hour", "day_of_week",
+                        *[F.col("__value")[c].alias(c) for c in columns])
 
 
 def with_defaults(records: DataFrame, condition: str = "weather_condition",

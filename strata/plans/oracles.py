@@ -103,11 +103,15 @@ SELECT {_WEATHER_COLS} FROM weather_rec
 
 # -- holidays -----------------------------------------------------------------
 
+# Entities whose number grows with the tables, so that an entity-day does not.
+_COUNTRY = "'K' || CAST(o_custkey // 100 AS VARCHAR)"
+_AREA = "'A' || CAST(l_suppkey // 100 AS VARCHAR)"
+
 HOLIDAYS_CURATED = f"""
 WITH holiday_rec AS (
   SELECT COALESCE(CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderdate AS DATE) END,
                   CAST(date_trunc('month', o_orderdate) AS DATE)) AS event_date,
-         o_orderstatus AS country_code,
+         {_COUNTRY} AS country_code,
          lower(o_orderpriority) AS local_name,
          o_orderpriority AS name,
          o_totalprice > 200000 AS is_fixed,
@@ -217,9 +221,9 @@ wdoc AS (
         FROM events GROUP BY ALL)),
 fdoc AS (
   SELECT 'flights' AS source,
-         printf('flights/year=%04d/month=%02d/day=%02d/Madrid.json', year(d), month(d), day(d)) AS document,
+         printf('flights/year=%04d/month=%02d/day=%02d/%s.json', year(d), month(d), day(d), area) AS document,
          -1 AS shape, n
-  FROM (SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS n
+  FROM (SELECT {_AREA} AS area, CAST(l_shipdate AS DATE) AS d, count(*) AS n
         FROM lineitem GROUP BY ALL)),
 docs AS (SELECT * FROM tdoc UNION ALL SELECT * FROM wdoc UNION ALL SELECT * FROM fdoc),
 rules(rule_id, source, field_path, mode, expected) AS (VALUES
@@ -289,6 +293,14 @@ FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n
       FROM events GROUP BY ALL)
 """
 
+ENVELOPE_HOT_DAY = f"""
+SELECT 'traffic' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, entity, CAST(n AS INTEGER) AS total_records,
+       {_KEY.format(src="'traffic'", ent="entity")} AS object_key, CAST(n AS BIGINT) AS records, visitors
+FROM (SELECT CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE 'C' || user_id END AS entity, CAST(ts AS DATE) AS d, count(*) AS n,
+             CAST(coalesce(sum(CAST(json_extract(props, '$.k') AS INTEGER)), 0) AS BIGINT) AS visitors
+      FROM events GROUP BY ALL)
+"""
+
 RAW_OBJECT_KEYS = """
 SELECT DISTINCT 'C' || CAST(user_id AS VARCHAR) AS entity, CAST(ts AS DATE) AS ingest_date,
        printf('traffic/year=%04d/month=%02d/day=%02d/C%d.json', year(ts), month(ts), day(ts), user_id)
@@ -308,12 +320,12 @@ FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n
 
 ENVELOPE_HOLIDAYS = f"""
 WITH req AS (
-  SELECT DISTINCT o_orderstatus AS country_code, d AS ingest_day
-  FROM (SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS d FROM orders
+  SELECT DISTINCT country_code, d AS ingest_day
+  FROM (SELECT {_COUNTRY} AS country_code, CAST(o_orderdate AS DATE) AS d FROM orders
         UNION ALL
-        SELECT o_orderstatus, CAST(o_orderdate AS DATE) + 1 FROM orders)),
+        SELECT {_COUNTRY}, CAST(o_orderdate AS DATE) + 1 FROM orders)),
 rec AS (
-  SELECT o_orderstatus AS country_code, CAST(o_orderdate AS DATE) AS day
+  SELECT {_COUNTRY} AS country_code, CAST(o_orderdate AS DATE) AS day
   FROM orders WHERE o_orderpriority <> '5-LOW'),
 matched AS (
   SELECT req.country_code, req.ingest_day AS d,
@@ -328,12 +340,12 @@ FROM matched
 """
 
 ENVELOPE_FLIGHTS = f"""
-SELECT 'flights' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, 'Madrid' AS entity,
+SELECT 'flights' AS source, strftime(d, '%Y-%m-%d') AS ingest_date, area AS entity,
        CAST(n AS INTEGER) AS total_records,
-       {_KEY.format(src="'flights'", ent="'Madrid'")} AS object_key,
+       {_KEY.format(src="'flights'", ent="area")} AS object_key,
        CAST(epoch(TIMESTAMP '2026-04-22 10:00:00') AS BIGINT) AS snapshot_time,
        CAST(n AS INTEGER) AS states
-FROM (SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS n
+FROM (SELECT {_AREA} AS area, CAST(l_shipdate AS DATE) AS d, count(*) AS n
       FROM lineitem GROUP BY ALL)
 """
 
@@ -450,6 +462,13 @@ FROM (SELECT o_orderstatus AS center_id,
       FROM (SELECT DISTINCT o_orderstatus, CAST(o_orderdate AS DATE) AS d FROM orders))
 """
 
+STORED_OBJECTS = """
+SELECT printf('traffic/year=%04d/month=%02d/day=%02d/C%d.json', year(d), month(d), day(d), user_id) AS object_key,
+       CAST(CASE WHEN user_id % 7 = 0 THEN -n ELSE n END AS BIGINT) AS total_records,
+       CAST(CASE WHEN user_id % 7 = 0 THEN 0 ELSE n END AS BIGINT) AS records
+FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY ALL)
+"""
+
 _ALL_TRAFFIC = f"SELECT * FROM ({TRAFFIC_CURATED}) t"
 
 ORACLES: dict[str, str] = {
@@ -478,6 +497,7 @@ ORACLES: dict[str, str] = {
     "dq_landed": DQ_LANDED,
     "flights_snapshot_check": FLIGHTS_SNAPSHOT_CHECK,
     "envelope_traffic": ENVELOPE_TRAFFIC,
+    "envelope_hot_day": ENVELOPE_HOT_DAY,
     "raw_object_keys": RAW_OBJECT_KEYS,
     "envelope_weather": ENVELOPE_WEATHER,
     "envelope_holidays": ENVELOPE_HOLIDAYS,
@@ -497,5 +517,6 @@ ORACLES: dict[str, str] = {
     "late_record_kept": _ALL_TRAFFIC,
     "rerun_after_late_record": _ALL_TRAFFIC,
     "raw_two_entities": _ALL_TRAFFIC,
+    "stored_objects": STORED_OBJECTS,
     "catalog_append": _ALL_TRAFFIC,
 }

@@ -14,10 +14,14 @@ traffic  <- events   centre 'C'||user_id, hour of ts, visitors = props.k,
 weather  <- events   location per user (lat 40 + user/1000, lon -3 - user/1000),
                      hourly arrays ordered by event_id; for users divisible
                      by 3 the weathercode array lacks its last element
-holidays <- orders   country = status, one document per (status, month),
-                     name = priority, date omitted for '5-LOW', launchYear
-                     spelled as text in February documents
-flights  <- lineitem one state vector per line, one document per ship day
+holidays <- orders   country 'K'||(custkey div 100), one document per (country,
+                     month), name = priority, date omitted for '5-LOW',
+                     launchYear spelled as text in February documents
+flights  <- lineitem area 'A'||(suppkey div 100), one state vector per line, one
+                     document per (area, ship day)
+
+The number of centres, countries and areas grows with the tables; what one of
+them has on a day or in a month does not.
 """
 
 from __future__ import annotations
@@ -27,7 +31,6 @@ from pyspark.sql import functions as F
 
 from strata.functions.calendar import day_label, iso_date_text, iso_hour_text
 from strata.operators.envelopes import (
-    FLIGHTS_AREA_NAME,
     flights_envelope,
     holidays_envelope,
     raw_object_key,
@@ -145,6 +148,11 @@ def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------- holidays --
 
+def _country() -> Column:
+    """A hundred customers are a country: as many of them as the table needs."""
+    return F.concat(F.lit("K"), F.expr("o_custkey div 100").cast("string"))
+
+
 def holiday_record() -> Column:
     """A holiday record (strict JSON types) built from an order row."""
     return F.struct(
@@ -163,10 +171,10 @@ def holiday_record() -> Column:
 
 
 def holidays_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly holiday documents per (country = status, month); record
+    """Monthly holiday documents per (country, month); record
     dates spread over the month, so ``coalesce`` and newest-wins matter."""
     o = table(spark, sf_dir, "orders").select(
-        "*", F.col("o_orderstatus").alias("country_code"),
+        "*", _country().alias("country_code"),
         F.trunc(F.to_date("o_orderdate"), "month").alias("ingest_day"))
     o = _exchange_on(o, "country_code", "ingest_day")
     grouped = o.groupBy("country_code", "ingest_day").agg(
@@ -190,7 +198,7 @@ def holidays_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     them (ENV-3 input). A list of a year would grow with the table while the
     number of lists would not."""
     o = table(spark, sf_dir, "orders").select(
-        "*", F.col("o_orderstatus").alias("country_code"), F.to_date("o_orderdate").alias("day"))
+        "*", _country().alias("country_code"), F.to_date("o_orderdate").alias("day"))
     o = _exchange_on(o, "country_code", "day")
     return o.groupBy("country_code", "day").agg(
         F.collect_list(holiday_record()).alias("holidays"))
@@ -199,7 +207,7 @@ def holidays_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def holidays_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest requests (country, day): every order day and the day after it,
     so some requests find no holiday."""
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("country_code"),
+    o = table(spark, sf_dir, "orders").select(_country().alias("country_code"),
                                               F.to_date("o_orderdate").alias("d"))
     return o.select("country_code", F.explode(F.array("d", F.date_add("d", 1))).alias("ingest_date")
                     ).distinct()
@@ -274,11 +282,12 @@ def _ship_epoch() -> Column:
 
 
 def flights_upstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upstream state payloads per (ship day): ``time`` + states text."""
+    """Upstream state payloads per (area, ship day): ``time`` + states text."""
+    area = F.concat(F.lit("A"), F.expr("l_suppkey div 100").cast("string"))
     li = table(spark, sf_dir, "lineitem").select(
-        "*", F.to_date("l_shipdate").alias("ingest_date"))
-    li = _exchange_on(li, "ingest_date")
-    grouped = li.groupBy("ingest_date").agg(
+        "*", area.alias("area"), F.to_date("l_shipdate").alias("ingest_date"))
+    li = _exchange_on(li, "area", "ingest_date")
+    grouped = li.groupBy("area", "ingest_date").agg(
         F.concat(F.lit("["), F.concat_ws(",", F.collect_list(flight_state_text())), F.lit("]"))
          .alias("states_json"),
         F.first(_ship_epoch() + F.lit(43200 - 5)).alias("time"),
@@ -298,12 +307,12 @@ def flights_raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"total_records":'), F.json_array_length("states_json").cast("string"),
         F.lit("}"))
     return up.select(F.lit("flights").alias("source"), iso_date_text("ingest_date").alias("ingest_date"),
-                     F.lit(FLIGHTS_AREA_NAME).alias("entity"), doc.alias("document"))
+                     F.col("area").alias("entity"), doc.alias("document"))
 
 
 def flights_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ENV-4 over the upstream payloads with snapshot time ``AS_OF`` (ENV-5)."""
-    return flights_envelope(flights_upstream(spark, sf_dir), AS_OF)
+    return flights_envelope(flights_upstream(spark, sf_dir), AS_OF, entity_col="area")
 
 
 # ------------------------------------------------------ validation inputs --

@@ -25,6 +25,7 @@ from strata.functions.calendar import day_label, hour_bucket
 from strata.functions.casts import array_length
 from strata.operators import curators, expectation, quality
 from strata.operators.dedupe import dedupe_by
+from strata.operators.envelopes import traffic_envelope
 from strata.operators.partitions import add_event_partitions
 from strata.plans import payloads
 from strata.session import scratch_path
@@ -278,6 +279,19 @@ def envelope_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads.traffic_documents(spark, sf_dir).select(*_ENVELOPE_COLS)
 
 
+def envelope_hot_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENV-1 where one centre has a third of all records: its days are put
+    together from salted shares; the documents parse back to all their records."""
+    recs = payloads.traffic_records(spark, sf_dir)
+    user = F.substring("entity", 2, 20).cast("long")
+    recs = recs.withColumn("entity", F.when(F.pmod(user, F.lit(3)) == 0, F.lit("hot")).otherwise(F.col("entity")))
+    docs = traffic_envelope(recs, salts=16)
+    back = F.from_json("document", schemas.TRAFFIC_RAW)
+    visitors = F.aggregate(back["records"], F.lit(0).cast("long"),
+                           lambda acc, r: acc + F.coalesce(r["visitors_count"].cast("long"), F.lit(0)))
+    return docs.select(*_ENVELOPE_COLS, F.size(back["records"]).cast("long").alias("records"), visitors.alias("visitors"))
+
+
 def raw_object_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-7: the raw object key of every (centre, day) with traffic."""
     from strata.operators.envelopes import raw_object_key
@@ -338,8 +352,9 @@ def hourly_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GEN-13: spine hours for which no curated traffic record exists."""
-    observed = curators.curate_traffic(traffic_raw(spark, sf_dir))
+    """GEN-13: spine hours for which no traffic record exists. A repeated record
+    sets its hour's bit again, so the records need no dedupe first."""
+    observed = curators.project_traffic(traffic_raw(spark, sf_dir))
     return expectation.missing_hours(centre_ranges(spark, sf_dir), observed)
 
 
@@ -488,6 +503,23 @@ def raw_two_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(curators.curate_traffic(read_raw(spark, target, schemas.TRAFFIC_RAW, "lines")))
 
 
+def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6/SNK-7 as an object store: every (centre, day) document is stored
+    under its own key, then every seventh centre's documents are written again,
+    changed. The stored paths are the keys, and the last write of a key wins."""
+    from strata.sinks.objects import list_objects, write_objects
+
+    root = scratch_path(spark, "objects")
+    docs = payloads.traffic_documents(spark, sf_dir)
+    write_objects(docs, root)
+    seventh = F.pmod(F.substring("entity", 2, 20).cast("long"), F.lit(7)) == 0
+    emptied = F.concat(F.lit('{"records":[],"total_records":'), (-F.col("total_records")).cast("string"), F.lit("}"))
+    write_objects(docs.where(seventh).withColumn("document", emptied), root)
+    return list_objects(spark, root, "traffic").select(
+        "object_key", F.get_json_object("document", "$.total_records").cast("long").alias("total_records"),
+        F.json_array_length(F.get_json_object("document", "$.records")).cast("long").alias("records"))
+
+
 def catalog_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-1/SNK-3/SNK-4: half of the days are written to a folder, a table is
     then registered over it by a job in mode append, which adds the rest; the
@@ -558,6 +590,7 @@ QUERIES: dict[str, Query] = {
     "dq_landed": dq_landed,
     "flights_snapshot_check": flights_snapshot_check,
     "envelope_traffic": envelope_traffic,
+    "envelope_hot_day": envelope_hot_day,
     "raw_object_keys": raw_object_keys,
     "envelope_weather": envelope_weather,
     "envelope_holidays": envelope_holidays,
@@ -577,5 +610,6 @@ QUERIES: dict[str, Query] = {
     "late_record_kept": late_record_kept,
     "rerun_after_late_record": rerun_after_late_record,
     "raw_two_entities": raw_two_entities,
+    "stored_objects": stored_objects,
     "catalog_append": catalog_append,
 }
