@@ -33,7 +33,10 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
 import zlib
+from array import array
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -47,22 +50,51 @@ from strata.session import scratch_path
 MAGIC = b"STRATAIX"
 SHARD_ROWS = 1 << 15
 SHARD_IDS = 1 << 24
-CACHE_WORDS = 300_000
-CLOSING = re.compile(rb"(?<=[a-z])([.,])(?![^ \t-\r])")
+CACHE_BYTES = 64 << 20  # of a generation of known words
+LONGEST = 64  # bytes of a word that is kept
+ENTRY = 200  # bytes that a known word takes besides its own and its ids'
+# Words of these characters alone are in the normaliser's form once they are
+# lower-cased; they are cut as the tokenizer's patterns do and encoded by piece.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+TEXT_BYTES = 1 << 20  # of a block of texts
 READERS = 10_000
+ROUTES = 1 << 20  # shards that are routed to at once
 GAMMA = 2.0  # bits of a level for each key that reaches it
 _encoders: dict = {}
 
 
+class Known(dict):
+    """Ids of the words met so far, in two generations of a bounded size."""
+
+    def __init__(self, learn, limit: int):
+        super().__init__()
+        self.learn, self.limit, self.held, self.older = learn, limit, 0, {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        if len(word) <= LONGEST:
+            self[word] = ids
+            self.held += len(word) + len(ids) + ENTRY
+            if self.held > self.limit:
+                self.older = dict(self)
+                self.clear()
+                self.held = 0
+        return ids
+
+
 class Encoder:
     """The tokenizer over whole texts, word by word.
 
     Its normaliser and its patterns never look across white space, so a text's
-    ids are those of its words in turn. Ids of words already met are kept, in
-    two generations of at most ``CACHE_WORDS`` words. Fewer words differ once
-    A-Z are lower-cased, as the normaliser does, and a closing full stop or
-    comma after an ASCII letter stands apart, as the patterns have it; a text
-    that could hold a special token is left as it is.
+    ids are those of its words in turn, and ids of words already met are kept.
+    Fewer words differ once A-Z are lower-cased, as the normaliser does. A word of
+    printable ASCII and Latin-1 letters needs no more of the normaliser: it is cut
+    where the patterns cut it and its pieces go to the model directly, as the
+    characters that stand for their bytes. A text that could hold a special token
+    is left as it is, and its words with it.
     """
 
     def __init__(self, path: str):
@@ -70,35 +102,40 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        # Byte-level vocabularies spell a byte as itself where that is a visible
+        # Latin-1 character, else as one of those from U+0100 on, in order.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.spelling = {**{b: b for b in shown}, **{b: 256 + i for i, b in enumerate(hidden)}}
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go of all words."""
+        self.known = Known(self._learn, CACHE_BYTES)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() if b"<|" in t else CLOSING.sub(rb" \1", t.lower()).split() for t in texts]
-        every = set().union(*split)
-        if len(self.known) > CACHE_WORDS:
-            self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = []
-        for w in every.difference(known):
-            ids = older.get(w)
-            if ids is None:
-                new.append(w)
-            else:
-                known[w] = ids
-        for i in range(0, len(new), 4000):
-            self._learn(new[i:i + 4000])
-        return [b"".join([known[w] for w in words]) for words in split]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode new words as one text, and tell them apart by offset."""
-        plain = [w.decode("utf-8", "replace") for w in words]
-        found = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-        starts = np.cumsum([0, *[len(w) + 1 for w in plain]])
-        ids = np.array(found.ids, self.dtype)
-        cuts = np.searchsorted(np.array([a for a, _ in found.offsets], np.int64), starts)
-        self.known.update((w, ids[a:b].tobytes()) for w, a, b in zip(words, cuts.tolist(), cuts[1:].tolist()))
+        ids_of = self.known.__getitem__
+        return [b"".join(map(ids_of, (t if b"<|" in t else t.lower()).split())) for t in texts]
+
+    def _learn(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if PLAIN.fullmatch(text) and "<|" not in text:
+            pieces = PIECE.findall(text.lower())
+            if len(pieces) > 1:  # most are a known word and a sign
+                return b"".join([self.known[p.encode()] for p in pieces])
+            text = pieces[0]
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(self.spelling)
+            ids = [x.id for x in self.model.tokenize(text)]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        made = array(self.code, ids)
+        if sys.byteorder == "big":
+            made.byteswap()
+        return made.tobytes()
 
 
 def encoder(path: str) -> Encoder:
@@ -227,7 +264,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text",
           shard_rows: int = SHARD_ROWS, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Encode and write ``docs``; returns the manifest, in corpus order:
-    (path, part, shard, rows, ids, base, keys), base being the ids before it."""
+    (path, part, shard, rows, ids, first, last, base), first and last being its
+    outermost keys and base the number of ids before it."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -246,11 +284,11 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str =
             out.close()
             with store.open_output_stream(f"{root}/{name()}.idx") as f:
                 f.write(index_bytes(keys, sizes, encode.dtype))
-            distinct = [k for i, k in enumerate(keys) if not i or k != keys[i - 1]]
             row = pa.RecordBatch.from_arrays([
                 pa.array([f"{folder}/{name()}"]), pa.array([part], pa.int32()), pa.array([shard], pa.int32()),
                 pa.array([len(keys)], pa.int64()), pa.array([sum(sizes)], pa.int64()),
-                pa.array([distinct], pa.list_(key_type))], ["path", "part", "shard", "rows", "ids", "keys"])
+                pa.array(keys[:1], key_type), pa.array(keys[-1:], key_type)],
+                ["path", "part", "shard", "rows", "ids", "first", "last"])
             keys, sizes, out, shard = [], [], None, shard + 1
             return row
 
@@ -258,35 +296,65 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, key: str =
             return f"{part:06d}-{shard:06d}-{task.taskAttemptId()}"
 
         held = 0
-        for rows, texts in blocks(batches, "_t"):
-            key_type = rows.schema.field("k").type
-            for k, ids in zip(rows.column(0).to_pylist(), encode(texts)):
-                if out is None:
-                    out, held = store.open_output_stream(f"{root}/{name()}.bin"), 0
-                out.write(ids + end)
-                keys.append(k)
-                sizes.append(len(ids) // encode.dtype.itemsize + 1)
-                held += sizes[-1]
-                if len(keys) >= shard_rows or held >= shard_ids:
-                    yield close()
-        if out is not None:
-            yield close()
+        try:
+            for rows, texts in blocks(batches, "_t", TEXT_BYTES):
+                key_type = rows.schema.field("k").type
+                for k, ids in zip(rows.column(0).to_pylist(), encode(texts)):
+                    if out is None:
+                        out, held = store.open_output_stream(f"{root}/{name()}.bin"), 0
+                    out.write(ids + end)
+                    keys.append(k)
+                    sizes.append(len(ids) // encode.dtype.itemsize + 1)
+                    held += sizes[-1]
+                    if len(keys) >= shard_rows or held >= shard_ids:
+                        yield close()
+            if out is not None:
+                yield close()
+        finally:
+            encode.forget()  # the worker outlives its task
 
     rows = docs.select(F.col(key).alias("k"), text_bytes(text).alias("_t"))
     ordered = rows.repartitionByRange("k", F.xxhash64("_t")).sortWithinPartitions("k", "_t")
     written = stored(ordered.mapInArrow(
-        run, f"path string, part int, shard int, rows long, ids long, keys array<{kind}>"), "token-manifest")
+        run, f"path string, part int, shard int, rows long, ids long, first {kind}, last {kind}"), "token-manifest")
     before = W.orderBy("part", "shard").rowsBetween(W.unboundedPreceding, -1)
     bases = written.select("path", "part", "shard", "ids").withColumn("base", F.coalesce(F.sum("ids").over(before), F.lit(0)))
     return written.join(bases.select("path", "base"), "path")
 
 
-def read(manifest: DataFrame, keys: DataFrame) -> DataFrame:
+def _ordered(key):
+    """Keys in corpus order: null first."""
+    return (key is not None, "" if key is None else key)
+
+
+def _routed(keys: DataFrame, kind: str, shards: list) -> DataFrame:
+    """(path, base, k): each key with the shards whose range it lies in."""
+    firsts, lasts = [_ordered(s["first"]) for s in shards], [_ordered(s["last"]) for s in shards]
+    paths, bases = [s["path"] for s in shards], [s["base"] for s in shards]
+
+    def run(batches):
+        for batch in batches:
+            found = []
+            for k in batch.column(0).to_pylist():
+                key = _ordered(k)
+                i = bisect_left(lasts, key)
+                while i < len(firsts) and firsts[i] <= key:
+                    found.append((i, k))
+                    i += 1
+            yield pa.RecordBatch.from_arrays([
+                pa.array([paths[i] for i, _ in found], pa.string()), pa.array([bases[i] for i, _ in found], pa.int64()),
+                pa.array([k for _, k in found], batch.schema.field(0).type)], ["path", "base", "k"])
+
+    return keys.mapInArrow(run, f"path string, base long, k {kind}")
+
+
+def read(manifest: DataFrame, keys: DataFrame, routes: int = ROUTES) -> DataFrame:
     """(key, path, base, start, ids): the rows that the files hold for the
     distinct values of the one column of ``keys``, by look-ups in the index.
 
-    ``start`` counts from the corpus' first id. The manifest's key lists only
-    route a key to its shard.
+    ``start`` counts from the corpus' first id. A key goes to the shards between
+    whose outermost keys it lies; there the index finds it or turns it away. The
+    ranges of at most ``routes`` shards travel to the tasks at once.
     """
     (name, kind), = keys.dtypes
 
@@ -310,12 +378,19 @@ def read(manifest: DataFrame, keys: DataFrame) -> DataFrame:
                     [name, "start", "ids"])
                 at = end
 
-    routes = manifest.select("path", "base", F.explode("keys").alias("k"))
-    wanted = keys.toDF("w").distinct().join(routes, F.col("w").eqNullSafe(F.col("k")))
+    distinct = keys.toDF("w").distinct()
+    order = W.orderBy("part", "shard")
+    placed = manifest.select("path", "base", "first", "last", "part", "shard")
+    shards, wanted = manifest.count(), None
+    for a in range(0, max(1, shards), routes):
+        mine = placed if shards <= routes else placed.withColumn("n", F.row_number().over(order)).filter(
+            F.col("n").between(a + 1, a + routes))
+        found = _routed(distinct, kind, mine.orderBy("part", "shard").collect())
+        wanted = found if wanted is None else wanted.union(found)
     # A shard is some thousand look-ups but few bytes: a task for each, up to
     # READERS, not as many as the bytes would get.
-    tasks = max(1, min(READERS, manifest.count()))
-    dealt = wanted.select("path", "base", "k").repartition(tasks, "path").sortWithinPartitions("path", "k")
+    tasks = max(1, min(READERS, shards))
+    dealt = wanted.repartition(tasks, "path").sortWithinPartitions("path", "k")
     return dealt.mapInArrow(run, f"{name} {kind}, start long, ids array<int>")
 
 

@@ -45,12 +45,23 @@ def test_word_by_word_equals_whole_text():
         assert np.frombuffer(ids, "<u2").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
 
 
-def test_cache_is_bounded(monkeypatch):
-    monkeypatch.setattr(tokenstore, "CACHE_WORDS", 10)
+def test_cache_is_bounded_in_bytes_and_let_go(monkeypatch):
+    monkeypatch.setattr(tokenstore, "CACHE_BYTES", 10 * 210)
     e = tokenstore.Encoder(PATH)
-    texts = [" ".join(f"w{i}" for i in range(j, j + 6)).encode() for j in range(30)]
+    texts = [" ".join(f"w{i}" for i in range(j, j + 6)).encode() for j in range(30)] + [b"x" * 5000, b"y" * 65]
     assert [e([t])[0] for t in texts] == tokenstore.Encoder(PATH)(texts)
-    assert len(e.known) <= 17 and len(e.older) <= 17
+    assert len(e.known) <= 12 and 0 < len(e.known.older) <= 12
+    assert all(len(w) <= tokenstore.LONGEST for w in [*e.known, *e.known.older])
+    e.forget()
+    assert not e.known and not e.known.older
+
+
+def test_plain_words_are_cut_as_the_patterns_do():
+    rng = random.Random(9)
+    t, e = Tokenizer.from_file(PATH), tokenstore.Encoder(PATH)
+    for _ in range(4000):
+        w = "".join(rng.choice("''stlldrevm19.,!?-_<|>{}~`^aZéßÿÀÞ÷×¿ñÜ") for _ in range(rng.randrange(1, 9)))
+        assert np.frombuffer(e([w.encode()])[0], "<u2").tolist() == t.encode(w, add_special_tokens=False).ids, w
 
 
 def test_odd_rows_round_trip(spark):
@@ -70,7 +81,9 @@ def test_odd_rows_round_trip(spark):
         assert os.path.getsize(f"{local}/{os.path.basename(s.path)}.bin") == 2 * s.ids
         shard = tokenstore.Shard(s.path)
         assert sum(map(len, shard.ranges(list(range(5000, 9000))))) == 0  # fingerprints turn strangers away
-        assert all(shard.ranges(s.asDict()["keys"]))
+        assert all(shard.ranges([s["first"], s["last"]]))
+    pieces = tokenstore.checksums(tokenstore.read(manifest, docs.select("doc_id"), routes=2))
+    assert sorted(map(tuple, pieces.collect()), key=lambda r: r[1]) == brute(rows)
 
 
 def test_empty_table(spark):
