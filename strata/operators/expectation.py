@@ -139,6 +139,13 @@ def check_range(start: date | str, end: date | str) -> None:
 _REVERSED = "the range ends before it starts"
 
 
+def reversed_ranges(ranges: DataFrame, from_col: str = "from_date", to_col: str = "to_date") -> DataFrame:
+    """FLT-3 as a report: the ranges that a spine would refuse, with the reason
+    as ``error``; check a batch of requests before it is expanded."""
+    wrong = F.col(from_col).cast("date") > F.col(to_col).cast("date")
+    return ranges.where(wrong).withColumn("error", F.lit(_REVERSED))
+
+
 def day_spine(ranges: DataFrame, center_col: str = "center_id", from_col: str = "from_date",
               to_col: str = "to_date") -> DataFrame:
     """One row per (centre, day) of each (centre, from, to) range, both ends
@@ -244,6 +251,6 @@ def with_defaults(records: DataFrame, condition: str = "weather_condition",
 __all__ = [
     "add_expected", "attach_observed", "check_range", "day_label", "day_spine", "expected_raw",
     "expected_visitors", "holiday_adjusted", "hour_bucket", "hourly_base", "hourly_spine",
-    "missing_hours", "month_factor", "noise_band", "weather_adjusted", "weekday_factor",
+    "missing_hours", "month_factor", "reversed_ranges", "noise_band", "weather_adjusted", "weekday_factor",
     "with_defaults", "with_expectation",
 ]

@@ -471,6 +471,70 @@ FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY
 
 _ALL_TRAFFIC = f"SELECT * FROM ({TRAFFIC_CURATED}) t"
 
+COMPACTED_TABLE = f"""
+SELECT year, month, day, count(*) AS rows, CAST(1 AS BIGINT) AS files FROM ({TRAFFIC_CURATED}) t GROUP BY ALL
+"""
+
+REVERSED_RANGES = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS from_date, CAST(date_trunc('month', o_orderdate) AS DATE) + 14 AS to_date,
+       'the range ends before it starts' AS error
+FROM orders WHERE day(o_orderdate) > 15
+"""
+
+DQ_STANDARD = f"""
+WITH n AS (
+  SELECT 'traffic' AS source, 'records' AS field_path, 'count' AS mode, 24 AS expected, count(*) AS actual
+  FROM events GROUP BY user_id, CAST(ts AS DATE)
+  UNION ALL
+  SELECT 'weather', 'hourly.time', 'count', 24, count(*) FROM events GROUP BY user_id, CAST(ts AS DATE)
+  UNION ALL
+  SELECT 'holidays', 'total_records', 'value', 3, count(*) FROM orders GROUP BY {_COUNTRY}, date_trunc('month', o_orderdate)
+  UNION ALL
+  SELECT 'flights', 'states', 'gte', 1, count(*) FROM lineitem GROUP BY {_AREA}, CAST(l_shipdate AS DATE))
+SELECT source, field_path, mode, CAST(expected AS BIGINT) AS expected, CAST(actual AS BIGINT) AS actual,
+       CASE WHEN actual = expected OR mode = 'gte' AND actual > expected THEN 'PASS' ELSE 'FAIL' END AS status,
+       CASE WHEN actual = expected OR mode = 'gte' AND actual > expected THEN NULL ELSE 'COUNT_MISMATCH' END AS error_class,
+       count(*) AS documents
+FROM n GROUP BY ALL
+"""
+
+DQ_OBJECTS = """
+SELECT 'traffic' AS source,
+       printf('traffic/year=%04d/month=%02d/day=%02d/C%d.json', year(d), month(d), day(d), user_id) AS document,
+       'records' AS field_path, 'count' AS mode, CAST(24 AS BIGINT) AS expected, CAST(n AS BIGINT) AS actual,
+       CASE WHEN n = 24 THEN 'PASS' ELSE 'FAIL' END AS status,
+       CASE WHEN n = 24 THEN NULL ELSE 'COUNT_MISMATCH' END AS error_class
+FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY ALL)
+"""
+
+DQ_GATE = """
+SELECT CAST(least AS INTEGER) AS at_least, CASE WHEN fewest >= least THEN 'PASS' ELSE 'FAIL' END AS gate
+FROM (SELECT min(n) AS fewest FROM (SELECT count(*) AS n FROM events GROUP BY user_id, CAST(ts AS DATE))),
+     (SELECT unnest([1, 2, 3, 24]) AS least)
+"""
+
+SCHEMA_DRIFT = f"""
+WITH t AS (
+  SELECT d, day(d) % 5 AS turn, count(*) AS n
+  FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) GROUP BY d),
+h AS (
+  SELECT m AS d, count(*) AS n, sum(dated) AS dated
+  FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, {_COUNTRY} AS country,
+               count(*) FILTER (o_orderpriority <> '5-LOW') AS dated
+        FROM orders GROUP BY ALL) GROUP BY m)
+SELECT source, strftime(d, '%Y-%m-%d') AS day, drift, path, declared, observed, CAST(n AS BIGINT) AS documents
+FROM (
+  SELECT 'traffic' AS source, d, 'NEW' AS drift, 'records[].gate' AS path, NULL AS declared, 'STRING' AS observed, n
+  FROM t WHERE turn = 0
+  UNION ALL SELECT 'traffic', d, 'NEW', 'total', NULL, 'BIGINT', n FROM t WHERE turn = 1
+  UNION ALL SELECT 'traffic', d, 'VANISHED', 'total_records', 'scalar', NULL, n FROM t WHERE turn = 1
+  UNION ALL SELECT 'traffic', d, 'RETYPED', 'total_records', 'scalar', 'object', n FROM t WHERE turn = 2
+  UNION ALL SELECT 'weather', d, 'VANISHED', 'timezone', 'scalar', NULL, n FROM t WHERE turn = 3
+  UNION ALL SELECT 'holidays', d, 'VANISHED', 'holidays[].counties', 'list', NULL, n FROM h
+  UNION ALL SELECT 'holidays', d, 'VANISHED', 'holidays[].date', 'scalar', NULL, n FROM h WHERE dated = 0
+  UNION ALL SELECT 'holidays', d, 'RETYPED', 'holidays[].launchYear', 'integer', 'STRING', n FROM h WHERE month(d) = 2)
+"""
+
 ORACLES: dict[str, str] = {
     "traffic_curated": TRAFFIC_CURATED,
     "weather_curated": WEATHER_CURATED,
@@ -516,6 +580,15 @@ ORACLES: dict[str, str] = {
     "single_day_spine": SINGLE_DAY_SPINE,
     "late_record_kept": _ALL_TRAFFIC,
     "rerun_after_late_record": _ALL_TRAFFIC,
+    "incremental_runs": _ALL_TRAFFIC,
+    "stream_merged": _ALL_TRAFFIC,
+    "compacted_table": COMPACTED_TABLE,
+    "explicit_input": _ALL_TRAFFIC,
+    "reversed_ranges": REVERSED_RANGES,
+    "dq_standard": DQ_STANDARD,
+    "dq_objects": DQ_OBJECTS,
+    "dq_gate": DQ_GATE,
+    "schema_drift": SCHEMA_DRIFT,
     "raw_two_entities": _ALL_TRAFFIC,
     "stored_objects": STORED_OBJECTS,
     "catalog_append": _ALL_TRAFFIC,

@@ -490,6 +490,148 @@ def rerun_after_late_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ntz(back.select(*curators.curate_traffic(traffic_raw(spark, sf_dir)).columns))
 
 
+def _landed_late(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Traffic documents in two halves by a hash of their records, so that copies
+    of a key lie in both; the second half lands three days late. Returns the
+    second half; the first is landed."""
+    recs = payloads.traffic_records(spark, sf_dir)
+    half = F.pmod(F.xxhash64(F.to_json("record")), F.lit(2))
+    first, second = (traffic_envelope(recs.where(half == n)) for n in (0, 1))
+    write_raw(first, f"{root}/raw", "traffic", "lines", by_entity=False)
+    return second.withColumn("ingest_date", F.date_add(F.col("ingest_date").cast("date"), 3))
+
+
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2 by landing time: half of the records land and are taken in, then
+    the rest lands late, in other folders, and a second run opens the new files
+    only. Copies of a key meet across both; the table equals one full run."""
+    from strata.jobs import run_incremental
+
+    root = scratch_path(spark, "incremental")
+    late = _landed_late(spark, sf_dir, root)
+    params = _job(f"{root}/raw", f"{root}/curated", "2024-01-01", "2024-01-01")
+    run_incremental(spark, params, register_table=False, overlap=timedelta(0))
+    write_raw(late, f"{root}/raw", "traffic", "lines", by_entity=False, mode="append")
+    report = run_incremental(spark, params, register_table=False, overlap=timedelta(0))
+    back = read_curated(spark, report["output"])
+    return as_ntz(back.select(*curators.curate_traffic(traffic_raw(spark, sf_dir)).columns))
+
+
+def stream_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DED-1 in the stream: the same two landings go through micro-batches that
+    merge into the table. Late rows are kept and every key's survivor is the
+    batch curator's."""
+    from strata.specs import get_spec
+    from strata.streaming.incremental import start_merge_stream
+
+    root = scratch_path(spark, "stream-merge")
+    late = _landed_late(spark, sf_dir, root)
+    run = lambda: start_merge_stream(spark, get_spec("traffic"), f"{root}/raw/traffic", f"{root}/out",
+                                     f"{root}/checkpoint").awaitTermination()
+    run()
+    write_raw(late, f"{root}/raw", "traffic", "lines", by_entity=False, mode="append")
+    run()
+    back = read_curated(spark, f"{root}/out")
+    return as_ntz(back.select(*curators.curate_traffic(traffic_raw(spark, sf_dir)).columns))
+
+
+def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-1 compaction: the curated rows are appended in three writes, so every
+    day has several files, then packed: rows and files of each day."""
+    from strata.sinks.compaction import compact, partition_files
+
+    path = scratch_path(spark, "compaction")
+    rows = curators.curate_traffic(traffic_raw(spark, sf_dir))
+    third = F.pmod(F.xxhash64("center_id", "event_timestamp"), F.lit(3))
+    for n in range(3):
+        write_curated(rows.where(third == n), path=path, mode="append")
+    compact(spark, path)
+    counts = read_curated(spark, path).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.join(partition_files(spark, path).select("year", "month", "day", "files"), ["year", "month", "day"])
+
+
+def explicit_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-3 and SCL-10: the job over an explicit input path, its source spelled
+    with blanks and capitals."""
+    from strata.jobs import JobParams, run_curation
+
+    root = scratch_path(spark, "explicit")
+    write_raw(payloads.traffic_documents(spark, sf_dir), f"{root}/drop", "anything", "lines", by_entity=False)
+    params = JobParams.from_args(["curate", "--SOURCE_NAME", " TraFFic\t", "--INPUT_PATH", f"{root}/drop/anything",
+                                  "--OUTPUT_PATH", f"{root}/out", "--RAW_FORMAT", "lines"], env={})
+    report = run_curation(spark, params, register_table=False)
+    back = read_curated(spark, report["output"])
+    return as_ntz(back.select(*curators.curate_traffic(traffic_raw(spark, sf_dir)).columns))
+
+
+def reversed_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-3: requests from each order's day to the middle of its month; those
+    of later days are reversed."""
+    o = payloads.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("from_date"),
+        F.date_add(F.trunc(F.to_date("o_orderdate"), "month"), 14).alias("to_date"))
+    return expectation.reversed_ranges(o)
+
+
+def dq_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-8 for every source: the standard rules, with an expected value for
+    holidays, over the documents of all four."""
+    docs = None
+    for source, build in _DOCUMENTS.items():
+        found = build(spark, sf_dir).select(F.lit(source).alias("source"), "document", F.sha2("document", 256).alias("id"))
+        docs = found if docs is None else docs.unionByName(found)
+    found = quality.verdicts(docs, quality.standard_rules({"holidays": 3}), id_col="id")
+    return found.groupBy("source", "field_path", "mode", "expected", "actual", "status", "error_class").agg(
+        F.count(F.lit(1)).alias("documents"))
+
+
+def dq_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6 with one document a file: documents stored as objects, scanned back
+    whole and judged by the standard traffic rule."""
+    from strata.sinks.objects import write_objects
+    from strata.sources.raw import read_documents_text
+
+    root = scratch_path(spark, "dq-objects")
+    write_objects(payloads.traffic_documents(spark, sf_dir), root)
+    texts = read_documents_text(spark, f"{root}/traffic", "document").withColumn("source", F.lit("traffic"))
+    rules = [r for r in quality.standard_rules() if r.source == "traffic"]
+    found = quality.verdicts(texts, rules, id_col="path")
+    return found.withColumn("document", F.regexp_extract("document", "traffic/year=.*$", 0))
+
+
+def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-9: the batch gate over all traffic documents, for each number of
+    records that a document may be expected to have at least."""
+    docs = payloads.traffic_documents(spark, sf_dir).withColumn("id", F.col("object_key"))
+    rows = []
+    for least in (1, 2, 3, 24):
+        try:
+            quality.assert_passed(quality.verdicts(docs, [quality.Rule(least, "records", "gte", "traffic")], id_col="id"))
+            rows.append((least, "PASS"))
+        except quality.ValidationFailed:
+            rows.append((least, "FAIL"))
+    return spark.createDataFrame(rows, "at_least int, gate string")
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-5: documents whose shape changes by day of the month - a field is
+    added, renamed or becomes an object - against the declared schemas."""
+    from strata.operators.drift import schema_drift as drift
+
+    turn = F.pmod(F.dayofmonth(F.col("ingest_date").cast("date")), F.lit(5))
+    doc = F.col("document")
+    traffic = payloads.traffic_documents(spark, sf_dir).select("source", "ingest_date", F.when(
+        turn == 0, F.regexp_replace(doc, r'"records":\[\{', '"records":[{"gate":"G1",')).when(
+        turn == 1, F.regexp_replace(doc, '"total_records":', '"total":')).when(
+        turn == 2, F.regexp_replace(doc, '"total_records":([0-9]+)', '"total_records":{"n":$1}'))
+        .otherwise(doc).alias("document"))
+    weather = payloads.weather_documents(spark, sf_dir).select("source", "ingest_date", F.when(
+        turn == 3, F.regexp_replace(doc, '"timezone":"[^"]*",', "")).otherwise(doc).alias("document"))
+    holidays = payloads.holidays_documents(spark, sf_dir).select("source", "ingest_date", "document")
+    return drift(traffic.unionByName(weather).unionByName(holidays),
+                 {"traffic": schemas.TRAFFIC_RAW, "weather": schemas.WEATHER_RAW, "holidays": schemas.HOLIDAYS_RAW})
+
+
 def raw_two_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-6 by object: the centres' documents land in two writes over the same
     days; the second leaves the first's alone."""
@@ -609,6 +751,15 @@ QUERIES: dict[str, Query] = {
     "single_day_spine": single_day_spine,
     "late_record_kept": late_record_kept,
     "rerun_after_late_record": rerun_after_late_record,
+    "incremental_runs": incremental_runs,
+    "stream_merged": stream_merged,
+    "compacted_table": compacted_table,
+    "explicit_input": explicit_input,
+    "reversed_ranges": reversed_ranges,
+    "dq_standard": dq_standard,
+    "dq_objects": dq_objects,
+    "dq_gate": dq_gate,
+    "schema_drift": schema_drift,
     "raw_two_entities": raw_two_entities,
     "stored_objects": stored_objects,
     "catalog_append": catalog_append,

@@ -6,17 +6,18 @@ Both records lie beside the table, in folders that readers of the table skip:
   day's folder. A run that replaces a day reads these folders as well, so that a
   rerun keeps the late rows which other folders brought. Pairs are only added: one
   that no longer holds costs a read, never a row.
-``_landed``  (landed_until, recorded_at): up to which modification time landed
-  files have been taken in by incremental runs.
+``_landed``  (landed_until, recorded_at): up to which modification time, in
+  microseconds, landed files have been taken in by incremental runs.
+``_batches`` (stream, batch_id): the micro-batches of a stream that are merged.
 
 Entries are written before the rows that they speak of (``_ledger``) or after
-them (``_landed``), so a run that fails in between leaves a table that the next
-run completes.
+them (``_landed``, ``_batches``), so a run that fails in between leaves a table
+that the next run completes: taking rows in twice changes nothing.
 """
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,11 @@ from strata.sources.paths import Location, exists
 
 LEDGER = "_ledger"
 LANDED = "_landed"
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 PAIR = "event_date date, landing_day date"
-MARK = "landed_until timestamp, recorded_at timestamp"
+MARK = "landed_until long, recorded_at timestamp"
+BATCHES = "_batches"
+BATCH = "stream string, batch_id long"
 
 
 def pairs(spark: SparkSession, table: Location) -> DataFrame:
@@ -59,10 +63,25 @@ def landed_until(spark: SparkSession, table: Location) -> datetime | None:
     place = table / LANDED
     if not exists(spark, place):
         return None
-    return spark.read.schema(MARK).parquet(place).agg(F.max("landed_until")).first()[0]
+    micros = spark.read.schema(MARK).parquet(place).agg(F.max("landed_until")).first()[0]
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
 
-def advance(spark: SparkSession, table: Location, until: datetime) -> None:
+def advance(spark: SparkSession, table: Location, micros: int) -> None:
     """Move the mark; it never goes back, because readers take the largest."""
-    row = spark.createDataFrame([(until,)], "landed_until timestamp").withColumn("recorded_at", F.current_timestamp())
+    row = spark.createDataFrame([(micros,)], "landed_until long").withColumn("recorded_at", F.current_timestamp())
     row.coalesce(1).write.mode("append").parquet(table / LANDED)
+
+
+def merged_batch(spark: SparkSession, table: Location, stream: str) -> int:
+    """The last micro-batch of a stream that is merged; -1 before the first."""
+    place = table / BATCHES
+    if not exists(spark, place):
+        return -1
+    found = spark.read.schema(BATCH).parquet(place).where(F.col("stream") == stream)
+    return int(found.agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0])
+
+
+def record_batch(spark: SparkSession, table: Location, stream: str, batch_id: int) -> None:
+    row = spark.createDataFrame([(stream, batch_id)], BATCH)
+    row.coalesce(1).write.mode("append").parquet(table / BATCHES)

@@ -15,7 +15,7 @@ curation job refuses them.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,9 +51,13 @@ def parse_documents(docs: DataFrame, schema: StructType, text_col: str = "docume
 
 
 def read_raw(spark: SparkSession, path: str | Sequence[str], schema: StructType,
-             raw_format: str = "document", source_file: bool = False) -> DataFrame:
+             raw_format: str = "document", source_file: bool = False,
+             modified_after: datetime | None = None) -> DataFrame:
     """SRC-1: read raw JSON documents with a declared schema (never inferred).
 
+    ``modified_after`` (with a time zone) leaves out the files that landed at
+    that time or before; only the others are opened.
+
     With ``source_file`` a column of that name carries each row's file path
     (provenance, e.g. for quarantine). It is opt-in: once the file metadata is
     referenced, the scan carries the metadata columns for every file."""
@@ -63,6 +67,9 @@ def read_raw(spark: SparkSession, path: str | Sequence[str], schema: StructType,
     reader = spark.read.schema(schema).options(**_json_options(schema)).option("recursiveFileLookup", "true")
     if fmt == "document":
         reader = reader.option("multiLine", "true")
+    if modified_after is not None:
+        utc = modified_after.astimezone(timezone.utc)
+        reader = reader.option("modifiedAfter", utc.strftime("%Y-%m-%dT%H:%M:%S.%f")).option("timeZone", "UTC")
     paths = [path] if isinstance(path, str) else list(path)
     df = reader.json(paths)
     return df.withColumn("source_file", F.col("_metadata.file_path")) if source_file else df

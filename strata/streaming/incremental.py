@@ -7,7 +7,12 @@ instead of the batch's deterministic survivor, and a record older than the
 watermark when it arrives is dropped as late. The key *set* written is the
 same as the batch curator's whenever nothing arrives later than the delay.
 
-The sink is the Parquet file sink with a checkpoint: each micro-batch commits
+``start_merge_stream`` is the exact alternative: each micro-batch is curated as a
+batch would be and merged into its partitions, so late rows are never dropped and
+the survivor of a key is the batch curator's, at the cost of rewriting the
+partitions that a batch touches.
+
+The sink of the first form is the Parquet file sink with a checkpoint: each micro-batch commits
 atomically through the sink's metadata log, so a restarted query (or a lost
 executor) neither loses nor duplicates output. Sessions made by
 ``strata.session.get_session`` keep the dedupe state in the RocksDB state
@@ -21,6 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.partitions import add_event_partitions
+from strata.sinks import ledger
+from strata.sinks.curated import merge_partitions
+from strata.sources.paths import Location
 from strata.sources.raw import _check_format, _json_options
 from strata.specs import SourceSpec
 
@@ -75,3 +83,30 @@ def start_curation_stream(spark: SparkSession, spec: SourceSpec, raw_path: str,
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime="1 minute")
     return writer.start(output_path)
+
+
+def start_merge_stream(spark: SparkSession, spec: SourceSpec, raw_path: str, output_path: str,
+                       checkpoint: str, raw_format: str = "lines", available_now: bool = True,
+                       max_files_per_trigger: int | None = None, table: str | None = None) -> StreamingQuery:
+    """Run the curation batch by batch into a curated table (DED-1 in the stream).
+
+    A micro-batch is curated (projection, deterministic dedupe, partitions) and
+    merged into the partitions that its rows belong to; those become their old
+    rows and the new ones, one for each key. The survivor is a minimum (or the
+    newest) over all rows of a key, so the order and the cut of the batches don't
+    matter, and no state is kept. Merged batches are noted beside the table: one
+    that is replayed after a failure is skipped, or, when the failure came before
+    the note, merged again without effect. One stream writes a table at a time."""
+    out = Location(output_path)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        if batch_id <= ledger.merged_batch(session, out, checkpoint):
+            return
+        merge_partitions(spec.curate(batch), out, spec.keys, spec.newest, table, spec.partition_cols)
+        ledger.record_batch(session, out, checkpoint, batch_id)
+
+    raw = read_raw_stream(spark, raw_path, spec, raw_format, max_files_per_trigger)
+    writer = raw.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

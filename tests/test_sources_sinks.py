@@ -342,3 +342,75 @@ def test_a_run_that_fails_between_merge_and_publication_changes_nothing(spark, t
             _run(spark, tmp_dir, "2026-04-22")
     assert _rows(spark, report) == before
     assert [x for x in _rows(spark, _run(spark, tmp_dir, "2026-04-22")) if x not in before] == [(21, "21 09"), (22, "22 05")]
+
+
+def test_incremental_runs_open_only_what_landed_since(spark, tmp_dir):
+    import time
+    from datetime import timedelta
+
+    from strata.jobs import run_incremental
+
+    def run(overlap=timedelta(0)):
+        params = JobParams.from_args(
+            ["job", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", f"{tmp_dir}/raw", "--CURATED_BUCKET", f"{tmp_dir}/cur",
+             "--RAW_FORMAT", "lines"], env={})
+        return run_incremental(spark, params, register_table=False, overlap=overlap)
+
+    _land(spark, f"{tmp_dir}/raw", "2026-04-21", ["2026-04-21T01:00:00", "2026-04-21T02:00:00"])
+    first = run()
+    assert (first["documents"], first["since"]) == (1, "")
+    time.sleep(1.1)
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", ["2026-04-22T01:00:00", "2026-04-21T09:00:00"])
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", ["2026-04-22T01:00:00"], entity="C1")
+    second = run()
+    assert second["documents"] == 2 and second["since"]
+    whole = _rows(spark, second)
+    assert [d for d, _ in whole] == [21, 21, 21, 22, 22]
+    assert run(timedelta(days=1))["documents"] == 3 and _rows(spark, second) == whole  # again: nothing changes
+    day = _run(spark, tmp_dir, "2026-04-21")  # a day run keeps what another folder brought
+    assert day["late_folders"] == ["2026-04-22"] and _rows(spark, day) == whole
+
+
+def test_incremental_run_without_news_writes_nothing(spark, tmp_dir):
+    import time
+    from datetime import timedelta
+
+    from strata.jobs import run_incremental
+
+    _land(spark, f"{tmp_dir}/raw", "2026-04-21", ["2026-04-21T01:00:00"])
+    params = JobParams.from_args(
+        ["job", "--SOURCE_NAME", "traffic", "--RAW_BUCKET", f"{tmp_dir}/raw", "--CURATED_BUCKET", f"{tmp_dir}/cur",
+         "--RAW_FORMAT", "lines", "--LANDED_SINCE", "last"], env={})
+    assert params.landed_since == "last"
+    report = run_incremental(spark, params, register_table=False, overlap=timedelta(0))
+    from strata.sinks import ledger
+    from strata.sources.paths import Location
+    mark = ledger.landed_until(spark, Location(report["output"]))
+    ledger.advance(spark, Location(report["output"]), int((mark + timedelta(seconds=5)).timestamp() * 1_000_000))
+    time.sleep(0.1)
+    again = run_incremental(spark, params, register_table=False, overlap=timedelta(0))
+    assert again["documents"] == 0 and not again["written"] and len(_rows(spark, report)) == 1
+
+
+def test_compaction_packs_only_what_has_too_many_files(spark, tmp_dir):
+    from strata.sinks.compaction import compact, partition_files
+
+    path = f"{tmp_dir}/curated"
+    days = ["2026-04-01", "2026-04-02", "2026-04-03"]
+    write_curated(_curated(spark, days[:1]), path=path)
+    for _ in range(4):
+        write_curated(_curated(spark, days[1:]), path=path, mode="append")
+    before = sorted(map(tuple, spark.read.parquet(path).collect()), key=str)
+    untouched = os.listdir(f"{path}/year=2026/month=4/day=1")
+    done = compact(spark, path)
+    assert sorted((r.day, r.files, r.bins) for r in done.collect()) == [(2, 4, 1), (3, 4, 1)]
+    assert {r.day: r.files for r in partition_files(spark, path).collect()} == {1: 1, 2: 1, 3: 1}
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=str) == before
+    assert os.listdir(f"{path}/year=2026/month=4/day=1") == untouched
+    assert compact(spark, path).isEmpty()
+    size = {r.day: r.bytes for r in partition_files(spark, path).collect()}[2]
+    for _ in range(2):
+        write_curated(_curated(spark, days[1:2]), path=path, mode="append")
+    compact(spark, path, target_bytes=size)
+    files = {r.day: r.files for r in partition_files(spark, path).collect()}
+    assert files[2] <= 3 and files[3] == 1

@@ -69,3 +69,27 @@ def test_a_hot_day_is_written_by_several_tasks(spark, tmp_dir):
     assert _run(spark, tmp_dir).count() == 2000
     files = [f for _, _, names in os.walk(f"{tmp_dir}/out") for f in names if f.endswith(".parquet")]
     assert 2 <= len(files) <= 8
+
+
+def test_merged_batches_keep_late_rows_and_the_batch_survivor(spark, tmp_dir):
+    """Copies of a key in different micro-batches end as the batch curator has
+    it, and a batch that is replayed changes nothing."""
+    from strata.sinks import ledger
+    from strata.sources.paths import Location
+    from strata.streaming.incremental import start_merge_stream
+
+    r = lambda c, day, v: {"center_id": c, "timestamp": f"2026-04-{day:02d}T01:00:00", "visitors_count": v}
+
+    def run(checkpoint="ckpt"):
+        start_merge_stream(spark, get_spec("traffic"), f"{tmp_dir}/raw/traffic", f"{tmp_dir}/out",
+                           f"{tmp_dir}/{checkpoint}", max_files_per_trigger=1).awaitTermination()
+        return sorted((x.center_id, x.day, x.visitors_count) for x in spark.read.parquet(f"{tmp_dir}/out").collect())
+
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", [r("A", 22, 10), r("B", 22, 5)])
+    assert run() == [("A", 22, 10), ("B", 22, 5)]
+    _land(spark, f"{tmp_dir}/raw", "2026-04-23", [r("A", 22, 3), r("A", 1, 7), r("B", 22, 9)])
+    whole = [("A", 1, 7), ("A", 22, 3), ("B", 22, 5)]
+    assert run() == whole
+    assert run() == whole
+    assert ledger.merged_batch(spark, Location(f"{tmp_dir}/out"), f"{tmp_dir}/ckpt") == 1
+    assert run("another") == whole  # all files once more
