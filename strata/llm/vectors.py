@@ -2,18 +2,19 @@
 
 Vectors are turned into integers, floor(``SCALE`` * x). The index holds, for
 each shard of vectors, a posting for every component that isn't zero, in
-segments by dimension and impact, the impact being a component's size quantised
-to powers of two. Segments are processed score-at-a-time, by descending impact,
-for a block of queries at once: each adds its postings' part to the scores
-found so far.
+segments by impact, the impact being a component's size quantised to powers of
+two. Segments are processed score-at-a-time, by descending impact, for a block of
+queries at once: a segment is a matrix of its postings, and its product with the
+queries is added to the scores found so far.
 
 After an impact level the rest of a vector is known by its length, so no score
 can lie further from what was found than the product of that length and the
-query's. Work stops on proof only: once the vectors whose upper bound reaches
-the ``k``-th best lower bound are few, no other can be a member, and the
-possible members are rescored exactly from the whole integer vectors. If they
-never become few, all segments are processed and the scores are exact as they
-are.
+query's. A query stops on proof only: once the vectors whose upper bound reaches
+its ``k``-th best lower bound are few, no other can be a member, and the
+possible members are rescored exactly from the whole integer vectors. Queries
+that are proven leave the block; whether any is, is first asked of a few of them.
+A query that is never proven has all segments processed, and its possible members
+rescored as well.
 
 At scale: a shard is one stored index row, queries are cut into blocks, and
 every block meets every shard once, in a join on the shard's number. Blocks
@@ -26,8 +27,7 @@ shorter ended in zeros. A row without an id takes no part. Rows that repeat an
 id are candidates each, and none for queries of that id. Query rows that repeat
 both id and vector are one query; other query rows that share an id are queries
 each, every one with its own ranks from 1 to ``k`` under that id.
-Components beyond 2**28 after scaling count as that; scores beyond a long, which
-take 128 such components in both vectors, are not defined.
+Scaled components and scores beyond a long are not defined.
 """
 
 from __future__ import annotations
@@ -46,13 +46,14 @@ SCALE = 64
 SHARD = 1 << 13  # vectors of an index row
 BLOCK = 256  # queries scored at once
 FEW = 16  # times k: so many possible members are rescored rather than narrowed
-LIMIT = float(1 << 28)
+PROBES = 16  # queries of a block that are asked first whether they are proven
+EXACT = 1 << 23  # products of lengths below which single precision holds every sum
 
 
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """(id, v): ids and scaled integer components of the rows that take part."""
     odd = f"exists({vector}, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
-    scaled = f"transform({vector}, x -> cast(greatest(least(floor(double(x) * {SCALE}), {LIMIT}), -{LIMIT}) as int))"
+    scaled = f"transform({vector}, x -> floor(double(x) * {SCALE}))"
     return (rows.select(F.col(key).alias("id"), F.col(vector).alias("_v"))
             .filter(F.expr(f"id is not null and size(_v) > 0 and not {odd.replace(vector, '_v')}"))
             .select("id", F.expr(scaled.replace(vector, "_v")).alias("v")))
@@ -68,22 +69,22 @@ def _matrix(vectors: list, width: int | None = None) -> np.ndarray:
 
 
 def index(vectors: DataFrame, shards: int, spread: int) -> DataFrame:
-    """(shard, turn, ids, m, dims): one row for each shard, ``spread`` times."""
+    """(shard, turn, ids, m, dims, kind): one row for each shard, ``spread`` times."""
 
     def build(keys, table):
         m = _matrix(table["v"].to_pylist())
         order = np.argsort(table["id"].to_numpy(), kind="stable")
-        small = np.abs(m).max(initial=0) < 1 << 15
-        m = m[order].astype("<i2" if small else "<i4")
+        low, high = int(m.min(initial=0)), int(m.max(initial=0))
+        kind = next(t for t in ("<i2", "<i4", "<i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
         return pa.table({"shard": [keys[0].as_py()], "ids": [table["id"].to_numpy()[order].tobytes()],
-                         "m": [m.tobytes()], "dims": [m.shape[1]], "short": [bool(small)]},
+                         "m": [m[order].astype(kind).tobytes()], "dims": [m.shape[1]], "kind": [kind]},
                         schema=pa.schema([("shard", pa.int32()), ("ids", pa.binary()), ("m", pa.binary()),
-                                          ("dims", pa.int32()), ("short", pa.bool_())]))
+                                          ("dims", pa.int32()), ("kind", pa.string())]))
 
     # rows that repeat an id are spread as well
     deal = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(shards)).cast("int")
     rows = vectors.withColumn("shard", deal).groupBy("shard").applyInArrow(
-        build, "shard int, ids binary, m binary, dims int, short boolean")
+        build, "shard int, ids binary, m binary, dims int, kind string")
     rows = stored(rows, "vector-index")
     return rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("turn"))
 
@@ -92,7 +93,7 @@ def query_blocks(queries: DataFrame, blocks: int, shards: int, spread: int) -> D
     """(shard, turn, block, numbers, qids, q, qdims): every block once for each shard."""
 
     def pack(keys, table):
-        m = _matrix(table["v"].to_pylist()).astype("<i4")
+        m = _matrix(table["v"].to_pylist()).astype("<i8")
         return pa.table({"block": [keys[0].as_py()], "numbers": [table["number"].to_numpy().tobytes()],
                          "qids": [table["id"].to_numpy().tobytes()], "q": [m.tobytes()], "qdims": [m.shape[1]]},
                         schema=pa.schema([("block", pa.int32()), ("numbers", pa.binary()), ("qids", pa.binary()),
@@ -112,61 +113,75 @@ class Shard:
     def __init__(self, ids: np.ndarray, m: np.ndarray):
         self.ids, self.m = ids, m.astype(np.int64)
         size = np.abs(self.m)
-        self.levels = []  # segments of a level: (dimension, vectors, components)
+        self.segments = []  # of a level: dimensions that have postings, their components, lengths of the rest
         rest = size.astype(np.float64) ** 2
         self.length = np.sqrt(rest.sum(axis=1))
         top = int(size.max(initial=0)).bit_length()
+        single = self.length.max(initial=0) < EXACT
         for bits in range(top, 0, -1):
             inside = (size >= 1 << bits - 1) & (size < 1 << bits)
-            segments = []
-            for d in np.flatnonzero(inside.any(axis=0)).tolist():
-                at = np.flatnonzero(inside[:, d])
-                segments.append((d, at, self.m[at, d].astype(np.float64)[:, None]))
+            dims = np.flatnonzero(inside.any(axis=0))
+            part = np.where(inside[:, dims], self.m[:, dims], 0).T.astype(np.float32 if single else np.float64)
             rest[inside] = 0
-            self.levels.append((segments, np.sqrt(rest.sum(axis=1))))
+            self.segments.append((dims, np.ascontiguousarray(part), np.sqrt(rest.sum(axis=1))))
+        self.read = 0  # segments of the last search
 
     def top(self, qids: np.ndarray, q: np.ndarray, k: int):
         """(query's place, vector, score): the k best of this shard for each query."""
-        width = self.m.shape[1]
+        n, width = self.m.shape
         whole = np.zeros((len(q), width), np.int64)
         whole[:, :min(width, q.shape[1])] = q[:, :width]
         length = np.sqrt((whole.astype(np.float64) ** 2).sum(axis=1))
-        first = np.searchsorted(self.ids, qids, "left")
-        last = np.searchsorted(self.ids, qids, "right")
-        scores = np.zeros((len(self.ids), len(q)))  # integers, exact below 2**53
-        # beyond, each of a score's additions and products may round by 2**-53 of at most the lengths' product
-        rounded = (2 * width + 2) * 2.0**-53 * self.length[:, None] * length
+        # Sums of integers are exact below 2**24 in single and 2**53 in double precision; beyond the latter each
+        # of a score's additions and products may round by 2**-53 of at most the lengths' product.
+        kind = np.float32 if self.length.max(initial=0) * length.max(initial=0) < EXACT else np.float64
+        first, last = np.searchsorted(self.ids, qids, "left"), np.searchsorted(self.ids, qids, "right")
+        left = np.arange(len(q))  # queries that are not proven
+        scores = np.zeros((len(q), n), kind)
         for i in range(len(q)):
-            scores[first[i]:last[i], i] = -np.inf  # never a candidate of its own
-        weights = whole.T.astype(np.float64)
-        possible = None
-        for segments, rest in self.levels:
-            for d, at, values in segments:
-                scores[at] += values * weights[d]
-            slack = rest[:, None] * length * (1 + 1e-9) + rounded + 1e-6
-            possible = self._possible(scores, slack, k)
-            if possible.sum() <= FEW * k * len(q):
+            scores[i, first[i]:last[i]] = -np.inf  # never a candidate of its own
+        found, self.read = [], 0
+        for level, (dims, part, rest) in enumerate(self.segments):
+            scores += whole[left][:, dims].astype(kind) @ part.astype(kind, copy=False)
+            self.read = level + 1
+            # lengths, their products and a score's distance are rounded up
+            reach = (rest * (1 + 1e-6) + (2 * width + 4) * 2.0**-53 * self.length).astype(kind)
+            wide = (length[left] * (1 + 1e-6)).astype(kind)
+            done = np.zeros(len(left), bool)
+            if level + 1 < len(self.segments):
+                some = self._possible(scores[:PROBES], wide[:PROBES, None] * reach + 2, k)
+                if not (some.sum(axis=1) <= FEW * k).any():
+                    continue
+            possible = self._possible(scores, wide[:, None] * reach + 2, k)
+            done = (possible.sum(axis=1) <= FEW * k) | (level + 1 == len(self.segments))
+            found += [self._exact(left[done], possible[done], whole, k)]
+            left, scores = left[~done], scores[~done]
+            if not len(left):
                 break
-        if possible is None:
-            possible = scores > -np.inf
-        vector, query = np.nonzero(possible)
+        if len(left):  # there is no posting at all
+            found += [self._exact(left, scores > -np.inf, whole, k)]
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _exact(self, queries: np.ndarray, possible: np.ndarray, whole: np.ndarray, k: int):
+        """The k best of the possible vectors of each query, by whole vectors."""
+        query, vector = np.nonzero(possible)
         exact = np.empty(len(vector), np.int64)
         for a in range(0, len(vector), 1 << 16):
             b = a + (1 << 16)
-            exact[a:b] = np.einsum("ij,ij->i", self.m[vector[a:b]], whole[query[a:b]])
+            exact[a:b] = np.einsum("ij,ij->i", self.m[vector[a:b]], whole[queries[query[a:b]]])
         by = np.lexsort((self.ids[vector], -exact, query))
         vector, query, exact = vector[by], query[by], exact[by]
-        rank = np.arange(len(query)) - np.searchsorted(query, query)
-        kept = rank < k
-        return query[kept], self.ids[vector[kept]], exact[kept]
+        kept = np.arange(len(query)) - np.searchsorted(query, query) < k
+        return queries[query[kept]], self.ids[vector[kept]], exact[kept]
 
     @staticmethod
     def _possible(scores: np.ndarray, slack: np.ndarray, k: int) -> np.ndarray:
         """Pairs that may be among a query's k best by what is proven so far."""
-        if len(scores) <= k:
+        if scores.shape[1] <= k or not len(scores):
             return scores > -np.inf
-        bound = np.partition(scores - slack, len(scores) - k, axis=0)[len(scores) - k]
-        return (scores + slack >= bound) & (scores > -np.inf)
+        at = scores.shape[1] - k
+        bound = np.partition(scores - slack, at, axis=1)[:, at]
+        return (scores + slack >= bound[:, None]) & (scores > -np.inf)
 
 
 def search(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding",
@@ -190,17 +205,17 @@ def search(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vec
             for r in batch.to_pylist():
                 if held != r["shard"]:
                     ids = np.frombuffer(r["ids"], np.int64)
-                    m = np.frombuffer(r["m"], "<i2" if r["short"] else "<i4").reshape(len(ids), r["dims"])
+                    m = np.frombuffer(r["m"], r["kind"]).reshape(len(ids), r["dims"])
                     held, found = r["shard"], Shard(ids, m)
                 numbers, qids = np.frombuffer(r["numbers"], np.int64), np.frombuffer(r["qids"], np.int64)
-                q = np.frombuffer(r["q"], "<i4").reshape(len(qids), r["qdims"]).astype(np.int64)
+                q = np.frombuffer(r["q"], "<i8").reshape(len(qids), r["qdims"]).astype(np.int64)
                 for a in range(0, len(qids), BLOCK):
                     query, *made = found.top(qids[a:a + BLOCK], q[a:a + BLOCK], k)
                     made = [numbers[a + query], qids[a + query], *made]
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["number", "query_id", "id", "score"])
 
     pairs = left.join(right, ["shard", "turn"]).sortWithinPartitions("shard")
-    best = pairs.select("shard", "ids", "m", "dims", "short", "numbers", "qids", "q", "qdims").mapInArrow(
+    best = pairs.select("shard", "ids", "m", "dims", "kind", "numbers", "qids", "q", "qdims").mapInArrow(
         run, "number long, query_id long, id long, score long")
     order = W.partitionBy("number").orderBy(F.desc("score"), "id")
     return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
