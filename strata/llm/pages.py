@@ -6,7 +6,8 @@ before them, text or a tag that isn't head content the head) and implied rows ar
 Rendering walks the tree and emits all visible text: white space is collapsed
 outside ``pre``, blocks start lines, paragraphs, headings, lists and tables stand
 between blank lines, list items carry markers and are indented, and the cells
-of a table are padded so that its columns line up.
+of a table are padded so that its columns line up: a cell that spans rows keeps its
+columns in those below, one that is wider than the columns it spans widens the last.
 
 Not visible: ``head`` and its elements, scripts, styles, templates, fallback
 content of embedded media, comments, elements with the ``hidden`` attribute or
@@ -17,6 +18,8 @@ its summary; hidden inputs.
 Defined results: a null page renders as an empty text, as does one without
 visible text. Elements nested deeper than ``DEEPEST`` become siblings, as in
 browsers; their text stays. An unclosed tag at the end of a page is dropped.
+Repeated rows each get a row, an empty table gives an empty result, other columns
+are kept whatever their names, and no limit holds on a page's length.
 """
 
 from __future__ import annotations
@@ -60,6 +63,8 @@ TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*
 # An attribute's name, and its value where it has one; an unclosed quote runs to the tag's end.
 ATTRIBUTE = re.compile(r"""(=?[^\s/=]+|=)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s"'][^\s]*)?)?""")
 BLANK = re.compile(r"[ \t\n\r\f]+")
+VISIBILITY = re.compile(r"(?:^|;)visibility:([a-z]+)")
+SHOWS = {"visible": True, "initial": True, "hidden": False, "collapse": False}  # any other value is the parent's
 
 
 class Node:
@@ -72,6 +77,16 @@ class Node:
         """The inline style, in lower case and without white space."""
         return BLANK.sub("", self.attrs.get("style", "").lower())
 
+    def seen(self, rules: str, visible: bool) -> bool:
+        """Whether its text shows, by the last declaration that says so."""
+        for value in VISIBILITY.findall(rules):
+            visible = SHOWS.get(value, visible)
+        return visible
+
+    def number(self, name: str, default: int) -> int:
+        text = self.attrs.get(name, "").strip()
+        return int(text) if text.isascii() and text.isdecimal() and len(text) < 10 else default
+
 
 def attributes(raw: str) -> dict[str, str]:
     """Values by lower-case name of a tag's attributes; of a repeated name the first counts."""
@@ -143,6 +158,8 @@ def tree(html: str) -> Node:
             at = stop.end() if stop else end
         elif tag not in VOID and len(stack) < DEEPEST:
             stack.append(node)
+        if tag == "pre":  # a line end right behind the tag is no part of it
+            at += 2 if html.startswith("\r\n", at) else html.startswith("\n", at)
     return root
 
 
@@ -186,8 +203,7 @@ class Flow:
 def lines(node: Node, visible: bool = True, pre: bool = False) -> list[str]:
     """The rendered lines of a block container's content."""
     flow = Flow()
-    start = node.attrs.get("start", "") if node.tag == "ol" else ""
-    count = int(start) if start.isdecimal() else 1
+    count = node.number("start", 1) if node.tag == "ol" else 1
     shut = node.tag == "details" and "open" not in node.attrs
 
     def walk(kids, visible, pre):
@@ -213,8 +229,7 @@ def lines(node: Node, visible: bool = True, pre: bool = False) -> list[str]:
                 rules = kid.rules()
                 if "hidden" in attrs or "display:none" in rules:
                     continue
-                if "visibility:" in rules:
-                    seen = "visibility:hidden" not in rules and "visibility:collapse" not in rules
+                seen = kid.seen(rules, visible)
             if tag == "br":
                 if flow.line or not flow.lines or flow.lines[-1]:
                     flow.lines.append("".join(flow.line))
@@ -227,6 +242,7 @@ def lines(node: Node, visible: bool = True, pre: bool = False) -> list[str]:
             elif tag in BLOCKS:
                 made = lines(kid, seen, pre or tag == "pre")
                 if tag == "li":
+                    count = kid.number("value", count)
                     mark = f"{count}. " if node.tag == "ol" else "- "
                     count += 1
                     made = [(mark if not i else " " * len(mark)) + x if x else x for i, x in enumerate(made)]
@@ -261,7 +277,7 @@ def table(node: Node, visible: bool) -> list[str]:
             rules = kid.rules()
             if "hidden" in kid.attrs or "display:none" in rules:
                 continue
-            seen = visible and "visibility:hidden" not in rules and "visibility:collapse" not in rules or "visibility:visible" in rules
+            seen = kid.seen(rules, visible)
             if kid.tag == "tr":
                 rows.append([])
                 gather_cells(kid.kids, seen)
@@ -277,29 +293,39 @@ def table(node: Node, visible: bool) -> list[str]:
             holder = Node("div")
             holder.kids = [kid]
             if isinstance(kid, Node) and kid.tag in CELLS:
-                span = kid.attrs.get("colspan", "")
-                made = lines(holder, visible)
-                rows[-1].append((made, min(max(int(span), 1), 1000) if span.isdecimal() else 1))
+                place(lines(holder, visible), min(max(kid.number("colspan", 1), 1), 1000), kid.number("rowspan", 1))
             else:
                 after.extend(x for x in lines(holder, visible) if x)
 
+    def place(made, span, down):
+        """The next cell of the last row: at the first columns that are free."""
+        at = rows[-1][-1][1] + rows[-1][-1][2] if rows[-1] else 0
+        while held:
+            taken = [c for c in range(at, at + span) if held.get(c, 0) >= len(rows)]
+            if not taken:
+                break
+            at = taken[-1] + 1
+        if down != 1:  # 0: to the table's end
+            held.update((c, len(rows) + down - 1 if down else 1 << 30) for c in range(at, at + span))
+        rows[-1].append((made, at, span))
+
+    held: dict[int, int] = {}  # the last row in which a cell from above takes a column
     gather(node.kids, visible)
     widths: dict[int, int] = {}
-    for row in rows:
-        at = 0
-        for made, span in row:
-            if span == 1:
-                widths[at] = max(widths.get(at, 0), max(map(len, made), default=0))
-            at += span
+    for made, at, span in sorted((cell for row in rows for cell in row), key=lambda cell: cell[2]):
+        width = max(map(len, made), default=0)
+        have = sum(widths.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
+        widths[at + span - 1] = widths.get(at + span - 1, 0) + max(0, width - have)
+    left, x = {}, 0  # where each column begins
+    for c in range(max(widths, default=0) + 1):
+        left[c], x = x, x + widths.get(c, 0) + 2
     out = [*before]
     for row in rows:
-        for i in range(max((len(made) for made, _ in row), default=0)):
-            line, at = [], 0
-            for made, span in row:
-                width = sum(widths.get(c, 0) for c in range(at, at + span)) + 2 * (span - 1)
-                line.append((made[i] if i < len(made) else "").ljust(width))
-                at += span
-            out.append("  ".join(line).rstrip())
+        for i in range(max((len(made) for made, _, _ in row), default=0)):
+            line = ""
+            for made, at, _ in row:
+                line = line.ljust(left[at]) + (made[i] if i < len(made) else "")
+            out.append(line.rstrip())
     return [x for x in [*out, *after] if x]
 
 

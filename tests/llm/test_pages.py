@@ -25,6 +25,14 @@ CASES = [
     ("<select><option>a<option>b</select>", "a\nb"), ("<textarea>a &amp; <b>b</textarea>", "a & <b>b"),
     ("<input type=hidden value=no><input type=submit value=Go>", "Go"),
     ("<blockquote>q<p>r</blockquote>s", "  q\n\n  r\n\ns"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<td>d</table>", "a  b\n   c  d"),
+    ("<table><tr><td>a<td rowspan=0>long<td>z<tr><td>b<td>y<tr><td>c<td>x</table>", "a  long  z\nb        y\nc        x"),
+    ("<table><tr><td colspan=2>wide cell here<td>end<tr><td>c<td>d<td>e</table>", "wide cell here  end\nc  d            e"),
+    ("<table><tr><td rowspan=2 colspan=2>ab<td>x<tr><td>y<tr><td>1<td>2<td>3</table>", "ab    x\n      y\n1  2  3"),
+    ("<div style='visibility:hidden'>no<b style='visibility:inherit'>no</b><i style='visibility: visible'>yes</i></div>", "yes"),
+    ("<p style='visibility:hidden;visibility:visible'>yes</p><p style='visibility:visible;visibility:collapse'>no", "yes"),
+    ("<ol><li>a<li value=5>b<li>c</ol>", "1. a\n5. b\n6. c"), ("<ol start=x><li value=-1>a</ol>", "1. a"),
+    ("<pre>\n  kept\n</pre>x<pre>\r\ny</pre>", "  kept\n\nx\n\ny"), ("<pre>\n\nz</pre>", "\nz"),
     ("<table><caption>cap</caption><tr><td><table><tr><td>in<td>ner</table><td>out</table>", "cap\nin  ner  out"),
 ]
 
