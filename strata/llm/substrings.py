@@ -20,8 +20,11 @@ each block, not for each document. Window owners are a minimum, which Spark
 combines before the shuffle.
 
 Defined results: null and empty texts have no words. Rows that repeat a
-``doc_id`` count as the same document: none is earlier than the other. A null
-``doc_id`` comes after all others. Texts shorter than a window lose nothing.
+``doc_id`` are one document whose texts lie side by side: of equal windows those
+that start furthest left stay, in each of these rows. A null ``doc_id`` comes
+after all others, and all such rows are one document, so that its marks meet in
+one group. Texts shorter than a window lose nothing. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -159,8 +162,28 @@ def owned_windows(docs: DataFrame, marks: DataFrame, window: int) -> DataFrame:
     return first.groupBy("doc").agg(F.collect_list("a").alias("owned"))
 
 
-def covered(block: Block, ids: np.ndarray, marks: list, owned: list, window: int) -> np.ndarray:
-    """Which words of the block go."""
+def first_places(docs: DataFrame, marks: DataFrame, repeated: DataFrame, window: int) -> DataFrame:
+    """(doc, first_a, first_at): of documents of several rows, the candidate
+    windows and where each first starts in any of the rows."""
+
+    def run(batches):
+        for rows, texts in blocks(batches, "_t"):
+            block, ids = Block(texts), rows.column(0).to_numpy()
+            starts, a, b, later = _windows(block, ids, rows.column(2).to_pylist(), window)
+            at = block.at[starts].astype(np.int32)
+            doc = ids[block.row[starts]]
+            yield pa.RecordBatch.from_arrays([pa.array(x[~later]) for x in (a, b, at, doc)], ["a", "b", "at", "doc"])
+
+    found = (docs.select("doc", "_t").join(repeated, "doc", "left_semi").join(marks, "doc")
+             .mapInArrow(run, "a long, b long, at int, doc long"))
+    first = found.groupBy("doc", "a", "b").agg(F.min("at").alias("at"))
+    return first.groupBy("doc").agg(F.collect_list(F.struct("a", "at")).alias("f")).select(
+        "doc", F.col("f.a").alias("first_a"), F.col("f.at").alias("first_at"))
+
+
+def covered(block: Block, ids: np.ndarray, marks: list, owned: list, firsts: list, window: int) -> np.ndarray:
+    """Which words of the block go; ``firsts`` holds (windows, places) of rows
+    that share their document with others, else (None, None)."""
     starts, a, _, later = _windows(block, ids, marks, window)
     doc = block.row[starts]
     gone = later
@@ -169,6 +192,11 @@ def covered(block: Block, ids: np.ndarray, marks: list, owned: list, window: int
         part = slice(cuts[r], cuts[r + 1])
         if part.stop > part.start:
             gone[part] |= ~np.isin(a[part], np.asarray(mine if mine is not None else [], np.int64))
+            if firsts[r][0]:
+                known, place = (np.asarray(x, np.int64) for x in firsts[r])
+                order = np.argsort(known)
+                i = order[np.minimum(np.searchsorted(known, a[part], sorter=order), len(known) - 1)]
+                gone[part] |= (known[i] == a[part]) & (block.at[starts[part]] > place[i])
     edge = np.zeros(len(block.row) + 1, np.int32)
     np.add.at(edge, starts[gone], 1)
     np.add.at(edge, starts[gone] + window, -1)
@@ -184,13 +212,21 @@ def dedup(docs: DataFrame, window: int = 20) -> DataFrame:
                        text_bytes("text").alias("_t"))
     marks = stored(marked_anchors(rows, window), "substring-marks")
     owned = stored(owned_windows(rows, marks, window), "substring-owned")
+    found = marks.join(owned, "doc", "left")
+    repeated = stored(rows.groupBy("doc").count().filter("count > 1").select("doc"), "substring-repeated")
+    if repeated.isEmpty():
+        found = found.select("*", F.lit(None).cast("array<bigint>").alias("first_a"),
+                             F.lit(None).cast("array<int>").alias("first_at"))
+    else:
+        found = found.join(stored(first_places(rows, marks, repeated, window), "substring-firsts"), "doc", "left")
 
     def run(batches):
         for part, texts in blocks(batches, "_t"):
             block = Block(texts)
             columns = {f.name: part.column(i) for i, f in enumerate(part.schema)}
             gone = covered(block, columns["doc"].to_numpy(), columns["marks"].to_pylist(),
-                           columns["owned"].to_pylist(), window)
+                           columns["owned"].to_pylist(),
+                           list(zip(columns["first_a"].to_pylist(), columns["first_at"].to_pylist())), window)
             lost = np.add.reduceat(np.append(gone, False), np.minimum(block.bounds[:-1], len(gone)), dtype=np.int64)
             lost[block.sizes == 0] = 0
             kept = [b" ".join(words if not n else [w for w, g in zip(words, gone[a:b].tolist()) if not g])
@@ -200,7 +236,8 @@ def dedup(docs: DataFrame, window: int = 20) -> DataFrame:
             yield pa.RecordBatch.from_arrays(out, [*name.values(), "n_words", "n_removed", "kept_words"])
 
     schema = ", ".join(f"{n} {docs.schema[c].dataType.simpleString()}" for c, n in name.items())
-    joined = rows.join(marks.join(owned, "doc", "left"), "doc", "left").select(*name.values(), "doc", "_t", "marks", "owned")
+    joined = rows.join(found, "doc", "left").select(
+        *name.values(), "doc", "_t", "marks", "owned", "first_a", "first_at")
     found = joined.mapInArrow(run, f"{schema}, n_words long, n_removed long, kept_words binary")
     return found.select(*[F.col(n).alias(c) for c, n in name.items()],
                         *[F.col(c).alias(c) for c in ("n_words", "n_removed")],

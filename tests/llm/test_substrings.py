@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import duckdb
 import pytest
 
 from strata.llm import queries, substrings
@@ -11,19 +12,18 @@ SF = "/root/testdata/sf0.001"
 def brute(rows, window=20):
     """{row: removed flags} by looking at every window in order."""
     first = {}
-    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
-    split = {}
-    for k, text in order:
+    for k, text in rows:
         words = (text or "").encode().split()
         for i in range(len(words) - window + 1):
             w = tuple(words[i:i + window])
-            first.setdefault(w, (k is None, k, i))
+            place = (k is None, k or 0, i)
+            first[w] = min(first.get(w, place), place)
     out = []
     for k, text in rows:
         words = (text or "").encode().split()
         gone = [False] * len(words)
         for i in range(len(words) - window + 1):
-            if first[tuple(words[i:i + window])] != (k is None, k, i):
+            if first[tuple(words[i:i + window])] != (k is None, k or 0, i):
                 gone[i:i + window] = [True] * window
         out.append((words, gone))
     return out
@@ -67,6 +67,24 @@ def test_planted_repeats(spark, window):
     assert got == expected
 
 
+def test_rows_that_share_an_id_are_judged_by_place(spark):
+    passage = [f"p{i}" for i in range(25)]
+    rows = [(1, " ".join(passage)), (1, " ".join(["x", "y", "z", *passage])), (1, " ".join(["q"] + passage)),
+            (1, " ".join(passage)), (2, " ".join(["s"] * 30)), (2, " ".join(["a", *["s"] * 30])), (3, "only " * 5),
+            (None, " ".join(["n", *passage])), (None, " ".join(f"m{i}" for i in range(30))),
+            (None, " ".join(["k", *[f"m{i}" for i in range(30)]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_removed, r.kept_words)
+                 for r in substrings.dedup(docs, 20).collect())
+    want = sorted((k is None, k or 0, len(ws), sum(g), b" ".join(w for w, x in zip(ws, g) if not x).decode())
+                  for (k, _), (ws, g) in zip(rows, brute(rows, 20)))
+    assert got == want
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    sql = sorted((k is None, k or 0, n, m) for k, n, m, _ in con.execute(substrings.ORACLE).fetchall())
+    assert sql == [r[:4] for r in got]
+
+
 def test_stage_form(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     docs = spark.createDataFrame([(1, f"a\n{passage}", "en", "s", 99), (2, passage, "en", "s", 5),
