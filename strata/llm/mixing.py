@@ -14,7 +14,10 @@ to the budget wins. Only DataFrame operations are used.
 
 Defined results: a null text has no words. Null is a source of its own, after
 all others. Rows with equal ids have equal hashes and are taken alike; a null id
-hashes like an empty text. A source without words has target 0.
+hashes like an empty text. A source without words has target 0, and one whose
+copies use up its target gives nothing more, documents without words included.
+Words are counted over whole texts, whatever their length. An empty table gives
+an empty result; other columns are not read by ``mix`` and are kept by ``mixed``.
 """
 
 from __future__ import annotations
@@ -95,7 +98,7 @@ def thresholds(sized: DataFrame, wanted: DataFrame) -> DataFrame:
             (F.col("below") + F.coalesce(F.col("e.upto") - F.col("e.words"), F.lit(0))).alias("below"),
             F.col("e.words").alias("words")))
     over, under = F.col("below") + F.col("words") - F.col("budget"), F.col("budget") - F.col("below")
-    last = F.when(F.col("prefix") < 0, -1).when(over < under, F.col("prefix")).otherwise(F.col("prefix") - 1)
+    last = F.when((F.col("prefix") < 0) | (F.col("budget") <= 0), -1).when(over < under, F.col("prefix")).otherwise(F.col("prefix") - 1)
     return small(state.select("src", "source_size", "target", "whole", last.cast("long").alias("last")))
 
 

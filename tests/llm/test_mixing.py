@@ -69,6 +69,16 @@ def test_reruns_agree_and_larger_budgets_take_more(spark):
     assert all(low[k] <= high[k] for k in low) and low != high
 
 
+def test_a_source_that_is_taken_whole_is_not_taken_once_more(spark):
+    """Its budget is used up: documents without words have no part in it."""
+    rows = [(i, "w " * (1 + i % 5) if i % 4 else None, "few", "x", 0) for i in range(40)]
+    rows += [(100 + i, "w " * 200, "many", "x", 0) for i in range(40)]
+    docs = frame(spark, rows)
+    got = mixing.mix(docs).collect()
+    assert {r.copies for r in got if r.source == "few"} == {2}
+    assert mixing.mixed(docs).filter("source = 'few'").count() == 80
+
+
 def test_row_form_and_empty_table(spark):
     docs = frame(spark, corpus(spark))
     taken = mixing.mix(docs).agg(F.sum("copies")).first()[0]
