@@ -62,6 +62,19 @@ def test_cheap_and_rejecting_rules_come_first(spark):
     assert quality.ordered(docs, rules)[0] == "cheap" and quality.ordered(docs, rules)[-1] == "never"
 
 
+def test_order_on_the_tables(spark):
+    """Some rules reject, they come first, and a scan of all words costs more
+    than a comparison of two counts."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = quality.measured(docs)
+    order = quality.ordered(docs)
+    rejecting = [n for n, (_, share) in found.items() if share > 0]
+    assert {"few_symbols", "words_have_letters", "word_length"} <= set(rejecting)
+    assert set(order[:len(rejecting)]) == set(rejecting)
+    assert found["words_have_letters"][0] > 2 * found["few_symbols"][0]
+    assert order.index("few_symbols") < order.index("words_have_letters")
+
+
 def test_empty_table_and_native_plan(spark):
     docs = frame(spark)
     assert quality.judged(docs.limit(0)).collect() == []
