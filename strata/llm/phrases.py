@@ -8,8 +8,9 @@ Texts are first coded: a row of the stored table ``blocks`` holds the words of
 some megabytes of text once and the texts as numbers of those words. Prefix sums
 of word hashes times powers of a base then give the fingerprint of every n-gram
 of a block in a few numpy operations. A block sends each fingerprint once, with
-how often it occurs and where it first does; the shuffle adds them up. What
-reaches ``least`` in all is marked where it occurs, in each block by one pointer.
+how often it occurs, as an entry of its table; the shuffle adds them up. What
+reaches ``least`` in all goes back to every block that has it, as a pointer to its
+entry there.
 
 Fingerprints only nominate. A block turns its marked pointers back into words,
 counts every nominated phrase by its word numbers, which no collision can
@@ -24,8 +25,11 @@ The score of a phrase is that of its worst cut into two parts, ``2000000 * a``
 over the sum of the parts' counts, rounded down; a phrase goes when a longer
 frequent phrase holds it and has 80 % of its count or more.
 
-At scale: a fingerprint that is found everywhere is one row of each block, and so
-is a phrase in the last count. Marks return to blocks, never to single rows. Ranks
+At scale: entries travel in slices, a block's share of a range of fingerprints
+being one row of five bytes a fingerprint and a count; slices are as many as keep
+about ``SLICE`` entries each, and hashing deals them evenly whatever is frequent.
+A fingerprint that is found everywhere is one entry of each block, and so is a
+phrase in the last count. Pointers return to blocks, never to single rows. Ranks
 need at most ``most`` rows of a language from each task.
 
 Defined results: a null text is empty; a null language is ``und``. Repeated rows
@@ -52,6 +56,9 @@ MIX = np.uint64(0xFF51AFD7ED558CCD)
 # A-Z become a-z, every byte that ends a piece a line end.
 TABLE = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else c for c in range(256))
 SCALE = 2_000_000
+SLICE = 1 << 22  # entries that are added up together, about
+LEAST_SLICES = 64
+WIDTH = 5  # bytes of a fingerprint in a slice, besides the bits that name the slice
 
 
 def pieces(text: bytes) -> list[list[bytes]]:
@@ -89,12 +96,12 @@ class Block:
         from xxhash import xxh3_64_intdigest
 
         self.langs, self.drop = langs, np.uint64(64 - bits)
-        self.codes = np.frombuffer(codes, "<i4").astype(np.int64)
+        self.codes = np.frombuffer(codes, "<i4")
         self.words = words.split(b"\n") if len(self.codes) else []
-        ends = np.frombuffer(ends, "<i4").astype(np.int64)
+        ends = np.frombuffer(ends, "<i4")
         sizes = np.diff(ends, prepend=0)
         self.end = np.repeat(ends, sizes)
-        self.lang = np.repeat(np.frombuffer(spoken, "<i4").astype(np.int64), sizes)
+        self.lang = np.repeat(np.frombuffer(spoken, "<i4"), sizes)
         n = len(self.codes)
         hashes = np.fromiter(map(xxh3_64_intdigest, self.words), np.uint64, len(self.words))
         self.salt = np.array([xxh3_64_intdigest(x.encode()) for x in langs], np.uint64)
@@ -109,34 +116,41 @@ class Block:
 
     def starts(self, n: int) -> np.ndarray:
         """Where n words of one piece begin."""
-        return np.flatnonzero(np.arange(len(self.codes)) + n <= self.end)
+        return np.flatnonzero(np.arange(n, len(self.codes) + n, dtype=np.int32) <= self.end)
 
     def prints(self, starts: np.ndarray, n: int) -> np.ndarray:
         """Fingerprints of the n-grams of their language at these places."""
         h = (self.sums[starts + n] - self.sums[starts]) * self.back[starts]
         h = (h + self.salt[self.lang[starts]] + np.uint64(n)) * MIX
-        return ((h ^ (h >> np.uint64(31))) >> self.drop).view(np.int64)
-
-    def pointed(self, marks: np.ndarray, n: int, starts: np.ndarray) -> np.ndarray:
-        """Those of the places whose fingerprint is that of a marked place."""
-        if not len(marks):
-            return starts[:0]
-        return starts[np.isin(self.prints(starts, n), self.prints(marks, n))]
-
-    def longer(self, marks: np.ndarray, n: int) -> np.ndarray:
-        """Where n words begin whose pairs are all marked."""
-        pair = np.zeros(len(self.codes) + n, bool)
-        pair[self.pointed(marks, 2, self.starts(2))] = True
-        starts = self.starts(n)
-        ok = np.ones(len(starts), bool)
-        for i in range(n - 1):
-            ok &= pair[starts + i]
-        return starts[ok]
+        return (h ^ (h >> np.uint64(31))) >> self.drop << self.drop
+
+    def entries(self, places: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct fingerprints in order, and how often each occurs."""
+        return np.unique(np.concatenate([self.prints(starts, n) for n, starts in places]), return_counts=True)
+
+    def pointed(self, marked: np.ndarray, n: int, starts: np.ndarray) -> np.ndarray:
+        """Those of the places whose fingerprint is marked."""
+        return starts[np.isin(self.prints(starts, n), marked)]
+
+    def short(self) -> list[tuple[int, np.ndarray]]:
+        return [(n, self.starts(n)) for n in (1, 2)]
+
+    def longer(self, marked: np.ndarray, sizes) -> list[tuple[int, np.ndarray]]:
+        """Where so many words begin whose pairs are all marked."""
+        pair = np.zeros(len(self.codes) + 8, bool)
+        pair[self.pointed(marked, 2, self.starts(2))] = True
+        out = []
+        for n in sizes:
+            starts = self.starts(n)
+            for i in range(n - 1):
+                starts = starts[pair[starts + i]]
+            out.append((n, starts))
+        return out
 
     def counted(self, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """One place of each distinct n-gram by words and language, and how
         often it occurs at the places given."""
-        name = self.lang[starts]
+        name = self.lang[starts].astype(np.int64)
         for i in range(n):  # pairs of numbers become numbers
             name = np.unique(name << 32 | self.codes[starts + i], return_inverse=True)[1]
         _, first, count = np.unique(name, return_index=True, return_counts=True)
@@ -158,30 +172,67 @@ def _each(batches, bits: int):
             yield r, Block(*[r[f] for f in FIELDS], bits)
 
 
-def _places(mark, n: int) -> np.ndarray:
-    """Places marked for n words."""
-    at = np.asarray(mark if mark is not None else [], np.int64)
-    return at[at & 7 == n] >> 3
+def _entries(pointers) -> np.ndarray:
+    return np.frombuffer(b"".join(pointers or []), "<i4")
 
 
-def nominated(coded_: DataFrame, sizes: tuple[int, ...], least: int, bits: int) -> DataFrame:
-    """(block, marks): one pointer, place and number of words, for each n-gram of
-    a block whose fingerprint reaches ``least`` over all blocks. Longer n-grams
-    than pairs need the pairs' ``marks`` in ``coded_``."""
+def _places(block: Block, r: dict, sizes) -> list[tuple[int, np.ndarray]]:
+    """The places whose n-grams a round looks at: all words and pairs in the
+    first, what the first round's pointers allow in the second."""
+    if "short" not in r:
+        return block.short()
+    return block.longer(block.entries(block.short())[0][_entries(r["short"])], sizes)
 
-    def run(batches):
-        for r, block in _each(batches, bits):
-            for n in sizes:
-                starts = block.starts(n) if n <= 2 else block.longer(_places(r["marks"], 2), n)
-                h, first, count = np.unique(block.prints(starts, n), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(np.full(len(h), r["block"], np.int64)), pa.array(starts[first] << 3 | n),
-                     pa.array(count.astype(np.int64))], ["h", "block", "at", "c"])
 
-    found = coded_.mapInArrow(run, "h long, block long, at long, c long").repartition("h")
-    enough = found.groupBy("h").agg(F.sum("c").alias("total")).filter(F.col("total") >= least).select("h")
-    marks = found.join(enough, "h", "left_semi").groupBy("block").agg(F.collect_list("at").alias("marks"))
-    return stored(marks, "phrase-marks")
+def nominated(texts: DataFrame, sizes: tuple[int, ...], least: int, slices: int, bits: int, name: str) -> DataFrame:
+    """(block, <name>): pointers to the entries of a block whose fingerprint
+    reaches ``least`` over all blocks."""
+    shift = np.uint64(slices.bit_length() - 1)
+    small = np.dtype("<u1" if least < 1 << 8 else "<u2" if least < 1 << 16 else "<i8")
+    kinds = pa.schema([("slice", pa.int32()), ("block", pa.int64()), ("base", pa.int32()), ("prints", pa.binary()),
+                       ("counts", pa.binary())])
+
+    def send(batches):
+        for r, block in _each(batches, bits):
+            h, count = block.entries(_places(block, r, sizes))
+            cuts = np.searchsorted(h >> (np.uint64(64) - shift) if shift else h * 0, np.arange(slices + 1))
+            kept = np.ascontiguousarray((h << shift >> np.uint64(64 - 8 * WIDTH)).view(np.uint8).reshape(-1, 8)[:, :WIDTH])
+            count = np.minimum(count, least).astype(small)  # no less is enough
+            rows = [(i, a, b) for i, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())) if b > a]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([i for i, _, _ in rows], pa.int32()), pa.array([r["block"]] * len(rows), pa.int64()),
+                pa.array([a for _, a, _ in rows], pa.int32()), pa.array([kept[a:b].tobytes() for _, a, b in rows], pa.binary()),
+                pa.array([count[a:b].tobytes() for _, a, b in rows], pa.binary())], schema=kinds)
+
+    def add(table):
+        blocks_, base = table["block"].to_numpy(), table["base"].to_numpy()
+        prints = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, WIDTH) for x in table["prints"]]
+        sizes_ = np.array([len(x) for x in prints])
+        h = np.zeros((int(sizes_.sum()), 8), np.uint8)
+        np.concatenate(prints, out=h[:, :WIDTH])
+        h = h.view("<u8").ravel()
+        count = np.concatenate([np.frombuffer(x.as_buffer(), small) for x in table["counts"]])
+        order = np.argsort(h)
+        first = np.flatnonzero(np.append(True, h[order][1:] != h[order][:-1]))
+        total = np.add.reduceat(count[order], first, dtype=np.int64)
+        hit = np.zeros(len(h), bool)
+        hit[order] = np.repeat(total >= least, np.diff(np.append(first, len(h))))
+        ends = np.cumsum(sizes_)
+        found = [(b, (np.flatnonzero(hit[e - n:e]) + a).astype("<i4").tobytes())
+                 for b, a, n, e in zip(blocks_.tolist(), base.tolist(), sizes_.tolist(), ends.tolist())]
+        found = [x for x in found if x[1]]
+        return pa.table({"block": pa.array([b for b, _ in found], pa.int64()),
+                         "entries": pa.array([x for _, x in found], pa.binary())})
+
+    sent = texts.mapInArrow(send, "slice int, block long, base int, prints binary, counts binary")
+    hits = sent.groupBy("slice").applyInArrow(add, "block long, entries binary")
+    return stored(hits.groupBy("block").agg(F.collect_list("entries").alias(name)), f"phrase-{name}")
+
+
+def slices_for(texts: DataFrame) -> int:
+    """A power of two: slices of about ``SLICE`` entries, ``LEAST_SLICES`` at least."""
+    words = (texts.agg(F.sum(F.octet_length("codes"))).first()[0] or 0) // 4
+    return max(LEAST_SLICES, 1 << max(0, (2 * words // SLICE)).bit_length())
 
 
 def frequencies(docs: DataFrame, longest: int = 4, least: int = 30, lang: str = "lang", text: str = "text",
@@ -191,18 +242,21 @@ def frequencies(docs: DataFrame, longest: int = 4, least: int = 30, lang: str =
     if not 2 <= longest <= 7 or least < 1:
         raise ValueError("phrases have two to seven words and occur at least once")
     texts = coded(docs, lang, text)
-    short = nominated(texts, (1, 2), least, bits)
-    marks = short
-    if longest > 2:
-        more = nominated(texts.join(short, "block"), tuple(range(3, longest + 1)), least, bits)
-        marks = short.join(more.withColumnRenamed("marks", "more"), "block", "left").select(
-            "block", F.concat("marks", F.coalesce("more", F.array().cast("array<bigint>"))).alias("marks"))
+    slices, sizes = slices_for(texts), tuple(range(3, longest + 1))
+    marked = texts.join(nominated(texts, (1, 2), least, slices, bits, "short"), "block")
+    if sizes:
+        marked = marked.join(nominated(marked, sizes, least, slices, bits, "long"), "block", "left")
 
     def run(batches):
         for r, block in _each(batches, bits):
-            for n in range(1, longest + 1):
-                mine = _places(r["marks"], n)
-                starts, count = block.counted(block.pointed(mine, n, block.starts(n)), n)
+            places = block.short()
+            marked = block.entries(places)[0][_entries(r["short"])]
+            if sizes:
+                longer = block.longer(marked, sizes)
+                marked = np.concatenate([marked, block.entries(longer)[0][_entries(r["long"])]])
+                places += longer
+            for n, starts in places:
+                starts, count = block.counted(block.pointed(marked, n, starts), n)
                 langs = pa.array(block.langs, pa.string()).take(pa.array(block.lang[starts]))
                 yield pa.RecordBatch.from_arrays(
                     [langs, pa.array(np.full(len(starts), n, np.int32)), pa.array(block.spelled(starts, n), pa.binary()),
@@ -216,7 +270,7 @@ def frequencies(docs: DataFrame, longest: int = 4, least: int = 30, lang: str =
                 n = np.bincount(np.frombuffer(r["spoken"], "<i4"), size, len(r["langs"])).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(r["langs"], pa.string()), pa.array(n)], ["lang", "n"])
 
-    said = texts.join(marks, "block").mapInArrow(run, "lang string, size int, phrase binary, c long")
+    said = marked.mapInArrow(run, "lang string, size int, phrase binary, c long")
     counts = said.groupBy("lang", "size", "phrase").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
     totals = texts.select("langs", "ends", "spoken").mapInArrow(words, "lang string, n long").groupBy("lang").agg(
         F.sum("n").alias("n"))

@@ -50,7 +50,7 @@ from strata.session import scratch_path
 MAGIC = b"STRATAIX"
 SHARD_ROWS = 1 << 15
 SHARD_IDS = 1 << 24
-CACHE_BYTES = 64 << 20  # of a generation of known words
+CACHE_BYTES = 88 << 20  # of a generation of known words
 LONGEST = 64  # bytes of a word that is kept
 ENTRY = 200  # bytes that a known word takes besides its own and its ids'
 # Words of these characters alone are in the normaliser's form once they are

@@ -1,0 +1,102 @@
+import collections
+import random
+import re
+
+import duckdb
+import pytest
+
+from strata.llm import phrases, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def brute_grams(docs, longest):
+    """Counts by language of all phrases, and of all words."""
+    f, n = collections.Counter(), collections.Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split("[.,;:!?\x0a-\x0d]", low):
+            words = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for size in range(1, longest + 1):
+                for i in range(len(words) - size + 1):
+                    f[lang, tuple(words[i:i + size])] += 1
+    return f, n
+
+
+def brute(docs, longest=4, least=30, most=2000):
+    f, n = brute_grams(docs, longest)
+    f = {k: c for k, c in f.items() if c >= least}
+    rows = collections.defaultdict(list)
+    for (lang, w), a in f.items():
+        if len(w) == 1:
+            continue
+        held = [c for (x, v), c in f.items() if x == lang and len(v) > len(w)
+                and any(v[i:i + len(w)] == w for i in range(len(v) - len(w) + 1))]
+        if any(100 * c >= 80 * a for c in held):
+            continue
+        score, _, l_, r = min((2000000 * a // (f[lang, w[:k]] + f[lang, w[k:]]), k, f[lang, w[:k]], f[lang, w[k:]])
+                              for k in range(1, len(w)))
+        rows[lang].append((-score, -a, " ".join(w).encode(), l_, r))
+    return sorted((lang, i + 1, p.decode(), -a, l_, r, n[lang], -s)
+                  for lang, mine in rows.items() for i, (s, a, p, l_, r) in enumerate(sorted(mine)[:most]))
+
+
+def corpus(seed=2):
+    r = random.Random(seed)
+    words = ["New", "york", "city", "the", "of", "straße", "a b", "é", "x", "\x1c", "\x00"]
+    docs = [(r.choice(["en", "de", None, "und"]), "".join(
+        r.choices(words, range(11, 0, -1))[0] + r.choice([" ", " ", "  ", "\t", ", ", ".", "\n", "\r"])
+        for _ in range(r.randrange(0, 60)))) for _ in range(120)]
+    docs += [("en", "New York City " * 40), ("en", None), ("en", ""), ("de", " ,.; "), ("fr", "once only"), ("", "q r " * 20)]
+    docs += [("en", "long text " * 20000), ("es", "uno dos tres cuatro cinco. " * 50), ("es", "dos tres " * 10)]
+    return docs * 1 + docs[:5]
+
+
+def frame(spark, docs):
+    return spark.createDataFrame([(i, *d, 1, "z") for i, d in enumerate(docs)],
+                                 "doc_id long, lang string, text string, block int, words string").repartition(5)
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("bits", [64, 14])
+def test_collocations_equal_counting_everything(spark, bits):
+    docs = corpus()
+    assert found(phrases.collocations(frame(spark, docs), least=5, most=60, bits=bits)) == brute(docs, 4, 5, 60)
+
+
+@pytest.mark.parametrize("longest,least", [(2, 1), (3, 300), (5, 20)])
+def test_other_lengths_and_thresholds(spark, longest, least):
+    docs = corpus(4)[:60] + [("es", "uno dos tres cuatro cinco. " * 400)]
+    got = found(phrases.collocations(frame(spark, docs), longest, least, 10000))
+    assert got == brute(docs, longest, least, 10000)
+
+
+def test_weak_fingerprints_nominate_too_much_but_count_right(spark):
+    docs = corpus()
+    f, n = phrases.frequencies(frame(spark, docs), 4, 8, bits=8)
+    counts, words = brute_grams(docs, 4)
+    assert {(r.lang, r.phrase): r.f for r in f.collect()} == {
+        (lang, " ".join(w)): c for (lang, w), c in counts.items() if c >= 8}
+    assert {r.lang: r.n for r in n.collect()} == dict(words)
+
+
+def test_empty_table_and_bad_arguments(spark):
+    assert phrases.collocations(frame(spark, corpus()).limit(0)).collect() == []
+    assert phrases.collocations(frame(spark, [("en", None), (None, "")])).collect() == []
+    for longest, least in ((1, 5), (8, 5), (3, 0)):
+        with pytest.raises(ValueError):
+            phrases.frequencies(frame(spark, corpus()), longest, least)
+
+
+def test_query_equals_brute_force_and_sql(spark):
+    docs = [(r.lang, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = found(queries.QUERIES["op11_phrase_collocations"](spark, SF))
+    assert got == brute(docs)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    assert sorted(con.execute(queries.ORACLES["op11_phrase_collocations"]).fetchall()) == got
