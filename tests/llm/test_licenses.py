@@ -132,3 +132,61 @@ def test_where_known_sentences_start_and_end(spark):
 def test_every_known_sentence_is_found(spark):
     known = [(t, name) for table in (licenses.SENTENCES, licenses.FULL) for name, texts in table.items() for t in texts]
     assert [ids for ids, _ in found(spark, [t for t, _ in known])] == [name for _, name in known]
+
+
+OTHERS = [
+    (BSD + ["3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+            "products derived from this software without specific prior written permission.",
+            'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+            "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+            "DISCLAIMED."], "BSD-USE,BSD-SOURCE,BSD-BINARY,BSD-NAME,BSD-AS-IS", ["BSD-3-Clause"]),
+    (["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+      "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."], "MPL2-NOTICE,MPL2-COPY", ["MPL-2.0"]),
+    (["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+      "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later "
+      "version."], "LGPL21-FREE", ["LGPL-2.1"]),
+    ([GPL[0].replace("version 3", "version 2").replace("software:", "software;")], "GPL2-FREE", ["GPL-2.0"]),
+    ([GPL[0].replace("GNU General", "GNU Affero General")], "AGPL3-FREE", ["AGPL-3.0"]),
+    (["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+      "provided that the above copyright notice and this permission notice appear in all copies.",
+      'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+      "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."], "ISC-GRANT,ISC-AS-IS", ["ISC"]),
+    (["SPDX-License-Identifier: GPL-2.0-or-later"], "TAG-GPL-2.0", ["GPL-2.0"]),
+    (["This software is released under the BSD 3-Clause License."], "NAMED-BSD-3-Clause", ["BSD-3-Clause"]),
+    (["This is free and unencumbered software released into the public domain."], "UNLICENSE", ["Unlicense"]),
+    (["the software is provided as is, without warranty of any kind, express or implied"], "AS-IS", []),
+]
+
+
+def wrapped():
+    """Every licence text wrapped at several widths behind several signs."""
+    for paragraphs, ids, names in HEADERS + OTHERS:
+        for width, sign in ((30, "# "), (60, " * "), (79, "// "), (10000, "")):
+            lines = [sign.rstrip() if not i and n else sign + x for n, p in enumerate(paragraphs)
+                     for i, x in enumerate([""] * (n > 0) + textwrap.wrap(p, width, break_long_words=False))]
+            yield "\n".join(["import os", "", *lines, "", "x = 1"]), ids, names
+
+
+def test_whole_licences_and_notices(spark):
+    texts, ids, names = zip(*wrapped())
+    assert found(spark, texts) == list(zip(ids, names))
+
+
+def test_sql_knows_wrapped_sentences(spark):
+    import duckdb
+
+    texts = [t for t, _, _ in wrapped()] + [None, "", "all\nrights\nreserved\nall rights reserved", "a. All rights reserved!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    want = sorted((k, ids, names) for k, _, ids, names in con.execute(licenses.oracle()).fetchall())
+    assert want == [(i, ids, ",".join(names)) for i, (ids, names) in enumerate(found(spark, texts))]
+
+
+def test_no_two_sentences_are_one():
+    """A text has one identifier, and enough words to be looked up."""
+    texts = [t for table in (licenses.SENTENCES, licenses.FULL) for x in table.values() for t in x]
+    assert len(texts) == len(set(texts)) == len(licenses.known())
+    assert all(len(t.split(" ")) >= licenses.LEAD and re.fullmatch("[a-z0-9 ]+", t) for t in texts)
+    used = {i for _, ids in licenses.RULES for i in ids}
+    assert used <= set(licenses.known().values())
