@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
 from strata.schemas import CORRUPT_COL
+from strata.session import ship
 
 NEW, RETYPED, VANISHED = "NEW", "RETYPED", "VANISHED"
 TOKEN = re.compile(r"`(?:[^`]|``)*`|[^\s<>,:()]+(?:\([^)]*\))?|[<>,:]")
@@ -116,6 +117,7 @@ def schema_drift(docs: DataFrame, schemas: dict[str, StructType], source_col: st
     """(source, day, drift, path, declared, observed, documents): what the
     documents of a source and day have otherwise than declared. Documents that
     don't parse, and sources without a declared schema, are left to validation."""
+    ship(docs.sparkSession)
     declared = {name: declared_paths(s) for name, s in schemas.items()}
     parsed = docs.select(F.col(source_col).alias("source"), F.col(day_col).cast("string").alias("day"),
                          F.try_parse_json(F.col(text_col)).alias("v")).where(F.col("v").isNotNull())

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from strata.session import scratch_path
+from strata.session import scratch_path, ship
 from strata.sources.paths import Location, remove
 
 ATTEMPTS = "_attempts"
@@ -145,6 +145,7 @@ def write_objects(docs: DataFrame, raw_root: str, key_col: str = "object_key", t
                   order: str | None = None) -> int:
     """Store every document under ``<raw_root>/<key>``; returns how many."""
     spark = docs.sparkSession
+    ship(spark)
     root = _qualified(spark, Location(raw_root))
     run = f"{root}/{ATTEMPTS}/{scratch_path(spark, 'objects').rsplit('/', 1)[-1]}"
     rank = F.struct(*([F.col(order).alias("o")] if order else []), F.col(text_col).alias("d"))
