@@ -58,6 +58,7 @@ TABLE = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else c + 32 if 65 <= c <= 90 else
 SCALE = 2_000_000
 SLICE = 1 << 22  # entries that are added up together, about
 LEAST_SLICES = 64
+BLOCK = 3 << 20  # bytes of text that are coded together; a longer text is a block of its own
 WIDTH = 5  # bytes of a fingerprint in a slice, besides the bits that name the slice
 
 
@@ -71,7 +72,7 @@ def coded(docs: DataFrame, lang: str, text: str) -> DataFrame:
     a piece ends where ``ends`` says and has the language ``langs[spoken]``."""
 
     def run(batches):
-        for rows, texts in blocks(batches, "t"):
+        for rows, texts in blocks(batches, "t", BLOCK):
             langs, names = rows.column(0).dictionary_encode(), None
             names = langs.dictionary.to_pylist()
             cut = [pieces(t) for t in texts]
@@ -107,30 +108,43 @@ class Block:
         self.salt = np.array([xxh3_64_intdigest(x.encode()) for x in langs], np.uint64)
         powers = np.full(n + 1, BASE, np.uint64)
         powers[0] = 1
-        self.back = np.full(n + 1, BACK, np.uint64)
-        self.back[0] = 1
         np.multiply.accumulate(powers, out=powers)
-        np.multiply.accumulate(self.back, out=self.back)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(hashes[self.codes] * powers[:-1], out=self.sums[1:])
+        np.multiply(hashes[self.codes], powers[:-1], out=self.sums[1:])
+        np.cumsum(self.sums, out=self.sums)
+        self.back = powers  # its place is taken by the inverse powers
+        self.back[0], self.back[1:] = 1, BACK
+        np.multiply.accumulate(self.back, out=self.back)
 
     def starts(self, n: int) -> np.ndarray:
         """Where n words of one piece begin."""
-        return np.flatnonzero(np.arange(n, len(self.codes) + n, dtype=np.int32) <= self.end)
+        return np.flatnonzero(np.arange(n, len(self.codes) + n, dtype=np.int32) <= self.end).astype(np.int32)
 
     def prints(self, starts: np.ndarray, n: int) -> np.ndarray:
         """Fingerprints of the n-grams of their language at these places."""
-        h = (self.sums[starts + n] - self.sums[starts]) * self.back[starts]
-        h = (h + self.salt[self.lang[starts]] + np.uint64(n)) * MIX
-        return (h ^ (h >> np.uint64(31))) >> self.drop << self.drop
+        h = self.sums[starts + n]
+        h -= self.sums[starts]
+        h *= self.back[starts]
+        h += self.salt[self.lang[starts]]
+        h += np.uint64(n)
+        h *= MIX
+        h ^= h >> np.uint64(31)
+        return h >> self.drop << self.drop if self.drop else h
 
     def entries(self, places: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         """Distinct fingerprints in order, and how often each occurs."""
         return np.unique(np.concatenate([self.prints(starts, n) for n, starts in places]), return_counts=True)
 
     def pointed(self, marked: np.ndarray, n: int, starts: np.ndarray) -> np.ndarray:
-        """Those of the places whose fingerprint is marked."""
-        return starts[np.isin(self.prints(starts, n), marked)]
+        """Those of the places whose fingerprint is marked; ``marked`` in order."""
+        if not len(marked):
+            return starts[:0]
+        h = self.prints(starts, n)
+        return starts[marked[np.minimum(np.searchsorted(marked, h), len(marked) - 1)] == h]
+
+    def marked(self, r: dict) -> np.ndarray:
+        """The fingerprints that the first round's pointers name, in order."""
+        return self.entries(self.short())[0][np.sort(_entries(r["short"]))]
 
     def short(self) -> list[tuple[int, np.ndarray]]:
         return [(n, self.starts(n)) for n in (1, 2)]
@@ -181,7 +195,7 @@ def _places(block: Block, r: dict, sizes) -> list[tuple[int, np.ndarray]]:
     first, what the first round's pointers allow in the second."""
     if "short" not in r:
         return block.short()
-    return block.longer(block.entries(block.short())[0][_entries(r["short"])], sizes)
+    return block.longer(block.marked(r), sizes)
 
 
 def nominated(texts: DataFrame, sizes: tuple[int, ...], least: int, slices: int, bits: int, name: str) -> DataFrame:
@@ -250,10 +264,10 @@ def frequencies(docs: DataFrame, longest: int = 4, least: int = 30, lang: str =
     def run(batches):
         for r, block in _each(batches, bits):
             places = block.short()
-            marked = block.entries(places)[0][_entries(r["short"])]
+            marked = block.marked(r)
             if sizes:
                 longer = block.longer(marked, sizes)
-                marked = np.concatenate([marked, block.entries(longer)[0][_entries(r["long"])]])
+                marked = np.sort(np.concatenate([marked, block.entries(longer)[0][_entries(r["long"])]]))
                 places += longer
             for n, starts in places:
                 starts, count = block.counted(block.pointed(marked, n, starts), n)

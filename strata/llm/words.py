@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.session import scratch_path
+from strata.session import scratch_path, ship
 
 SPACE = r"\x20\x09-\x0D"
 WORD = f"[^{SPACE}]+"
@@ -29,6 +29,7 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)  # the operators' Python workers import this package
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
