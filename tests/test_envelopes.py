@@ -86,11 +86,31 @@ def test_upstream_holiday_lists_hold_one_day(spark):
 
     sf = "/root/testdata/sf0.01"
     orders = spark.read.parquet(f"{sf}/orders.parquet")
-    want = {(r.o_orderstatus, r.day): r["count"] for r in orders.groupBy(
-        "o_orderstatus", F.to_date("o_orderdate").alias("day")).count().collect()}
+    country = F.concat(F.lit("K"), F.expr("o_custkey div 100").cast("string")).alias("country")
+    want = {(r.country, r.day): r["count"] for r in orders.groupBy(
+        country, F.to_date("o_orderdate").alias("day")).count().collect()}
     lists = [(r.country_code, r.holidays) for r in payloads.holidays_upstream(spark, sf).collect()]
     assert sorted(len(x) for _, x in lists) == sorted(want.values())
     for country, holidays in lists:
         days = {h.date for h in holidays if h.date}
         assert len(days) <= 1
         assert all(want[country, datetime.date.fromisoformat(d)] == len(holidays) for d in days)
+
+
+@pytest.mark.parametrize("salts", [2, 16])
+def test_salted_assembly_holds_the_same_records(spark, salts):
+    """A hot entity-day in two levels: the same records and total, whatever the
+    shares, with repeated and null-bearing records."""
+    rows = [("hot", "2026-04-22", i % 50, None if i % 7 else 1.5) for i in range(3000)]
+    rows += [(f"C{i}", "2026-04-22", i, 2.0) for i in range(20)] + [("hot", "2026-04-23", 1, None)]
+    recs = spark.createDataFrame(rows, "entity string, ingest_date string, v int, t double").select(
+        "entity", "ingest_date", F.struct(F.col("v").alias("visitors_count"), F.col("t").alias("temperature_c")).alias("record"))
+
+    def content(docs):
+        return sorted((r.object_key, r.total_records, json.loads(r.document)["total_records"],
+                       sorted(map(json.dumps, json.loads(r.document)["records"]))) for r in docs.collect())
+
+    plain, salted = (content(env.traffic_envelope(recs, salts=n)) for n in (1, salts))
+    assert plain == salted and len(plain) == 22
+    with pytest.raises(ValueError):
+        env.assembled(recs, [F.col("entity")], "record", 0)
