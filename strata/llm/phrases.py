@@ -59,6 +59,7 @@ SCALE = 2_000_000
 SLICE = 1 << 22  # entries that are added up together, about
 LEAST_SLICES = 64
 BLOCK = 3 << 20  # bytes of text that are coded together; a longer text is a block of its own
+TASKS = 1 << 15  # at most so many tasks for the blocks
 WIDTH = 5  # bytes of a fingerprint in a slice, besides the bits that name the slice
 
 
@@ -257,9 +258,13 @@ def frequencies(docs: DataFrame, longest: int = 4, least: int = 30, lang: str =
         raise ValueError("phrases have two to seven words and occur at least once")
     texts = coded(docs, lang, text)
     slices, sizes = slices_for(texts), tuple(range(3, longest + 1))
-    marked = texts.join(nominated(texts, (1, 2), least, slices, bits, "short"), "block")
+    # A block is some megabytes in one row: about one for each task, not as many as would be a usual task's rows.
+    tasks = max(1, min(TASKS, texts.count()))
+    short = nominated(texts, (1, 2), least, slices, bits, "short")
+    marked = texts.repartition(tasks, "block").join(short.repartition(tasks, "block"), "block")
     if sizes:
-        marked = marked.join(nominated(marked, sizes, least, slices, bits, "long"), "block", "left")
+        more = nominated(marked, sizes, least, slices, bits, "long")
+        marked = marked.join(more.repartition(tasks, "block"), "block", "left")
 
     def run(batches):
         for r, block in _each(batches, bits):
