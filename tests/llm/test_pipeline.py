@@ -26,3 +26,31 @@ def test_stages_and_run(spark):
     assert docs.count() > 0 and len(seen) >= 200
     got = corpus_pipeline.run(spark, SF).select("doc_id", "sample", "ids_crc32").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, docs.select("doc_id", "sample", "ids_crc32").collect()))
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def _folder(spark, path, rows, labels):
+    spark.createDataFrame(rows, COLUMNS).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+def test_odd_rows(spark, tmp_dir):
+    """Null ids and texts, empty texts, repeated rows, ties and a long text go
+    through every stage; what comes out decodes to what went in."""
+    words_ = [f"word{i}" for i in range(300)]
+    rows = [(i, " ".join(words_[i % 7:i % 7 + 40] + [f"own{i}x{j}" for j in range(30)]), "en", f"s{i % 3}", 1) for i in range(40)]
+    rows += [(50, None, None, None, None), (51, "", "en", "s0", 0), (52, " \t ", "en", "s1", 3), (None, "no id at all", "en", "s0", 9),
+             (53, "same text twice", "en", "s1", 5), (53, "same text twice", "en", "s1", 5), (54, "same text twice", "de", None, 5),
+             (55, " ".join(f"long{i}" for i in range(20000)), "en", "s2", 7)]
+    out = corpus_pipeline.run(spark, _folder(spark, tmp_dir, rows, [(i, 1, int(i % 9 == 0)) for i in range(40)])).collect()
+    assert all(r.restored for r in out)
+    ids = {r.doc_id for r in out}
+    assert 55 in ids and 53 in ids and 54 not in ids  # one of equal texts stays, with its repeated rows
+    assert ids <= {r[0] for r in rows}
+
+
+def test_empty_table(spark, tmp_dir):
+    assert corpus_pipeline.run(spark, _folder(spark, tmp_dir, [], [])).collect() == []

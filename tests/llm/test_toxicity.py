@@ -72,3 +72,34 @@ def test_odd_rows(spark):
     one_class = toxicity.fit(docs, labels.withColumn("toxic", F.lit(0)))
     assert {round(r.score, 6) for r in toxicity.score(odd, one_class).toDF("a", "b", "c", "score").collect()} == {0.0}
     assert {round(r.score, 6) for r in toxicity.score(docs, toxicity.fit(docs, labels.limit(0))).collect()} == {0.0}
+
+
+def test_scores_equal_a_dense_forward_pass():
+    """Word by word and text by text in double precision, from the same numbers."""
+    rng = np.random.default_rng(8)
+    weights, bias = rng.normal(0, 3, toxicity.BUCKETS).astype(np.float32), 0.7
+    texts = [b"", b" ,. ", "Ärger über ärger, x".encode(), b"a bb ccc dddd a bb", b"one", ("w%d " * 300 % tuple(range(300))).encode()]
+    want = []
+    for t in texts:
+        margin, words = bias, toxicity.tokens(t)
+        for w in words:
+            buckets, bounds = toxicity.subwords([w])
+            assert bounds.tolist() == [0, len(buckets)]
+            margin += float(weights[buckets].astype(np.float64).mean()) / (len(words) + toxicity.PAD)
+        want.append(1 / (1 + np.exp(-margin)))
+    assert np.allclose(toxicity.scores(texts, weights, bias), want, rtol=1e-12)
+
+
+def test_backward_is_the_transpose_of_forward():
+    """The gradient's two sparse steps: sums over columns and over rows agree
+    with a dense matrix."""
+    rng = np.random.default_rng(2)
+    bounds = np.array([0, 3, 4, 9, 10])
+    columns, weights = rng.integers(0, 6, 10), rng.normal(size=10)
+    m = toxicity._Mean(columns, bounds, weights, 6)
+    dense = np.zeros((4, 6))
+    for r, (a, b) in enumerate(zip(bounds, bounds[1:])):
+        for j in range(a, b):
+            dense[r, columns[j]] += weights[j]
+    x, g = rng.normal(size=(3, 6)).astype(np.float32), rng.normal(size=(3, 4)).astype(np.float32)
+    assert np.allclose(m.forward(x), x @ dense.T, atol=1e-5) and np.allclose(m.backward(g), g @ dense, atol=1e-5)
