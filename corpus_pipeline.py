@@ -6,6 +6,12 @@ repeat are cut, and documents that lose every word go; sources are mixed to
 their target weights, a document twice where its source is repeated; what is
 left is encoded, two sampled segmentations for each row.
 
+Defined results: null texts count as empty throughout; texts without words are
+equal, so one of them stays. Rows without an id are kept by the second stage and are
+one document to the third. Rows that repeat an id stay or go together where the id
+decides, and each as often as the mix takes it. Ties go to the smaller id. An empty
+table gives an empty result.
+
 The last stage returns (doc_id, sample, n_pieces, ids_crc32, log_prob,
 perturbed, inclusion, restored, ids), the others the columns of ``documents``.
 """
