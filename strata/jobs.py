@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dedupe import dedupe_by
-from strata.operators.partitions import add_event_partitions
+from strata.operators.partitions import PARTITION_COLS, add_event_partitions
 from strata.schemas import CORRUPT_COL
 from strata.session import scratch_path
 from strata.sinks import ledger
-from strata.sinks.curated import with_what_is_there, write_curated
+from strata.sinks.curated import drop_days, with_what_is_there, write_curated
 from strata.sources.paths import Location, identifier
 from strata.sources.raw import day_folders, mixed_layout, read_raw, read_raw_days, with_day_columns
 from strata.specs import SourceSpec, get_spec
@@ -204,6 +204,18 @@ def _own(params: JobParams, spec: SourceSpec) -> Column:
     return F.coalesce(_inside(params, spec.event_date_col), F.lit(False))
 
 
+def _emptied(spark: SparkSession, params: JobParams, staged: DataFrame, out: Location, table: str | None) -> list[date]:
+    """Drop the partitions of own days whose folders are there but hold no row
+    any more: an overwrite replaces only the partitions that it has rows of."""
+    spec = get_spec(params.source_name)
+    if tuple(spec.partition_cols) != PARTITION_COLS:
+        return []
+    folders = day_folders(spark, params.raw_root, spec.name, params.ingest_date, params.end_date, allow_missing=True) or []
+    landed = {date(*(int(x.split("=")[1]) for x in f.rstrip("/").split("/")[-3:])) for f in folders}
+    full = {r[0] for r in staged.where(_own(params, spec)).select(spec.event_date_col).distinct().collect()}
+    return drop_days(spark, sorted(landed - full), out, table)
+
+
 def _run_days(spark: SparkSession, params: JobParams, table: str | None, quarantine: bool) -> dict[str, object]:
     """A run that owns the days [ingest_date, end_date]; see ``run_curation``."""
     spec, out = get_spec(params.source_name), params.output_location()
@@ -220,10 +232,11 @@ def _run_days(spark: SparkSession, params: JobParams, table: str | None, quarant
         merged = with_what_is_there(rows.where(~_own(params, spec)), out, spec.keys, spec.newest, spec.partition_cols)
         rows = rows.where(_own(params, spec)).unionByName(merged)
     written = write_curated(rows, path=out, table=table, mode=params.write_mode, partition_cols=spec.partition_cols)
+    emptied = _emptied(spark, params, staged, out, table)
     malformed = int(seen.get.get("malformed_documents") or 0)
     if quarantine and malformed:
         _quarantine(spark, params, late)
-    return {"written": written, "documents": int(seen.get.get("documents") or 0), "malformed_documents": malformed,
+    return {"written": written, "emptied_days": [str(d) for d in emptied], "documents": int(seen.get.get("documents") or 0), "malformed_documents": malformed,
             "rows_of_other_days": others, "late_folders": [str(d) for d in late]}
 
 

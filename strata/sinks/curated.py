@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from strata.operators.dedupe import dedupe_by
 from strata.operators.partitions import PARTITION_COLS
 from strata.session import scratch_path
-from strata.sources.paths import exists, identifier
+from strata.sources.paths import exists, identifier, remove
 
 WRITE_MODES = ("overwrite_partitions", "append", "overwrite", "ignore", "error", "errorifexists")
 
@@ -123,6 +124,20 @@ def write_curated(df: DataFrame, path: str | None = None, table: str | None = No
     return True
 
 
+def drop_days(spark: SparkSession, days: Sequence[date], path: str, table: str | None = None) -> list[date]:
+    """Remove the (year, month, day) partitions of these days; returns those that
+    were there."""
+    dropped = []
+    for d in days:
+        folder = f"{path.rstrip('/')}/year={d.year}/month={d.month}/day={d.day}"
+        if exists(spark, folder):
+            if table is not None:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (year={d.year}, month={d.month}, day={d.day})")
+            remove(spark, folder)
+            dropped.append(d)
+    return dropped
+
+
 def with_what_is_there(df: DataFrame, path: str, keys: Sequence[str], newest: Sequence[str] = (),
                        partition_cols: Sequence[str] = PARTITION_COLS) -> DataFrame:
     """Rows and those of the table's partitions that they belong to, one for

@@ -414,3 +414,20 @@ def test_compaction_packs_only_what_has_too_many_files(spark, tmp_dir):
     compact(spark, path, target_bytes=size)
     files = {r.day: r.files for r in partition_files(spark, path).collect()}
     assert files[2] <= 3 and files[3] == 1
+
+
+def test_a_day_that_lost_its_rows_is_emptied_by_a_rerun(spark, tmp_dir):
+    _land(spark, f"{tmp_dir}/raw", "2026-04-21", ["2026-04-21T01:00:00"])
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", ["2026-04-22T01:00:00"])
+    report = _run(spark, tmp_dir, "2026-04-21", "--END_DATE", "2026-04-22", "--CURATED_DATABASE", "strata_emptied", table=True)
+    assert len(_rows(spark, report)) == 2 and report["emptied_days"] == []
+    _land(spark, f"{tmp_dir}/raw", "2026-04-22", [])
+    again = _run(spark, tmp_dir, "2026-04-21", "--END_DATE", "2026-04-23", "--CURATED_DATABASE", "strata_emptied",
+                 "--MISSING_DAYS", "skip", table=True)
+    assert again["emptied_days"] == ["2026-04-22"] and _rows(spark, again) == [(21, "21 01")]
+    assert [r.day for r in spark.table(report["table"]).collect()] == [21]
+    _land(spark, f"{tmp_dir}/raw", "2026-04-23", ["2026-04-22T05:00:00"])  # a late row keeps its day
+    _run(spark, tmp_dir, "2026-04-23")
+    kept = _run(spark, tmp_dir, "2026-04-22")
+    assert kept["emptied_days"] == [] and _rows(spark, kept) == [(21, "21 01"), (22, "22 05")]
+    spark.sql(f"DROP TABLE {report['table']}")
