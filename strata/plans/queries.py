@@ -31,7 +31,7 @@ from strata.plans import payloads
 from strata.session import scratch_path
 from strata.sinks.curated import write_curated
 from strata.sinks.raw import write_raw
-from strata.sources.raw import parse_documents, read_curated, read_raw, read_raw_days
+from strata.sources.raw import parse_documents, read_curated, read_raw, read_raw_days, read_raw_objects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -122,12 +122,12 @@ SCAN_WEEK = ("2024-01-08", "2024-01-14")
 
 def raw_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-6 then SRC-1: land every traffic document one-per-file under the
-    checkpoint folder, read the raw zone back with the declared schema
-    (multi-line documents) and curate it."""
+    checkpoint folder, read every file of the raw zone back with the declared
+    schema and curate it."""
     root = scratch_path(spark, "raw-document")
     target = write_raw(payloads.traffic_documents(spark, sf_dir), root, "traffic", "document",
                        by_entity=False)
-    raw = read_raw(spark, target, schemas.TRAFFIC_RAW, "document")
+    raw = read_raw_objects(spark, target, schemas.TRAFFIC_RAW)
     return as_ntz(curators.curate_traffic(raw))
 
 

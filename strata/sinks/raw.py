@@ -10,13 +10,30 @@ Lines (splittable).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.sources.paths import Location
+from strata.sinks import objects
+from strata.sources.paths import Location, qualified, reachable
 from strata.sources.raw import _check_format
 
 ENTITY_COL = "entity"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# as Spark escapes the values of partition folders
+ESCAPED = "%" + "".join(map(chr, range(1, 32))) + "\"#'*/:=?\\\x7f{[]^"
+
+
+def _day_folder(folders: list[str], source: str) -> Column:
+    """``<source>/year=YYYY/.../`` as Spark names the folders of partitions."""
+    steps = [F.lit(source)]
+    for name in folders:
+        value = F.col(name)
+        if name == ENTITY_COL:
+            value = reduce(lambda c, x: F.replace(c, F.lit(x), F.lit(f"%{ord(x):02X}")), ESCAPED, value)
+        steps.append(F.concat(F.lit(f"{name}="), F.when(value != "", value).otherwise(F.lit(NO_VALUE))))
+    return F.concat(F.concat_ws("/", *steps), F.lit("/"))
 
 
 def write_raw(docs: DataFrame, raw_root: str, source: str, raw_format: str = "document",
@@ -40,6 +57,17 @@ def write_raw(docs: DataFrame, raw_root: str, source: str, raw_format: str = "do
     )
     target = Location(raw_root) / source
     folders = ["year", "month", "day", *([ENTITY_COL] if split else [])]
+    spark = docs.sparkSession
+    # A file for each document: written and put in place by tasks, because Spark's
+    # own committer moves files one by one on the driver.
+    root = qualified(spark, Location(raw_root)) if fmt == "document" else None
+    if root and mode in ("overwrite_partitions", "append") and reachable(root):
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{source}")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+        rows = out.select(_day_folder(folders, source).alias("object_key"), F.col("value").alias("document"))
+        rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        objects.store(spark, rows, root, clear=mode == "overwrite_partitions")
+        return target
     if fmt == "lines":
         # Without this every task writes a file into every day it holds
         # (tasks x days small files); rebalancing on the day gives about one
@@ -48,7 +76,7 @@ def write_raw(docs: DataFrame, raw_root: str, source: str, raw_format: str = "do
     else:
         # A file for each document: the work is in the files, not the bytes that
         # adaptive execution would merge tasks by. Dealt in turn, so no key is hot.
-        out = out.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        out = out.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     writer = out.write.partitionBy(*folders)
     if mode == "overwrite_partitions":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
