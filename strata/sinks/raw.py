@@ -5,7 +5,7 @@ zero-padded folder names. The entity folder makes the last write win for each
 object, a day of one entity, as an object key does: landing one centre or
 country leaves the others of that day alone. The ``document`` layout writes one
 JSON document per file (read back with ``multiLine``); ``lines`` writes JSON
-Lines (splittable).
+Lines, compressed, in files of bounded size (readers take plain ones too).
 """
 
 from __future__ import annotations
@@ -84,5 +84,7 @@ def write_raw(docs: DataFrame, raw_root: str, source: str, raw_format: str = "do
         writer = writer.mode(mode)
     if fmt == "document":
         writer = writer.option("maxRecordsPerFile", 1)
-    writer.option("compression", "none").text(target)
+    # Lines repeat their field names, so they land compressed. Such a file is read by
+    # one task: the rebalancing bounds what a file holds, however large a day is.
+    writer.option("compression", "gzip" if fmt == "lines" else "none").text(target)
     return target

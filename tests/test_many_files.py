@@ -10,7 +10,7 @@ from strata.plans import queries
 from strata.schemas import TRAFFIC_RAW
 from strata.sinks.objects import list_objects, write_objects
 from strata.sinks.raw import write_raw
-from strata.sources.raw import read_documents_text, read_raw_objects
+from strata.sources.raw import read_documents_text, read_raw, read_raw_objects
 
 
 def _docs(spark, rows):
@@ -89,3 +89,12 @@ def test_objects_parse_as_declared(spark, tmp_dir):
 
 def test_the_round_trip_lists_nothing_on_the_driver(spark):
     assert queries.raw_roundtrip(spark, "/root/testdata/sf0.001").inputFiles() == []
+
+
+def test_lines_land_compressed_and_whole(spark, tmp_dir):
+    rows = [(f"2026-04-{1 + i % 3:02d}", f"C{i}", '{"records": [{"center_id": "C%d", "visitors_count": 3}]}' % i) for i in range(3000)]
+    target = write_raw(_docs(spark, rows), tmp_dir, "traffic", "lines", by_entity=False)
+    files = [os.path.join(d, n) for d, _, names in os.walk(target) for n in names if n.startswith("part-")]
+    assert sum(map(os.path.getsize, files)) < sum(len(r[2]) for r in rows) / 4
+    assert sorted(r.document for r in read_documents_text(spark, target, "lines").collect()) == sorted(r[2] for r in rows)
+    assert read_raw(spark, target, TRAFFIC_RAW, "lines").where("records[0].visitors_count = 3").count() == 3000
