@@ -102,12 +102,14 @@ def links(distinct: DataFrame, max_bits: int = 2, hot: int = HOT) -> DataFrame:
                         (at == 0).alias("first")))
     sizes = (variants.groupBy("variant").agg(F.count("*").alias("members"))
              .filter("members > 1"))
-    shared = stored(variants.join(sizes, "variant"), "simhash-variants")
+    # Spark sizes what is exploded by the bytes before, far too low: no side of a join
+    # on variants or neighbours is ever a broadcast.
+    shared = stored(variants.join(sizes.hint("merge"), "variant"), "simhash-variants")
 
     cold = shared.filter(F.col("members") <= hot)
     x, y = cold.alias("x"), cold.alias("y")
     # Equal segments share all 32 variants; only the first of them pairs up.
-    pairs = (x.join(y, (F.col("x.variant") == F.col("y.variant")) & (F.col("x.fp") < F.col("y.fp"))
+    pairs = (x.join(y.hint("merge"), (F.col("x.variant") == F.col("y.variant")) & (F.col("x.fp") < F.col("y.fp"))
                     & ((F.col("x.bit") != F.col("y.bit")) | F.col("x.first"))
                     & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= max_bits))
              .select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")))
@@ -117,12 +119,12 @@ def links(distinct: DataFrame, max_bits: int = 2, hot: int = HOT) -> DataFrame:
               .select("fp", F.when(n < 0, F.col("fp")).otherwise(
                   F.col("fp").bitwiseXOR(F.expr("shiftleft(1L, greatest(n, 0))"))).alias("near")))
     smallest = around.groupBy("near").agg(F.min("fp").alias("a"))
-    spokes = (around.join(smallest, "near")
+    spokes = (around.join(smallest.hint("merge"), "near")
               .filter((F.col("a") < F.col("fp")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("fp"))) <= max_bits))
               .select("a", F.col("fp").alias("b")))
     if max_bits < 2:  # the smallest neighbour may be two bits away: take links of one bit
         near = around.filter("near != fp").alias("n")
-        spokes = (near.join(distinct.alias("d"), F.col("n.near") == F.col("d.fp"))
+        spokes = (near.join(distinct.alias("d").hint("merge"), F.col("n.near") == F.col("d.fp"))
                   .select(F.least("n.fp", "d.fp").alias("a"), F.greatest("n.fp", "d.fp").alias("b"))
                   if max_bits else spokes.limit(0))
     return pairs.union(spokes).distinct()

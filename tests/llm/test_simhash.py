@@ -5,6 +5,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from strata.llm import queries, simhash
+from strata.plans.inspect import count_nodes
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,3 +88,15 @@ def test_defined_results_for_odd_rows(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.components(docs).collect() == []
+
+
+@pytest.mark.parametrize("bits", [1, 2])
+def test_exploded_sides_are_never_broadcast(spark, monkeypatch, bits):
+    """Spark sizes them by the fingerprints before the explode, 64 times too low."""
+    seen, stored = [], simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, name: seen.append(df) or stored(df, name))
+    distinct = stored(spark.range(500).select(F.xxhash64("id").alias("fp")), "test-distinct")
+    found = simhash.links(distinct, bits, hot=1)
+    plans = [found, *seen]
+    assert len(plans) == 2 and sum(count_nodes(p, "SortMergeJoin") for p in plans) >= 3
+    assert [count_nodes(p, "BroadcastHashJoin") + count_nodes(p, "BroadcastExchange") for p in plans] == [0, 0]
