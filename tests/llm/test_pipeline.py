@@ -1,5 +1,6 @@
 import corpus_pipeline
 from strata.llm import mixing, simhash, words
+from strata.plans.inspect import count_nodes
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,3 +55,14 @@ def test_odd_rows(spark, tmp_dir):
 
 def test_empty_table(spark, tmp_dir):
     assert corpus_pipeline.run(spark, _folder(spark, tmp_dir, [], [])).collect() == []
+
+
+def test_near_copies_send_no_exploded_side_to_the_driver(spark, monkeypatch):
+    """Variants are 64 rows of each fingerprint; Spark's estimate knows of one."""
+    seen, stored = {}, simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, name: seen.setdefault(name, df) and stored(df, name))
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    kept = stage(spark, words.table(spark, SF, "documents"), SF)
+    assert count_nodes(seen["simhash-variants"], "SortMergeJoin") == 1
+    assert count_nodes(seen["simhash-variants"], "BroadcastExchange") == 0
+    assert 0 < kept.count() < 200
