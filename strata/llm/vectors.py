@@ -17,9 +17,10 @@ A query that is never proven has all segments processed, and its possible member
 rescored as well.
 
 At scale: a shard is one stored index row, queries are cut into blocks, and
-every block meets every shard once, in a join on the shard's number. Blocks
-travel, not the index: a shard is dealt to a few tasks at most. Each pair
-returns at most ``k`` rows for a query.
+every block meets every shard once, where both are grouped by the shard's number
+and a turn. A turn holds at most ``MEET`` blocks, so a group fits a task however
+many queries there are; a shard travels once for each turn, and neither side is
+ever a broadcast. Each pair returns at most ``k`` rows for a query.
 
 Defined results: vectors that are null, empty, or hold null or non-finite
 components take no part. Vectors of different lengths are compared as if the
@@ -45,6 +46,7 @@ from strata.llm.words import stored
 SCALE = 64
 SHARD = 1 << 13  # vectors of an index row
 BLOCK = 256  # queries scored at once
+MEET = 32  # blocks that meet a shard in one group
 FEW = 16  # times k: so many possible members are rescored rather than narrowed
 PROBES = 16  # queries of a block that are asked first whether they are proven
 EXACT = 1 << 23  # products of lengths below which single precision holds every sum
@@ -68,16 +70,22 @@ def _matrix(vectors: list, width: int | None = None) -> np.ndarray:
     return out
 
 
+def _packed(m: np.ndarray) -> tuple[bytes, str]:
+    """The matrix as bytes of the narrowest integers that hold it, and their kind."""
+    low, high = int(m.min(initial=0)), int(m.max(initial=0))
+    kind = next(t for t in ("<i2", "<i4", "<i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return m.astype(kind).tobytes(), kind
+
+
 def index(vectors: DataFrame, shards: int, spread: int) -> DataFrame:
     """(shard, turn, ids, m, dims, kind): one row for each shard, ``spread`` times."""
 
     def build(keys, table):
         m = _matrix(table["v"].to_pylist())
         order = np.argsort(table["id"].to_numpy(), kind="stable")
-        low, high = int(m.min(initial=0)), int(m.max(initial=0))
-        kind = next(t for t in ("<i2", "<i4", "<i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+        packed, kind = _packed(m[order])
         return pa.table({"shard": [keys[0].as_py()], "ids": [table["id"].to_numpy()[order].tobytes()],
-                         "m": [m[order].astype(kind).tobytes()], "dims": [m.shape[1]], "kind": [kind]},
+                         "m": [packed], "dims": [m.shape[1]], "kind": [kind]},
                         schema=pa.schema([("shard", pa.int32()), ("ids", pa.binary()), ("m", pa.binary()),
                                           ("dims", pa.int32()), ("kind", pa.string())]))
 
@@ -90,18 +98,20 @@ def index(vectors: DataFrame, shards: int, spread: int) -> DataFrame:
 
 
 def query_blocks(queries: DataFrame, blocks: int, shards: int, spread: int) -> DataFrame:
-    """(shard, turn, block, numbers, qids, q, qdims): every block once for each shard."""
+    """(shard, turn, block, numbers, qids, q, qdims, qkind): every block once for each shard."""
 
     def pack(keys, table):
-        m = _matrix(table["v"].to_pylist()).astype("<i8")
+        m = _matrix(table["v"].to_pylist())
+        packed, kind = _packed(m)
         return pa.table({"block": [keys[0].as_py()], "numbers": [table["number"].to_numpy().tobytes()],
-                         "qids": [table["id"].to_numpy().tobytes()], "q": [m.tobytes()], "qdims": [m.shape[1]]},
+                         "qids": [table["id"].to_numpy().tobytes()], "q": [packed], "qdims": [m.shape[1]],
+                         "qkind": [kind]},
                         schema=pa.schema([("block", pa.int32()), ("numbers", pa.binary()), ("qids", pa.binary()),
-                                          ("q", pa.binary()), ("qdims", pa.int32())]))
+                                          ("q", pa.binary()), ("qdims", pa.int32()), ("qkind", pa.string())]))
 
     deal = F.pmod(F.xxhash64("number"), F.lit(blocks)).cast("int")
     rows = queries.withColumn("block", deal).groupBy("block").applyInArrow(
-        pack, "block int, numbers binary, qids binary, q binary, qdims int")
+        pack, "block int, numbers binary, qids binary, q binary, qdims int, qkind string")
     rows = stored(rows, "vector-queries")
     return rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
                        F.expr(f"block % {spread}").alias("turn"))
@@ -195,28 +205,30 @@ def search(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vec
     kept = usable(rows, key, vector)
     shards = max(1, math.ceil(kept.count() / shard))
     blocks = max(1, math.ceil(wanted.count() / block))
-    spread = min(blocks, max(1, math.ceil(32 / shards)))
+    spread = min(blocks, max(1, math.ceil(32 / shards), math.ceil(blocks / MEET)))
     left = query_blocks(wanted, blocks, shards, spread)
     right = index(kept, shards, spread)
 
-    def run(batches):
-        held, found = None, None
-        for batch in batches:
-            for r in batch.to_pylist():
-                if held != r["shard"]:
-                    ids = np.frombuffer(r["ids"], np.int64)
-                    m = np.frombuffer(r["m"], r["kind"]).reshape(len(ids), r["dims"])
-                    held, found = r["shard"], Shard(ids, m)
-                numbers, qids = np.frombuffer(r["numbers"], np.int64), np.frombuffer(r["qids"], np.int64)
-                q = np.frombuffer(r["q"], "<i8").reshape(len(qids), r["qdims"]).astype(np.int64)
+    def run(left, right):
+        made = [pa.table({"number": [], "query_id": [], "id": [], "score": []}, schema=names)]
+        for r in right.to_pylist():
+            ids = np.frombuffer(r["ids"], np.int64)
+            found = Shard(ids, np.frombuffer(r["m"], r["kind"]).reshape(len(ids), r["dims"]))
+            for b in left.to_pylist():
+                numbers, qids = np.frombuffer(b["numbers"], np.int64), np.frombuffer(b["qids"], np.int64)
+                q = np.frombuffer(b["q"], b["qkind"]).reshape(len(qids), b["qdims"]).astype(np.int64)
                 for a in range(0, len(qids), BLOCK):
-                    query, *made = found.top(qids[a:a + BLOCK], q[a:a + BLOCK], k)
-                    made = [numbers[a + query], qids[a + query], *made]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["number", "query_id", "id", "score"])
-
-    pairs = left.join(right, ["shard", "turn"]).sortWithinPartitions("shard")
-    best = pairs.select("shard", "ids", "m", "dims", "kind", "numbers", "qids", "q", "qdims").mapInArrow(
-        run, "number long, query_id long, id long, score long")
+                    query, *best = found.top(qids[a:a + BLOCK], q[a:a + BLOCK], k)
+                    best = [numbers[a + query], qids[a + query], *best]
+                    made.append(pa.table([pa.array(x) for x in best], schema=names))
+        return pa.concat_tables(made)
+
+    names = pa.schema([(x, pa.int64()) for x in ("number", "query_id", "id", "score")])
+    # A task for each group: the work is in the products, not in the bytes that
+    # adaptive execution would merge tasks by.
+    tasks = max(shards * spread, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    left, right = (x.repartition(tasks, "shard", "turn").groupBy("shard", "turn") for x in (left, right))
+    best = left.cogroup(right).applyInArrow(run, "number long, query_id long, id long, score long")
     order = W.partitionBy("number").orderBy(F.desc("score"), "id")
     return (best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", F.col("id").alias(key), "score"))

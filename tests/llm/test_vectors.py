@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from strata.llm import vectors
+from strata.plans.inspect import count_nodes
 
 
 def brute(rows, queries, k):
@@ -85,3 +86,18 @@ def test_fewer_candidates_than_k_and_empty_table(spark):
     got = [tuple(r) for r in vectors.search(df, df.filter("vec_id = 0"), 20).collect()]
     assert got == [(0, 1, 1, 128 * 64)]
     assert vectors.search(df.limit(0), df.limit(0), 20).collect() == []
+
+
+def test_blocks_meet_shards_in_bounded_groups_without_a_broadcast(spark, monkeypatch):
+    """Every block goes to every shard; Spark's estimate of them knows of one shard."""
+    monkeypatch.setattr(vectors, "MEET", 2)
+    seen, made = [], vectors.query_blocks
+    monkeypatch.setattr(vectors, "query_blocks", lambda *x: seen.append(made(*x)) or seen[-1])
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = vectors.search(df, df.filter("vec_id % 4 = 0"), 5, shard=20, block=10)
+    assert count_nodes(found, "BroadcastExchange") == 0
+    groups = seen[0].groupBy("shard", "turn").count().collect()
+    assert len({r.shard for r in groups}) == 20 and max(r["count"] for r in groups) <= 2
+    assert sorted(map(tuple, found.collect())) == brute(rows, set(range(0, 400, 4)), 5)
