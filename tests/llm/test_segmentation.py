@@ -1,5 +1,6 @@
 import collections
 import itertools
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -121,3 +122,19 @@ def test_first_edge_above_a_number(m):
     sought = low + rng.random(5000) * 1.1 * (lattice.upto[lattice.edges[at + 1] - 1] - low)
     want = np.clip(np.searchsorted(lattice.upto, sought, "right"), lattice.edges[at], lattice.edges[at + 1] - 1)
     assert np.array_equal(lattice._first_above(at, sought), want)
+
+
+def test_query_returns_the_encoding(spark):
+    """The sampled ids themselves, not only their number and checksum."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = segmentation.decode(queries.QUERIES["op3_sentencepiece_sampling"](spark, SF), PATH).collect()
+    assert {r.doc_id for r in got} == set(texts)
+    for r in got:
+        assert r.decoded == texts[r.doc_id] and r.n_pieces == len(r.ids)
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes())
+
+
+def test_pieces_spelled_at_once(m):
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, len(m.pieces), 600_000).astype(np.int32)
+    assert m.spell_all(ids) == m.spell(ids.tolist()) and m.spell_all(ids[:0]) == b""
