@@ -71,5 +71,20 @@ def test_attempts_that_were_not_committed_are_not_published(spark, tmp_dir):
     assert [r.document for r in objects.list_objects(spark, tmp_dir, "traffic").collect()] == ["a"]
 
 
+def test_attempts_are_few_files_until_they_are_published(spark, tmp_dir):
+    """A small file fills a whole block: the documents of a task wait in one file."""
+    rows = [(f"C{i}", "2026-04-01", _doc(i) + "\n\u00e9", i) for i in range(400)]
+    docs = _docs(spark, rows).select("object_key", "document").repartition(2)
+    run = f"file:{tmp_dir}/_attempts/run"
+    spark.dataSource.register(objects.AttemptSource)
+    docs.write.format("strata_objects").mode("append").save(run)
+    waiting = [os.path.join(d, n) for d, _, names in os.walk(f"{tmp_dir}/_attempts") for n in names]
+    assert len(waiting) <= 3 and sum(map(os.path.getsize, waiting)) < sum(len(r[2]) for r in rows) / 2
+    for _ in range(2):  # as a repeated task
+        assert objects._publish(spark, run, f"file:{tmp_dir}") == 400
+    got = objects.list_objects(spark, tmp_dir, "traffic").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, docs.collect()))
+
+
 def test_an_empty_frame_writes_nothing(spark, tmp_dir):
     assert objects.write_objects(_docs(spark, []), tmp_dir) == 0
